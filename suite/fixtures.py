@@ -35,11 +35,12 @@ SELECT o_orderkey,
 FROM orders JOIN customer ON o_custkey = c_custkey
 """
 
-# a numeric table in network units: data n1, n2 and conditions g1, g2
+# a numeric table in network units: data n1, n2 and conditions g1, g2; the odd divisors keep values off
+# the rounding grid
 GRID = """
 SELECT o_orderkey,
-  o_totalprice / CAST(250000 AS DOUBLE) - 1 AS n1,
-  c_acctbal / CAST(5000 AS DOUBLE) - 1 AS n2,
+  o_totalprice / CAST(270001 AS DOUBLE) - 1 AS n1,
+  c_acctbal / CAST(5003 AS DOUBLE) - 1 AS n2,
   CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN CAST(0.5 AS DOUBLE) ELSE CAST(-0.5 AS DOUBLE) END AS g1,
   CAST(o_orderkey % 2 AS DOUBLE) - CAST(0.5 AS DOUBLE) AS g2
 FROM orders JOIN customer ON o_custkey = c_custkey

@@ -99,7 +99,7 @@ def loss_trace(spark, d):
     losses_ = read(spark, d, "orders").select(
         (F.col(KEY) + 1).alias("iter"), (F.col("o_totalprice") / 1e6).alias("G_loss"), (F.col("o_custkey") / 1e3).alias("D_loss")
     )
-    return rounded(training_log.loss_trace(losses_, 100))
+    return rounded(training_log.loss_trace(losses_, 100), 11)
 
 
 # ---- categorical ---------------------------------------------------------------------------
@@ -267,7 +267,7 @@ def scaler_transform(spark, d):
 def scaler_back(spark, d):
     df = train(spark, d).select(KEY, *SCALE_COLS)
     scaled, stats = scaler.scaler_fit_transform(df, SCALE_COLS)
-    return rounded(scaler.scaler_back(scaled, stats), 4)
+    return rounded(scaler.scaler_back(scaled, stats))
 
 
 def _split_stats(spark, d):
@@ -499,7 +499,7 @@ def generate_pipeline(spark, d):
 def postprocess_pipeline(spark, d):
     done = preprocess(train(spark, d), HEADER, resolution=LAMBDA_STEP)
     original = Roles({"unq1": "K", **{c: r for c, r in HEADER.roles.items() if r != "K"}})
-    return rounded(postprocess(done.table, original, done.stats, KEY), 4, price=2, bal=2, spike=2)
+    return rounded(postprocess(done.table, original, done.stats, KEY), 4, price=2, bal=2, spike=2, rare_null=6)
 
 
 NAMES = """
