@@ -483,7 +483,7 @@ def estat2d(spark, d):
 
 
 def preprocess_pipeline(spark, d):
-    return rounded(preprocess(train(spark, d), HEADER, resolution=LAMBDA_STEP).table)
+    return rounded(preprocess(train(spark, d), HEADER, resolution=LAMBDA_STEP, checkpoint_input=True).table)
 
 
 def generate_pipeline(spark, d):
@@ -497,7 +497,7 @@ def generate_pipeline(spark, d):
 
 
 def postprocess_pipeline(spark, d):
-    done = preprocess(train(spark, d), HEADER, resolution=LAMBDA_STEP)
+    done = preprocess(train(spark, d), HEADER, resolution=LAMBDA_STEP, checkpoint_input=True)
     original = Roles({"unq1": "K", **{c: r for c, r in HEADER.roles.items() if r != "K"}})
     return rounded(postprocess(done.table, original, done.stats, KEY), 4, price=2, bal=2, spike=2, rare_null=6)
 

@@ -1,8 +1,8 @@
 """Box-Cox: fitted by maximum likelihood, applied, inverted, and its comparison histograms.
 
 With z = x / geometric mean the likelihood is largest where the variance of
-(z^lambda - 1)/lambda is smallest, so a scan that evaluates many lambdas for all
-columns at once shrinks the search interval by a constant factor.
+(z^lambda - 1)/lambda is smallest, so each scan evaluates a few lambdas for all columns
+at once and narrows the search around the best of them.
 """
 
 from __future__ import annotations
@@ -17,63 +17,67 @@ from ..functions.selection import medians
 from ..sources.stats import ColumnStats
 
 BINS = 30
-_STEPS = 16  # intervals per scan
+_NARROWING = (1.0, 0.25, 0.04, 0.003)  # half widths of the tries, relative to the search interval's
 _AGGREGATES_PER_PASS = 200
-_FAR = 1e3  # the interval stops moving here
-_MIN_SPACING = 1e-3  # then one parabola through the best three points
+_FAR = 1e3  # a try stops moving here
 
 
-def _power(log_z: Column, lam: float) -> Column:
-    return log_z if lam == 0.0 else F.expm1(F.lit(lam) * log_z) / F.lit(lam)
-
-
-def _variances(df: DataFrame, wanted: list[tuple[Column, float]]) -> list[float]:
+def _variances(df: DataFrame, wanted: list[tuple[str, float]]) -> list[float]:
+    """var_pop of (z^lambda - 1)/lambda for each (log z as SQL text, lambda), as many as fit one scan."""
     out: list[float] = []
     for at in range(0, len(wanted), _AGGREGATES_PER_PASS):
-        block = wanted[at : at + _AGGREGATES_PER_PASS]
-        out += list(df.agg(*[F.var_pop(_power(z, lam)).alias(f"v{i}") for i, (z, lam) in enumerate(block)]).first())
+        texts = [
+            f"var_pop({log_z if lam == 0.0 else f'expm1({lam!r}D * ({log_z})) / {lam!r}D'})"
+            for log_z, lam in wanted[at : at + _AGGREGATES_PER_PASS]
+        ]
+        out += list(df.agg(*[F.expr(t).alias(f"v{i}") for i, t in enumerate(texts)]).first())
     return out
 
 
+def _parabola(grid: list[float], scores: list[float], at: int) -> float:
+    """Lowest point of the parabola through the best grid point and its neighbours."""
+    a, b, c = scores[at - 1 : at + 2]
+    bend = a - 2 * b + c
+    return grid[at] + (0.5 * (grid[at + 1] - grid[at]) * (a - c) / bend if bend > 0 else 0.0)
+
+
 def _best_lambdas(
-    df: DataFrame, logs: dict[str, Column], search: tuple[float, float], resolution: float | None
+    df: DataFrame, logs: dict[str, str], search: tuple[float, float], resolution: float | None
 ) -> dict[str, float]:
-    """Minimise the variance per column; with a resolution, over its multiples."""
-    unit = resolution or 0.0
-    bounds = {c: (float(search[0]), float(search[1])) for c in logs}
+    """Minimise the variance per column; with a resolution, over its multiples.
+
+    Each pass tries five lambdas per column. A lowest point inside gives the centre of a
+    narrower try, one at the end moves the try there.
+    """
+    start = (search[0] + search[1]) / 2.0
+    widths = [(search[1] - search[0]) / 2.0 * f for f in _NARROWING]
+    if resolution:
+        widths = [w for w in widths if w > 4 * resolution] + [2 * resolution]
+    centre = dict.fromkeys(logs, start)
+    level = dict.fromkeys(logs, 0)
     best: dict[str, float] = {}
-    while bounds:
-        grids: dict[str, list[float]] = {}
-        for c, (low, high) in bounds.items():
-            if unit:
-                first, last = round(low / unit), round(high / unit)
-                step = max(1, math.ceil((last - first) / _STEPS))
-                points = sorted({*range(first, last + 1, step), last})
-                grids[c] = [round(p * unit, 12) for p in points]
-            else:
-                grids[c] = [low + (high - low) * i / _STEPS for i in range(_STEPS + 1)]
-        got = _variances(df, [(logs[c], lam) for c in grids for lam in grids[c]])
-        for c in list(bounds):
-            scores, got = got[: len(grids[c])], got[len(grids[c]) :]
-            grid = grids[c]
-            at = min(range(len(grid)), key=lambda i: (scores[i], i))
-            width = grid[-1] - grid[0]
-            if at in (0, len(grid) - 1) and abs(grid[at]) < _FAR:
-                bounds[c] = (grid[at] - width, grid[at]) if at == 0 else (grid[at], grid[at] + width)
-                bounds[c] = (bounds[c][0] - width / _STEPS, bounds[c][1] + width / _STEPS)
+    while len(best) < len(logs):
+        grids = {}
+        for c in logs:
+            if c in best:
+                continue
+            last = level[c] == len(widths) - 1
+            middle = round(centre[c] / resolution) * resolution if resolution and last else centre[c]
+            grids[c] = [round(middle + widths[level[c]] * k / 2.0, 12) for k in range(-2, 3)]
+        scores = _variances(df, [(logs[c], lam) for c in grids for lam in grids[c]])
+        for c, grid in grids.items():
+            got, scores = scores[:5], scores[5:]
+            at = min(range(5), key=lambda k: got[k])
+            if at in (0, 4) and abs(grid[at]) < _FAR:
+                centre[c] = grid[at]
                 continue
-            spacing = width / (len(grid) - 1)
-            if unit and spacing <= unit * 1.5:
-                best[c] = grid[at]
-                del bounds[c]
-            elif not unit and spacing <= _MIN_SPACING:
-                at = min(max(at, 1), len(grid) - 2)
-                a, b, d = scores[at - 1], scores[at], scores[at + 1]
-                bend = a - 2 * b + d
-                best[c] = grid[at] + (0.5 * spacing * (a - d) / bend if bend > 0 else 0.0)
-                del bounds[c]
+            at = min(max(at, 1), 3)
+            last = level[c] == len(widths) - 1
+            found = grid[at] if resolution and last else _parabola(grid, got, at)
+            if last:
+                best[c] = found
             else:
-                bounds[c] = (grid[max(at - 1, 0)], grid[min(at + 1, len(grid) - 1)])
+                centre[c], level[c] = found, level[c] + 1
     return best
 
 
@@ -102,9 +106,9 @@ def boxcox_fit(
         stats.columns[c]["median"] = middle[c]
     varied = [c for c in cols if counts[c] and stats.columns[c]["min"] < stats.columns[c]["max"]]
     if varied:
-        raw = {c: F.ln(F.col(c) + F.lit(stats.columns[c]["shift"])) for c in varied}
-        means = dict(zip(varied, df.agg(*[F.avg(raw[c]) for c in varied]).first()))
-        found = _best_lambdas(df, {c: raw[c] - F.lit(means[c]) for c in varied}, search, resolution)
+        raw = {c: f"ln(`{c}` + {float(stats.columns[c]['shift'])!r}D)" for c in varied}
+        means = dict(zip(varied, df.agg(*[F.expr(f"avg({raw[c]})") for c in varied]).first()))
+        found = _best_lambdas(df, {c: f"{raw[c]} - {means[c]!r}D" for c in varied}, search, resolution)
         for c in varied:
             stats.columns[c]["lambd"] = found[c]
     return stats

@@ -112,12 +112,16 @@ def _majorities(df: DataFrame, cols: list[str], filled: dict[str, int]) -> dict[
     middle = {c: m for c, m in medians(df, {c: F.col(c) for c in cols}, filled).items() if m is not None}
     if not middle:
         return {}
-    row = df.agg(*[F.count_if(F.col(c) == F.lit(m)) for c, m in middle.items()]).first()
+    row = df.agg(
+        *[f for c, m in middle.items() for f in (F.count_if(F.col(c) == F.lit(m)), F.approx_count_distinct(c))]
+    ).first()
     out = {}
-    for (c, m), count in zip(middle.items(), row):
+    for i, (c, m) in enumerate(middle.items()):
+        count, distinct = row[2 * i], row[2 * i + 1]
         if count > FREQUENT_SHARE * filled[c]:
-            some = df.where(F.col(c).isNotNull()).select(c).distinct().limit(FREQUENT_DISTINCT + 1).count()
-            out[c] = (m, count, some)
+            if distinct <= 4 * FREQUENT_DISTINCT:  # near the limit, so count exactly
+                distinct = df.where(F.col(c).isNotNull()).select(c).distinct().count()
+            out[c] = (m, count, distinct)
     return out
 
 

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..functions.materialize import materialize
 from ..operators.boxcox import boxcox_fit, boxcox_transform
 from ..operators.impute import impute_values
 from ..operators.missing import special_fit, special_transform
@@ -35,12 +36,17 @@ def preprocess(
     dump: DataFrame | None = None,
     frequencies: str = "majority",
     resolution: float | None = None,
+    checkpoint_input: bool = False,
 ) -> Preprocessed:
     """Centre the target, one-hot, flag special values, optionally cap at tree splits, Box-Cox, scale, fill medians.
 
     Given `boxcox` statistics are applied instead of fitted, so lambdas can be edited between runs.
     Every fit reads the source through the projections before it; nothing is written in between.
+    `checkpoint_input` writes the header's columns once first, for a source that is itself a join.
     """
+    train = train.select(*[c for c in header.names if c in train.columns])
+    if checkpoint_input:
+        train = materialize(train)
     numerical = header.numerical
     stats = {"onehot": onehot_fit(train, header.categorical, header.key)}
     table = center_target(train, header.targets)
