@@ -1,8 +1,8 @@
 """Exact order statistics by a few narrow aggregates: no sort and no shuffle of rows.
 
-A quantile sketch brackets each wanted rank, one pass counts exactly how many
-values fall below, on and inside the bracket, and the bracket shrinks by three
-orders of magnitude per pass until its inside is small enough to list.
+A quantile sketch brackets each wanted rank; one pass then counts exactly how many
+values fall below, on and inside the bracket and lists the few inside. Where the
+inside is too large to list, it is sketched again.
 """
 
 from __future__ import annotations
@@ -15,23 +15,34 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .order import row_index
 
-LIST_LIMIT = 10_000  # values listed for one rank in the last pass
-BUILTIN_LIMIT = 1_000_000  # rows up to which the built-in exact percentile holds its value counts
-_GRID = 500
+LIST_LIMIT = 10_000  # values listed for one search in its last pass
 _ACCURACY = 20_000
+_MARGIN = 3 / _ACCURACY  # more than a sketch can be off
+_COARSE = [i / 50 for i in range(1, 50)]
 _AGGREGATES_PER_PASS = 120
 
 
+@dataclass
+class Place:
+    """A value at a wanted rank, with how many values are smaller and how many equal it."""
+
+    value: object
+    less: int
+    equal: int
+
+
 @dataclass
 class _Search:
+    """Wanted ranks among the values strictly between low and high; `less` values lie at or below low."""
+
+    name: str
     value: Column
-    rank: int  # wanted rank among the values inside (low, high), from 1
+    ranks: list[int]
+    less: int
     inside: int
     low: object = None
     high: object = None
     grid: list = field(default_factory=list)
-    result: object = None
-    done: bool = False
 
     def within(self, low, high) -> Column:
         keep = self.value.isNotNull()
@@ -41,18 +52,41 @@ class _Search:
             keep = keep & (self.value < F.lit(high))
         return keep
 
-    def bracket(self):
-        """Grid values that should enclose the wanted rank."""
-        at = self.rank / self.inside * _GRID
-        left, right = int(math.floor(at)) - 2, int(math.ceil(at)) + 1
-        a = self.grid[left] if left >= 0 else self.grid[0]
-        b = self.grid[right] if right < len(self.grid) else self.grid[-1]
-        return a, b
+    def listed(self, low, high) -> Column:
+        return F.collect_list(F.when(self.within(low, high), self.value))
+
+    def bracket(self) -> tuple:
+        """Sketched values that enclose the wanted ranks, and about how many values lie between them."""
+        first = (self.ranks[0] - self.less - 1) / self.inside - 1 / _ACCURACY
+        last = (self.ranks[-1] - self.less) / self.inside + 1 / _ACCURACY
+        left = max((g for g in self.grid if g[0] <= first), default=self.grid[0])
+        right = min((g for g in self.grid if g[0] >= last), default=self.grid[-1])
+        return left[1], right[1], (right[0] - left[0]) * self.inside
+
+    def shares(self) -> list[float]:
+        return [(r - self.less) / self.inside for r in (self.ranks[0], self.ranks[-1])]
+
+    def part(self, ranks, less, inside, low, high, grid=()) -> "_Search":
+        return _Search(self.name, self.value, ranks, less, inside, low, high, list(grid or ()))
+
+
+def _points(probabilities: Sequence[float]) -> list[float]:
+    around = [p + d for p in probabilities for d in (-_MARGIN, _MARGIN)]
+    return sorted({0.25, 0.5, 0.75, *[min(max(p, 0.0), 1.0) for p in around]})
 
 
-def _sketch(value: Column) -> Column:
-    points = [(i + 1) / (_GRID + 1) for i in range(_GRID)]
-    return F.percentile_approx(value, points, _ACCURACY)
+def sketch(value: Column, probabilities: Sequence[float] = (0.5,)) -> Column:
+    """Approximate quantiles just around the given ones, to be fused into a caller's own aggregate."""
+    return F.percentile_approx(value, _points(probabilities), _ACCURACY)
+
+
+def as_grid(values: Sequence | None, probabilities: Sequence[float] = (0.5,)) -> list[tuple]:
+    """The result of `sketch` with its probabilities; empty where there are no values."""
+    return list(zip(_points(probabilities), values)) if values else []
+
+
+def _coarse(value: Column) -> Column:
+    return F.percentile_approx(value, _COARSE, _ACCURACY)
 
 
 def _run(df: DataFrame, aggregates: list[Column]) -> list:
@@ -63,25 +97,45 @@ def _run(df: DataFrame, aggregates: list[Column]) -> list:
     return out
 
 
-def _shrink(search: _Search, a, b, counts) -> None:
+def _take(found: dict, s: _Search, ranks: list[int], less: int, listed: Sequence) -> None:
+    """Places of ranks among `listed`, which holds everything between two known values."""
+    values = sorted(listed)
+    for r in ranks:
+        v = values[r - less - 1]
+        below = next(i for i, x in enumerate(values) if x == v)
+        found[(s.name, r)] = Place(v, less + below, values.count(v))
+
+
+def _narrow(found: dict, s: _Search, a, b, counts, listed, grid) -> list[_Search]:
+    """Settle the ranks that the counts decide; return searches for the others."""
     below, on_a, middle, on_b, above = counts
-    if search.rank <= below:
-        search.high, search.inside, search.grid = a, below, []
-        return
-    search.rank -= below
-    if search.rank <= on_a:
-        search.result, search.done = a, True
-        return
-    search.rank -= on_a
-    if search.rank <= middle:
-        search.low, search.high, search.inside = a, b, middle
-        return
-    search.rank -= middle
-    if search.rank <= on_b:
-        search.result, search.done = b, True
-        return
-    search.rank -= on_b
-    search.low, search.inside, search.grid = b, above, []
+    less_a = s.less + below
+    less_m = less_a + on_a
+    less_b = less_m + middle
+    less_z = less_b + on_b
+    parts: dict[str, list[int]] = {"below": [], "middle": [], "above": []}
+    for r in s.ranks:
+        if r <= less_a:
+            parts["below"].append(r)
+        elif r <= less_m:
+            found[(s.name, r)] = Place(a, less_a, on_a)
+        elif r <= less_b:
+            parts["middle"].append(r)
+        elif r <= less_z:
+            found[(s.name, r)] = Place(b, less_b, on_b)
+        else:
+            parts["above"].append(r)
+    out = []
+    if parts["below"]:
+        out.append(s.part(parts["below"], s.less, below, s.low, a))
+    if parts["middle"]:
+        if listed is not None:
+            _take(found, s, parts["middle"], less_m, listed)
+        else:
+            out.append(s.part(parts["middle"], less_m, middle, a, b, grid))
+    if parts["above"]:
+        out.append(s.part(parts["above"], less_z, above, b, s.high))
+    return out
 
 
 def order_statistics(
@@ -89,56 +143,76 @@ def order_statistics(
     values: Mapping[str, Column],
     ranks: Mapping[str, Sequence[int]],
     counts: Mapping[str, int] | None = None,
-) -> dict[str, list]:
-    """For each name the exact values at the given 1-based ranks of its non-null values, ascending."""
-    names = list(values)
+    grids: Mapping[str, Sequence] | None = None,
+    extra: Sequence[Column] = (),
+) -> tuple[dict[str, list[Place]], list]:
+    """For each name the places of the given 1-based ranks among its non-null values, ascending.
+
+    `counts` (non-null values) and `grids` (their `sketch`) save passes when the caller has
+    them. `extra` aggregates ride along in the first pass; their results come second.
+    """
+    grids = grids or {}
     if counts is None:
-        counts = dict(zip(names, _run(df, [F.count(values[n]) for n in names])))
-    searches: dict[tuple[str, int], _Search] = {}
-    for name in names:
-        for rank in ranks[name]:
-            if not 1 <= rank <= counts[name]:
-                raise ValueError(f"rank {rank} of {name} is outside 1..{counts[name]}")
-            searches[(name, rank)] = _Search(values[name], rank, counts[name])
-
-    while True:
-        open_ = [s for s in searches.values() if not s.done]
-        if not open_:
-            break
-        aggregates: list[Column] = []
-        plan: list[tuple[_Search, str, tuple]] = []
+        counts = dict(zip(values, _run(df, [F.count(v) for v in values.values()])))
+    open_: list[_Search] = []
+    for name, value in values.items():
+        wanted = sorted(set(ranks[name]))
+        if wanted and not 1 <= wanted[0] <= wanted[-1] <= counts[name]:
+            raise ValueError(f"ranks {wanted} of {name} are outside 1..{counts[name]}")
+        near: list[list[int]] = []
+        for r in wanted:  # neighbouring ranks share a search
+            if near and r - near[-1][0] <= max(counts[name] // _ACCURACY, 1):
+                near[-1].append(r)
+            else:
+                near.append([r])
+        open_ += [_Search(name, value, group, 0, counts[name], grid=list(grids.get(name) or ())) for group in near]
+
+    found: dict[tuple[str, int], Place] = {}
+    extras: list = []
+    pending = list(extra)
+    while open_ or pending:
+        aggregates: list[Column] = list(pending)
+        steps: list[tuple] = []
         for s in open_:
             if s.inside <= LIST_LIMIT:
-                plan.append((s, "list", ()))
-                aggregates.append(F.collect_list(F.when(s.within(s.low, s.high), s.value)))
+                steps.append((s, "list", None))
+                aggregates.append(s.listed(s.low, s.high))
             elif not s.grid:
-                plan.append((s, "sketch", ()))
-                aggregates.append(_sketch(F.when(s.within(s.low, s.high), s.value)))
+                steps.append((s, "sketch", None))
+                aggregates.append(sketch(F.when(s.within(s.low, s.high), s.value), s.shares()))
             else:
-                a, b = s.bracket()
-                plan.append((s, "count", (a, b)))
-                inside = s.within(s.low, s.high)
-                middle = s.within(a, b)
+                a, b, expected = s.bracket()
+                final = expected + 4 * s.inside / _ACCURACY <= LIST_LIMIT
+                steps.append((s, "count", (a, b, final)))
+                inside, middle, none = s.within(s.low, s.high), s.within(a, b), F.lit(0).cast("bigint")
                 aggregates += [
                     F.count_if(inside & (s.value < F.lit(a))),
                     F.count_if(s.value == F.lit(a)),
-                    F.count_if(middle) if a != b else F.lit(0).cast("bigint"),
-                    F.count_if(s.value == F.lit(b)) if a != b else F.lit(0).cast("bigint"),
+                    F.count_if(middle) if a != b else none,
+                    F.count_if(s.value == F.lit(b)) if a != b else none,
                     F.count_if(inside & (s.value > F.lit(b))),
-                    _sketch(F.when(middle, s.value)),
+                    s.listed(a, b) if final else _coarse(F.when(middle, s.value)),
                 ]
         got = iter(_run(df, aggregates))
-        for s, kind, extra in plan:
+        extras += [next(got) for _ in pending]
+        pending, open_ = [], []
+        for s, kind, how in steps:
             if kind == "list":
-                s.result, s.done = sorted(next(got))[s.rank - 1], True
+                _take(found, s, s.ranks, s.less, next(got))
             elif kind == "sketch":
-                s.grid = next(got)
+                s.grid = as_grid(next(got), s.shares())
+                open_.append(s)
             else:
+                a, b, final = how
                 counted = [next(got) for _ in range(5)]
-                grid = next(got)
-                s.grid = list(grid) if grid else []
-                _shrink(s, *extra, counted)
-    return {name: [searches[(name, r)].result for r in ranks[name]] for name in names}
+                rest = next(got)
+                open_ += _narrow(found, s, a, b, counted, rest if final else None, None if final else list(zip(_COARSE, rest or [])))
+    return {name: [found[(name, r)] for r in ranks[name]] for name in values}, extras
+
+
+def _between(places: Mapping[int, object], spot: float) -> float:
+    low, high = float(places[math.floor(spot) + 1]), float(places[math.ceil(spot) + 1])
+    return low + (spot - math.floor(spot)) * (high - low)
 
 
 def exact_quantiles(
@@ -146,68 +220,88 @@ def exact_quantiles(
     values: Mapping[str, Column],
     probabilities: Sequence[float],
     counts: Mapping[str, int],
-) -> dict[str, list]:
-    """Exact linear-interpolation quantiles of the non-null values; None where there are none."""
+    grids: Mapping[str, Sequence] | None = None,
+    extra: Sequence[Column] = (),
+    without: Mapping[str, Place] | None = None,
+) -> tuple[dict[str, list], list]:
+    """Exact linear-interpolation quantiles of the non-null values, None where there are none.
+
+    `without` leaves out all copies of one value per name: the ranks above it just move up.
+    """
+    without = without or {}
     out: dict[str, list] = {n: [None] * len(probabilities) for n in values}
-    filled = {n: v for n, v in values.items() if counts[n] > 0}
-    small = [n for n in filled if counts[n] <= BUILTIN_LIMIT]
-    if small:
-        got = _run(df, [F.percentile(filled[n], list(probabilities)) for n in small])
-        out.update({n: list(g) for n, g in zip(small, got)})
-    large = {n: v for n, v in filled.items() if n not in small}
-    if large:
-        spots = {n: [(counts[n] - 1) * p for p in probabilities] for n in large}
-        ranks = {n: sorted({int(f(s)) + 1 for s in spots[n] for f in (math.floor, math.ceil)}) for n in large}
-        found = order_statistics(df, large, ranks, counts)
-        for n in large:
-            at = dict(zip(ranks[n], found[n]))
-            out[n] = [
-                float(at[int(math.floor(s)) + 1])
-                + (s - math.floor(s)) * (float(at[int(math.ceil(s)) + 1]) - float(at[int(math.floor(s)) + 1]))
-                for s in spots[n]
-            ]
-    return out
+    spots, ranks, moved = {}, {}, {}
+    for n in values:
+        skip = without.get(n)
+        size = counts[n] - (skip.equal if skip else 0)
+        if size <= 0:
+            continue
+        spots[n] = [(size - 1) * p for p in probabilities]
+        own = sorted({int(f(s)) + 1 for s in spots[n] for f in (math.floor, math.ceil)})
+        moved[n] = {r: r + skip.equal if skip and r > skip.less else r for r in own}
+        ranks[n] = sorted(moved[n].values())
+    found, extras = order_statistics(df, {n: values[n] for n in ranks}, ranks, counts, grids, extra)
+    for n in ranks:
+        by_rank = {r: place.value for r, place in zip(ranks[n], found[n])}
+        out[n] = [_between({r: by_rank[m] for r, m in moved[n].items()}, s) for s in spots[n]]
+    return out, extras
 
 
-def medians(df: DataFrame, values: Mapping[str, Column], counts: Mapping[str, int]) -> dict[str, float | None]:
-    return {n: q[0] for n, q in exact_quantiles(df, values, [0.5], counts).items()}
+def medians(
+    df: DataFrame,
+    values: Mapping[str, Column],
+    counts: Mapping[str, int],
+    grids: Mapping[str, Sequence] | None = None,
+    extra: Sequence[Column] = (),
+    without: Mapping[str, Place] | None = None,
+) -> tuple[dict[str, float | None], list]:
+    found, extras = exact_quantiles(df, values, [0.5], counts, grids, extra, without)
+    return {n: q[0] for n, q in found.items()}, extras
 
 
-def _is_numeric(df: DataFrame, name: str) -> bool:
+def is_numeric(df: DataFrame, name: str) -> bool:
     return dict(df.dtypes)[name].split("(")[0] in ("tinyint", "smallint", "int", "bigint", "float", "double")
 
 
-def smallest(df: DataFrame, picks: Mapping[str, tuple[Column, int]], key: str, rows: int) -> dict[str, Column]:
+def rank_value(value: Column) -> Column:
+    """The value by which `smallest` ranks: null and NaN come last."""
+    last = F.lit(float("inf"))
+    return F.coalesce(F.nanvl(value.cast("double"), last), last)
+
+
+def smallest(
+    df: DataFrame,
+    picks: Mapping[str, tuple[Column, int]],
+    key: str,
+    rows: int,
+    grids: Mapping[str, Sequence] | None = None,
+) -> dict[str, Column]:
     """For each (value, k) a predicate true on exactly the k rows smallest by (value, key).
 
     The table is only scanned by aggregates; the predicate itself is row-local.
-    Null and NaN values count as largest.
+    `grids` holds sketches of `rank_value(value)` if the caller has them.
     """
-    last = F.lit(float("inf"))
-    value = {n: F.coalesce(F.nanvl(v.cast("double"), last), last) for n, (v, _) in picks.items()}
     out = {n: F.lit(k >= rows) for n, (_, k) in picks.items() if k <= 0 or k >= rows}
     names = [n for n in picks if n not in out]
     if not names:
         return out
+    value = {n: rank_value(picks[n][0]) for n in names}
     k = {n: picks[n][1] for n in names}
-    found = order_statistics(df, {n: value[n] for n in names}, {n: [k[n]] for n in names}, {n: rows for n in names})
+    found, _ = order_statistics(df, value, {n: [k[n]] for n in names}, dict.fromkeys(names, rows), grids)
     limit = {n: found[n][0] for n in names}
-    got = _run(df, [c for n in names for c in (F.count_if(value[n] < F.lit(limit[n])), F.count_if(value[n] == F.lit(limit[n])))])
-    less = dict(zip(names, got[0::2]))
-    tied = dict(zip(names, got[1::2]))
-    partial = {n: k[n] - less[n] for n in names if less[n] + tied[n] > k[n]}
+    on_limit = {n: value[n] == F.lit(limit[n].value) for n in names}
+    partial = {n: k[n] - limit[n].less for n in names if k[n] < limit[n].less + limit[n].equal}
     key_limit: dict[str, object] = {}
-    if partial and _is_numeric(df, key):
-        tied_keys = {n: F.when(value[n] == F.lit(limit[n]), F.col(key)) for n in partial}
-        got_keys = order_statistics(df, tied_keys, {n: [partial[n]] for n in partial}, {n: tied[n] for n in partial})
-        key_limit = {n: got_keys[n][0] for n in partial}
+    if partial and is_numeric(df, key):
+        tied_keys = {n: F.when(on_limit[n], F.col(key)) for n in partial}
+        tied = {n: limit[n].equal for n in partial}
+        got, _ = order_statistics(df, tied_keys, {n: [partial[n]] for n in partial}, tied)
+        key_limit = {n: got[n][0].value for n in partial}
     else:
         for n in partial:
-            ranked = row_index(df.where(value[n] == F.lit(limit[n])).select(key), [key])
+            ranked = row_index(df.where(on_limit[n]).select(key), [key])
             key_limit[n] = ranked.where(F.col("row_no") == partial[n]).first()[key]
     for n in names:
-        if n in key_limit:
-            out[n] = (value[n] < F.lit(limit[n])) | ((value[n] == F.lit(limit[n])) & (F.col(key) <= F.lit(key_limit[n])))
-        else:
-            out[n] = value[n] <= F.lit(limit[n])
+        last = on_limit[n] & (F.col(key) <= F.lit(key_limit[n])) if n in key_limit else on_limit[n]
+        out[n] = (value[n] < F.lit(limit[n].value)) | last
     return out

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.columns import clip, not_nan, null_double, replace_columns
-from ..functions.selection import medians
+from ..functions.selection import as_grid, medians, sketch
 from ..sources.stats import ColumnStats
 
 BINS = 30
@@ -42,10 +42,12 @@ def _parabola(grid: list[float], scores: list[float], at: int) -> float:
 
 
 def _best_lambdas(
-    df: DataFrame, logs: dict[str, str], search: tuple[float, float], resolution: float | None
+    df: DataFrame, logs: dict[str, str], means: dict[str, float], search: tuple[float, float], resolution: float | None
 ) -> dict[str, float]:
     """Minimise the variance per column; with a resolution, over its multiples.
 
+    `logs` are logarithms up to a constant as SQL text, `means` their averages.
+
     Each pass tries five lambdas per column. A lowest point inside gives the centre of a
     narrower try, one at the end moves the try there.
     """
@@ -66,7 +68,9 @@ def _best_lambdas(
             grids[c] = [round(middle + widths[level[c]] * k / 2.0, 12) for k in range(-2, 3)]
         scores = _variances(df, [(logs[c], lam) for c in grids for lam in grids[c]])
         for c, grid in grids.items():
-            got, scores = scores[:5], scores[5:]
+            # dividing x by its geometric mean divides the variance by its power
+            got = [v * math.exp(-2.0 * lam * means[c]) for v, lam in zip(scores, grid)]
+            scores = scores[5:]
             at = min(range(5), key=lambda k: got[k])
             if at in (0, 4) and abs(grid[at]) < _FAR:
                 centre[c] = grid[at]
@@ -92,25 +96,27 @@ def boxcox_fit(
     `search` is the first interval tried; it moves on when the best value lies at its end.
     """
     cols = list(cols)
-    row = df.agg(
-        *[f(c) for c in cols for f in (F.count, F.min, F.max, F.stddev_samp)]
-    ).first()
+    row = df.agg(*[f(F.col(c)) for c in cols for f in (F.count, F.min, F.max, F.stddev_samp, sketch)]).first()
     stats = ColumnStats("boxcox")
-    counts = {}
+    counts, grids = {}, {}
     for i, c in enumerate(cols):
-        counts[c], low, high, std = row[4 * i : 4 * i + 4]
+        counts[c], low, high, std, near = row[5 * i : 5 * i + 5]
+        grids[c] = as_grid(near)
         shift = None if low is None else (1.0 - low if low <= 0 else 0.0)
         stats.columns[c] = {"median": None, "min": low, "max": high, "std": std, "shift": shift, "lambd": None}
-    middle = medians(df, {c: F.col(c) for c in cols}, counts)
+    varied = [c for c in cols if counts[c] and stats.columns[c]["min"] < stats.columns[c]["max"]]
+    logs = {}
+    for c in varied:
+        shift = float(stats.columns[c]["shift"])
+        near = math.log(grids[c][len(grids[c]) // 2][1] + shift)  # keeps powers near 1
+        logs[c] = f"(ln(`{c}` + {shift!r}D) - {near!r}D)"
+    means = [F.expr(f"avg({text})") for text in logs.values()]
+    middle, extras = medians(df, {c: F.col(c) for c in cols}, counts, grids, extra=means)
     for c in cols:
         stats.columns[c]["median"] = middle[c]
-    varied = [c for c in cols if counts[c] and stats.columns[c]["min"] < stats.columns[c]["max"]]
-    if varied:
-        raw = {c: f"ln(`{c}` + {float(stats.columns[c]['shift'])!r}D)" for c in varied}
-        means = dict(zip(varied, df.agg(*[F.expr(f"avg({raw[c]})") for c in varied]).first()))
-        found = _best_lambdas(df, {c: f"{raw[c]} - {means[c]!r}D" for c in varied}, search, resolution)
-        for c in varied:
-            stats.columns[c]["lambd"] = found[c]
+    found = _best_lambdas(df, logs, dict(zip(varied, extras)), search, resolution)
+    for c in varied:
+        stats.columns[c]["lambd"] = found[c]
     return stats
 
 

@@ -10,7 +10,7 @@ from ..functions.columns import replace_columns
 from ..functions.lookup import BROADCAST_ROWS
 from ..functions.order import ordered
 from ..functions.rng import normals, uniform
-from ..functions.selection import order_statistics, _is_numeric
+from ..functions.selection import is_numeric, order_statistics
 from .network import Network, dense_forward
 
 BATCH = 5_000  # fixed: translation stops at a multiple of it
@@ -100,9 +100,9 @@ def first_rows(table: DataFrame, order: str, rows: int) -> DataFrame:
     size = table.count()
     if rows >= size:
         return table
-    if _is_numeric(table, order):
-        last = order_statistics(table, {"k": F.col(order)}, {"k": [rows]}, {"k": size})["k"][0]
-        return table.where(F.col(order) <= F.lit(last))
+    if is_numeric(table, order):
+        found, _ = order_statistics(table, {"k": F.col(order)}, {"k": [rows]}, {"k": size})
+        return table.where(F.col(order) <= F.lit(found["k"][0].value))
     return ordered(table, [order], index="__row").df.where(F.col("__row") <= rows).drop("__row")
 
 

@@ -13,7 +13,7 @@ from ..functions.columns import null_double, replace_columns
 from ..functions.materialize import ensure_checkpoint_dir, materialize
 from ..functions.order import ordered
 from ..functions.rng import uniform
-from ..functions.selection import medians
+from ..functions.selection import as_grid, medians, sketch
 
 # fixed parameters of the boosted trees and the marker they see for a missing feature
 SENTINEL = -9999.0
@@ -21,8 +21,9 @@ BOOSTING = {"maxIter": 200, "maxDepth": 5, "stepSize": 0.01, "minInstancesPerNod
 
 
 def impute_median(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    counts = dict(zip(cols, df.agg(*[F.count(c) for c in cols]).first()))
-    middle = medians(df, {c: F.col(c) for c in cols}, counts)
+    row = df.agg(*[f(F.col(c)) for c in cols for f in (F.count, sketch)]).first()
+    counts, grids = dict(zip(cols, row[0::2])), dict(zip(cols, map(as_grid, row[1::2])))
+    middle, _ = medians(df, {c: F.col(c) for c in cols}, counts, grids)
     return impute_values(df, {c: m for c, m in middle.items() if m is not None})
 
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.columns import null_double, replace_columns
-from ..functions.selection import medians, smallest
+from ..functions.selection import Place, as_grid, medians, rank_value, sketch, smallest
 from ..sources.stats import ColumnStats
 
 MISSING_SHARE = 0.002  # a flag column from this share of missing rows on
@@ -19,14 +19,15 @@ def _flag(marked: Column) -> Column:
     return F.when(marked, F.lit(-0.5)).otherwise(F.lit(0.5))
 
 
-def _counts(df: DataFrame, cols: Sequence[str]) -> tuple[int, dict[str, int]]:
-    row = df.agg(F.count("*"), *[F.count(c) for c in cols]).first()
-    return row[0], dict(zip(cols, row[1:]))
+def _counts(df: DataFrame, cols: Sequence[str]) -> tuple[int, dict[str, int], dict[str, list]]:
+    """Rows, non-missing rows per column and quantile sketches, in one pass."""
+    row = df.agg(F.count("*"), *[f(F.col(c)) for c in cols for f in (F.count, sketch)]).first()
+    return row[0], dict(zip(cols, row[1::2])), dict(zip(cols, map(as_grid, row[2::2])))
 
 
 def missing_fit(df: DataFrame, cols: Sequence[str]) -> ColumnStats:
-    rows, filled = _counts(df, cols)
-    middle = medians(df, {c: F.col(c) for c in cols}, filled)
+    rows, filled, grids = _counts(df, cols)
+    middle, _ = medians(df, {c: F.col(c) for c in cols}, filled, grids)
     stats = ColumnStats("missing")
     for c in cols:
         share = (rows - filled[c]) / rows
@@ -55,16 +56,20 @@ def missing_fit_transform(df: DataFrame, cols: Sequence[str]) -> tuple[DataFrame
 
 def missing_back(df: DataFrame, stats: ColumnStats, key: str, cols: Sequence[str] = ()) -> DataFrame:
     """The round(share*rows) rows with the smallest flag become NULL, ties by key."""
-    rows = df.count()
-    picks = {
-        c: (F.col(s["missing_column"]), _nearest(s["nmissing"] * rows))
-        for c in cols or stats.columns
-        if (s := stats.columns[c]).get("missing_column") in df.columns
-    }
-    marked = smallest(df, picks, key, rows)
+    flagged = [c for c in cols or stats.columns if stats.columns[c].get("missing_column") in df.columns]
+    flags = {c: (F.col(stats.columns[c]["missing_column"]), stats.columns[c]["nmissing"]) for c in flagged}
+    rows, grids = _rows_and_sketches(df, flags)
+    picks = {c: (flags[c][0], _nearest(stats.columns[c]["nmissing"] * rows)) for c in flagged}
+    marked = smallest(df, picks, key, rows, grids)
     return replace_columns(df, {c: F.when(~marked[c], F.col(c)) for c in picks})
 
 
+def _rows_and_sketches(df: DataFrame, flags: dict[str, tuple[Column, float]]) -> tuple[int, dict[str, list]]:
+    """Row count and a sketch of each flag around the share of rows to pick."""
+    row = df.agg(F.count("*"), *[sketch(rank_value(f), [share]) for f, share in flags.values()]).first()
+    return row[0], {n: as_grid(got, [share]) for (n, (_, share)), got in zip(flags.items(), row[1:])}
+
+
 def _nearest(value: float) -> int:
     return int(round(value))  # half to even
 
@@ -74,55 +79,67 @@ def special_fit(df: DataFrame, cols: Sequence[str], frequencies: str = "all") ->
 
     `frequencies='all'` counts every value of every column and takes the most frequent,
     the smallest on ties. 'majority' only looks for values above one half: such a value
-    must be the median, so it is found by order statistics without a shuffle, and
+    covers the first, second or third quartile, so it is counted without a shuffle, and
     columns without one get no `highfreq` entry. Both give the same transform.
     """
     cols = list(cols)
-    rows, filled = _counts(df, cols)
-    top = _most_frequent(df, cols) if frequencies == "all" else _majorities(df, cols, filled)
+    rows, filled, grids = _counts(df, cols)
+    top = _most_frequent(df, cols) if frequencies == "all" else _majorities(df, filled, grids)
     stats = ColumnStats("special")
+    removed = {}
     for c in cols:
         share = (rows - filled[c]) / rows
         s = stats.columns[c] = {"nmissing": share}
         if share > MISSING_SHARE:
             s["missing_column"] = f"{c}_missing"
         if c in top:
-            value, count, distinct = top[c]
-            s["nhighfreq"] = count / filled[c]
-            s["highfreq"] = value
+            place, distinct = top[c]
+            s["nhighfreq"] = place.equal / filled[c]
+            s["highfreq"] = place.value
             if s["nhighfreq"] > FREQUENT_SHARE and distinct > FREQUENT_DISTINCT:
                 s["highfreq_column"] = f"{c}_highfreq"
-                filled[c] -= count
-    middle = medians(df, {c: _without_frequent(c, stats.columns[c]) for c in cols}, filled)
+                removed[c] = place
+    middle, _ = medians(df, {c: F.col(c) for c in cols}, filled, grids, without=removed)
     for c in cols:
         stats.columns[c]["median"] = middle[c]
     return stats
 
 
-def _most_frequent(df: DataFrame, cols: list[str]) -> dict[str, tuple]:
+def _most_frequent(df: DataFrame, cols: list[str]) -> dict[str, tuple[Place, int]]:
     long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot([], cols, "col", "value")
     counted = long.where(F.col("value").isNotNull()).groupBy("col", "value").agg(F.count("*").alias("n"))
     top = counted.groupBy("col").agg(
         F.max(F.struct("n", (-F.col("value")).alias("negated"))).alias("top"), F.count("*").alias("distinct")
     )
-    return {r["col"]: (-r["top"]["negated"] + 0.0, r["top"]["n"], r["distinct"]) for r in top.collect()}
+    found = {r["col"]: (-r["top"]["negated"] + 0.0, r["top"]["n"], r["distinct"]) for r in top.collect()}
+    if not found:
+        return {}
+    less = df.agg(*[F.count_if(F.col(c) < F.lit(v)) for c, (v, _, _) in found.items()]).first()
+    return {c: (Place(v, below, n), distinct) for (c, (v, n, distinct)), below in zip(found.items(), less)}
 
 
-def _majorities(df: DataFrame, cols: list[str], filled: dict[str, int]) -> dict[str, tuple]:
-    middle = {c: m for c, m in medians(df, {c: F.col(c) for c in cols}, filled).items() if m is not None}
-    if not middle:
+def _majorities(df: DataFrame, filled: dict[str, int], grids: dict[str, list]) -> dict[str, tuple[Place, int]]:
+    candidates = {
+        c: list(dict.fromkeys(v for p, v in grid if p in (0.25, 0.5, 0.75))) for c, grid in grids.items() if grid
+    }
+    checks = [(c, v) for c, values in candidates.items() for v in values]
+    if not checks:
         return {}
     row = df.agg(
-        *[f for c, m in middle.items() for f in (F.count_if(F.col(c) == F.lit(m)), F.approx_count_distinct(c))]
+        *[F.approx_count_distinct(c) for c in candidates],
+        *[f for c, v in checks for f in (F.count_if(F.col(c) < F.lit(v)), F.count_if(F.col(c) == F.lit(v)))],
     ).first()
+    distinct, counted = dict(zip(candidates, row)), row[len(candidates) :]
     out = {}
-    for i, (c, m) in enumerate(middle.items()):
-        count, distinct = row[2 * i], row[2 * i + 1]
-        if count > FREQUENT_SHARE * filled[c]:
-            if distinct <= 4 * FREQUENT_DISTINCT:  # near the limit, so count exactly
-                distinct = df.where(F.col(c).isNotNull()).select(c).distinct().count()
-            out[c] = (m, count, distinct)
-    return out
+    for i, (c, v) in enumerate(checks):
+        place = Place(v, counted[2 * i], counted[2 * i + 1])
+        if place.equal > FREQUENT_SHARE * filled[c]:
+            out[c] = place
+    # near the limit, few values are counted exactly
+    near = [c for c in out if distinct[c] <= 4 * FREQUENT_DISTINCT]
+    if near:
+        distinct.update(zip(near, df.agg(*[F.count_distinct(c) for c in near]).first()))
+    return {c: (place, distinct[c]) for c, place in out.items()}
 
 
 def _without_frequent(c: str, s: dict) -> Column:
@@ -163,16 +180,22 @@ def special_back(
     The number of frequent rows is round(share*(rows - missing share)), as the formula has
     always been; `exact_counts` takes rows*(1 - missing share) instead.
     """
-    rows = df.count()
+    flags = {
+        name: (F.col(name), stats.columns[c][share])
+        for c in cols or stats.columns
+        for kind, share in (("highfreq_column", "nhighfreq"), ("missing_column", "nmissing"))
+        if (name := stats.columns[c].get(kind)) in df.columns
+    }
+    rows, grids = _rows_and_sketches(df, flags)
     picks: dict[str, tuple] = {}
     for c in cols or stats.columns:
         s = stats.columns[c]
-        if s.get("highfreq_column") in df.columns:
+        if s.get("highfreq_column") in flags:
             base = rows * (1.0 - s["nmissing"]) if exact_counts else rows - s["nmissing"]
             picks[s["highfreq_column"]] = (F.col(s["highfreq_column"]), _nearest(s["nhighfreq"] * base))
-        if s.get("missing_column") in df.columns:
+        if s.get("missing_column") in flags:
             picks[s["missing_column"]] = (F.col(s["missing_column"]), _nearest(s["nmissing"] * rows))
-    marked = smallest(df, picks, key, rows)
+    marked = smallest(df, picks, key, rows, grids)
     changed = {}
     for c in cols or stats.columns:
         s = stats.columns[c]

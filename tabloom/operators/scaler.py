@@ -7,21 +7,22 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.columns import replace_columns
-from ..functions.selection import medians
+from ..functions.selection import as_grid, medians, sketch
 from ..sources.stats import ColumnStats
 
 EXTREME_Z = 5.0
 
 
 def scaler_fit(df: DataFrame, cols: Sequence[str]) -> ColumnStats:
-    """Type, median, mean, std (n-1), max, min per column, by one wide aggregate and the medians.
+    """Type, median, mean, std (n-1), max, min per column, by one wide aggregate and one pass for the exact medians.
 
     `minmax` if any |z| > 5, `constant` for a single value, else `normal`.
     """
     cols = list(cols)
-    row = df.agg(*[f(c) for c in cols for f in (F.count, F.avg, F.stddev_samp, F.max, F.min)]).first()
-    per = {c: row[5 * i : 5 * i + 5] for i, c in enumerate(cols)}
-    middle = medians(df, {c: F.col(c) for c in cols}, {c: per[c][0] for c in cols})
+    row = df.agg(*[f(F.col(c)) for c in cols for f in (F.count, F.avg, F.stddev_samp, F.max, F.min, sketch)]).first()
+    per = {c: row[6 * i : 6 * i + 5] for i, c in enumerate(cols)}
+    grids = {c: as_grid(row[6 * i + 5]) for i, c in enumerate(cols)}
+    middle, _ = medians(df, {c: F.col(c) for c in cols}, {c: per[c][0] for c in cols}, grids)
     stats = ColumnStats("scaler")
     for c in cols:
         count, mean, std, high, low = per[c]

@@ -43,8 +43,9 @@ def test_order_statistics_are_exact(spark, numbers, monkeypatch, limit):
     df = spark.createDataFrame(numbers)
     s = np.sort(numbers.v.to_numpy())
     ranks = [1, 2, 1_000, 2_500, 2_501, 3_334, 4_999, 5_000]
-    got = sel.order_statistics(df, {"v": F.col("v")}, {"v": ranks})
-    assert got["v"] == [s[r - 1] for r in ranks]
+    got, extra = sel.order_statistics(df, {"v": F.col("v")}, {"v": ranks}, extra=[F.max("k")])
+    assert [p.value for p in got["v"]] == [s[r - 1] for r in ranks] and extra == [4_999]
+    assert [(p.less, p.equal) for p in got["v"]] == [((s < s[r - 1]).sum(), (s == s[r - 1]).sum()) for r in ranks]
     with pytest.raises(ValueError):
         sel.order_statistics(df, {"v": F.col("v")}, {"v": [5_001]})
 
@@ -52,18 +53,24 @@ def test_order_statistics_are_exact(spark, numbers, monkeypatch, limit):
 def test_order_statistics_between_two_heavy_values(spark, monkeypatch):
     monkeypatch.setattr(sel, "LIST_LIMIT", 10)
     df = spark.range(1_000).select(F.when(F.col("id") < 500, 1.0).otherwise(2.0).alias("v"))
-    assert sel.order_statistics(df, {"v": F.col("v")}, {"v": [499, 500, 501, 502]})["v"] == [1.0, 1.0, 2.0, 2.0]
+    got, _ = sel.order_statistics(df, {"v": F.col("v")}, {"v": [499, 500, 501, 502]})
+    assert [p.value for p in got["v"]] == [1.0, 1.0, 2.0, 2.0]
 
 
 def test_quantiles_match_numpy_on_both_paths(spark, numbers, monkeypatch):
     df = spark.createDataFrame(numbers)
     q = [0.0, 0.01, 0.5, 0.99, 1.0]
     want = np.quantile(numbers.v, q)
-    for limit in (1_000_000, 0):
-        monkeypatch.setattr(sel, "BUILTIN_LIMIT", limit)
-        got = sel.exact_quantiles(df, {"v": F.col("v"), "none": F.lit(None).cast("double")}, q, {"v": 5_000, "none": 0})
+    rest = np.quantile(numbers.v[numbers.v != 7.0], q)
+    hot = sel.Place(7.0, int((numbers.v < 7.0).sum()), int((numbers.v == 7.0).sum()))
+    for limit in (10_000, 100, 5):
+        monkeypatch.setattr(sel, "LIST_LIMIT", limit)
+        args = df, {"v": F.col("v"), "none": F.lit(None).cast("double")}, q, {"v": 5_000, "none": 0}
+        got, _ = sel.exact_quantiles(*args)
         assert np.allclose(got["v"], want, rtol=0, atol=1e-12)
         assert got["none"] == [None] * 5
+        got, _ = sel.exact_quantiles(*args, without={"v": hot})
+        assert np.allclose(got["v"], rest, rtol=0, atol=1e-12)
 
 
 @pytest.mark.parametrize("key_type", ["long", "string"])
