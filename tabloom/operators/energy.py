@@ -23,6 +23,7 @@ from ..functions.rng import uniform
 BLOCK_BYTES = 64 << 20  # coordinates and weights of one block
 TILE_CELLS = 1 << 21
 MIN_BLOCK_ROWS = 256
+MAX_TASKS = 20_000
 
 _SUMS = "rep int, s11 double, s22 double, s12 double, z11 double, z22 double, z12 double"
 
@@ -110,6 +111,8 @@ def _energies(weighted: DataFrame, rows: int, reps: int, width: int, n: int, m:
         F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side"),
         "v", "w1", "w2",
     )
+    # a block pair is few bytes but much work, so the number of tasks is fixed rather than sized by bytes
+    sent = sent.repartition(min(b * (b + 1), MAX_TASKS), "bi", "bj")
     parts = sent.groupBy("bi", "bj").applyInPandas(_block_sums(method == "log"), _SUMS)
     total = parts.groupBy("rep").agg(*[F.sum(c).alias(c) for c in ("s11", "s22", "s12", "z11", "z22", "z12")])
     total = total.join(_resampled_pairs(weighted), "rep")

@@ -14,6 +14,8 @@ from ..functions.selection import is_numeric, order_statistics
 from .network import Network, dense_forward
 
 BATCH = 5_000  # fixed: translation stops at a multiple of it
+REPEATS = 1_000  # ids one row gives at once
+TASK_PRODUCTS = 50_000_000_000  # multiplications of a forward pass worth a task of their own
 
 
 def sample_noise(df: DataFrame, count: int, key: str, seed=0, prefix: str = "z", method: str = "md5") -> DataFrame:
@@ -22,6 +24,12 @@ def sample_noise(df: DataFrame, count: int, key: str, seed=0, prefix: str = "z",
     return df.select("*", *[v.alias(f"{prefix}{i}") for i, v in enumerate(noise)])
 
 
+def _spread(df: DataFrame, rows: int, net: Network, key: str) -> DataFrame:
+    """More tasks where the forward pass is heavy: narrow rows come in few partitions."""
+    tasks = -(-rows * net.size // TASK_PRODUCTS)
+    return df.repartition(tasks, key) if tasks > 1 else df
+
+
 def _noise_names(count: int) -> list[str]:
     return [f"__z{i}" for i in range(count)]
 
@@ -30,7 +38,7 @@ def generate_unconditional(
     spark: SparkSession, rows: int, net: Network, columns: Sequence[str], noise: int, seed=0, **forward
 ) -> DataFrame:
     """`rows` rows (id, columns) from noise alone."""
-    ids = sample_noise(spark.range(rows), noise, "id", seed, "__z")
+    ids = sample_noise(_spread(spark.range(rows), rows, net, "id"), noise, "id", seed, "__z")
     return dense_forward(ids, net, _noise_names(noise), columns, key="id", **forward).select("id", *columns)
 
 
@@ -48,9 +56,17 @@ def repeat_rows(table: DataFrame, cols: Sequence[str], order: Sequence[str], row
     """
     wanted = list(dict.fromkeys([*order, *cols]))
     placed = ordered(table.select(*wanted), list(order), index="__row")
-    first = F.col("__row") - 1
-    ids = F.sequence(first, F.lit(rows - 1), F.lit(placed.rows).cast("bigint"))
-    return placed.df.where(first < rows).select(F.explode(ids).alias("id"), *cols)
+    size = max(placed.rows, 1)
+    table = placed.df.withColumn("__row", F.col("__row") - 1)
+    if rows <= size:
+        return table.where(F.col("__row") < rows).select(F.col("__row").alias("id"), *cols)
+    # a short table may sit in one partition: spread blocks of repeats before they become rows
+    step = F.lit(size * REPEATS).cast("bigint")
+    blocks = table.select("*", F.explode(F.sequence(F.col("__row"), F.lit(rows - 1).cast("bigint"), step)).alias("__from"))
+    blocks = blocks.repartition(int(table.sparkSession.conf.get("spark.sql.shuffle.partitions")), "__from")
+    last = F.least(F.col("__from") + F.lit(size * (REPEATS - 1)), F.lit(rows - 1))
+    ids = F.sequence(F.col("__from"), last.cast("bigint"), F.lit(size).cast("bigint"))
+    return blocks.select(F.explode(ids).alias("id"), *cols)
 
 
 def generate_conditional(
@@ -74,7 +90,7 @@ def generate_conditional(
         fed = _uniform_conditions(table, conditions, rows, seed)
     else:
         fed = repeat_rows(_pin(table, None if how == "as_train" else how), conditions, order, rows)
-    fed = sample_noise(fed, noise, "id", seed, "__z")
+    fed = sample_noise(_spread(fed, rows, net, "id"), noise, "id", seed, "__z")
     out = dense_forward(fed, net, [*_noise_names(noise), *conditions], data, key="id", **forward)
     return out.select("id", *data, *conditions)
 
@@ -111,7 +127,7 @@ def translate_a_to_b(
 ) -> DataFrame:
     """(order, b) = G(a) for whole batches of 5000 until `rows` are reached; a shorter table just ends."""
     fed = first_rows(table, order, BATCH * -(-rows // BATCH)).select(*dict.fromkeys([order, *a]))
-    out = dense_forward(fed, net, list(a), [f"__b_{c}" for c in b], key=order, **forward)
+    out = dense_forward(_spread(fed, rows, net, order), net, list(a), [f"__b_{c}" for c in b], key=order, **forward)
     return out.select(order, *[F.col(f"__b_{c}").alias(c) for c in b])
 
 

@@ -25,10 +25,12 @@ def postprocess(
     key_name: str = "unq1",
     exact_counts: bool = False,
     restore_indicators: bool = False,
+    numbered: bool = False,
 ) -> DataFrame:
     """Undo target, scaling, Box-Cox, split capping if used, special values and one-hot; then surrogate key and header order.
 
-    `key` identifies a generated row; it orders the surrogate keys and breaks ties.
+    `key` identifies a generated row; it orders the surrogate keys and breaks ties. `numbered` says
+    it already counts the rows from 0, which saves the sort.
     """
     table = uncenter_target(generated, header.targets[:1])
     table = scaler_back(table, stats["scaler"])
@@ -37,4 +39,4 @@ def postprocess(
         table = splitcap_back(table, stats["splitcap"])
     table = special_back(table, stats["special"], key, exact_counts=exact_counts)
     table = onehot_back(table, stats["onehot"], restore_indicators=restore_indicators)
-    return restore_layout(table, header.names, [key], key_name)
+    return restore_layout(table, header.names, [key], key_name, numbered)

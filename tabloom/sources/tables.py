@@ -58,6 +58,9 @@ def draw_minibatches(
         .select("chunk", "n", F.explode(F.sequence(F.lit(1), F.lit(passes))).alias("pass"))
         .select("*", F.explode(F.sequence(F.lit(1), F.floor(F.col("n") / batch_size).cast("int") * coverage)).alias("draw"))
     )
+    # few rows now, many after the next step: spread the batches before each is filled
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    draws = draws.repartition(parts, "chunk", "pass", "draw")
     tries = F.when(F.col("n") >= 4 * batch_size, 2 * batch_size + 64).otherwise(6 * batch_size + 64)
     place = [F.lit(seed), F.col("chunk"), F.col("pass"), F.col("draw")]
     hashed = F.floor(uniform(seed, "batch", *place[1:], F.col("j")) * F.col("n"))
@@ -117,8 +120,17 @@ def write_shuffled(df: DataFrame, path: str, key: str, seed=0) -> None:
     shuffle_rows(df, key, seed).write.mode("overwrite").csv(path, header=True)
 
 
-def restore_layout(df: DataFrame, header: Sequence[str], order: Sequence[str], key_name: str = "unq1") -> DataFrame:
-    """Add the surrogate key 200000000, 200000001, ... and keep the header's columns in header order."""
-    keyed = ordered(df, list(order), index="__row").df
-    keyed = keyed.withColumn(key_name, F.lit(FIRST_SURROGATE_KEY) + F.col("__row") - 1)
+def restore_layout(
+    df: DataFrame, header: Sequence[str], order: Sequence[str], key_name: str = "unq1", numbered: bool = False
+) -> DataFrame:
+    """Add the surrogate key 200000000, 200000001, ... and keep the header's columns in header order.
+
+    `numbered` says that `order` is one column that already counts the rows from 0, as the ids
+    of generated rows do; then nothing is sorted.
+    """
+    if numbered:
+        keyed = df.withColumn(key_name, F.lit(FIRST_SURROGATE_KEY) + F.col(order[0]))
+    else:
+        keyed = ordered(df, list(order), index="__row").df
+        keyed = keyed.withColumn(key_name, F.lit(FIRST_SURROGATE_KEY) + F.col("__row") - 1)
     return keyed.select(*[c for c in header if c in keyed.columns])

@@ -130,6 +130,10 @@ def test_whole_round_trip_through_files(spark, tmp_path):
     assert (a.bal.isna() == b.bal.isna()).all() and np.allclose(a.bal.dropna(), b.bal.dropna(), atol=1e-4)
     assert (a.segment.fillna("") == b.segment).all() and (a.status == b.status).all() and (a.flag01 == b.flag01).all()
     assert (a.target == b.target).all()
+    # the driver's keys count from 0, so numbering them and sorting by them agree
+    original = rl.Roles({"unq1": "K", "price": "N"} | {"target": "L"})
+    args = (scaled, original, read_stats(spark, str(tmp_path)), "o_orderkey")
+    assert sorted(postprocess(*args).collect()) == sorted(postprocess(*args, numbered=True).collect())
     # edited lambdas are applied as they are
     stats = done.stats["boxcox"]
     stats.columns["price"]["lambd"] = 0.0
