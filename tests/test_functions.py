@@ -100,3 +100,16 @@ def test_random_columns_have_the_right_shape(spark, method):
     z = pdf[["n0", "n1", "n2"]]
     assert np.allclose(z.mean(), 0, atol=0.03) and np.allclose(z.std(), 1, atol=0.03)
     assert np.abs(np.corrcoef(z.T.to_numpy()) - np.eye(3)).max() < 0.03
+
+
+def test_task_functions_need_no_package_on_the_executors(tmp_path):
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    from tabloom.operators import energy, quadrants
+
+    (tmp_path / "f").write_bytes(cloudpickle.dumps([quadrants._in_x_strip, quadrants._cells_below, energy._block_sums(True)]))
+    code = "from pyspark import cloudpickle; fs = cloudpickle.load(open('f', 'rb')); import sys; assert len(fs) == 3 and 'tabloom' not in sys.modules"
+    subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True, timeout=60)
