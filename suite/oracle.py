@@ -251,7 +251,7 @@ _DIGITS = {"price": 2}
 ORACLE["boxcox_fit"] = (
     _FITTED
     + " UNION ALL ".join(
-        f"\nSELECT '{c}' AS col, {r('med', 'median', 4)}, {r('low', 'min', 4)}, {r('high', 'max', 4)}, {r('std', 'std', 4)}, {r('shift', 'shift', 4)}, {r('lam', 'lambd', 4)} FROM s_{c}, l_{c}"
+        f"\nSELECT '{c}' AS col, {r('med', 'median', 5)}, {r('low', 'min', 5)}, {r('high', 'max', 5)}, {r('std', 'std', 5)}, {r('shift', 'shift', 5)}, {r('lam', 'lambd', 5)} FROM s_{c}, l_{c}"
         for c in BOXCOX_COLS
     )
     + "\nUNION ALL SELECT 'const', 1.0, 1.0, 1.0, 0.0, 0.0, NULL"
@@ -261,7 +261,7 @@ SELECT {K}, {', '.join(r(power(c, c), c, _DIGITS.get(c, 4)) for c in BOXCOX_COLS
 ORACLE["boxcox_transform"] = f"""{_FITTED}
 SELECT {K}, {', '.join(r(power(f'({c} - 1000.0)', c), c, _DIGITS.get(c, 4)) for c in BOXCOX_COLS)} FROM {_FROM}"""
 ORACLE["boxcox_back"] = f"""{_FITTED}
-SELECT {K}, {', '.join(r(inverse(f'(({power(c, c)}) * 1.25::DOUBLE)', c), c, _DIGITS.get(c, 4)) for c in BOXCOX_COLS)}, 1.25::DOUBLE AS const FROM {_FROM}"""
+SELECT {K}, {', '.join(r(inverse(f'(({power(c, c)}) * 1.25::DOUBLE)', c), c, _DIGITS.get(c, 5)) for c in BOXCOX_COLS)}, 1.25::DOUBLE AS const FROM {_FROM}"""
 
 
 def _histogram(c: str, kind: str, value: str) -> str:
@@ -294,7 +294,7 @@ def scaled(x: str, c: str) -> str:
 
 
 def _scale_row(c: str) -> str:
-    nums = ", ".join(r(a, b, 4) for a, b in (("med", "median"), ("mean", "mean"), ("std", "std"), ("high", "max"), ("low", "min")))
+    nums = ", ".join(r(a, b, 5) for a, b in (("med", "median"), ("mean", "mean"), ("std", "std"), ("high", "max"), ("low", "min")))
     return f"SELECT '{c}' AS col, kind AS scaling_type, {nums} FROM z_{c}"
 
 

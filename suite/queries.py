@@ -223,7 +223,7 @@ def _boxcox_stats(spark, d):
 
 def boxcox_fit(spark, d):
     fields = {f: "double" for f in ("median", "min", "max", "std", "shift", "lambd")}
-    return stats_rows(spark, _boxcox_stats(spark, d), fields, 4)
+    return stats_rows(spark, _boxcox_stats(spark, d), fields, 5)
 
 
 def boxcox_fit_transform(spark, d):
@@ -241,7 +241,7 @@ def boxcox_back(spark, d):
     stats = _boxcox_stats(spark, d)
     df = bc.boxcox_transform(train(spark, d).select(KEY, *BOXCOX_COLS), stats)
     stretched = df.select(KEY, *[(F.col(c) * F.lit(1.25)).alias(c) for c in BOXCOX_COLS])
-    return rounded(bc.boxcox_back(stretched, stats), 4, price=2)
+    return rounded(bc.boxcox_back(stretched, stats), 5, price=2)
 
 
 def boxcox_hist(spark, d):
@@ -251,7 +251,7 @@ def boxcox_hist(spark, d):
 def scaler_fit(spark, d):
     fields = {"scaling_type": "string", **{f: "double" for f in ("median", "mean", "std", "max", "min")}}
     events = scaler.scaler_fit(read(spark, d, "events"), ["value"])
-    return stats_rows(spark, scaler.scaler_fit(train(spark, d), SCALE_COLS).updated(events), fields, 4)
+    return stats_rows(spark, scaler.scaler_fit(train(spark, d), SCALE_COLS).updated(events), fields, 5)
 
 
 def scaler_fit_transform(spark, d):
