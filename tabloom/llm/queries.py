@@ -4,13 +4,25 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import quality_rules as qr
+from . import quality_rules as qr, secrets as sc
 
 
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
+def op5_secret_scan(spark, d):
+    out = sc.find_secrets(table(spark, d, "documents"), ["doc_id"])
+    base = [r.kind for r in sc.BASE_RULES]
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    return out.select(
+        "doc_id",
+        *[count(kind).alias(f"n_{kind}") for kind in base],
+        F.sha2(sc.digest(F.filter("spans", lambda s: s["kind"].isin(base))), 256).alias("base_sha256"),
+        sc.digest(F.col("spans")).alias("spans"),
+    )
+
+
 def op9_quality_rules(spark, d):
     wanted = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     out = qr.quality_rules(table(spark, d, "documents"), ["doc_id"], features=wanted)
@@ -18,9 +30,32 @@ def op9_quality_rules(spark, d):
     return out.select("doc_id", *wanted, failed.alias("base_failed"), (F.col("kept") & ~failed).alias("kept"))
 
 
-QUERIES = {f.__name__: f for f in (op9_quality_rules,)}
+QUERIES = {f.__name__: f for f in (op5_secret_scan, op9_quality_rules)}
+
+def _secrets_sql() -> str:
+    quote = lambda s: "'" + s.replace("'", "''") + "'"
+    each = " UNION ALL ".join(
+        f"SELECT r, {i} AS number, {quote(x.kind)} AS kind, {x.least} AS least, string_split_regex(x, {quote(x.pattern)}) AS gaps, "
+        f"regexp_extract_all(x, {quote(x.pattern)}, 0) AS hits, regexp_extract_all(x, {quote(x.pattern)}, {x.group}) AS vals FROM t"
+        for i, x in enumerate(sc.RULES)
+    )
+    return f"""
+WITH t AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS x FROM documents),
+e AS ({each}),
+u AS (SELECT r, number, kind, least, unnest(generate_series(1, len(hits))) AS i, gaps, hits, vals FROM e WHERE len(hits) > 0),
+l AS (SELECT r, number, kind, least, i, length(gaps[i]) AS gap, length(hits[i]) AS hit, length(vals[i]) AS val FROM u),
+p AS (SELECT *, sum(gap + hit) OVER (PARTITION BY r, number ORDER BY i) AS stop FROM l),
+s AS (SELECT r, number, kind, stop - hit AS start, kind || ':' || (stop - hit)::BIGINT || ':' || stop::BIGINT AS span FROM p WHERE val >= least),
+g AS (SELECT r, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+             count(*) FILTER (kind = 'hex') AS n_hex, string_agg(span, ',' ORDER BY start, number) FILTER (number < 3) AS base,
+             string_agg(span, ',' ORDER BY start, number) AS spans FROM s GROUP BY r)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM t LEFT JOIN g ON g.r = t.r"""
+
 
 ORACLE: dict[str, str] = {
+    "op5_secret_scan": _secrets_sql(),
     "op9_quality_rules": r"""
 WITH t AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS x FROM documents),
 w AS (SELECT r, doc_id, x, regexp_extract_all(x, '[^ \t\n\x0B\f\r]+') AS ws,
