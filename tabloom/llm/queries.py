@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import quality_rules as qr, secrets as sc
+from . import jaccard as jc, quality_rules as qr, secrets as sc
 
 
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
@@ -23,6 +23,10 @@ def op5_secret_scan(spark, d):
     )
 
 
+def op6_ngram_jaccard(spark, d):
+    return jc.jaccard_components(table(spark, d, "documents"))
+
+
 def op9_quality_rules(spark, d):
     wanted = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     out = qr.quality_rules(table(spark, d, "documents"), ["doc_id"], features=wanted)
@@ -30,7 +34,7 @@ def op9_quality_rules(spark, d):
     return out.select("doc_id", *wanted, failed.alias("base_failed"), (F.col("kept") & ~failed).alias("kept"))
 
 
-QUERIES = {f.__name__: f for f in (op5_secret_scan, op9_quality_rules)}
+QUERIES = {f.__name__: f for f in (op5_secret_scan, op6_ngram_jaccard, op9_quality_rules)}
 
 def _secrets_sql() -> str:
     quote = lambda s: "'" + s.replace("'", "''") + "'"
@@ -56,6 +60,18 @@ FROM t LEFT JOIN g ON g.r = t.r"""
 
 ORACLE: dict[str, str] = {
     "op5_secret_scan": _secrets_sql(),
+    "op6_ngram_jaccard": r"""
+WITH RECURSIVE t AS (SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ \t\n\x0B\f\r]+') AS ws
+       FROM documents),
+g AS (SELECT r, array_to_string(ws, ' ') AS s FROM t WHERE len(ws) BETWEEN 1 AND 4
+      UNION SELECT r, array_to_string(ws[i:i + 4], ' ') FROM (SELECT r, ws, unnest(generate_series(1, len(ws) - 4)) AS i FROM t WHERE len(ws) >= 5)),
+n AS (SELECT r, count(*) AS n FROM g GROUP BY r),
+links AS (SELECT a.r AS a, b.r AS b FROM g AS a JOIN g AS b ON a.s = b.s AND a.r <> b.r JOIN n AS na ON na.r = a.r JOIN n AS nb ON nb.r = b.r
+          GROUP BY a.r, b.r, na.n, nb.n HAVING 100 * count(*) >= 80 * (na.n + nb.n - count(*))),
+reach AS (SELECT r AS a, r AS b FROM t UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b)
+SELECT x.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(y.doc_id) AS component_id
+FROM reach JOIN t AS x ON x.r = reach.a JOIN t AS y ON y.r = reach.b LEFT JOIN n ON n.r = x.r GROUP BY x.r, x.doc_id""",
     "op9_quality_rules": r"""
 WITH t AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS x FROM documents),
 w AS (SELECT r, doc_id, x, regexp_extract_all(x, '[^ \t\n\x0B\f\r]+') AS ws,
