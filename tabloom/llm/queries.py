@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import jaccard as jc, quality_rules as qr, secrets as sc
+from . import jaccard as jc, mixing as mx, packing as pk, quality_rules as qr, secrets as sc
 
 
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
+def op3_hilbert_packing(spark, d):
+    return pk.pack(table(spark, d, "documents")).drop("ids")
+
+
 def op5_secret_scan(spark, d):
     out = sc.find_secrets(table(spark, d, "documents"), ["doc_id"])
     base = [r.kind for r in sc.BASE_RULES]
@@ -34,7 +38,20 @@ def op9_quality_rules(spark, d):
     return out.select("doc_id", *wanted, failed.alias("base_failed"), (F.col("kept") & ~failed).alias("kept"))
 
 
-QUERIES = {f.__name__: f for f in (op5_secret_scan, op6_ngram_jaccard, op9_quality_rules)}
+def op10_source_mixing(spark, d):
+    margins = {"source": F.col("source"), "lang": F.col("lang"), "topic": mx.topic(F.col("text"))}
+    out = mx.mix(table(spark, d, "documents"), margins)
+    return out.select(
+        "doc_id",
+        *[F.col(f"__{m}").alias(m) for m in margins],
+        F.col("__tokens").alias("n_tokens"),
+        F.round("__weight", 9).alias("cell_weight"),
+        F.round("__probability", 9).alias("probability"),
+        F.col("__kept").alias("kept"),
+    )
+
+
+QUERIES = {f.__name__: f for f in (op3_hilbert_packing, op5_secret_scan, op6_ngram_jaccard, op9_quality_rules, op10_source_mixing)}
 
 def _secrets_sql() -> str:
     quote = lambda s: "'" + s.replace("'", "''") + "'"
@@ -58,7 +75,40 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
 FROM t LEFT JOIN g ON g.r = t.r"""
 
 
+def _mixing_sql() -> str:
+    names = ("source", "lang", "topic")
+    goals = ", ".join(
+        f"g_{m} AS (SELECT {m}, sum(tokens)::DOUBLE ** {mx.TEMPER} AS g FROM c GROUP BY {m}), "
+        f"t_{m} AS (SELECT {m}, g / (SELECT sum(g) FROM g_{m}) AS t FROM g_{m})"
+        for m in names
+    )
+    steps, last = [], "w"
+    for k in range(mx.SWEEPS):
+        for m in names:
+            steps.append(
+                f"{last}_ AS MATERIALIZED (SELECT x.* REPLACE (w * t / nullif(sum(w) OVER (PARTITION BY x.{m}), 0) AS w) "
+                f"FROM {last} AS x JOIN t_{m} ON t_{m}.{m} = x.{m})".replace(f"{last}_ AS", f"w{k}{m} AS")
+            )
+            last = f"w{k}{m}"
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(source, '(none)') AS source, coalesce(lang, '(none)') AS lang, coalesce(text, '') AS x FROM documents),
+n AS (SELECT doc_id, source, lang, len(regexp_extract_all(x, '[^ \\t\\n\\x0B\\f\\r]+')) AS n_tokens,
+  CASE WHEN (length(x) - length(replace(x, '|', ''))) * 40 > length(x) THEN 'table'
+       WHEN (length(x) - length(regexp_replace(x, '[0-9]', '', 'g'))) * 20 > length(x) THEN 'figures'
+       WHEN length(x) < 600 THEN 'note' WHEN length(x) < 3000 THEN 'article' ELSE 'book' END AS topic FROM d),
+c AS MATERIALIZED (SELECT source, lang, topic, sum(n_tokens) AS tokens FROM n GROUP BY ALL),
+{goals},
+w AS (SELECT *, tokens::DOUBLE AS w FROM c),
+{", ".join(steps)},
+r AS (SELECT source, lang, topic, coalesce(w, 0) AS w, coalesce(w / nullif(tokens, 0), 0) AS ratio FROM {last}),
+p AS (SELECT *, ratio / (SELECT max(ratio) FROM r) AS p FROM r)
+SELECT n.doc_id, n.source, n.lang, n.topic, n_tokens::BIGINT AS n_tokens, round(w, 9) AS cell_weight, round(p, 9) AS probability,
+       (('0x' || substr(md5(concat_ws('|', '17', 'mix', n.doc_id)), 1, 13))::BIGINT::DOUBLE + 0.5::DOUBLE) / 4503599627370496::DOUBLE < p AS kept
+FROM n JOIN p ON n.source = p.source AND n.lang = p.lang AND n.topic = p.topic"""
+
+
 ORACLE: dict[str, str] = {
+    "op10_source_mixing": _mixing_sql(),
     "op5_secret_scan": _secrets_sql(),
     "op6_ngram_jaccard": r"""
 WITH RECURSIVE t AS (SELECT row_number() OVER () AS r, doc_id,
