@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import jaccard as jc, mixing as mx, packing as pk, quality_rules as qr, secrets as sc
+from . import classifier as cl, jaccard as jc, language as la, mixing as mx, packing as pk, quality_rules as qr, secrets as sc
 
 
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
@@ -15,6 +15,28 @@ def op3_hilbert_packing(spark, d):
     return pk.pack(table(spark, d, "documents")).drop("ids")
 
 
+def remainder(key: str, divisor: int):
+    return F.crc32(F.col(key).cast("string")) % divisor
+
+
+def op4_language_id(spark, d):
+    docs = table(spark, d, "documents")
+    model = la.fit(docs.where(remainder("doc_id", 4) != 2))
+    held = F.coalesce(remainder("doc_id", 4) == 2, F.lit(False)).alias("held_out")
+    return la.identify(docs, model, [F.col("doc_id"), held])
+
+
+def quality_model(spark, d):
+    labels = table(spark, d, "labels").select("doc_id", "quality").where(remainder("doc_id", 5) != 0)
+    return cl.fit(table(spark, d, "documents").select("doc_id", "text").join(labels, "doc_id"), "doc_id", label="quality")
+
+
+def op7_quality_classifier(spark, d):
+    held = F.coalesce(remainder("doc_id", 5) == 0, F.lit(False)).alias("held_out")
+    out = cl.score(table(spark, d, "documents"), quality_model(spark, d), [F.col("doc_id"), held])
+    return out.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
 def op5_secret_scan(spark, d):
     out = sc.find_secrets(table(spark, d, "documents"), ["doc_id"])
     base = [r.kind for r in sc.BASE_RULES]
@@ -51,7 +73,9 @@ def op10_source_mixing(spark, d):
     )
 
 
-QUERIES = {f.__name__: f for f in (op3_hilbert_packing, op5_secret_scan, op6_ngram_jaccard, op9_quality_rules, op10_source_mixing)}
+QUERIES = {f.__name__: f for f in (
+    op3_hilbert_packing, op4_language_id, op5_secret_scan, op6_ngram_jaccard, op7_quality_classifier, op9_quality_rules, op10_source_mixing,
+)}
 
 def _secrets_sql() -> str:
     quote = lambda s: "'" + s.replace("'", "''") + "'"
