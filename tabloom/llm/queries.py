@@ -4,13 +4,28 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import classifier as cl, jaccard as jc, language as la, mixing as mx, packing as pk, quality_rules as qr, secrets as sc
+from . import classifier as cl, jaccard as jc, language as la, mixing as mx, neighbours as nb, packing as pk, quality_rules as qr, repeats as rp, secrets as sc, token_counts as tc
 
 
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
+def op1_suffix_dedup(spark, d):
+    out = rp.remove_repeats(table(spark, d, "documents"))
+    return out.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.length("kept")).cast("long").alias("n_removed"),
+        F.size("starts").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
+def op2_token_counts(spark, d):
+    return tc.count_tokens(table(spark, d, "documents"), ["doc_id"])
+
+
 def op3_hilbert_packing(spark, d):
     return pk.pack(table(spark, d, "documents")).drop("ids")
 
@@ -53,6 +68,10 @@ def op6_ngram_jaccard(spark, d):
     return jc.jaccard_components(table(spark, d, "documents"))
 
 
+def op8_permutation_search(spark, d):
+    return nb.nearest(table(spark, d, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op9_quality_rules(spark, d):
     wanted = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     out = qr.quality_rules(table(spark, d, "documents"), ["doc_id"], features=wanted)
@@ -74,7 +93,8 @@ def op10_source_mixing(spark, d):
 
 
 QUERIES = {f.__name__: f for f in (
-    op3_hilbert_packing, op4_language_id, op5_secret_scan, op6_ngram_jaccard, op7_quality_classifier, op9_quality_rules, op10_source_mixing,
+    op1_suffix_dedup, op2_token_counts, op3_hilbert_packing, op4_language_id, op5_secret_scan, op6_ngram_jaccard, op7_quality_classifier,
+    op8_permutation_search, op9_quality_rules, op10_source_mixing,
 )}
 
 def _secrets_sql() -> str:
