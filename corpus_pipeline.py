@@ -1,12 +1,63 @@
-"""From raw documents to packed training sequences, stage by stage."""
+"""From raw documents to packed training sequences, stage by stage.
+
+Each stage takes what the one before kept, with the columns of documents; the last returns the pieces of the sequences.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from tabloom.llm import classifier, jaccard, mixing, packing, secrets
+
+QUALITY_THRESHOLD = 0.3
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier does not reject. One document in five is never learnt from."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
+    labels = labels.where(F.crc32(F.col("doc_id").cast("string")) % 5 != 0)
+    model = classifier.fit(docs.select("doc_id", "text").join(labels, "doc_id"), "doc_id", label="quality")
+    kept = classifier.score(docs, model, docs.columns, name="__quality")
+    return kept.where(F.col("__quality") >= QUALITY_THRESHOLD).select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group: the one with the smallest id, the first of rows that share it."""
+    placed = docs.withColumn("__place", F.monotonically_increasing_id())
+    keyed = placed.select(F.struct("doc_id", "__place").alias("__key"), "text")
+    groups = jaccard.jaccard_components(keyed, key="__key")
+    firsts = groups.where(F.col("__key") == F.col("component_id")).select(F.col("__key.__place").alias("__place"))
+    return placed.join(firsts, "__place", "left_semi").select(*docs.columns)
+
+
+def redacted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document, with a mark in place of each secret."""
+    rest = [c for c in docs.columns if c != "text"]
+    found = secrets.find_secrets(docs, rest, with_text=True)
+    found = found.withColumn("text", secrets.redact(F.col("text"), F.col("spans")))
+    return found.withColumn("n_chars", F.when(F.size("spans") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A sample whose token shares by source, language and topic are tempered."""
+    margins = {"source": F.col("source"), "lang": F.col("lang"), "topic": mixing.topic(F.col("text"))}
+    return mixing.mix(docs, margins).where("__kept").select(*docs.columns)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all sequences, with their ids."""
+    return packing.pack(docs, with_ids=True)
+
 
-STAGES = []
+STAGES = [
+    ("quality classifier", quality),
+    ("n-gram Jaccard join", near_duplicates),
+    ("secret scan", redacted),
+    ("source mixing", mixed),
+    ("packing", packed),
+]
 
-ORACLE_SQL = None
+ORACLE_SQL = None  # the classifier is trained, which SQL cannot state; tests/llm checks each stage
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

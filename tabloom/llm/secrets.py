@@ -127,7 +127,7 @@ def trigram_query(pattern: str) -> list[Clause]:
 
 def trigram_index(rows: DataFrame, trigrams: Sequence[str]) -> DataFrame:
     """Postings (trigram, __row) of `rows` (__row, __text)."""
-    low = F.lower("__text")
+    low = F.lower(F.coalesce("__text", F.lit("")))
     held = F.filter(F.array(*[F.when(F.contains(low, F.lit(t)), F.lit(t)) for t in sorted(trigrams)]), lambda t: t.isNotNull())
     return rows.select("__row", F.explode(held).alias("trigram"))
 
@@ -173,25 +173,31 @@ def match_spans(text: Column, rule: Rule, number: int) -> Column:
     return F.when(F.length(F.regexp_substr(text, F.lit(rule.pattern))) > 0, found).otherwise(empty)
 
 
-def find_secrets(docs: DataFrame, keep: Sequence[str], text: str = "text", rules: Sequence[Rule] = RULES) -> DataFrame:
-    """Columns `keep`, and `spans`: array of (start, number, stop, kind) by start, then place in `rules`."""
+def find_secrets(
+    docs: DataFrame, keep: Sequence[str], text: str = "text", rules: Sequence[Rule] = RULES, with_text: bool = False
+) -> DataFrame:
+    """Columns `keep`, and `spans`: array of (start, number, stop, kind) by start, then place in `rules`.
+
+    `with_text` adds the column `text` without sending it twice.
+    """
     queries = {r.kind: q for r in rules if (q := trigram_query(r.pattern))}
     rows = docs.select(
         F.monotonically_increasing_id().alias("__row"),
         F.struct(*[F.col(c) for c in keep]).alias("__keep"),
-        F.coalesce(F.col(text), F.lit("")).alias("__text"),
+        F.col(text).cast("string").alias("__text"),
     )
+    value = F.coalesce("__text", F.lit(""))
     if queries:
         trigrams = {t for q in queries.values() for clause in q for s in clause for t in s}
         found = candidates(trigram_index(rows.select("__row", "__text"), trigrams), queries)
         rows = rows.join(found, "__row", "left")
     spans = [
-        F.when(F.array_contains("kinds", r.kind), match_spans(F.col("__text"), r, i)) if r.kind in queries else match_spans(F.col("__text"), r, i)
+        F.when(F.array_contains("kinds", r.kind), match_spans(value, r, i)) if r.kind in queries else match_spans(value, r, i)
         for i, r in enumerate(rules)
     ]
     empty = F.array().cast("array<struct<start:bigint,number:int,stop:bigint,kind:string>>")
     every = F.sort_array(F.concat(*[F.coalesce(s, empty) for s in spans]))
-    return rows.select("__keep.*", every.alias("spans"))
+    return rows.select("__keep.*", *([F.col("__text").alias(text)] if with_text else []), every.alias("spans"))
 
 
 def digest(spans: Column) -> Column:
