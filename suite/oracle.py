@@ -364,9 +364,12 @@ def _repeated(rows: str, g1: str = "g1") -> str:
 ORACLE["sample_noise"] = f"SELECT {K}, {', '.join(r(z(2, j, K), f'z{j}') for j in range(3))} FROM orders"
 ORACLE["dense_forward"] = f"SELECT {K}, {r('o1')}, {r('o2')} FROM ({forward(GRID, 1, ['n1', 'n2', 'g1', 'g2'], ['o1', 'o2'])})"
 ORACLE["generate_unconditional"] = f"""
-SELECT id, {r('n1')}, {r('n2')} FROM ({forward(_noised(f'SELECT unnest(range({_ROWS})) AS id', 21, 'id'), 1, ['z0', 'z1'], ['n1', 'n2'])})"""
+WITH m AS (SELECT avg(n1) AS c1, avg(n2) AS c2, var_pop(n1) AS a, var_pop(n2) AS b, covar_pop(n1, n2) AS k FROM ({GRID})),
+s AS (SELECT *, sqrt(a * b - k * k) AS s, sqrt(a + b + 2.0 * sqrt(a * b - k * k)) AS t FROM m)
+SELECT id, {r('c1 + (z0 * (a + s) + z1 * k) / t', 'n1')}, {r('c2 + (z0 * k + z1 * (b + s)) / t', 'n2')}
+FROM ({_noised(f'SELECT unnest(range({_ROWS})) AS id', 21, 'id')}), s"""
 ORACLE["generate_conditional"] = f"SELECT {_OUT4} FROM ({_made(_repeated(f'2 * {_ROWS} + 7'), 22)})"
-ORACLE["generate_pinned"] = f"SELECT {_OUT4} FROM ({_made(_repeated(f'{_ROWS} - 7', f'(SELECT max(g1) FROM ({GRID}))'), 23)})"
+ORACLE["generate_pinned"] = f"SELECT {_OUT4} FROM ({_made(_repeated(f'{_ROWS} + 7', f'(SELECT max(g1) FROM ({GRID}))'), 23)})"
 _UNIFORM = f"""
 SELECT i.id, g1, g2 FROM (SELECT id, floor({u(24, "'condition'", 'id')} * (SELECT count(*) FROM (SELECT DISTINCT g1, g2 FROM ({GRID}))))::BIGINT AS no
    FROM (SELECT unnest(range({_ROWS})) AS id)) i
@@ -374,7 +377,7 @@ SELECT i.id, g1, g2 FROM (SELECT id, floor({u(24, "'condition'", 'id')} * (SELEC
 ORACLE["generate_uniform"] = f"SELECT {_OUT4} FROM ({_made(_UNIFORM, 24)})"
 ORACLE["translate_a_to_b"] = f"""
 SELECT {K}, {r('b1')}, {r('b2')} FROM ({forward(GRID, 5, ['n1', 'n2'], ['b1', 'b2'])})
-QUALIFY row_number() OVER (ORDER BY {K}) <= 5000 * ceil(({_ROWS} // 2) / 5000.0)"""
+QUALIFY row_number() OVER (ORDER BY {K}) <= 5000 * ceil({_ROWS} / 5000.0)"""
 _RECON = forward(_noised(f"SELECT {K}, n1, n2, g1, g1 + 0.5 AS lift_ind, (SELECT min(g2) FROM ({GRID})) AS g2 FROM ({GRID})", 25, K), 1, _IN, ["y1", "y2"])
 ORACLE["reconstruction_error"] = f"SELECT {K}, {r('lift_ind')}, {r('abs(n1 - y1) + abs(n2 - y2)', 'error')} FROM ({_RECON})"
 _SCORED = forward(
@@ -437,8 +440,9 @@ _SCORES = f"""
 SELECT {K}, target, price, price / 5e5::DOUBLE AS pred, floor(price / 5000.0) AS tied, 1.0 + target AS weight,
   coalesce(bal, 0.0) + 1000.0 AS truth FROM ({TRAIN})"""
 ORACLE["jsd"] = f"""
-WITH h AS (SELECT least(floor(price / 500000.0 * 50.0), 49) AS bin, count(*) FILTER (target = 1)::DOUBLE AS p,
-  count(*) FILTER (target = 0)::DOUBLE AS q FROM ({_SCORES}) GROUP BY 1),
+WITH b AS (SELECT min(price) AS low, max(price) AS high FROM ({_SCORES})),
+h AS (SELECT least(floor((price - low) / (high - low) * 50.0), 49) AS bin, count(*) FILTER (target = 1)::DOUBLE AS p,
+  count(*) FILTER (target = 0)::DOUBLE AS q FROM ({_SCORES}), b GROUP BY 1),
 s AS (SELECT p / sum(p) OVER () AS p, q / sum(q) OVER () AS q FROM h)
 SELECT {r('0.5 * sum(CASE WHEN p > 0 THEN p * ln(2.0 * p / (p + q)) ELSE 0 END) + 0.5 * sum(CASE WHEN q > 0 THEN q * ln(2.0 * q / (p + q)) ELSE 0 END)', 'jsd')} FROM s"""
 ORACLE["gini_binary"] = f"SELECT {r('100.0 * (2.0 * auc - 1.0)', 'gini')} FROM ({_AUC.format(source=f'SELECT target AS pos, tied AS s FROM ({_SCORES})')})"
@@ -603,3 +607,11 @@ SELECT 200000000 + row_number() OVER (ORDER BY {K}) - 1 AS unq1, {r('price', 'pr
   {r('CASE WHEN mr > round_even(miss * n, 0) THEN bal END', 'bal', 2)}, {r('rare_null', 'rare_null', 6)},
   {r('CASE WHEN hr <= round_even(freq * n, 0) THEN 0.0 ELSE spike END', 'spike', 2)}, {r('few', 'few', 4)}, 1.0::DOUBLE AS const,
   status, coalesce(segment, '') AS segment, CAST(flag01 AS DOUBLE) - 0.5::DOUBLE AS flag01, trunc(target)::INT AS target FROM b"""
+
+ORACLE["impute_model_facts"] = " UNION ALL ".join(
+    f"SELECT '{c}' AS col, count(*) AS rows, count(*) - count({c}) AS filled, 0::BIGINT AS empty, 0::BIGINT AS changed FROM ({TRAIN})"
+    for c in ("bal", "rare_null")
+)
+ORACLE["svd_facts"] = """
+SELECT 'svd_' || k AS component, (SELECT count(*) FROM embeddings) AS rows, 0.0::DOUBLE AS mean, 1.0::DOUBLE AS deviation
+FROM (SELECT unnest(range(8)) AS k)"""

@@ -214,6 +214,23 @@ def impute_model(spark, d):
     return impute.impute_model(df, ["bal", "rare_null"], ["price", "bal", "rare_null", "target"], maxIter=5)
 
 
+def impute_model_facts(spark, d):
+    """What must hold of the filled table: every observed cell as it was, no cell left empty."""
+    before = train(spark, d).select(KEY, F.col("bal").alias("bal0"), F.col("rare_null").alias("rare_null0"))
+    both = impute_model(spark, d).join(before, KEY)
+    facts = [
+        both.agg(
+            F.lit(c).alias("col"),
+            F.count("*").alias("rows"),
+            F.count_if(F.col(f"{c}0").isNull()).alias("filled"),
+            F.count_if(F.col(c).isNull()).alias("empty"),
+            F.count_if(F.col(f"{c}0").isNotNull() & (F.col(c) != F.col(f"{c}0"))).alias("changed"),
+        )
+        for c in ("bal", "rare_null")
+    ]
+    return facts[0].unionByName(facts[1])
+
+
 # ---- numeric transforms ----------------------------------------------------------------------
 
 
@@ -296,6 +313,15 @@ def svd_standardize(spark, d):
     return rounded(moments.svd_standardize(df, [f"e{i}" for i in range(64)], 8))
 
 
+def svd_facts(spark, d):
+    """Mean and deviation of each component over all rows."""
+    scores = svd_standardize(spark, d)
+    each = [c for c in scores.columns if c.startswith("svd_")]
+    long = scores.unpivot([], each, "component", "score")
+    found = long.groupBy("component").agg(F.count("*").alias("rows"), F.avg("score").alias("mean"), F.stddev_pop("score").alias("deviation"))
+    return rounded(found, 4)
+
+
 # ---- generation ------------------------------------------------------------------------------
 
 GENERATOR = dict(first_layer=1, inputs=4, outputs=2)
@@ -317,8 +343,9 @@ def dense_forward(spark, d):
 
 
 def generate_unconditional(spark, d):
-    rows = tables.count_rows(read(spark, d, "orders"))
-    return rounded(gn.generate_unconditional(spark, rows, tiny_net(1, 2, 2), DATA, 2, seed=21))
+    given = grid(spark, d)
+    net = moments.fit_generator(given, DATA, [])  # means and covariance of the given rows
+    return rounded(gn.generate_unconditional(spark, tables.count_rows(given), net, DATA, 2, seed=21))
 
 
 def generate_conditional(spark, d):
@@ -327,7 +354,7 @@ def generate_conditional(spark, d):
 
 
 def generate_pinned(spark, d):
-    rows = tables.count_rows(read(spark, d, "orders")) - 7
+    rows = tables.count_rows(read(spark, d, "orders")) + 7
     return rounded(gn.generate_pinned(grid(spark, d), tiny_net(**GENERATOR), DATA, CONDITIONS, [KEY], rows, 2, "g1", seed=23))
 
 
@@ -337,7 +364,7 @@ def generate_uniform(spark, d):
 
 
 def translate_a_to_b(spark, d):
-    rows = tables.count_rows(read(spark, d, "orders")) // 2
+    rows = tables.count_rows(read(spark, d, "orders"))
     return rounded(gn.translate_a_to_b(grid(spark, d), tiny_net(5, 2, 2), DATA, ["b1", "b2"], KEY, rows))
 
 
@@ -411,7 +438,8 @@ def _scores(spark, d) -> DataFrame:
 
 def jsd(spark, d):
     s = _scores(spark, d)
-    sides = [ranking.histogram(s.where(F.col("target") == t), F.col("price"), 0.0, 500000.0, 50) for t in (1.0, 0.0)]
+    low, high = s.agg(F.min("price"), F.max("price")).first()
+    sides = [ranking.histogram(s.where(F.col("target") == t), F.col("price"), low, high, 50) for t in (1.0, 0.0)]
     return rounded(ranking.jsd(*sides))
 
 
@@ -508,9 +536,9 @@ best_checkpoint loss_trace
 onehot_fit onehot_fit_transform onehot_transform onehot_back laplace_fit laplace_fit_transform laplace_transform
 center_target uncenter_target
 missing_fit_transform missing_transform missing_back special_fit_transform special_transform special_back
-impute_median impute_zero impute_random impute_model
+impute_median impute_zero impute_random impute_model impute_model_facts
 boxcox_fit boxcox_fit_transform boxcox_transform boxcox_back boxcox_hist scaler_fit scaler_fit_transform scaler_transform
-scaler_back splitcap_fit splitcap_fit_transform splitcap_transform splitcap_back svd_standardize
+scaler_back splitcap_fit splitcap_fit_transform splitcap_transform splitcap_back svd_standardize svd_facts
 sample_noise dense_forward generate_unconditional generate_conditional generate_pinned generate_uniform translate_a_to_b
 reconstruction_error score_realness realness_auc bce_loss lsgan_loss critic_gap cycle_error identity_error cycle_total
 fit_generator

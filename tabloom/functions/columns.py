@@ -4,6 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+
+def quoted(name: str) -> str:
+    """A column's name as SQL text, whatever characters it has."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def by_name(name: str | Column) -> Column:
+    """The column of exactly this name; a dot in it is a character like any other."""
+    return name if isinstance(name, Column) else F.col(quoted(name))
+
+
 def null_double() -> Column:
     return F.lit(None).cast("double")
 
@@ -21,7 +32,7 @@ def clip(value: Column, low: float, high: float) -> Column:
 def replace_columns(df: DataFrame, changed: dict[str, Column], drop: set[str] | frozenset = frozenset()) -> DataFrame:
     """One projection: keep order, swap changed columns in place, append new ones, drop others."""
     kept = [
-        changed[c].alias(c) if c in changed else F.col(c)
+        changed[c].alias(c) if c in changed else by_name(c)
         for c in df.columns
         if c not in drop
     ]

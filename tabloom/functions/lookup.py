@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from .columns import by_name
 BROADCAST_ROWS = 100_000
 HOT_KEYS = 1_000
 
@@ -18,15 +19,15 @@ def lookup(df: DataFrame, table: DataFrame, keys: list[str], weight: str, table_
     table_rows = table.count() if table_rows is None else table_rows
     values = [c for c in table.columns if c not in keys and c != weight]
     if table_rows <= BROADCAST_ROWS:
-        return df.join(F.broadcast(table.drop(weight)), keys, "left").select(*df.columns, *values)
+        return df.join(F.broadcast(table.drop(weight)), keys, "left").select(*map(by_name, df.columns), *values)
     total = table.agg(F.sum(weight)).first()[0]
-    is_hot = F.col(weight) * HOT_KEYS > F.lit(total)
+    is_hot = by_name(weight) * HOT_KEYS > F.lit(total)
     hot = table.where(is_hot).drop(weight).withColumn("__hot", F.lit(True))
     cold = table.where(~is_hot).drop(weight)
     marked = df.join(F.broadcast(hot), keys, "left")
     null_key = F.lit(False)
     for k in keys:
-        null_key = null_key | F.col(k).isNull()
-    hot_rows = marked.where(F.col("__hot") | null_key).select(*df.columns, *values)
-    cold_rows = marked.where(F.col("__hot").isNull() & ~null_key).select(*df.columns).join(cold, keys, "left")
-    return hot_rows.unionByName(cold_rows.select(*df.columns, *values))
+        null_key = null_key | by_name(k).isNull()
+    hot_rows = marked.where(F.col("__hot") | null_key).select(*map(by_name, df.columns), *values)
+    cold_rows = marked.where(F.col("__hot").isNull() & ~null_key).select(*map(by_name, df.columns)).join(cold, keys, "left")
+    return hot_rows.unionByName(cold_rows.select(*map(by_name, df.columns), *values))

@@ -15,6 +15,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from .columns import by_name
 from .materialize import materialize
 
 _PLACE = "__place"
@@ -32,7 +33,7 @@ class Ordered:
 
 
 def _place(df: DataFrame, order: Sequence[Column | str]) -> DataFrame:
-    placed = df.orderBy(*order).withColumn(_PLACE, F.monotonically_increasing_id())
+    placed = df.orderBy(*map(by_name, order)).withColumn(_PLACE, F.monotonically_increasing_id())
     return materialize(placed).withColumn(_PART, F.shiftright(_PLACE, _POSITION_BITS))
 
 
@@ -43,7 +44,7 @@ def ordered(
     index: str = "row_no",
 ) -> Ordered:
     """Add `index` (1-based global rank by `order`) and one running sum per entry of `sums`."""
-    sums = {k: (F.col(v) if isinstance(v, str) else v) for k, v in (sums or {}).items()}
+    sums = {k: (by_name(v) if isinstance(v, str) else v) for k, v in (sums or {}).items()}
     names = list(sums)
     placed = _place(df, order)
     per_part = (
@@ -66,11 +67,11 @@ def ordered(
         out = out.select("*", *[F.coalesce(F.sum(sums[s]).over(upto), F.lit(0)).alias(f"__run{i}") for i, s in enumerate(names)])
     # `starts` has one row per partition
     out = out.join(F.broadcast(starts), _PART)
-    position = F.col(_PLACE).bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
+    position = by_name(_PLACE).bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
     out = out.select(
-        *df.columns,
+        *map(by_name, df.columns),
         (F.col("__rows") + position + 1).alias(index),
-        *[(F.col(f"__sum{i}") + F.col(f"__run{i}")).alias(s) for i, s in enumerate(names)],
+        *[(by_name(f"__sum{i}") + by_name(f"__run{i}")).alias(s) for i, s in enumerate(names)],
     )
     return Ordered(out, rows, dict(zip(names, running)))
 

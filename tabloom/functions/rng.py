@@ -9,6 +9,7 @@ import math
 
 from pyspark.sql import Column, functions as F
 
+from .columns import by_name
 # 13 hex digits = 52 bits, so value + 0.5 is exact in a double
 _SCALE = float(1 << 52)
 
@@ -31,13 +32,13 @@ def _uniform_pair(seed, stream, keys, method) -> tuple[Column, Column]:
 
 def uniform(seed, stream, *keys, method: str = "md5") -> Column:
     """A double in (0, 1); keys are columns or column names, `stream` text or a column."""
-    columns = [F.col(k) if isinstance(k, str) else k for k in keys]
+    columns = [by_name(k) if isinstance(k, str) else k for k in keys]
     return _uniform_pair(seed, stream, columns, method)[0]
 
 
 def normals(count: int, seed, stream, *keys, method: str = "md5") -> list[Column]:
     """`count` independent standard normals by Box-Muller; one digest gives two of them."""
-    columns = [F.col(k) if isinstance(k, str) else k for k in keys]
+    columns = [by_name(k) if isinstance(k, str) else k for k in keys]
     out: list[Column] = []
     for pair in range((count + 1) // 2):
         first, second = _uniform_pair(seed, f"{stream}:{pair}", columns, method)

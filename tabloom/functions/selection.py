@@ -13,6 +13,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .columns import by_name
 from .order import row_index
 
 LIST_LIMIT = 10_000  # values listed for one search in its last pass
@@ -278,7 +279,7 @@ def smallest(
 ) -> dict[str, Column]:
     """For each (value, k) a predicate true on exactly the k rows smallest by (value, key).
 
-    The table is only scanned by aggregates; the predicate itself is row-local.
+    The table is only scanned by aggregates; the predicate itself is row-local. A row without a key is not picked among ties.
     `grids` holds sketches of `rank_value(value)` if the caller has them.
     """
     out = {n: F.lit(k >= rows) for n, (_, k) in picks.items() if k <= 0 or k >= rows}
@@ -293,15 +294,15 @@ def smallest(
     partial = {n: k[n] - limit[n].less for n in names if k[n] < limit[n].less + limit[n].equal}
     key_limit: dict[str, object] = {}
     if partial and is_numeric(df, key):
-        tied_keys = {n: F.when(on_limit[n], F.col(key)) for n in partial}
+        tied_keys = {n: F.when(on_limit[n], by_name(key)) for n in partial}
         tied = {n: limit[n].equal for n in partial}
         got, _ = order_statistics(df, tied_keys, {n: [partial[n]] for n in partial}, tied)
         key_limit = {n: got[n][0].value for n in partial}
     else:
         for n in partial:
-            ranked = row_index(df.where(on_limit[n]).select(key), [key])
+            ranked = row_index(df.where(on_limit[n]).select(by_name(key)), [key])
             key_limit[n] = ranked.where(F.col("row_no") == partial[n]).first()[key]
     for n in names:
-        last = on_limit[n] & (F.col(key) <= F.lit(key_limit[n])) if n in key_limit else on_limit[n]
+        last = on_limit[n] & F.coalesce(by_name(key) <= F.lit(key_limit[n]), F.lit(False)) if n in key_limit else on_limit[n]
         out[n] = (value[n] < F.lit(limit[n].value)) | last
     return out

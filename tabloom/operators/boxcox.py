@@ -12,14 +12,15 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.columns import clip, not_nan, null_double, replace_columns
+from ..functions.columns import by_name, clip, not_nan, null_double, quoted, replace_columns
 from ..functions.selection import as_grid, medians, sketch
 from ..sources.stats import ColumnStats
 
 BINS = 30
-_NARROWING = (1.0, 0.25, 0.04, 0.003)  # half widths of the tries, relative to the search interval's
+_TRIES = 11  # lambdas per column and scan
+_FINEST = 0.006  # half width of the last try
 _AGGREGATES_PER_PASS = 200
-_FAR = 1e3  # a try stops moving here
+_FAR = 1e6  # beyond it the likelihood counts as having no finite optimum
 
 
 def _variances(df: DataFrame, wanted: list[tuple[str, float]]) -> list[float]:
@@ -43,45 +44,42 @@ def _parabola(grid: list[float], scores: list[float], at: int) -> float:
 
 def _best_lambdas(
     df: DataFrame, logs: dict[str, str], means: dict[str, float], search: tuple[float, float], resolution: float | None
-) -> dict[str, float]:
-    """Minimise the variance per column; with a resolution, over its multiples.
+) -> dict[str, float | None]:
+    """Minimise the variance per column; with a resolution, over its multiples. None where it falls without end.
 
     `logs` are logarithms up to a constant as SQL text, `means` their averages.
 
-    Each pass tries five lambdas per column. A lowest point inside gives the centre of a
-    narrower try, one at the end moves the try there.
+    Each scan tries some lambdas per column around a centre. A lowest point inside becomes the centre of a try a tenth
+    as wide, one at the end the centre of a try ten times as wide. So the scans grow with the logarithm of the best lambda.
     """
-    start = (search[0] + search[1]) / 2.0
-    widths = [(search[1] - search[0]) / 2.0 * f for f in _NARROWING]
-    if resolution:
-        widths = [w for w in widths if w > 4 * resolution] + [2 * resolution]
-    centre = dict.fromkeys(logs, start)
-    level = dict.fromkeys(logs, 0)
-    best: dict[str, float] = {}
+    finest = _TRIES // 2 * resolution if resolution else _FINEST
+    centre = dict.fromkeys(logs, (search[0] + search[1]) / 2.0)
+    width = dict.fromkeys(logs, max((search[1] - search[0]) / 2.0, finest))
+    best: dict[str, float | None] = {}
     while len(best) < len(logs):
         grids = {}
         for c in logs:
-            if c in best:
-                continue
-            last = level[c] == len(widths) - 1
-            middle = round(centre[c] / resolution) * resolution if resolution and last else centre[c]
-            grids[c] = [round(middle + widths[level[c]] * k / 2.0, 12) for k in range(-2, 3)]
+            if c not in best:
+                on_grid = resolution and width[c] <= finest
+                middle = round(centre[c] / resolution) * resolution if on_grid else centre[c]
+                grids[c] = [round(middle + width[c] * k / (_TRIES // 2), 12) for k in range(-(_TRIES // 2), _TRIES // 2 + 1)]
         scores = _variances(df, [(logs[c], lam) for c in grids for lam in grids[c]])
-        for c, grid in grids.items():
-            # dividing x by its geometric mean divides the variance by its power
-            got = [v * math.exp(-2.0 * lam * means[c]) for v, lam in zip(scores, grid)]
-            scores = scores[5:]
-            at = min(range(5), key=lambda k: got[k])
-            if at in (0, 4) and abs(grid[at]) < _FAR:
-                centre[c] = grid[at]
-                continue
-            at = min(max(at, 1), 3)
-            last = level[c] == len(widths) - 1
-            found = grid[at] if resolution and last else _parabola(grid, got, at)
-            if last:
-                best[c] = found
+        for number, (c, grid) in enumerate(grids.items()):
+            # dividing x by its geometric mean divides the variance by its power; powers out of range count as infinite
+            got = []
+            for v, lam in zip(scores[number * _TRIES :], grid):
+                log_score = math.log(v) - 2.0 * lam * means[c] if v and math.isfinite(v) else math.inf
+                got.append(log_score)
+            at = min(range(_TRIES), key=lambda k: got[k])
+            ends = at in (0, _TRIES - 1) or math.inf in (got[at - 1], got[at + 1])
+            if ends and (abs(grid[at]) > _FAR or got[at] == math.inf or at not in (0, _TRIES - 1)):
+                best[c] = None
+            elif ends:
+                centre[c], width[c] = grid[at], width[c] * 10.0
+            elif width[c] <= finest:
+                best[c] = grid[at] if resolution else _parabola(grid, got, at)
             else:
-                centre[c], level[c] = found, level[c] + 1
+                centre[c], width[c] = _parabola(grid, got, at), max(width[c] / 10.0, finest)
     return best
 
 
@@ -91,12 +89,13 @@ def boxcox_fit(
     search: tuple[float, float] = (-2.0, 2.0),
     resolution: float | None = None,
 ) -> ColumnStats:
-    """median, min, max, std, shift and lambd per column; a constant column has no lambd.
+    """median, min, max, std, shift and lambd per column; a constant column, and one whose likelihood has no finite
+    optimum, has no lambd and passes unchanged.
 
     `search` is the first interval tried; it moves on when the best value lies at its end.
     """
     cols = list(cols)
-    row = df.agg(*[f(F.col(c)) for c in cols for f in (F.count, F.min, F.max, F.stddev_samp, sketch)]).first()
+    row = df.agg(*[f(by_name(c)) for c in cols for f in (F.count, F.min, F.max, F.stddev_samp, sketch)]).first()
     stats = ColumnStats("boxcox")
     counts, grids = {}, {}
     for i, c in enumerate(cols):
@@ -109,9 +108,9 @@ def boxcox_fit(
     for c in varied:
         shift = float(stats.columns[c]["shift"])
         near = math.log(grids[c][len(grids[c]) // 2][1] + shift)  # keeps powers near 1
-        logs[c] = f"(ln(`{c}` + {shift!r}D) - {near!r}D)"
+        logs[c] = f"(ln({quoted(c)} + {shift!r}D) - {near!r}D)"
     means = [F.expr(f"avg({text})") for text in logs.values()]
-    middle, extras = medians(df, {c: F.col(c) for c in cols}, counts, grids, extra=means)
+    middle, extras = medians(df, {c: by_name(c) for c in cols}, counts, grids, extra=means)
     for c in cols:
         stats.columns[c]["median"] = middle[c]
     found = _best_lambdas(df, logs, dict(zip(varied, extras)), search, resolution)
@@ -134,7 +133,7 @@ def _forward(value: Column, s: dict) -> Column:
 def boxcox_transform(df: DataFrame, stats: ColumnStats, cols: Sequence[str] = ()) -> DataFrame:
     """x + shift, NULL where not positive; log for lambda 0, else (x^lambda - 1)/lambda."""
     wanted = [c for c in cols or stats.columns if c in stats.columns and c in df.columns]
-    return replace_columns(df, {c: _forward(F.col(c), stats.columns[c]) for c in wanted})
+    return replace_columns(df, {c: _forward(by_name(c), stats.columns[c]) for c in wanted})
 
 
 def boxcox_fit_transform(
@@ -154,7 +153,7 @@ def boxcox_back(df: DataFrame, stats: ColumnStats, cols: Sequence[str] = ()) ->
         if s["lambd"] == 0.0:
             value = F.exp(c) - F.lit(s["shift"])
         else:
-            base = F.col(c) * F.lit(float(s["lambd"])) + F.lit(1.0)
+            base = by_name(c) * F.lit(float(s["lambd"])) + F.lit(1.0)
             value = not_nan(F.pow(base, F.lit(1.0 / s["lambd"]))) - F.lit(s["shift"])
         changed[c] = clip(value, s["min"], s["max"])
     return replace_columns(df, changed)
@@ -173,7 +172,7 @@ def boxcox_hist(df: DataFrame, stats: ColumnStats, cols: Sequence[str] = (), bin
         shifted_log = {"lambd": 0.0, "shift": s["shift"]}
         for kind, form in (("original", None), ("log", shifted_log), ("boxcox", s)):
             low, high = [v if form is None else _forward_value(v, form) for v in (s["min"], s["max"])]
-            value = F.col(c) if form is None else _forward(F.col(c), form)
+            value = by_name(c) if form is None else _forward(by_name(c), form)
             if high > low:
                 place = F.floor((value - F.lit(low)) / F.lit(high - low) * F.lit(float(bins)))
                 place = F.greatest(F.least(place, F.lit(bins - 1)), F.lit(0)).cast("int")
@@ -181,6 +180,8 @@ def boxcox_hist(df: DataFrame, stats: ColumnStats, cols: Sequence[str] = (), bin
                 place = F.lit(bins // 2)
             place = F.when(value.isNotNull(), place)
             cells.append(F.struct(F.lit(c).alias("col"), F.lit(kind).alias("kind"), place.alias("bin")))
+    if not cells:
+        return df.select(F.lit("").alias("col"), F.lit("").alias("kind"), F.lit(0).alias("bin"), F.lit(0).cast("long").alias("n")).limit(0)
     long = df.select(F.explode(F.array(*cells)).alias("cell")).select("cell.*").where(F.col("bin").isNotNull())
     return long.groupBy("col", "kind", "bin").agg(F.count("*").alias("n"))
 

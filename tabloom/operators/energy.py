@@ -16,6 +16,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..functions.columns import by_name
 from ..functions.materialize import materialize
 from ..functions.order import row_index
 from ..functions.rng import uniform
@@ -116,7 +117,7 @@ def _energies(weighted: DataFrame, rows: int, reps: int, width: int, n: int, m:
     parts = sent.groupBy("bi", "bj").applyInPandas(_block_sums(method == "log"), _SUMS)
     total = parts.groupBy("rep").agg(*[F.sum(c).alias(c) for c in ("s11", "s22", "s12", "z11", "z22", "z12")])
     total = total.join(_resampled_pairs(weighted), "rep")
-    duplicates = sum((F.col(a) + F.col(p) for a, p in (("z11", "p11"), ("z22", "p22"), ("z12", "p12"))), F.lit(0.0))
+    duplicates = sum((by_name(a) + by_name(p) for a, p in (("z11", "p11"), ("z22", "p22"), ("z12", "p12"))), F.lit(0.0))
     energy = F.col("s12") / F.lit(float(n * m)) - F.col("s11") / F.lit(float(n * n)) - F.col("s22") / F.lit(float(m * m))
     if method == "log":  # a zero distance has no logarithm
         energy = F.when(duplicates == 0, energy)
@@ -125,8 +126,8 @@ def _energies(weighted: DataFrame, rows: int, reps: int, width: int, n: int, m:
 
 def _vectors(df: DataFrame, sample: str, features: str | Sequence[str], key: str, first) -> DataFrame:
     """(key, first, v) with v a vector of doubles; `features` is an array column or a list of columns."""
-    v = F.col(features).cast("array<double>") if isinstance(features, str) else F.array(*[F.col(c).cast("double") for c in features])
-    return df.select(F.col(key).alias("key"), (F.col(sample) == F.lit(first)).alias("first"), v.alias("v"))
+    v = by_name(features).cast("array<double>") if isinstance(features, str) else F.array(*[by_name(c).cast("double") for c in features])
+    return df.select(by_name(key).alias("key"), (by_name(sample) == F.lit(first)).alias("first"), v.alias("v"))
 
 
 def _sizes(vectors: DataFrame) -> tuple[int, int, int]:
@@ -152,8 +153,9 @@ def _own_weights() -> list[Column]:
 
 
 def _standardized(vectors: DataFrame, width: int) -> DataFrame:
+    """A constant feature becomes 0 and adds nothing."""
     row = vectors.agg(*[f(F.col("v")[k]) for k in range(width) for f in (F.avg, F.stddev_pop)]).first()
-    scaled = [(F.col("v")[k] - F.lit(row[2 * k])) / F.lit(row[2 * k + 1]) for k in range(width)]
+    scaled = [(F.col("v")[k] - F.lit(row[2 * k])) / F.lit(row[2 * k + 1] or 1.0) for k in range(width)]
     return vectors.withColumn("v", F.array(*scaled))
 
 
@@ -230,14 +232,17 @@ def estat_replicates(
 def estat(
     df: DataFrame, sample: str, features, key: str, first, nboot: int = 1000, method: str = "log", replace: bool = False, seed=0
 ) -> DataFrame:
-    """(energy, p_value): share of replicates whose energy is at least the observed one."""
+    """(energy, p_value): share of replicates whose energy is at least the observed one.
+
+    A replicate without an energy (equal rows under `log`) leaves the p-value undefined: NULL.
+    """
     reps = estat_replicates(df, sample, features, key, first, nboot, method, replace, seed)
     # one row per replicate
     observed = F.max(F.when(F.col("rep") == 0, F.col("energy"))).alias("energy")
     values = F.collect_list(F.when(F.col("rep") > 0, F.col("energy"))).alias("boot")
     both = reps.agg(observed, values)
     share = F.size(F.filter("boot", lambda e: e >= F.col("energy"))) / F.lit(float(nboot))
-    return both.select("energy", F.when(F.col("energy").isNotNull(), share).alias("p_value"))
+    return both.select("energy", F.when(F.col("energy").isNotNull() & (F.size("boot") == nboot), share).alias("p_value"))
 
 
 def estat2d(df: DataFrame, sample: str, x: str, y: str, key: str, first, **options) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions.columns import replace_columns
+from ..functions.columns import by_name, replace_columns
 from ..functions.lookup import BROADCAST_ROWS
 from ..functions.order import ordered
 from ..functions.rng import normals, uniform
@@ -55,7 +55,7 @@ def repeat_rows(table: DataFrame, cols: Sequence[str], order: Sequence[str], row
     Row r serves ids r, r + size, r + 2*size, ... so no join is needed.
     """
     wanted = list(dict.fromkeys([*order, *cols]))
-    placed = ordered(table.select(*wanted), list(order), index="__row")
+    placed = ordered(table.select(*map(by_name, wanted)), list(order), index="__row")
     size = max(placed.rows, 1)
     table = placed.df.withColumn("__row", F.col("__row") - 1)
     if rows <= size:
@@ -104,7 +104,7 @@ def generate_uniform(table, net, data, conditions, rows, noise, seed=0, **forwar
 
 
 def _uniform_conditions(table: DataFrame, conditions: Sequence[str], rows: int, seed) -> DataFrame:
-    distinct = ordered(table.select(*conditions).distinct(), list(conditions), index="__row")
+    distinct = ordered(table.select(*map(by_name, conditions)).distinct(), list(conditions), index="__row")
     ids = table.sparkSession.range(rows)
     ids = ids.select("id", (F.floor(uniform(seed, "condition", "id") * F.lit(float(distinct.rows))) + 1).alias("__row"))
     few = distinct.rows <= BROADCAST_ROWS  # otherwise every number is asked for rarely enough to shuffle
@@ -117,8 +117,8 @@ def first_rows(table: DataFrame, order: str, rows: int) -> DataFrame:
     if rows >= size:
         return table
     if is_numeric(table, order):
-        found, _ = order_statistics(table, {"k": F.col(order)}, {"k": [rows]}, {"k": size})
-        return table.where(F.col(order) <= F.lit(found["k"][0].value))
+        found, _ = order_statistics(table, {"k": by_name(order)}, {"k": [rows]}, {"k": size})
+        return table.where(by_name(order) <= F.lit(found["k"][0].value))
     return ordered(table, [order], index="__row").df.where(F.col("__row") <= rows).drop("__row")
 
 
@@ -126,9 +126,9 @@ def translate_a_to_b(
     table: DataFrame, net: Network, a: Sequence[str], b: Sequence[str], order: str, rows: int, **forward
 ) -> DataFrame:
     """(order, b) = G(a) for whole batches of 5000 until `rows` are reached; a shorter table just ends."""
-    fed = first_rows(table, order, BATCH * -(-rows // BATCH)).select(*dict.fromkeys([order, *a]))
+    fed = first_rows(table, order, BATCH * -(-rows // BATCH)).select(*map(by_name, dict.fromkeys([order, *a])))
     out = dense_forward(_spread(fed, rows, net, order), net, list(a), [f"__b_{c}" for c in b], key=order, **forward)
-    return out.select(order, *[F.col(f"__b_{c}").alias(c) for c in b])
+    return out.select(by_name(order), *[by_name(f"__b_{c}").alias(c) for c in b])
 
 
 def reconstruction_error(
@@ -152,5 +152,5 @@ def reconstruction_error(
     fed = sample_noise(fed, noise, key, seed, "__z")
     names = [f"__g_{c}" for c in data]
     out = dense_forward(fed, net, [*_noise_names(noise), *conditions], names, key=key, **forward)
-    error = sum((F.abs(F.col(c) - F.col(g)) for c, g in zip(data, names)), F.lit(0.0))
-    return out.select(key, *[c for c in ids if c != key], error.alias("error"))
+    error = sum((F.abs(by_name(c) - by_name(g)) for c, g in zip(data, names)), F.lit(0.0))
+    return out.select(by_name(key), *[by_name(c) for c in ids if c != key], error.alias("error"))

@@ -9,7 +9,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.columns import null_double, replace_columns
+from ..functions.columns import by_name, null_double, replace_columns
 from ..functions.materialize import ensure_checkpoint_dir, materialize
 from ..functions.order import ordered
 from ..functions.rng import uniform
@@ -21,14 +21,14 @@ BOOSTING = {"maxIter": 200, "maxDepth": 5, "stepSize": 0.01, "minInstancesPerNod
 
 
 def impute_median(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    row = df.agg(*[f(F.col(c)) for c in cols for f in (F.count, sketch)]).first()
+    row = df.agg(*[f(by_name(c)) for c in cols for f in (F.count, sketch)]).first()
     counts, grids = dict(zip(cols, row[0::2])), dict(zip(cols, map(as_grid, row[1::2])))
-    middle, _ = medians(df, {c: F.col(c) for c in cols}, counts, grids)
+    middle, _ = medians(df, {c: by_name(c) for c in cols}, counts, grids)
     return impute_values(df, {c: m for c, m in middle.items() if m is not None})
 
 
 def impute_values(df: DataFrame, values: dict[str, float]) -> DataFrame:
-    return replace_columns(df, {c: F.coalesce(F.col(c), F.lit(float(v))) for c, v in values.items()})
+    return replace_columns(df, {c: F.coalesce(by_name(c), F.lit(float(v))) for c, v in values.items()})
 
 
 def impute_zero(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -43,14 +43,14 @@ def impute_random(df: DataFrame, cols: Sequence[str], key: str, seed=0) -> DataF
     (column, number), which is balanced because each number occurs once.
     """
     cols = list(cols)
-    seen = {c: F.when(F.col(c).isNotNull(), 1).otherwise(0) for c in cols}
-    counted = ordered(df.select(key, *cols), [key], {f"__n_{c}": seen[c] for c in cols})
+    seen = {c: F.when(by_name(c).isNotNull(), 1).otherwise(0) for c in cols}
+    counted = ordered(df.select(by_name(key), *map(by_name, cols)), [key], {f"__n_{c}": seen[c] for c in cols})
     observed = {c: int(counted.totals[f"__n_{c}"]) for c in cols}
     cells = [
         F.struct(
             F.lit(c).alias("col"),
-            F.col(c).cast("double").alias("value"),
-            F.when(F.col(c).isNotNull(), F.col(f"__n_{c}") - 1)
+            by_name(c).cast("double").alias("value"),
+            F.when(by_name(c).isNotNull(), by_name(f"__n_{c}") - 1)
             .otherwise(F.floor(uniform(seed, c, key) * F.lit(float(observed[c]))))
             .cast("bigint")
             .alias("number"),
@@ -61,14 +61,14 @@ def impute_random(df: DataFrame, cols: Sequence[str], key: str, seed=0) -> DataF
     if not cells:
         return df
     # every column of a row needs a cell only where it is observed or asks
-    long = counted.df.select(key, F.explode(F.array(*cells)).alias("cell")).select(key, "cell.*")
+    long = counted.df.select(by_name(key), F.explode(F.array(*cells)).alias("cell")).select(by_name(key), "cell.*")
     values = long.where(F.col("value").isNotNull()).select("col", "number", "value")
-    wanted = long.where(F.col("value").isNull()).select(key, "col", "number")
+    wanted = long.where(F.col("value").isNull()).select(by_name(key), "col", "number")
     drawn = wanted.join(values, ["col", "number"])
-    filled = drawn.groupBy(key).agg(*[F.max(F.when(F.col("col") == c, F.col("value"))).alias(f"__f_{c}") for c in cols])
+    filled = drawn.groupBy(by_name(key)).agg(*[F.max(F.when(F.col("col") == c, F.col("value"))).alias(f"__f_{c}") for c in cols])
     joined = df.join(filled, key, "left")
     return replace_columns(
-        joined, {c: F.coalesce(F.col(c), F.col(f"__f_{c}")) for c in cols}, {f"__f_{c}" for c in cols}
+        joined, {c: F.coalesce(by_name(c), by_name(f"__f_{c}")) for c in cols}, {f"__f_{c}" for c in cols}
     )
 
 
@@ -80,8 +80,8 @@ def impute_model(df: DataFrame, cols: Sequence[str], features: Sequence[str], **
     """
     ensure_checkpoint_dir(df.sparkSession)  # trees cut their own lineage there
     features = list(features)
-    wanted = [c for c, n in zip(cols, df.agg(*[F.count_if(F.col(c).isNull()) for c in cols]).first()) if n]
-    marks = {f"__null_{c}": F.col(c).isNull() for c in wanted}
+    wanted = [c for c, n in zip(cols, df.agg(*[F.count_if(by_name(c).isNull()) for c in cols]).first()) if n]
+    marks = {f"__null_{c}": by_name(c).isNull() for c in wanted}
     work = df.select("*", *[m.alias(n) for n, m in marks.items()])
     work = work.fillna(SENTINEL, subset=[c for c in {*features, *cols} if c in df.columns])
     params = {**BOOSTING, **boosting}
@@ -89,11 +89,11 @@ def impute_model(df: DataFrame, cols: Sequence[str], features: Sequence[str], **
     for c in wanted:
         inputs = [f for f in features if f != c]
         assembler = VectorAssembler(inputCols=inputs, outputCol="__features")
-        train = assembler.transform(work.where(~F.col(f"__null_{c}")).select(*inputs, F.col(c).alias("__label")))
+        train = assembler.transform(work.where(~by_name(f"__null_{c}")).select(*inputs, by_name(c).alias("__label")))
         models[c] = (assembler, GBTRegressor(featuresCol="__features", labelCol="__label", **params).fit(train))
     for c in wanted:
         assembler, model = models[c]
         scored = model.setPredictionCol("__prediction").transform(assembler.transform(work))
-        work = scored.withColumn(c, F.when(F.col(f"__null_{c}"), F.col("__prediction")).otherwise(F.col(c)))
+        work = scored.withColumn(c, F.when(by_name(f"__null_{c}"), F.col("__prediction")).otherwise(by_name(c)))
         work = work.drop("__features", "__prediction")
-    return work.select(*df.columns)
+    return work.select(*map(by_name, df.columns))

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions.columns import replace_columns
+from ..functions.columns import by_name, replace_columns
 from ..functions.lookup import lookup
 from ..functions.materialize import materialize
 
@@ -26,11 +26,11 @@ class LikelihoodStats:
 def laplace_fit(df: DataFrame, target: str, cols: Sequence[str]) -> LikelihoodStats:
     """(sum + 30*avg) / (count + 30) per category; NULL categories have no row."""
     cols = list(cols)
-    global_avg = df.agg(F.avg(target)).first()[0]
-    long = df.select(F.col(target).cast("double").alias("__y"), *[F.col(c).cast("string").alias(c) for c in cols])
-    long = long.unpivot(["__y"], cols, "col", "value").where(F.col("value").isNotNull())
+    global_avg = df.agg(F.avg(by_name(target))).first()[0]
+    long = df.select(by_name(target).cast("double").alias("__y"), *[by_name(c).cast("string").alias(c) for c in cols])
+    long = long.unpivot(["__y"], [by_name(c) for c in cols], "col", "value").where(F.col("value").isNotNull())
     table = long.groupBy("col", "value").agg(F.sum("__y").alias("sum"), F.count("*").alias("count"))
-    mean = (F.coalesce("sum", F.lit(0.0)) + F.lit(PRIOR_ROWS * global_avg)) / (F.col("count") + F.lit(PRIOR_ROWS))
+    mean = (F.coalesce("sum", F.lit(0.0)) + F.lit(None if global_avg is None else PRIOR_ROWS * global_avg)) / (F.col("count") + F.lit(PRIOR_ROWS))
     table = materialize(table.withColumn("smoothed_mean", mean))
     sizes = {r["col"]: r["n"] for r in table.groupBy("col").agg(F.count("*").alias("n")).collect()}
     return LikelihoodStats(global_avg, table, {c: sizes.get(c, 0) for c in cols})
@@ -45,7 +45,7 @@ def laplace_transform(df: DataFrame, stats: LikelihoodStats, cols: Sequence[str]
         table = stats.table.where(F.col("col") == c).select(
             F.col("value").alias("__value"), F.col("smoothed_mean").alias("__likelihood"), F.col("count").alias("__n")
         )
-        out = out.withColumn("__value", F.col(c).cast("string"))
+        out = out.withColumn("__value", by_name(c).cast("string"))
         out = lookup(out, table, ["__value"], "__n", stats.values[c])
         encoded = F.coalesce("__likelihood", F.lit(stats.global_avg))
         out = replace_columns(out, {c if replace else f"{c}_likeli": encoded}, {"__value", "__likelihood"})

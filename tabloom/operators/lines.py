@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.columns import by_name
 from ..functions.lookup import lookup
 from ..functions.order import ordered, row_index
 
@@ -13,15 +14,15 @@ TAILS = (0.01, 0.99)
 
 def snap_lines(df: DataFrame, line: str, optimal: str) -> DataFrame:
     """Replace `line` by the nearest distinct value of `optimal`, the lower one on ties."""
-    lines = df.select(F.col(optimal).alias("line")).where(F.col("line").isNotNull()).distinct()
+    lines = df.select(by_name(optimal).alias("line")).where(F.col("line").isNotNull()).distinct()
     few = [r["line"] for r in lines.limit(FEW_LINES + 1).collect()]
     if len(few) <= FEW_LINES:
         options = F.array(*[F.lit(v) for v in sorted(few)])
-        near = F.array_min(F.transform(options, lambda v: F.struct(F.abs(v - F.col(line)).alias("gap"), v.alias("line"))))
-        return df.withColumn(line, F.when(F.col(line).isNotNull(), near["line"]))
+        near = F.array_min(F.transform(options, lambda v: F.struct(F.abs(v - by_name(line)).alias("gap"), v.alias("line"))))
+        return df.withColumn(line, F.when(by_name(line).isNotNull(), near["line"]))
     # many lines: number them, and find for each distinct value how many lines lie at or below it
     numbered = row_index(lines, ["line"], "number").select("number", "line")
-    values = df.where(F.col(line).isNotNull()).groupBy(F.col(line).alias("value")).agg(F.count("*").alias("n"))
+    values = df.where(by_name(line).isNotNull()).groupBy(by_name(line).alias("value")).agg(F.count("*").alias("n"))
     marks = values.select("value", "n", F.lit(1).alias("asks")).unionByName(
         lines.select(F.col("line").alias("value"), F.lit(0).cast("bigint").alias("n"), F.lit(0).alias("asks"))
     )
@@ -68,17 +69,17 @@ def diagonal_cmv(df: DataFrame, final: str, optimal: str, cmv: str, key: str, mo
     Percentiles come from one global order, so a cell of any size is spread over tasks.
     """
     rows = df.select(
-        F.col(key).alias("key"), F.col(final).alias("final_line"), F.col(optimal).alias("opt_line"), F.col(cmv).alias("cmv")
+        by_name(key).alias("key"), by_name(final).alias("final_line"), by_name(optimal).alias("opt_line"), by_name(cmv).alias("cmv")
     )
     if mode == "round":
         rows = snap_lines(rows, "final_line", "opt_line")
     cell = ["final_line", "opt_line"]
     rows = rows.where(F.col("cmv").isNotNull() & F.col("final_line").isNotNull() & F.col("opt_line").isNotNull())
     placed = row_index(rows, [*cell, "cmv", "key"])
-    cells = placed.groupBy(*cell).agg(F.count("*").alias("n"), F.min("row_no").alias("first"))
-    limits = _between(placed, cells).join(cells.select(*cell, "n"), cell)
+    cells = placed.groupBy(*map(by_name, cell)).agg(F.count("*").alias("n"), F.min("row_no").alias("first"))
+    limits = _between(placed, cells).join(cells.select(*map(by_name, cell), "n"), cell)
     kept = lookup(placed, limits, cell, "n").where((F.col("cmv") > F.col("p01")) & (F.col("cmv") < F.col("p99")))
-    per_cell = kept.groupBy(*cell).agg(F.count("*").alias("c"), F.sum("cmv").alias("s"))
+    per_cell = kept.groupBy(*map(by_name, cell)).agg(F.count("*").alias("c"), F.sum("cmv").alias("s"))
     on_diagonal = F.col("final_line") == F.col("opt_line")
     per_line = per_cell.groupBy("opt_line").agg(
         F.sum("c").alias("counts"), F.max(F.when(on_diagonal, F.col("s") / F.col("c"))).alias("mean")

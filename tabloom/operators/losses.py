@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.columns import by_name
 from .network import Network, dense_forward
 from .ranking import auc
 
@@ -14,10 +15,10 @@ def score_realness(
     real: DataFrame, generated: DataFrame, net: Network, columns: Sequence[str], key: str, **forward
 ) -> DataFrame:
     """(key, label, score): discriminator output over `columns` (data, then conditions if any); label 1 = real."""
-    both = real.select(key, F.lit(1).alias("label"), *columns).unionByName(
-        generated.select(key, F.lit(0).alias("label"), *columns)
+    both = real.select(by_name(key), F.lit(1).alias("label"), *map(by_name, columns)).unionByName(
+        generated.select(by_name(key), F.lit(0).alias("label"), *map(by_name, columns))
     )
-    return dense_forward(both, net, list(columns), ["score"], **forward).select(key, "label", "score")
+    return dense_forward(both, net, list(columns), ["score"], **forward).select(by_name(key), "label", "score")
 
 
 def realness_auc(scored: DataFrame) -> DataFrame:
@@ -52,13 +53,13 @@ def critic_gap(scored: DataFrame) -> DataFrame:
 
 
 def _mean_gap(df: DataFrame, cols: Sequence[str], others: Sequence[str], name: str) -> DataFrame:
-    gap = sum((F.abs(F.col(c) - F.col(o)) for c, o in zip(cols, others)), F.lit(0.0))
-    return df.agg((F.sum(gap) / (F.count("*") * len(cols))).alias(name))
+    gap = sum((F.abs(by_name(c) - by_name(o)) for c, o in zip(cols, others)), F.lit(0.0))
+    return df.agg((F.avg(gap) / len(cols)).alias(name))  # rows with a NULL on either side are left out
 
 
 def _one_side(df: DataFrame, nets: Sequence[Network], cols: Sequence[str], name: str, **forward) -> DataFrame:
     """Mean |x - nets(x)| over all cells."""
-    work, names = df.select(*cols), list(cols)
+    work, names = df.select(*map(by_name, cols)), list(cols)
     for step, net in enumerate(nets):
         out = [f"__s{step}_{j}" for j in range(net.outputs)]
         work, names = dense_forward(work, net, names, out, **forward), out

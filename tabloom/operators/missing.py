@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.columns import null_double, replace_columns
+from ..functions.columns import by_name, null_double, replace_columns
 from ..functions.selection import Place, as_grid, medians, rank_value, sketch, smallest
 from ..sources.stats import ColumnStats
 
@@ -21,16 +21,16 @@ def _flag(marked: Column) -> Column:
 
 def _counts(df: DataFrame, cols: Sequence[str]) -> tuple[int, dict[str, int], dict[str, list]]:
     """Rows, non-missing rows per column and quantile sketches, in one pass."""
-    row = df.agg(F.count("*"), *[f(F.col(c)) for c in cols for f in (F.count, sketch)]).first()
+    row = df.agg(F.count("*"), *[f(by_name(c)) for c in cols for f in (F.count, sketch)]).first()
     return row[0], dict(zip(cols, row[1::2])), dict(zip(cols, map(as_grid, row[2::2])))
 
 
 def missing_fit(df: DataFrame, cols: Sequence[str]) -> ColumnStats:
     rows, filled, grids = _counts(df, cols)
-    middle, _ = medians(df, {c: F.col(c) for c in cols}, filled, grids)
+    middle, _ = medians(df, {c: by_name(c) for c in cols}, filled, grids)
     stats = ColumnStats("missing")
     for c in cols:
-        share = (rows - filled[c]) / rows
+        share = (rows - filled[c]) / rows if rows else 0.0
         stats.columns[c] = {"nmissing": share}
         if share > MISSING_SHARE:
             stats.columns[c]["missing_column"] = f"{c}_missing"
@@ -41,7 +41,7 @@ def missing_fit(df: DataFrame, cols: Sequence[str]) -> ColumnStats:
 def missing_transform(df: DataFrame, stats: ColumnStats, cols: Sequence[str] = ()) -> tuple[DataFrame, list[str]]:
     """Add the stored flag columns; returns their names too."""
     flags = {
-        stats.columns[c]["missing_column"]: _flag(F.col(c).isNull())
+        stats.columns[c]["missing_column"]: _flag(by_name(c).isNull())
         for c in cols or stats.columns
         if "missing_column" in stats.columns.get(c, {})
     }
@@ -57,11 +57,11 @@ def missing_fit_transform(df: DataFrame, cols: Sequence[str]) -> tuple[DataFrame
 def missing_back(df: DataFrame, stats: ColumnStats, key: str, cols: Sequence[str] = ()) -> DataFrame:
     """The round(share*rows) rows with the smallest flag become NULL, ties by key."""
     flagged = [c for c in cols or stats.columns if stats.columns[c].get("missing_column") in df.columns]
-    flags = {c: (F.col(stats.columns[c]["missing_column"]), stats.columns[c]["nmissing"]) for c in flagged}
+    flags = {c: (by_name(stats.columns[c]["missing_column"]), stats.columns[c]["nmissing"]) for c in flagged}
     rows, grids = _rows_and_sketches(df, flags)
     picks = {c: (flags[c][0], _nearest(stats.columns[c]["nmissing"] * rows)) for c in flagged}
     marked = smallest(df, picks, key, rows, grids)
-    return replace_columns(df, {c: F.when(~marked[c], F.col(c)) for c in picks})
+    return replace_columns(df, {c: F.when(~marked[c], by_name(c)) for c in picks})
 
 
 def _rows_and_sketches(df: DataFrame, flags: dict[str, tuple[Column, float]]) -> tuple[int, dict[str, list]]:
@@ -88,7 +88,7 @@ def special_fit(df: DataFrame, cols: Sequence[str], frequencies: str = "all") ->
     stats = ColumnStats("special")
     removed = {}
     for c in cols:
-        share = (rows - filled[c]) / rows
+        share = (rows - filled[c]) / rows if rows else 0.0
         s = stats.columns[c] = {"nmissing": share}
         if share > MISSING_SHARE:
             s["missing_column"] = f"{c}_missing"
@@ -99,14 +99,14 @@ def special_fit(df: DataFrame, cols: Sequence[str], frequencies: str = "all") ->
             if s["nhighfreq"] > FREQUENT_SHARE and distinct > FREQUENT_DISTINCT:
                 s["highfreq_column"] = f"{c}_highfreq"
                 removed[c] = place
-    middle, _ = medians(df, {c: F.col(c) for c in cols}, filled, grids, without=removed)
+    middle, _ = medians(df, {c: by_name(c) for c in cols}, filled, grids, without=removed)
     for c in cols:
         stats.columns[c]["median"] = middle[c]
     return stats
 
 
 def _most_frequent(df: DataFrame, cols: list[str]) -> dict[str, tuple[Place, int]]:
-    long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot([], cols, "col", "value")
+    long = df.select(*[by_name(c).cast("double").alias(c) for c in cols]).unpivot([], [by_name(c) for c in cols], "col", "value")
     counted = long.where(F.col("value").isNotNull()).groupBy("col", "value").agg(F.count("*").alias("n"))
     top = counted.groupBy("col").agg(
         F.max(F.struct("n", (-F.col("value")).alias("negated"))).alias("top"), F.count("*").alias("distinct")
@@ -114,7 +114,7 @@ def _most_frequent(df: DataFrame, cols: list[str]) -> dict[str, tuple[Place, int
     found = {r["col"]: (-r["top"]["negated"] + 0.0, r["top"]["n"], r["distinct"]) for r in top.collect()}
     if not found:
         return {}
-    less = df.agg(*[F.count_if(F.col(c) < F.lit(v)) for c, (v, _, _) in found.items()]).first()
+    less = df.agg(*[F.count_if(by_name(c) < F.lit(v)) for c, (v, _, _) in found.items()]).first()
     return {c: (Place(v, below, n), distinct) for (c, (v, n, distinct)), below in zip(found.items(), less)}
 
 
@@ -127,7 +127,7 @@ def _majorities(df: DataFrame, filled: dict[str, int], grids: dict[str, list]) -
         return {}
     row = df.agg(
         *[F.approx_count_distinct(c) for c in candidates],
-        *[f for c, v in checks for f in (F.count_if(F.col(c) < F.lit(v)), F.count_if(F.col(c) == F.lit(v)))],
+        *[f for c, v in checks for f in (F.count_if(by_name(c) < F.lit(v)), F.count_if(by_name(c) == F.lit(v)))],
     ).first()
     distinct, counted = dict(zip(candidates, row)), row[len(candidates) :]
     out = {}
@@ -144,8 +144,8 @@ def _majorities(df: DataFrame, filled: dict[str, int], grids: dict[str, list]) -
 
 def _without_frequent(c: str, s: dict) -> Column:
     if "highfreq_column" not in s:
-        return F.col(c)
-    return F.when(F.col(c) != F.lit(s["highfreq"]), F.col(c))
+        return by_name(c)
+    return F.when(by_name(c) != F.lit(s["highfreq"]), by_name(c))
 
 
 def special_transform(
@@ -156,10 +156,10 @@ def special_transform(
     for c in cols or stats.columns:
         s = stats.columns.get(c, {})
         if "missing_column" in s:
-            changed[s["missing_column"]] = _flag(F.col(c).isNull())
+            changed[s["missing_column"]] = _flag(by_name(c).isNull())
             missing.append(s["missing_column"])
         if "highfreq_column" in s:
-            changed[s["highfreq_column"]] = _flag(F.col(c) == F.lit(s["highfreq"]))
+            changed[s["highfreq_column"]] = _flag(by_name(c) == F.lit(s["highfreq"]))
             changed[c] = _without_frequent(c, s)
             frequent.append(s["highfreq_column"])
     return replace_columns(df, changed), missing, frequent
@@ -181,7 +181,7 @@ def special_back(
     always been; `exact_counts` takes rows*(1 - missing share) instead.
     """
     flags = {
-        name: (F.col(name), stats.columns[c][share])
+        name: (by_name(name), stats.columns[c][share])
         for c in cols or stats.columns
         for kind, share in (("highfreq_column", "nhighfreq"), ("missing_column", "nmissing"))
         if (name := stats.columns[c].get(kind)) in df.columns
@@ -192,16 +192,16 @@ def special_back(
         s = stats.columns[c]
         if s.get("highfreq_column") in flags:
             base = rows * (1.0 - s["nmissing"]) if exact_counts else rows - s["nmissing"]
-            picks[s["highfreq_column"]] = (F.col(s["highfreq_column"]), _nearest(s["nhighfreq"] * base))
+            picks[s["highfreq_column"]] = (by_name(s["highfreq_column"]), _nearest(s["nhighfreq"] * base))
         if s.get("missing_column") in flags:
-            picks[s["missing_column"]] = (F.col(s["missing_column"]), _nearest(s["nmissing"] * rows))
+            picks[s["missing_column"]] = (by_name(s["missing_column"]), _nearest(s["nmissing"] * rows))
     marked = smallest(df, picks, key, rows, grids)
     changed = {}
     for c in cols or stats.columns:
         s = stats.columns[c]
         if c not in df.columns:
             continue
-        value = F.col(c)
+        value = by_name(c)
         if s.get("highfreq_column") in picks:
             value = F.when(marked[s["highfreq_column"]], F.lit(s["highfreq"])).otherwise(value)
         if s.get("missing_column") in picks:

@@ -8,18 +8,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.columns import replace_columns
-from .network import Layer, Network, dense_forward
+from ..functions.columns import by_name, replace_columns
+from .network import Layer, Network, complete, dense_forward
 
 BUILTIN_WIDTH = 12  # up to here plain sums of products, beyond it partial matrices per task
-MAX_WIDTH = 8_192  # a square matrix of this width is solved on the driver
 
 
 def cross_moments(df: DataFrame, columns: Sequence[Column]) -> np.ndarray:
-    """The matrix of sums v_i * v_j over all rows; the driver sees width x width numbers."""
+    """The matrix of sums v_i * v_j over all rows without a NULL or NaN; the driver sees width x width numbers."""
     width = len(columns)
-    if width > MAX_WIDTH:
-        raise ValueError(f"{width} columns: the moment matrix would not fit the driver")
+    df = df.where(complete(columns))
     pairs = [(i, j) for i in range(width) for j in range(i, width)]
     out = np.zeros((width, width))
     if width <= BUILTIN_WIDTH:
@@ -40,8 +38,9 @@ def cross_moments(df: DataFrame, columns: Sequence[Column]) -> np.ndarray:
 
     vector = df.select(F.array(*[c.cast("double") for c in columns]).alias("v"))
     cells = vector.mapInArrow(partial, "i int, j int, v double").groupBy("i", "j").agg(F.sum("v").alias("v"))
-    for r in cells.collect():
-        out[r["i"], r["j"]] = out[r["j"], r["i"]] = r["v"]
+    found = cells.toArrow()
+    i, j, v = (found.column(c).to_numpy() for c in ("i", "j", "v"))
+    out[i, j] = out[j, i] = v
     return out
 
 
@@ -53,7 +52,7 @@ def svd_standardize(df: DataFrame, cols: Sequence[str], nsvd: int = 30, prefix:
     names = list(cols)
     work = df
     if nsvd > 0:
-        gram = cross_moments(df, [F.col(c) for c in cols])
+        gram = cross_moments(df, [by_name(c) for c in cols])
         values, vectors = np.linalg.eigh(gram)
         basis = vectors[:, np.argsort(values)[::-1][:nsvd]]
         largest = np.abs(basis).argmax(axis=0)
@@ -62,7 +61,7 @@ def svd_standardize(df: DataFrame, cols: Sequence[str], nsvd: int = 30, prefix:
         net = Network([Layer("svd", "dense", weight=basis, bias=np.zeros(basis.shape[1]))])
         work = dense_forward(df, net, list(cols), names)
     row = work.agg(*[f(c) for c in names for f in (F.avg, F.stddev_pop)]).first()
-    scaled = {c: (F.col(c) - F.lit(row[2 * i])) / F.lit(row[2 * i + 1] or 1.0) for i, c in enumerate(names)}
+    scaled = {c: (by_name(c) - F.lit(row[2 * i])) / F.lit(row[2 * i + 1] or 1.0) for i, c in enumerate(names)}
     out = replace_columns(work, scaled)
     return out.drop(*cols) if nsvd > 0 else out
 
@@ -74,8 +73,8 @@ def fit_generator(df: DataFrame, data: Sequence[str], conditions: Sequence[str],
     covariance; all from one pass of cross moments of (1, y, x).
     """
     ny, nx = len(conditions), len(data)
-    m = cross_moments(df, [F.lit(1.0), *[F.col(c) for c in conditions], *[F.col(c) for c in data]])
-    rows = m[0, 0]
+    m = cross_moments(df, [F.lit(1.0), *[by_name(c) for c in conditions], *[by_name(c) for c in data]])
+    rows = max(m[0, 0], 1.0)  # of complete rows; without any the net is zero
     a, cross, square = m[: ny + 1, : ny + 1], m[: ny + 1, ny + 1 :], m[ny + 1 :, ny + 1 :]
     beta = np.linalg.lstsq(a, cross, rcond=None)[0]
     residual = (square - cross.T @ beta - beta.T @ cross + beta.T @ a @ beta) / rows

@@ -1,6 +1,6 @@
 """Dense networks: a weights table and the forward pass over a DataFrame.
 
-Three forms of the forward pass give the same numbers:
+A row with a NULL or NaN input has NULL outputs. Three forms of the forward pass give the same numbers:
 * `expression`: tiny nets as plain column arithmetic inside code generation,
 * `batches`: broadcast weights and one matrix product per Arrow batch,
 * `relational`: weights stay a distributed table, each dense layer is a join and a sum.
@@ -13,8 +13,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..functions.columns import by_name
+from ..functions.materialize import materialize
 EXPRESSION_WEIGHTS = 64
 BROADCAST_BYTES = 1 << 30
 WEIGHTS_SCHEMA = "layer string, in_i int, out_j int, w double"  # in_i = -1 holds the bias
@@ -85,11 +87,17 @@ class Network:
         return sum(layer.weight.size + layer.bias.size for layer in self.dense)
 
     def weights_frame(self, spark: SparkSession) -> DataFrame:
-        rows = []
+        parts = []
         for layer in self.dense:
-            rows += [(layer.name, -1, j, float(v)) for j, v in enumerate(layer.bias)]
-            rows += [(layer.name, i, j, float(v)) for (i, j), v in np.ndenumerate(layer.weight)]
-        return spark.createDataFrame(rows, WEIGHTS_SCHEMA)
+            inputs, outputs = layer.weight.shape
+            cells = {
+                "layer": pa.array([layer.name]).take(pa.array(np.zeros((inputs + 1) * outputs, np.int64))),
+                "in_i": np.repeat(np.arange(-1, inputs, dtype=np.int32), outputs),
+                "out_j": np.tile(np.arange(outputs, dtype=np.int32), inputs + 1),
+                "w": np.concatenate([layer.bias, layer.weight.ravel()]),
+            }
+            parts.append(pa.table(cells))
+        return spark.createDataFrame(pa.concat_tables(parts)).to(spark.createDataFrame([], WEIGHTS_SCHEMA).schema)
 
 
 def dense_forward(
@@ -115,14 +123,25 @@ def dense_forward(
     if how == "expression":
         return _forward_expression(df, net, inputs, outputs)
     if how == "batches":
+        if net.size * np.dtype(dtype).itemsize > BROADCAST_BYTES:
+            raise ValueError(f"{net.size} weights are too many to broadcast; use the relational form")
         return _forward_batches(df, net, inputs, outputs, dtype, mc_dropout, key, seed)
-    if mc_dropout or key is None:
-        raise ValueError("the relational form needs a key and has no active dropout")
+    if mc_dropout:
+        raise ValueError("the relational form has no active dropout")
     return forward_relational(df, net.weights_frame(df.sparkSession), net.layers, inputs, outputs, key)
 
 
+def complete(inputs: Sequence[str | Column]) -> Column:
+    """True for a row without a NULL or NaN input."""
+    ok = F.lit(True)
+    for c in inputs:
+        ok = ok & by_name(c).isNotNull() & ~F.isnan(by_name(c).cast("double"))
+    return ok
+
+
 def _forward_expression(df: DataFrame, net: Network, inputs, outputs) -> DataFrame:
     work, names, step = df, list(inputs), 0
+    full = complete(inputs)
     for layer in net.layers:
         if layer.kind == "dropout":
             continue
@@ -131,18 +150,18 @@ def _forward_expression(df: DataFrame, net: Network, inputs, outputs) -> DataFra
             for j in range(layer.weight.shape[1]):
                 total = F.lit(0.0)
                 for i, name in enumerate(names):
-                    total = total + F.col(name) * F.lit(float(layer.weight[i, j]))
+                    total = total + by_name(name) * F.lit(float(layer.weight[i, j]))
                 values.append(total + F.lit(float(layer.bias[j])))
         elif layer.kind == "relu":
-            values = [F.greatest(F.col(n), F.lit(0.0)) for n in names]
+            values = [F.greatest(by_name(n), F.lit(0.0)) for n in names]
         elif layer.kind == "sigmoid":
-            values = [F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col(n))) for n in names]
+            values = [F.lit(1.0) / (F.lit(1.0) + F.exp(-by_name(n))) for n in names]
         else:
             raise ValueError(f"unknown layer type {layer.kind!r}")
         step += 1
         names = [f"__h{step}_{j}" for j in range(len(values))]
-        work = work.select(*df.columns, *[v.alias(n) for v, n in zip(values, names)])
-    return work.select(*df.columns, *[F.col(n).alias(o) for n, o in zip(names, outputs)])
+        work = work.select(*map(by_name, df.columns), *[v.alias(n) for v, n in zip(values, names)])
+    return work.select(*map(by_name, df.columns), *[F.when(full, by_name(n)).alias(o) for n, o in zip(names, outputs)])
 
 
 def to_matrix(values: pa.Array, width: int, dtype="float64") -> np.ndarray:
@@ -150,9 +169,11 @@ def to_matrix(values: pa.Array, width: int, dtype="float64") -> np.ndarray:
     return values.flatten().to_numpy(zero_copy_only=False).reshape(len(values), width).astype(dtype, copy=False)
 
 
-def to_lists(matrix: np.ndarray) -> pa.Array:
+def to_lists(matrix: np.ndarray, missing: np.ndarray | None = None) -> pa.Array:
+    """One list per row, NULL where `missing`."""
     rows, width = matrix.shape
-    ends = pa.array(np.arange(0, (rows + 1) * width, width, dtype=np.int32))
+    ends = np.arange(0, (rows + 1) * width, width, dtype=np.int32)
+    ends = pa.array(ends, mask=None if missing is None else np.append(missing, False))
     return pa.ListArray.from_arrays(ends, pa.array(np.ascontiguousarray(matrix, dtype=np.float64).ravel()))
 
 
@@ -184,6 +205,7 @@ def _forward_batches(df, net: Network, inputs, outputs, dtype, mc_dropout, key,
     def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for values, hashes in batches:
             x = to_matrix(values, width, dtype)
+            missing = np.isnan(x).any(axis=1)
             for number, (kind, rate, weight, bias) in enumerate(shared.value):
                 if kind == "dense":
                     x = x @ weight + bias
@@ -197,40 +219,46 @@ def _forward_batches(df, net: Network, inputs, outputs, dtype, mc_dropout, key,
                         x = x * _mask(rows, x.shape[1], rate, number + 1)
                 else:
                     raise ValueError(f"unknown layer type {kind!r}")
-            yield to_lists(x)
+            yield to_lists(x, missing)
 
     forward = F.arrow_udf(run, "array<double>")
-    hashes = F.xxhash64(F.lit(seed), F.col(key)) if mc_dropout else F.lit(0).cast("bigint")
-    vector = F.array(*[F.col(c).cast("double") for c in inputs])
+    hashes = F.xxhash64(F.lit(seed), by_name(key)) if mc_dropout else F.lit(0).cast("bigint")
+    vector = F.array(*[by_name(c).cast("double") for c in inputs])
     work = df.withColumn("__out", forward(vector, hashes))
-    return work.select(*df.columns, *[F.col("__out")[j].alias(o) for j, o in enumerate(outputs)])
+    return work.select(*map(by_name, df.columns), *[F.col("__out")[j].alias(o) for j, o in enumerate(outputs)])
 
 
 def forward_relational(
-    df: DataFrame, table: DataFrame, layers: Sequence[Layer], inputs: Sequence[str], outputs: Sequence[str], key: str
+    df: DataFrame, table: DataFrame, layers: Sequence[Layer], inputs: Sequence[str], outputs: Sequence[str], key: str | None = None
 ) -> DataFrame:
     """Forward pass with the weights as a distributed table of WEIGHTS_SCHEMA.
 
-    Every input number meets all rows, so weights are repeated over salts of the row key.
+    Every input number meets all rows, so weights are repeated over salts of the row key. Without a unique, non-NULL
+    `key` the rows are numbered and stored first.
     """
+    given = df
+    if key is None:
+        key = "__forward_row"
+        df = materialize(df.withColumn(key, F.monotonically_increasing_id()))
+    rows, df = df, df.where(complete(inputs))
     salts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cells = [F.struct(F.lit(i).alias("i"), F.col(c).cast("double").alias("a")) for i, c in enumerate(inputs)]
-    values = df.select(key, F.explode(F.array(*cells)).alias("cell")).select(key, "cell.*")
-    ones = df.select(key, F.lit(-1).alias("i"), F.lit(1.0).alias("a"))
+    cells = [F.struct(F.lit(i).alias("i"), by_name(c).cast("double").alias("a")) for i, c in enumerate(inputs)]
+    values = df.select(by_name(key), F.explode(F.array(*cells)).alias("cell")).select(by_name(key), "cell.*")
+    ones = df.select(by_name(key), F.lit(-1).alias("i"), F.lit(1.0).alias("a"))
     for layer in layers:
         if layer.kind == "dense":
             salted = table.where(F.col("layer") == layer.name).select(
                 F.col("in_i").alias("i"), "out_j", "w", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt")
             )
-            fed = values.unionByName(ones).withColumn("salt", F.pmod(F.xxhash64(key), F.lit(salts)).cast("int"))
+            fed = values.unionByName(ones).withColumn("salt", F.pmod(F.xxhash64(by_name(key)), F.lit(salts)).cast("int"))
             values = (
                 fed.join(salted, ["i", "salt"])
-                .groupBy(key, F.col("out_j").alias("i"))
+                .groupBy(by_name(key), F.col("out_j").alias("i"))
                 .agg(F.sum(F.col("a") * F.col("w")).alias("a"))
             )
         elif layer.kind == "relu":
             values = values.withColumn("a", F.greatest("a", F.lit(0.0)))
         elif layer.kind == "sigmoid":
             values = values.withColumn("a", F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("a"))))
-    wide = values.groupBy(key).agg(*[F.max(F.when(F.col("i") == j, F.col("a"))).alias(o) for j, o in enumerate(outputs)])
-    return df.join(wide, key)
+    wide = values.groupBy(by_name(key)).agg(*[F.max(F.when(F.col("i") == j, F.col("a"))).alias(o) for j, o in enumerate(outputs)])
+    return rows.join(wide, key, "left").select(*map(by_name, given.columns), *map(by_name, outputs))

@@ -6,35 +6,35 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.columns import replace_columns
+from ..functions.columns import by_name, replace_columns
 from ..sources.stats import ColumnStats
 
 NULL_CATEGORY = "null"
-MAX_VALUES = 10_000  # every value becomes a column of the plan
 
 
 def _category(col: str):
-    return F.coalesce(F.col(col).cast("string"), F.lit(NULL_CATEGORY))
+    return F.coalesce(by_name(col).cast("string"), F.lit(NULL_CATEGORY))
 
 
-def onehot_fit(df: DataFrame, cols: Sequence[str], order: str, max_values: int = MAX_VALUES) -> ColumnStats:
+def onehot_fit(df: DataFrame, cols: Sequence[str], order: str, max_values: int | None = None) -> ColumnStats:
     """Distinct values per column in first-seen order (by `order`), NULL as 'null'.
 
     A column whose values are all '0' or '1' is an `indicator`, any other `categorical`.
+    `max_values` refuses a column with more of them.
     """
     cols = list(cols)
     if not cols:
         return ColumnStats("onehot")
-    long = df.select(F.col(order).alias("__order"), *[_category(c).alias(c) for c in cols]).unpivot(
-        ["__order"], cols, "col", "value"
+    long = df.select(by_name(order).alias("__order"), *[_category(c).alias(c) for c in cols]).unpivot(
+        ["__order"], [by_name(c) for c in cols], "col", "value"
     )
     seen = long.groupBy("col", "value").agg(F.min("__order").alias("first"))
-    rows = seen.limit(len(cols) * max_values + 1).collect()
+    rows = (seen.limit(len(cols) * max_values + 1) if max_values else seen).collect()  # each becomes a column of the plan
     found: dict[str, list] = {c: [] for c in cols}
     for r in sorted(rows, key=lambda r: (r["first"], r["value"])):
         found[r["col"]].append(r["value"])
     for c in cols:
-        if len(found[c]) > max_values or len(rows) > len(cols) * max_values:
+        if max_values and (len(found[c]) > max_values or len(rows) > len(cols) * max_values):
             raise ValueError(f"column {c} has more than {max_values} values; use likelihood encoding or raise max_values")
     return ColumnStats(
         "onehot",
@@ -61,7 +61,7 @@ def onehot_transform(
     changed, drop = {}, set()
     for c, s in stats.columns.items():
         if s["type"] == "indicator":
-            changed[c] = F.col(c).cast("double") - F.lit(0.5)
+            changed[c] = by_name(c).cast("double") - F.lit(0.5)
     for c, s in stats.columns.items():
         if s["type"] == "categorical":
             for v in sorted(s["values"])[1 if drop_first else 0 :]:
@@ -99,10 +99,10 @@ def onehot_back(
         s = stats.columns[c]
         if s["type"] == "indicator":
             if restore_indicators and c in df.columns:
-                changed[c] = F.when(F.col(c) > 0, F.lit("1")).otherwise(F.lit("0"))
+                changed[c] = F.when(by_name(c) > 0, F.lit("1")).otherwise(F.lit("0"))
             continue
         present = [v for v in s["values"] if f"{c}_{v}" in df.columns]
-        encoded = F.array(*[F.col(f"{c}_{v}") for v in present])
+        encoded = F.array(*[by_name(f"{c}_{v}") for v in present])
         names = F.array(*[F.lit("" if v == NULL_CATEGORY else v) for v in present])
         changed[c] = F.element_at(names, F.array_position(encoded, F.array_max(encoded)).cast("int"))
         drop |= {f"{c}_{v}" for v in present}

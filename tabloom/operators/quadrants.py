@@ -19,6 +19,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.columns import by_name
 from ..functions.lookup import lookup
 from ..functions.materialize import materialize
 from ..functions.order import ordered, row_index
@@ -111,7 +112,7 @@ def _along(counted: DataFrame, axis: str, n1: int, n2: int, first_rep: int) -> D
     groups = counted.groupBy("rep", axis).agg(F.sum("w1").alias("w1"), F.sum("w2").alias("w2"), F.count("*").alias("n"))
     run = ordered(groups, ["rep", axis], {f"{axis}1": "w1", f"{axis}2": "w2"}, index="__no").df
     for name, n in ((f"{axis}1", n1), (f"{axis}2", n2)):
-        run = run.withColumn(name, F.col(name) - (F.col("rep") - first_rep) * F.lit(float(n)))
+        run = run.withColumn(name, by_name(name) - (F.col("rep") - first_rep) * F.lit(float(n)))
     return lookup(counted, run.select("rep", axis, f"{axis}1", f"{axis}2", "n"), ["rep", axis], "n")
 
 
@@ -119,11 +120,11 @@ class _Points:
     """Distinct pooled points with their ranks along both axes."""
 
     def __init__(self, df: DataFrame, sample: str, x: str, y: str, first):
-        is_first = F.when(F.col(sample) == F.lit(first), 1).otherwise(0)
+        is_first = F.when(by_name(sample) == F.lit(first), 1).otherwise(0)
         # adding 0.0 joins negative and positive zero
         base = df.select(
-            (F.col(x).cast("double") + F.lit(0.0)).alias("x"),
-            (F.col(y).cast("double") + F.lit(0.0)).alias("y"),
+            (by_name(x).cast("double") + F.lit(0.0)).alias("x"),
+            (by_name(y).cast("double") + F.lit(0.0)).alias("y"),
             is_first.alias("s1"),
         )
         distinct = base.groupBy("x", "y").agg(F.sum("s1").alias("w1"), F.sum(F.lit(1) - F.col("s1")).alias("w2"))
@@ -138,11 +139,11 @@ def _shares(weights: DataFrame, points: _Points, strip_rows: int, first_rep: int
     n1, n2 = points.n1, points.n2
     counted = materialize(_dominated(weights, points.count, strip_rows).select("rep", "x", "y", "w1", "w2", "c1", "c2"))
     counted = _along(_along(counted, "x", n1, n2, first_rep), "y", n1, n2, first_rep)
-    out = [F.col(c) for c in ("rep", "x", "y", "w1", "w2")]
+    out = [by_name(c) for c in ("rep", "x", "y", "w1", "w2")]
     for s, n in (("1", n1), ("2", n2)):
-        a = F.col(f"c{s}") / n
-        b = (F.col(f"x{s}") - F.col(f"c{s}")) / n
-        c = (F.col(f"y{s}") - F.col(f"c{s}")) / n
+        a = by_name(f"c{s}") / n
+        b = (by_name(f"x{s}") - by_name(f"c{s}")) / n
+        c = (by_name(f"y{s}") - by_name(f"c{s}")) / n
         out += [a.alias(f"a{s}"), b.alias(f"b{s}"), c.alias(f"c{s}_"), (F.lit(1.0) - a - b - c).alias(f"d{s}")]
     return counted.select(*out).withColumnsRenamed({"c1_": "c1", "c2_": "c2"})
 
@@ -164,14 +165,14 @@ def quadrant_counts(df: DataFrame, sample: str, x: str, y: str, first, strip_row
 
 def _distance(own: str, other: str, n: int) -> tuple[list[Column], Column]:
     """Aggregates (min, max) over the points of sample `own`, and the distance made of them."""
-    gaps = [F.col(f"{q}{own}") - F.col(f"{q}{other}") for q in "abcd"]
+    gaps = [by_name(f"{q}{own}") - by_name(f"{q}{other}") for q in "abcd"]
     gaps[0] = gaps[0] - F.lit(1.0 / n)
-    mine = F.col(f"w{own}") > 0
+    mine = by_name(f"w{own}") > 0
     aggregates = [
         F.min(F.when(mine, F.least(*gaps))).alias(f"low{own}"),
         F.max(F.when(mine, F.greatest(*gaps))).alias(f"high{own}"),
     ]
-    return aggregates, F.greatest(-F.col(f"low{own}"), F.col(f"high{own}") + F.lit(1.0 / n))
+    return aggregates, F.greatest(-by_name(f"low{own}"), by_name(f"high{own}") + F.lit(1.0 / n))
 
 
 def _distances(shares: DataFrame, n1: int, n2: int) -> DataFrame:
@@ -207,12 +208,23 @@ def kolmogorov_sf(d: Column) -> Column:
     return F.when(d <= 0, 1.0).when(d < 1.0, 1.0 - F.lit(math.sqrt(2.0 * math.pi)) / d * head).otherwise(tail)
 
 
+def _correlation(a: Column, b: Column) -> Column:
+    """Pearson correlation, NULL for a constant side."""
+    return F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))
+
+
 def ks2d(df: DataFrame, sample: str, x: str, y: str, first, strip_rows: int = STRIP_ROWS) -> DataFrame:
-    """(statistic, p_value) of the two-sample test with the approximate distribution."""
+    """(statistic, p_value) of the two-sample test with the approximate distribution.
+
+    Without a correlation (a constant axis, fewer than two rows) the p-value is NULL.
+    """
     shares, p = _observed(df, sample, x, y, first, strip_rows)
-    in_first = F.col(sample) == F.lit(first)
-    both = [F.when(keep, F.col(c)) for keep in (in_first, ~in_first) for c in (x, y)]
-    r1, r2 = df.agg(F.corr(both[0], both[1]), F.corr(both[2], both[3])).first()
+    in_first = by_name(sample) == F.lit(first)
+    both = [F.when(keep, by_name(c)) for keep in (in_first, ~in_first) for c in (x, y)]
+    r1, r2 = df.agg(_correlation(both[0], both[1]), _correlation(both[2], both[3])).first()
+    if r1 is None or r2 is None:
+        stat = _distances(shares, p.n1, p.n2).select(((F.col("d1") + F.col("d2")) / 2).alias("statistic"))
+        return stat.withColumn("p_value", F.lit(None).cast("double"))
     root = math.sqrt(p.n1 * p.n2 / (p.n1 + p.n2))
     r = math.sqrt(1.0 - 0.5 * (r1 * r1 + r2 * r2))
     stat = _distances(shares, p.n1, p.n2).select(((F.col("d1") + F.col("d2")) / 2).alias("statistic"))
@@ -226,13 +238,13 @@ def bootstrap_distances(
     """(rep, statistic) for `nboot` resamples of the pooled rows; the first n1 draws form sample 1."""
     points = _Points(df, sample, x, y, first)
     n = points.n1 + points.n2
-    later = F.when(F.col(sample) == F.lit(first), 0).otherwise(1)
+    later = F.when(by_name(sample) == F.lit(first), 0).otherwise(1)
     pooled = row_index(
         df.select(
             later.alias("later"),
-            F.col(key).alias("key"),
-            (F.col(x).cast("double") + F.lit(0.0)).alias("x"),
-            (F.col(y).cast("double") + F.lit(0.0)).alias("y"),
+            by_name(key).alias("key"),
+            (by_name(x).cast("double") + F.lit(0.0)).alias("x"),
+            (by_name(y).cast("double") + F.lit(0.0)).alias("y"),
         ),
         ["later", "key"],
     )

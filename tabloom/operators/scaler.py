@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.columns import replace_columns
+from ..functions.columns import by_name, replace_columns
 from ..functions.selection import as_grid, medians, sketch
 from ..sources.stats import ColumnStats
 
@@ -19,10 +19,10 @@ def scaler_fit(df: DataFrame, cols: Sequence[str]) -> ColumnStats:
     `minmax` if any |z| > 5, `constant` for a single value, else `normal`.
     """
     cols = list(cols)
-    row = df.agg(*[f(F.col(c)) for c in cols for f in (F.count, F.avg, F.stddev_samp, F.max, F.min, sketch)]).first()
+    row = df.agg(*[f(by_name(c)) for c in cols for f in (F.count, F.avg, F.stddev_samp, F.max, F.min, sketch)]).first()
     per = {c: row[6 * i : 6 * i + 5] for i, c in enumerate(cols)}
     grids = {c: as_grid(row[6 * i + 5]) for i, c in enumerate(cols)}
-    middle, _ = medians(df, {c: F.col(c) for c in cols}, {c: per[c][0] for c in cols}, grids)
+    middle, _ = medians(df, {c: by_name(c) for c in cols}, {c: per[c][0] for c in cols}, grids)
     stats = ColumnStats("scaler")
     for c in cols:
         count, mean, std, high, low = per[c]
@@ -46,12 +46,12 @@ def scaler_fit(df: DataFrame, cols: Sequence[str]) -> ColumnStats:
 
 def _scaled(c: str, s: dict):
     if s["std"] is None:  # nothing observed
-        return F.col(c)
+        return by_name(c)
     if s["std"] == 0.0:
         return F.lit(0.0)
     if s["scaling_type"] == "minmax":
-        return (F.lit(2.0) * F.col(c) - F.lit(s["max"] + s["min"])) / F.lit(s["max"] - s["min"])
-    return (F.col(c) - F.lit(s["mean"])) / F.lit(s["std"])
+        return (F.lit(2.0) * by_name(c) - F.lit(s["max"] + s["min"])) / F.lit(s["max"] - s["min"])
+    return (by_name(c) - F.lit(s["mean"])) / F.lit(s["std"])
 
 
 def scaler_transform(df: DataFrame, stats: ColumnStats, cols: Sequence[str] = ()) -> DataFrame:
@@ -82,7 +82,7 @@ def scaler_back(df: DataFrame, stats: ColumnStats, cols: Sequence[str] = ()) ->
         if s is None or c not in df.columns or s["std"] is None:
             continue
         if s["scaling_type"] == "minmax":
-            changed[c] = F.lit(0.5) * (F.col(c) * F.lit(s["max"] - s["min"]) + F.lit(s["max"] + s["min"]))
+            changed[c] = F.lit(0.5) * (by_name(c) * F.lit(s["max"] - s["min"]) + F.lit(s["max"] + s["min"]))
         else:
-            changed[c] = F.col(c) * F.lit(s["std"]) + F.lit(s["mean"])
+            changed[c] = by_name(c) * F.lit(s["std"]) + F.lit(s["mean"])
     return replace_columns(df, changed)

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.columns import replace_columns
+from ..functions.columns import by_name, replace_columns
 from ..sources.roles import Roles
 from ..sources.stats import ColumnStats
 
@@ -22,7 +22,7 @@ def tree_features(header: Roles) -> list[str]:
 
 def splitcap_fit(dump: DataFrame, features: Sequence[str], columns: Sequence[str], line: str = "value") -> ColumnStats:
     """Smallest and largest threshold per feature that is among `columns`."""
-    text = F.col(line)
+    text = by_name(line)
     pairs = F.arrays_zip(
         F.regexp_extract_all(text, F.lit(SPLIT_PATTERN), 1).alias("f"),
         F.regexp_extract_all(text, F.lit(SPLIT_PATTERN), 2).alias("t"),
@@ -50,10 +50,10 @@ def splitcap_transform(df: DataFrame, stats: ColumnStats, cols: Sequence[str] =
             continue
         low, high = stats.columns[c]["min_split"], stats.columns[c]["max_split"]
         if high > low:
-            x = (F.lit(2.0) * F.col(c) - F.lit(high + low)) / F.lit(high - low)
+            x = (F.lit(2.0) * by_name(c) - F.lit(high + low)) / F.lit(high - low)
             changed[c] = F.when(x > 1, F.lit(2.0)).when(x < -1, F.lit(-2.0)).otherwise(x)
         else:
-            x = F.col(c) - F.lit(low)
+            x = by_name(c) - F.lit(low)
             changed[c] = F.when(x > 0, F.lit(1.0)).when(x < 0, F.lit(-1.0)).otherwise(x)
     return replace_columns(df, changed)
 
@@ -72,15 +72,15 @@ def splitcap_back(df: DataFrame, stats: ColumnStats, cols: Sequence[str] = ()) -
             continue
         low, high = stats.columns[c]["min_split"], stats.columns[c]["max_split"]
         if high > low:
-            changed[c] = F.lit(0.5) * (F.col(c) * F.lit(high - low) + F.lit(high + low))
+            changed[c] = F.lit(0.5) * (by_name(c) * F.lit(high - low) + F.lit(high + low))
         else:
-            changed[c] = F.col(c) + F.lit(low)
+            changed[c] = by_name(c) + F.lit(low)
     return replace_columns(df, changed)
 
 
 def tree_importance(dump: DataFrame, features: Sequence[str], line: str = "value") -> DataFrame:
     """(feature, gain): mean gain per feature over its splits, largest first."""
-    text = F.col(line)
+    text = by_name(line)
     number = F.regexp_extract(text, SPLIT_PATTERN, 1)
     gain = F.regexp_extract(text, GAIN_PATTERN, 1)
     per = (

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..functions.columns import by_name
 from ..functions.materialize import materialize
 from ..operators.boxcox import boxcox_fit, boxcox_transform
 from ..operators.impute import impute_values
@@ -44,7 +45,7 @@ def preprocess(
     Every fit reads the source through the projections before it; nothing is written in between.
     `checkpoint_input` writes the header's columns once first, for a source that is itself a join.
     """
-    train = train.select(*[c for c in header.names if c in train.columns])
+    train = train.select(*[by_name(c) for c in header.names if c in train.columns])
     if checkpoint_input:
         train = materialize(train)
     numerical = header.numerical

@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from ..functions.columns import by_name
 _TYPES = {"N": T.DoubleType(), "L": T.DoubleType(), "G": T.DoubleType()}
 
 
@@ -102,22 +103,26 @@ def read_typed_table(spark: SparkSession, path: str, roles: Roles, format: str =
 
 
 def typed(df: DataFrame, roles: Roles) -> DataFrame:
-    """Project `df` to the header's columns with the role-derived types."""
+    """Project `df` to the header's columns with the role-derived types; a column that is not there is an error."""
+    absent = [c for c in roles.names if c not in df.columns]
+    if absent:
+        raise ValueError(f"columns of the header that the table lacks: {', '.join(absent)}")
 
     def one(c: str):
-        value = F.col(c)
+        value = by_name(c)
         marker = roles.missing.get(c)
         if roles.roles[c] in _TYPES:
             value = F.nanvl(value.cast("double"), F.lit(None).cast("double"))
             if marker not in (None, ""):
                 try:
-                    value = F.when(value != F.lit(float(marker)), value)
+                    number = float(marker)
                 except ValueError:
-                    pass
+                    raise ValueError(f"missing marker {marker!r} of the numeric column {c} is not a number") from None
+                value = F.when(value != F.lit(number), value)
         else:
             value = value.cast("string")
             if marker not in (None, ""):
                 value = F.when(value != F.lit(marker), value)
         return value.alias(c)
 
-    return df.select(*[one(c) for c in roles.names if c in df.columns])
+    return df.select(*[one(c) for c in roles.names])

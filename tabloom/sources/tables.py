@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from ..functions.columns import by_name
 from ..functions.lookup import lookup
 from ..functions.order import ordered, row_index
 from ..functions.rng import uniform
@@ -18,7 +19,7 @@ FIRST_SURROGATE_KEY = 200_000_000
 def read_columns(spark: SparkSession, path: str, cols: Sequence[str], format: str = "parquet") -> DataFrame:
     """Only the named columns, in file order; the scan reads nothing else."""
     df = spark.read.format(format).load(path)
-    return df.select(*[c for c in df.columns if c in set(cols)])
+    return df.select(*[by_name(c) for c in df.columns if c in set(cols)])
 
 
 def count_rows(df: DataFrame, asked: int = 0) -> int:
@@ -72,7 +73,7 @@ def draw_minibatches(
     )
     group = ["chunk", "pass", "draw"]
     kept = (
-        proposals.groupBy(*group, "__pos").agg(F.min("j").alias("j"))
+        proposals.groupBy(*map(by_name, group), "__pos").agg(F.min("j").alias("j"))
         # at most tries + batch_size proposals per batch
         .withColumn("slot", F.row_number().over(Window.partitionBy(*group).orderBy("j")))
         .where(F.col("slot") <= batch_size)
@@ -87,12 +88,12 @@ def perturb_rows(df: DataFrame, cols: Sequence[str], key: str, batch: str | None
     Sums are shifted by the overall mean, so large offsets do not cancel digits.
     """
     cells = len(cols)
-    center = df.agg(*[F.avg(c) for c in cols]).first()
+    center = df.agg(*[F.avg(by_name(c)) for c in cols]).first()
     shift = sum(v or 0.0 for v in center) / cells
-    total = sum((F.col(c) - F.lit(shift) for c in cols), F.lit(0.0))
-    square = sum(((F.col(c) - F.lit(shift)) * (F.col(c) - F.lit(shift)) for c in cols), F.lit(0.0))
+    total = sum((by_name(c) - F.lit(shift) for c in cols), F.lit(0.0))
+    square = sum(((by_name(c) - F.lit(shift)) * (by_name(c) - F.lit(shift)) for c in cols), F.lit(0.0))
     group = [batch] if batch else []
-    moments = df.groupBy(*group).agg(F.count("*").alias("__rows"), F.sum(total).alias("__s"), F.sum(square).alias("__q"))
+    moments = df.groupBy(*map(by_name, group)).agg(F.count("*").alias("__rows"), F.sum(total).alias("__s"), F.sum(square).alias("__q"))
     mean = F.col("__s") / (F.col("__rows") * cells)
     moments = moments.withColumn("__std", F.sqrt(F.greatest(F.col("__q") / (F.col("__rows") * cells) - mean * mean, F.lit(0.0))))
     keys = [key] + ([batch] if batch else [])
@@ -101,13 +102,13 @@ def perturb_rows(df: DataFrame, cols: Sequence[str], key: str, batch: str | None
     else:
         joined, std = df, F.lit(moments.first()["__std"])
     changed = {
-        c: (F.col(c) + F.lit(0.5) * std * uniform(seed, f"perturb:{c}", *keys)).alias(c) for c in cols
+        c: (by_name(c) + F.lit(0.5) * std * uniform(seed, f"perturb:{c}", *keys)).alias(c) for c in cols
     }
-    return joined.select(*[changed.get(c, F.col(c)) for c in df.columns])
+    return joined.select(*[changed.get(c, by_name(c)) for c in df.columns])
 
 
 def shuffle_order(key: str, seed=0) -> list:
-    return [uniform(seed, "shuffle", key), F.col(key)]
+    return [uniform(seed, "shuffle", key), by_name(key)]
 
 
 def shuffle_rows(df: DataFrame, key: str, seed=0) -> DataFrame:
@@ -129,8 +130,8 @@ def restore_layout(
     of generated rows do; then nothing is sorted.
     """
     if numbered:
-        keyed = df.withColumn(key_name, F.lit(FIRST_SURROGATE_KEY) + F.col(order[0]))
+        keyed = df.withColumn(key_name, F.lit(FIRST_SURROGATE_KEY) + by_name(order[0]))
     else:
         keyed = ordered(df, list(order), index="__row").df
         keyed = keyed.withColumn(key_name, F.lit(FIRST_SURROGATE_KEY) + F.col("__row") - 1)
-    return keyed.select(*[c for c in header if c in keyed.columns])
+    return keyed.select(*[by_name(c) for c in header if c in keyed.columns])

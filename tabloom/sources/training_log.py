@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..functions.columns import by_name
 # fixed formats of the log line and of the checkpoint file name
 ITER_PATTERN = r"Iter:\s(.*?);"
 G_LOSS_PATTERN = r"G loss:\s(.*?);"
@@ -16,7 +17,7 @@ def parse_training_log(lines: DataFrame, line: str = "value") -> DataFrame:
     """Text lines to (iter, G_loss, D_loss, similarity); a part that is not in the line is NULL."""
 
     def number(pattern: str):
-        text = F.regexp_extract(F.col(line), pattern, 1)
+        text = F.regexp_extract(by_name(line), pattern, 1)
         return F.when(text != "", text.try_cast("double"))
 
     return lines.select(
@@ -33,7 +34,7 @@ def read_training_log(spark: SparkSession, path: str) -> DataFrame:
 
 def checkpoint_iterations(names: DataFrame, name: str = "path") -> DataFrame:
     """File names to checkpoint iterations; other files are left out."""
-    text = F.regexp_extract(F.col(name), CHECKPOINT_PATTERN, 1)
+    text = F.regexp_extract(by_name(name), CHECKPOINT_PATTERN, 1)
     return names.where(text != "").select(text.cast("bigint").alias("iter"))
 
 
@@ -50,6 +51,6 @@ def best_checkpoint(log: DataFrame, checkpoints: DataFrame) -> DataFrame:
 
 def loss_trace(losses: DataFrame, every: int, iteration: str = "iter") -> DataFrame:
     """Mean of each loss column over consecutive blocks of `every` iterations."""
-    block = F.floor((F.col(iteration) - 1) / every).cast("bigint")
+    block = F.floor((by_name(iteration) - 1) / every).cast("bigint")
     values = [c for c in losses.columns if c != iteration]
     return losses.groupBy(block.alias("block")).agg(*[F.avg(c).alias(c) for c in values])
