@@ -11,7 +11,8 @@ is depends on the window's bytes alone, so equal windows meet at equal triggers.
    copy. In a task, the strings before the triggers (the phrases' suffixes, read backwards) and those after them (the parse
    from there) are each brought into suffix order with the lengths that neighbours have in common. A window is a suffix of
    a phrase and a start of the parse, so its place in corpus order is a pair of places, and it is repeated if two triggers
-   share the pair.
+   share the pair. A trigger with very many different surroundings is compared in parts, each among those that agree in
+   what its windows have in common.
 3. The repeated windows go back to their texts.
 
 Texts that occur more than once are repeated as a whole; one of each per input partition is parsed. Defined results:
@@ -42,7 +43,11 @@ BUCKET_CONTEXTS = 1 << 16
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
+HOT_TRIGGERS = 20_000  # equal triggers with other surroundings than these are compared in parts
+PART_WINDOWS = 10  # windows of a trigger in a part
+
 OPEN, ALL, ALL_SENT = 1, 2, 3  # state of a trigger: to be compared; all windows repeated; the same, and takes part in comparisons
+HOT = 16  # added to the state of a trigger that is compared in parts
 COPY = 9  # state of a text
 
 
@@ -175,10 +180,16 @@ def _parse(size: int, buckets: int):
     return run
 
 
-def _met(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+def _met(hot: int):
     """The state of the triggers of one bucket, sent back by input partition."""
-    if key[0].as_py() < 0:
-        return table.select(_ENTRY[0])
+
+    def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        return table.select(_ENTRY[0]) if key[0].as_py() < 0 else _states(table, hot)
+
+    return run
+
+
+def _states(table: pa.Table, hot: int) -> pa.Table:
     docs = [_unsteps(x.as_py()) for x in table.column("docs")]
     unit = np.repeat(table.column("unit").to_numpy(), list(map(len, docs)))
     doc, rank = np.concatenate(docs), np.concatenate([_unsteps(x.as_py()) for x in table.column("ranks")])
@@ -194,6 +205,7 @@ def _met(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     kinds = np.bincount(group, weights=first)[group]
     state = np.where(number > 1, ALL, np.where(kinds > 1, OPEN, 0)).astype(np.uint8)
     state[(number > 1) & first & (singles > 0)] = ALL_SENT
+    state[np.isin(state, (OPEN, ALL_SENT)) & (kinds > hot)] += HOT
     keep = state > 0
     unit, doc, rank, state = unit[keep], doc[keep], rank[keep], state[keep]
     order = np.lexsort((rank, doc, unit))
@@ -251,6 +263,7 @@ def _contexts(size: int, buckets: int):
             for row, raw, marks in zip(*[batch.column(c).to_pylist() for c in ("row", "packed", "marks")]):
                 mark = next((m for m in marks if m["kind"] == 0), None)  # also of a copy, which others may match in part
                 state = np.frombuffer(mark["states"], np.uint8) if mark else np.zeros(0, np.uint8)
+                hot, state = state >= HOT, state % HOT
                 sent = np.flatnonzero((state == OPEN) | (state == ALL_SENT))
                 if not len(sent):
                     continue
@@ -258,16 +271,27 @@ def _contexts(size: int, buckets: int):
                 data = np.frombuffer(_plain(raw), np.uint8)
                 p = Phrases(data, np.array([0, len(data)]), size)
                 p.prepare()
-                group = p.shared()[rank]
-                place = p.place[rank]
+                group, place = p.shared()[rank], p.place[rank]
+                shortest, longest = place - p.last[rank], place - p.first[rank]
+                if hot.any():  # a frequent trigger: in parts, each with what the windows of that part have in common
+                    sizes = np.where(hot[sent], longest // PART_WINDOWS - shortest // PART_WINDOWS + 1, 1)
+                    of = np.repeat(np.arange(len(rank)), sizes)
+                    rank, state, group, place, shortest, longest = (x[of] for x in (rank, state, group, place, shortest, longest))
+                    part = shortest // PART_WINDOWS + np.arange(len(of)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+                    split = hot[sent][of]
+                    low, high = part * PART_WINDOWS, np.minimum((part + 1) * PART_WINDOWS, p.reach) - 1
+                    own = p.hashes(np.where(split, place - low, 0), np.where(split, place - high + size, 0))
+                    with np.errstate(over="ignore"):
+                        group = np.where(split, mix(group + own + part.astype(np.uint64)), group)
+                    shortest, longest = np.where(split, np.maximum(shortest, low), shortest), np.where(split, np.minimum(longest, high), longest)
                 wide = np.concatenate([np.zeros(p.reach, np.uint8), data, np.zeros(size, np.uint8)])
                 before = wide[(place + p.reach)[:, None] - 1 - np.arange(p.reach)]
                 after = wide[(place + p.reach)[:, None] + np.arange(size)]
                 each = len(rank)
                 held.append(
                     (
-                        np.full(each, row), rank.astype("<u4"), group, state, (place - p.last[rank]).astype(np.uint8),
-                        (place - p.first[rank]).astype(np.uint8), before, after,
+                        np.full(each, row), rank.astype("<u4"), group, state.astype(np.uint8), shortest.astype(np.uint8),
+                        longest.astype(np.uint8), before, after,
                     )
                 )
                 count += each
@@ -336,7 +360,7 @@ def removed_bytes(data: np.ndarray, marks: list[dict], size: int) -> np.ndarray:
         for m in marks:
             rank = np.frombuffer(m["ranks"], "<u4").astype(np.int64)
             if m["kind"] == 0:
-                rank = rank[np.frombuffer(m["states"], np.uint8) >= ALL]
+                rank = rank[np.frombuffer(m["states"], np.uint8) % HOT >= ALL]
                 sizes = p.last[rank] - p.first[rank] + 1
                 starts.append(np.repeat(p.first[rank] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum()))
             else:
@@ -369,7 +393,7 @@ def _finished(size: int):
     return run
 
 
-def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SIZE) -> DataFrame:
+def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SIZE, hot: int = HOT_TRIGGERS) -> DataFrame:
     """(key, n_bytes, starts, stops, kept): the removed runs of each text and the bytes that remain."""
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
     kind = dict(rows.dtypes)["key"]
@@ -381,7 +405,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", siz
     least = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     triggers = 2 * total // REACH
     entries = rows.select("row", "text").mapInArrow(_parse(size, max(least, triggers // BUCKET_TRIGGERS)), ENTRIES)
-    back = entries.groupBy("place").applyInArrow(_met, ENTRIES)
+    back = entries.groupBy("place").applyInArrow(_met(hot), ENTRIES)
     states = stored(back.groupBy("unit").applyInArrow(_gathered, STATES).unionByName(copies))
 
     packed = f"row long, key {kind}, packed binary"

@@ -40,10 +40,10 @@ def texts(seed):
     return out
 
 
-@pytest.mark.parametrize("seed,size", [(1, 40), (2, 40), (3, 200)])
-def test_same_as_all_windows(frame, seed, size):
+@pytest.mark.parametrize("seed,size,hot", [(1, 40, 20_000), (2, 40, 1), (3, 200, 20_000), (4, 200, 0)])
+def test_same_as_all_windows(frame, seed, size, hot):
     given = texts(seed)
-    got = {r.doc_id: r for r in remove_repeats(frame(enumerate(given)), size=size).collect()}
+    got = {r.doc_id: r for r in remove_repeats(frame(enumerate(given)), size=size, hot=hot).collect()}
     for i, (n, gone, spans, kept) in enumerate(brute(given, size)):
         r = got[i]
         assert (r.n_bytes, r.n_bytes - len(r.kept), len(r.starts), bytes(r.kept)) == (n, gone, spans, kept), given[i]
