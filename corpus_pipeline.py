@@ -16,7 +16,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not reject. One document in five is never learnt from."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
     labels = labels.where(F.crc32(F.col("doc_id").cast("string")) % 5 != 0)
-    model = classifier.fit(docs.select("doc_id", "text").join(labels, "doc_id"), "doc_id", label="quality")
+    model = classifier.fit(docs, labels, label="quality")
     kept = classifier.score(docs, model, docs.columns, name="__quality")
     return kept.where(F.col("__quality") >= QUALITY_THRESHOLD).select(*docs.columns)
 

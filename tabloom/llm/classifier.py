@@ -23,7 +23,7 @@ from .texts import slices, text_bytes, word_hashes, words
 
 TABLE_BITS = 18
 DIMENSIONS = 16
-TRAIN_ROWS = 4_000  # bound of the training sample
+TRAIN_ROWS = 2_000  # bound of the training sample
 EPOCHS = 12
 RATE = 0.5
 _WORD, _THREE, _FOUR = 0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D
@@ -64,11 +64,12 @@ def _sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = [np.unique(found[a:b], return_counts=True) for a, b in zip(cuts, cuts[1:])]
         yield pa.record_batch(
             [
+                part.column("place"),
                 part.column("label"),
                 pa.array([f.astype("<i4").tobytes() for f, _ in rows], pa.binary()),
                 pa.array([np.minimum(c, 65535).astype("<u2").tobytes() for _, c in rows], pa.binary()),
             ],
-            ["label", "features", "counts"],
+            ["place", "label", "features", "counts"],
         )
 
 
@@ -90,7 +91,7 @@ class Classifier:
 
 
 def train(rows: Sequence[tuple[int, np.ndarray, np.ndarray]], epochs: int = EPOCHS, rate: float = RATE, seed: int = 5) -> Classifier:
-    """Rows are (label, feature numbers, shares that sum to 1)."""
+    """Rows are (label, feature numbers, how often each occurs)."""
     labels = [r[0] for r in rows]
     if len(set(labels)) < 2:
         return Classifier(np.zeros(1 << TABLE_BITS, np.float32), 0.0, float(labels[0]) if labels else 0.5)
@@ -100,7 +101,8 @@ def train(rows: Sequence[tuple[int, np.ndarray, np.ndarray]], epochs: int = EPOC
     steps, done = epochs * len(rows), 0
     for _ in range(epochs):
         for i in random.permutation(len(rows)).tolist():
-            label, found, share = rows[i]
+            label, found, counts = rows[i]
+            share = counts.astype(np.float32) / np.float32(counts.sum(dtype=np.float64))
             step = rate * (1 - done / steps)
             done += 1
             vectors = table[found]
@@ -117,18 +119,25 @@ def train(rows: Sequence[tuple[int, np.ndarray, np.ndarray]], epochs: int = EPOC
     return Classifier((table @ (layer[:, 1] - layer[:, 0])).astype(np.float32), float(bias[1] - bias[0]))
 
 
-def fit(labelled: DataFrame, key: str, text: str = "text", label: str = "label", rows: int = TRAIN_ROWS) -> Classifier:
-    """Train on at most `rows` rows with a label, the first in the order of a hash of the key."""
-    sample = labelled.where(F.col(label).isNotNull()).select(
-        F.col(label).cast("int").alias("label"), F.xxhash64(F.col(key).cast("string"), F.lit("fit")).alias("place"), F.col(text).cast("string").alias("text")
-    )
-    sample = sample.orderBy("place").limit(rows).select("label", "text")
-    found = sample.mapInArrow(_sparse, "label int, features binary, counts binary").collect()  # `rows` at most
-    ready = []
-    for target, f, c in found:
-        if len(f):
-            counts = np.frombuffer(c, "<u2").astype(np.float32)
-            ready.append((int(target), np.frombuffer(f, "<i4"), counts / counts.sum()))
+def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "label", rows: int = TRAIN_ROWS) -> Classifier:
+    """Train on the texts of at most `rows` labelled keys, the first in the order of a hash of the key.
+
+    The keys are chosen before any text is read; of rows that share a key one counts.
+    """
+    chosen = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull()).groupBy(F.col(key).alias("__key"))
+    chosen = chosen.agg(F.max(F.col(label).cast("int")).alias("label"))
+    chosen = chosen.orderBy(F.xxhash64(F.col("__key").cast("string"), F.lit("fit")), "__key").limit(rows)
+    texts = docs.select(F.col(key).alias("__key"), F.col(text).cast("string").alias("text"))
+    sample = texts.join(F.broadcast(chosen), "__key").select(F.xxhash64("__key").alias("place"), "label", "text")
+    sparse = sample.mapInArrow(_sparse, "place long, label int, features binary, counts binary")
+    one = sparse.groupBy("place").agg(F.min(F.struct("features", "label", "counts")).alias("one")).orderBy("place")
+    found = one.select("one.*").toArrow()  # `rows` at most
+    columns = [[v.as_buffer() for v in found.column(name)] for name in ("features", "counts")]
+    ready = [
+        (target, np.frombuffer(f, "<i4"), np.frombuffer(c, "<u2"))
+        for target, f, c in zip(found.column("label").to_pylist(), *columns)
+        if f.size
+    ]
     return train(ready)
 
 

@@ -96,12 +96,12 @@ def _placed(center: list[float], spread: list[float]):
     return run
 
 
-def _cut(length: int, kind: str, with_ids: bool):
+def _cut(length: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows = []
             for key, n, first, raw in zip(*[b.column(c).to_pylist() for c in ("key", "n", "first", "ids")]):
-                ids = np.frombuffer(raw, kind).astype("<u4")
+                ids = np.frombuffer(raw, f"<u{len(raw) // n}").astype("<u4")
                 at = 0
                 while at < n:
                     sequence, offset = divmod(first + at, length)
@@ -134,7 +134,6 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int =
     light = done.select("row", "n", *axes).mapInArrow(_placed(center, spread), "row long, n long, place long")
     line = ordered(light, ["place", "row"], sums={"stop": "n"}).df
     first = line.select("row", (F.col("stop").cast("long") - F.col("n")).alias("first"))
-    item = 2 if worker_encoder(path).kind.itemsize == 2 else 4
     out = "key {}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary".format(kind)
     pieces = done.select("row", "key", "n", "ids").join(first, "row").select("key", "n", "first", "ids")
-    return pieces.mapInArrow(_cut(length, f"<u{item}", with_ids), out).withColumnRenamed("key", key)
+    return pieces.mapInArrow(_cut(length, with_ids), out).withColumnRenamed("key", key)

@@ -43,7 +43,7 @@ def op4_language_id(spark, d):
 
 def quality_model(spark, d):
     labels = table(spark, d, "labels").select("doc_id", "quality").where(remainder("doc_id", 5) != 0)
-    return cl.fit(table(spark, d, "documents").select("doc_id", "text").join(labels, "doc_id"), "doc_id", label="quality")
+    return cl.fit(table(spark, d, "documents"), labels, label="quality")
 
 
 def op7_quality_classifier(spark, d):

@@ -16,7 +16,7 @@ def rows(n, seed=1):
 def test_held_out_labels(spark, frame):
     data = rows(160)
     labelled = spark.createDataFrame([(i, t, y) for i, t, y in data if i % 5], "doc_id long, text string, label int")
-    model = cl.fit(labelled, "doc_id")
+    model = cl.fit(frame([(i, t) for i, t, _ in data]), labelled.drop("text"))
     held = [(i, t) for i, t, _ in data if i % 5 == 0]
     odd = [(1000, None), (1001, ""), (1002, "the of " * 30_000), (1003, " ")]
     got = {r.doc_id: r.score for r in cl.score(frame(held + odd), model, ["doc_id", "n", "__keep"]).collect()}
@@ -28,11 +28,12 @@ def test_held_out_labels(spark, frame):
 @pytest.mark.parametrize("labels,score", [([], 0.5), ([1, 1], 1.0), ([0], 0.0), ([None], 0.5)])
 def test_too_few_labels(spark, labels, score):
     df = spark.createDataFrame([(i, "some text", y) for i, y in enumerate(labels)], "doc_id long, text string, label int")
-    model = cl.fit(df, "doc_id")
+    model = cl.fit(df, df)
     assert model.scores(pa.array(["some text", None])).tolist() == [score, 0.0]
 
 
 def test_fit_does_not_depend_on_the_partitions(spark):
     df = spark.createDataFrame(rows(60), "doc_id long, text string, label int")
-    a, b = cl.fit(df.repartition(1), "doc_id"), cl.fit(df.repartition(5), "doc_id")
+    more = df.unionByName(df)  # repeated rows count once
+    a, b = cl.fit(df.repartition(1), df), cl.fit(more.repartition(5), more)
     assert (a.weights == b.weights).all()
