@@ -33,9 +33,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def redacted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, with a mark in place of each secret."""
     rest = [c for c in docs.columns if c != "text"]
-    found = secrets.find_secrets(docs, rest, with_text=True)
-    found = found.withColumn("text", secrets.redact(F.col("text"), F.col("spans")))
-    return found.withColumn("n_chars", F.when(F.size("spans") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
+    found = secrets.find_secrets(docs, rest, with_text=True, name="__spans")
+    found = found.withColumn("text", secrets.redact(F.col("text"), F.col("__spans")))
+    return found.withColumn("n_chars", F.when(F.size("__spans") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -174,9 +174,9 @@ def match_spans(text: Column, rule: Rule, number: int) -> Column:
 
 
 def find_secrets(
-    docs: DataFrame, keep: Sequence[str], text: str = "text", rules: Sequence[Rule] = RULES, with_text: bool = False
+    docs: DataFrame, keep: Sequence[str], text: str = "text", rules: Sequence[Rule] = RULES, with_text: bool = False, name: str = "spans"
 ) -> DataFrame:
-    """Columns `keep`, and `spans`: array of (start, number, stop, kind) by start, then place in `rules`.
+    """Columns `keep`, and `name`: array of (start, number, stop, kind) by start, then place in `rules`.
 
     `with_text` adds the column `text` without sending it twice.
     """
@@ -197,7 +197,7 @@ def find_secrets(
     ]
     empty = F.array().cast("array<struct<start:bigint,number:int,stop:bigint,kind:string>>")
     every = F.sort_array(F.concat(*[F.coalesce(s, empty) for s in spans]))
-    return rows.select("__keep.*", *([F.col("__text").alias(text)] if with_text else []), every.alias("spans"))
+    return rows.select("__keep.*", *([F.col("__text").alias(text)] if with_text else []), every.alias(name))
 
 
 def digest(spans: Column) -> Column:
