@@ -17,31 +17,32 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
     labels = labels.where(F.crc32(F.col("doc_id").cast("string")) % 5 != 0)
     model = classifier.fit(docs, labels, label="quality")
-    kept = classifier.score(docs, model, docs.columns, name="__quality")
-    return kept.where(F.col("__quality") >= QUALITY_THRESHOLD).select(*docs.columns)
+    scored = classifier.score(docs, model, [F.struct("*").alias("doc")])
+    return scored.where(F.col("score") >= QUALITY_THRESHOLD).select("doc.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group: the one with the smallest id, the first of rows that share it."""
-    placed = docs.withColumn("__place", F.monotonically_increasing_id())
-    keyed = placed.select(F.struct("doc_id", "__place").alias("__key"), "text")
-    groups = jaccard.jaccard_components(keyed, key="__key")
-    firsts = groups.where(F.col("__key") == F.col("component_id")).select(F.col("__key.__place").alias("__place"))
-    return placed.join(firsts, "__place", "left_semi").select(*docs.columns)
+    placed = docs.select(F.struct("*").alias("doc"), F.monotonically_increasing_id().alias("place"))
+    keyed = placed.select(F.struct("doc.doc_id", "place").alias("key"), "doc.text")
+    groups = jaccard.jaccard_components(keyed, key="key")
+    firsts = groups.where(F.col("key") == F.col("component_id")).select("key.place")
+    return placed.join(firsts, "place", "left_semi").select("doc.*")
 
 
 def redacted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, with a mark in place of each secret."""
-    rest = [c for c in docs.columns if c != "text"]
-    found = secrets.find_secrets(docs, rest, with_text=True, name="__spans")
-    found = found.withColumn("text", secrets.redact(F.col("text"), F.col("__spans")))
-    return found.withColumn("n_chars", F.when(F.size("__spans") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
+    rest = F.struct(*[F.col(c) for c in docs.columns if c != "text"]).alias("rest")
+    found = secrets.find_secrets(docs, [rest], with_text=True)
+    found = found.withColumn("text", secrets.redact(F.col("text"), F.col("spans")))
+    changed = {"text": F.col("text"), "n_chars": F.when(F.size("spans") > 0, F.length("text").cast("long")).otherwise(F.col("rest.n_chars"))}
+    return found.select(*[changed.get(c, F.col(f"rest.`{c}`")).alias(c) for c in docs.columns])
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A sample whose token shares by source, language and topic are tempered."""
     margins = {"source": F.col("source"), "lang": F.col("lang"), "topic": mixing.topic(F.col("text"))}
-    return mixing.mix(docs, margins).where("__kept").select(*docs.columns)
+    return mixing.mix(docs, margins).where("kept").select("doc.*")
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -77,16 +77,23 @@ def mix(
     sweeps: int = SWEEPS,
     seed: int = 17,
 ) -> DataFrame:
-    """All columns of `docs` and __<margin>, __tokens, __weight (of the cell), __probability, __kept.
+    """Each row of `docs` as the struct `doc`, its <margin>..., tokens, cell_weight, probability and kept.
 
     `targets` has (value, share) per margin; a margin without one gets its own token shares to the power `temper`.
     """
-    named = docs.select("*", *cell_columns(margins), tokens(F.col(text)).alias("__tokens"))
+    named = docs.select(F.struct("*").alias("doc"), *cell_columns(margins), tokens(F.col(text)).alias("tokens"))
     names = [f"__{m}" for m in margins]
-    cells = materialize(named.groupBy(*names).agg(F.sum("__tokens").alias("tokens")))
+    cells = materialize(named.groupBy(*names).agg(F.sum("tokens").alias("tokens")))
     raked = rake(cells, list(margins), targets or {}, temper, sweeps)
-    ratio = raked.select(*names, F.col("weight").alias("__weight"), F.coalesce(F.try_divide("weight", "tokens"), F.lit(0.0)).alias("__ratio"))
+    ratio = raked.select(*names, F.col("weight").alias("cell_weight"), F.coalesce(F.try_divide("weight", "tokens"), F.lit(0.0)).alias("__ratio"))
     most, count = ratio.agg(F.max("__ratio"), F.count("*")).first()
-    ratio = ratio.withColumn("__probability", F.col("__ratio") / F.lit(most or 1.0)).drop("__ratio")
+    ratio = ratio.withColumn("probability", F.col("__ratio") / F.lit(most or 1.0)).drop("__ratio")
     out = named.join(F.broadcast(ratio) if count <= BROADCAST_CELLS else ratio, names, "left")
-    return out.withColumn("__kept", uniform(seed, "mix", key) < F.col("__probability"))
+    return out.select(
+        "doc",
+        *[F.col(f"__{m}").alias(m) for m in margins],
+        "tokens",
+        "cell_weight",
+        "probability",
+        (uniform(seed, "mix", F.col(f"doc.`{key}`")) < F.col("probability")).alias("kept"),
+    )

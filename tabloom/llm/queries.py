@@ -83,12 +83,12 @@ def op10_source_mixing(spark, d):
     margins = {"source": F.col("source"), "lang": F.col("lang"), "topic": mx.topic(F.col("text"))}
     out = mx.mix(table(spark, d, "documents"), margins)
     return out.select(
-        "doc_id",
-        *[F.col(f"__{m}").alias(m) for m in margins],
-        F.col("__tokens").alias("n_tokens"),
-        F.round("__weight", 9).alias("cell_weight"),
-        F.round("__probability", 9).alias("probability"),
-        F.col("__kept").alias("kept"),
+        "doc.doc_id",
+        *margins,
+        F.col("tokens").alias("n_tokens"),
+        F.round("cell_weight", 9).alias("cell_weight"),
+        F.round("probability", 9).alias("probability"),
+        "kept",
     )
 
 

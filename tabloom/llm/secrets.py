@@ -174,7 +174,7 @@ def match_spans(text: Column, rule: Rule, number: int) -> Column:
 
 
 def find_secrets(
-    docs: DataFrame, keep: Sequence[str], text: str = "text", rules: Sequence[Rule] = RULES, with_text: bool = False, name: str = "spans"
+    docs: DataFrame, keep: Sequence[str | Column], text: str = "text", rules: Sequence[Rule] = RULES, with_text: bool = False, name: str = "spans"
 ) -> DataFrame:
     """Columns `keep`, and `name`: array of (start, number, stop, kind) by start, then place in `rules`.
 
@@ -183,7 +183,7 @@ def find_secrets(
     queries = {r.kind: q for r in rules if (q := trigram_query(r.pattern))}
     rows = docs.select(
         F.monotonically_increasing_id().alias("__row"),
-        F.struct(*[F.col(c) for c in keep]).alias("__keep"),
+        F.struct(*keep).alias("__keep"),
         F.col(text).cast("string").alias("__text"),
     )
     value = F.coalesce("__text", F.lit(""))

@@ -20,20 +20,20 @@ def columns():
 def test_expected_shares_meet_the_targets(spark, frame):
     goal = spark.createDataFrame([("hot", 0.3), ("s0", 0.3), ("s3", 0.4), ("unknown", 5.0)], "value string, share double")
     out = mix(frame(rows()), columns(), targets={"source": goal}, sweeps=60)
-    p = out.groupBy("__source").agg(F.sum(F.col("__probability") * F.col("__tokens")).alias("w")).collect()
+    p = out.groupBy("source").agg(F.sum(F.col("probability") * F.col("tokens")).alias("w")).collect()
     total = sum(r.w for r in p)
     share = {r[0]: r.w / total for r in p}
     assert share["hot"] == pytest.approx(0.3, abs=1e-6) and share["s3"] == pytest.approx(0.4, abs=1e-6) and share["(none)"] == 0
-    most = out.agg(F.max("__probability"), F.min("__probability")).first()
+    most = out.agg(F.max("probability"), F.min("probability")).first()
     assert most[0] == pytest.approx(1.0) and most[1] >= 0
 
 
 def test_same_draw_whatever_the_partitions(frame):
     given = frame(rows())
-    one = sorted((r.doc_id or -1, r["__kept"]) for r in mix(given.repartition(1), columns()).collect())
-    two = sorted((r.doc_id or -1, r["__kept"]) for r in mix(given.repartition(5), columns()).collect())
+    one = sorted((r.doc.doc_id or -1, r.kept) for r in mix(given.repartition(1), columns()).collect())
+    two = sorted((r.doc.doc_id or -1, r.kept) for r in mix(given.repartition(5), columns()).collect())
     assert one == two and any(k for _, k in one) and len(one) == len(rows())
-    assert set(given.columns) <= set(mix(given, columns()).columns)
+    assert mix(given, columns()).select("doc.*").columns == given.columns
 
 
 def test_empty_table(frame):

@@ -53,7 +53,7 @@ def test_stages(spark, folder):
 
     labels = spark.read.parquet(f"{folder}/labels.parquet").where(F.crc32(F.col("doc_id").cast("string")) % 5 != 0)
     model = classifier.fit(documents, labels, label="quality")
-    good = classifier.score(documents, model, documents.columns).where("score >= 0.3").drop("score")
+    good = classifier.score(documents, model, [F.struct("*").alias("d")]).where("score >= 0.3").select("d.*")
     order = lambda rows: sorted(rows, key=repr)
     assert order(kept[0]) == order(r.asDict() for r in good.collect())
     assert all(r["text"] for r in kept[0]) and len(kept[0]) < len(start)
@@ -81,7 +81,7 @@ def test_stages(spark, folder):
 
     margins = {"source": F.col("source"), "lang": F.col("lang"), "topic": mixing.topic(F.col("text"))}
     third = spark.read.parquet(f"{folder}/stage2")
-    drawn = mixing.mix(third, margins).where("__kept").select(*third.columns)
+    drawn = mixing.mix(third, margins).where("kept").select("doc.*")
     assert order(kept[3]) == order(r.asDict() for r in drawn.collect()) and kept[3]
 
     assert {r["doc_id"] for r in kept[4]} == {r["doc_id"] for r in kept[3]}
