@@ -615,3 +615,13 @@ ORACLE["impute_model_facts"] = " UNION ALL ".join(
 ORACLE["svd_facts"] = """
 SELECT 'svd_' || k AS component, (SELECT count(*) FROM embeddings) AS rows, 0.0::DOUBLE AS mean, 1.0::DOUBLE AS deviation
 FROM (SELECT unnest(range(8)) AS k)"""
+
+
+def _searched(c: str) -> str:
+    """The best multiple of 0.0001 next to the best of 0.01."""
+    return f"""SELECT '{c}' AS col, round(lam, 2) + 0.0 AS lambd FROM (
+  SELECT lam, var_pop((exp(lam * g) - 1.0) / lam) AS v FROM g_{c}, (SELECT lam + k / 10000.0::DOUBLE AS lam FROM l_{c}, (SELECT unnest(range(-100, 101)) AS k))
+  WHERE lam <> 0 GROUP BY lam ORDER BY v, lam LIMIT 1)"""
+
+
+ORACLE["boxcox_fit_search"] = _FITTED + " " + " UNION ALL ".join(f"({_searched(c)})" for c in BOXCOX_COLS if c != "const")

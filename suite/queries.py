@@ -243,6 +243,12 @@ def boxcox_fit(spark, d):
     return stats_rows(spark, _boxcox_stats(spark, d), fields, 5)
 
 
+def boxcox_fit_search(spark, d):
+    """The library's own search, without a grid."""
+    cols = [c for c in BOXCOX_COLS if c != "const"]
+    return stats_rows(spark, bc.boxcox_fit(train(spark, d), cols), {"lambd": "double"}, 2)
+
+
 def boxcox_fit_transform(spark, d):
     df = train(spark, d).select(KEY, *BOXCOX_COLS)
     out, _ = bc.boxcox_fit_transform(df, BOXCOX_COLS, resolution=LAMBDA_STEP)
@@ -537,7 +543,7 @@ onehot_fit onehot_fit_transform onehot_transform onehot_back laplace_fit laplace
 center_target uncenter_target
 missing_fit_transform missing_transform missing_back special_fit_transform special_transform special_back
 impute_median impute_zero impute_random impute_model impute_model_facts
-boxcox_fit boxcox_fit_transform boxcox_transform boxcox_back boxcox_hist scaler_fit scaler_fit_transform scaler_transform
+boxcox_fit boxcox_fit_search boxcox_fit_transform boxcox_transform boxcox_back boxcox_hist scaler_fit scaler_fit_transform scaler_transform
 scaler_back splitcap_fit splitcap_fit_transform splitcap_transform splitcap_back svd_standardize svd_facts
 sample_noise dense_forward generate_unconditional generate_conditional generate_pinned generate_uniform translate_a_to_b
 reconstruction_error score_realness realness_auc bce_loss lsgan_loss critic_gap cycle_error identity_error cycle_total

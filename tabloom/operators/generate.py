@@ -11,11 +11,10 @@ from ..functions.lookup import BROADCAST_ROWS
 from ..functions.order import ordered
 from ..functions.rng import normals, uniform
 from ..functions.selection import is_numeric, order_statistics
-from .network import Network, dense_forward
+from .network import Network, dense_forward, spread
 
 BATCH = 5_000  # fixed: translation stops at a multiple of it
 REPEATS = 1_000  # ids one row gives at once
-TASK_PRODUCTS = 50_000_000_000  # multiplications of a forward pass worth a task of their own
 
 
 def sample_noise(df: DataFrame, count: int, key: str, seed=0, prefix: str = "z", method: str = "md5") -> DataFrame:
@@ -24,12 +23,6 @@ def sample_noise(df: DataFrame, count: int, key: str, seed=0, prefix: str = "z",
     return df.select("*", *[v.alias(f"{prefix}{i}") for i, v in enumerate(noise)])
 
 
-def _spread(df: DataFrame, rows: int, net: Network, key: str) -> DataFrame:
-    """More tasks where the forward pass is heavy: narrow rows come in few partitions."""
-    tasks = -(-rows * net.size // TASK_PRODUCTS)
-    return df.repartition(tasks, key) if tasks > 1 else df
-
-
 def _noise_names(count: int) -> list[str]:
     return [f"__z{i}" for i in range(count)]
 
@@ -38,7 +31,7 @@ def generate_unconditional(
     spark: SparkSession, rows: int, net: Network, columns: Sequence[str], noise: int, seed=0, **forward
 ) -> DataFrame:
     """`rows` rows (id, columns) from noise alone."""
-    ids = sample_noise(_spread(spark.range(rows), rows, net, "id"), noise, "id", seed, "__z")
+    ids = sample_noise(spread(spark.range(rows), net, "id", rows), noise, "id", seed, "__z")
     return dense_forward(ids, net, _noise_names(noise), columns, key="id", **forward).select("id", *columns)
 
 
@@ -90,7 +83,7 @@ def generate_conditional(
         fed = _uniform_conditions(table, conditions, rows, seed)
     else:
         fed = repeat_rows(_pin(table, None if how == "as_train" else how), conditions, order, rows)
-    fed = sample_noise(_spread(fed, rows, net, "id"), noise, "id", seed, "__z")
+    fed = sample_noise(spread(fed, net, "id", rows), noise, "id", seed, "__z")
     out = dense_forward(fed, net, [*_noise_names(noise), *conditions], data, key="id", **forward)
     return out.select("id", *data, *conditions)
 
@@ -127,7 +120,7 @@ def translate_a_to_b(
 ) -> DataFrame:
     """(order, b) = G(a) for whole batches of 5000 until `rows` are reached; a shorter table just ends."""
     fed = first_rows(table, order, BATCH * -(-rows // BATCH)).select(*map(by_name, dict.fromkeys([order, *a])))
-    out = dense_forward(_spread(fed, rows, net, order), net, list(a), [f"__b_{c}" for c in b], key=order, **forward)
+    out = dense_forward(spread(fed, net, order, rows), net, list(a), [f"__b_{c}" for c in b], key=order, **forward)
     return out.select(by_name(order), *[by_name(f"__b_{c}").alias(c) for c in b])
 
 
@@ -149,7 +142,7 @@ def reconstruction_error(
     fed = _pin(table, pinned, agg)
     if rows is not None:
         fed = first_rows(fed, key, BATCH * -(-rows // BATCH))
-    fed = sample_noise(fed, noise, key, seed, "__z")
+    fed = sample_noise(spread(fed, net, key, rows), noise, key, seed, "__z")
     names = [f"__g_{c}" for c in data]
     out = dense_forward(fed, net, [*_noise_names(noise), *conditions], names, key=key, **forward)
     error = sum((F.abs(by_name(c) - by_name(g)) for c, g in zip(data, names)), F.lit(0.0))

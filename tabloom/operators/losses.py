@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.columns import by_name
-from .network import Network, dense_forward
+from .network import Network, dense_forward, spread
 from .ranking import auc
 
 
@@ -18,7 +18,7 @@ def score_realness(
     both = real.select(by_name(key), F.lit(1).alias("label"), *map(by_name, columns)).unionByName(
         generated.select(by_name(key), F.lit(0).alias("label"), *map(by_name, columns))
     )
-    return dense_forward(both, net, list(columns), ["score"], **forward).select(by_name(key), "label", "score")
+    return dense_forward(spread(both, net, key), net, list(columns), ["score"], **forward).select(by_name(key), "label", "score")
 
 
 def realness_auc(scored: DataFrame) -> DataFrame:

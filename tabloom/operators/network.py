@@ -19,6 +19,8 @@ from ..functions.columns import by_name
 from ..functions.materialize import materialize
 EXPRESSION_WEIGHTS = 64
 BROADCAST_BYTES = 1 << 30
+TASK_PRODUCTS = 50_000_000_000  # multiplications of a forward pass worth a task of their own
+MAX_TASKS = 100_000
 WEIGHTS_SCHEMA = "layer string, in_i int, out_j int, w double"  # in_i = -1 holds the bias
 
 
@@ -131,6 +133,15 @@ def dense_forward(
     return forward_relational(df, net.weights_frame(df.sparkSession), net.layers, inputs, outputs, key)
 
 
+def spread(df: DataFrame, net: Network, key: str, rows: int | None = None) -> DataFrame:
+    """More tasks where the forward pass is heavy: narrow rows come in few partitions. Rows are counted if not given."""
+    if net.size <= EXPRESSION_WEIGHTS:
+        return df
+    rows = df.count() if rows is None else rows
+    tasks = min(-(-rows * net.size // TASK_PRODUCTS), MAX_TASKS)
+    return df.repartition(tasks, by_name(key)) if tasks > 1 else df
+
+
 def complete(inputs: Sequence[str | Column]) -> Column:
     """True for a row without a NULL or NaN input."""
     ok = F.lit(True)
