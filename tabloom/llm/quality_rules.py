@@ -38,7 +38,7 @@ DEFAULT_RULES = (
     Rule("few_words", ("n_words",), "n_words < 20"),
     Rule("repeats", ("n_words", "n_repeat_words"), "n_repeat_words * 100 > n_words * 30"),
     Rule("symbols", ("n_words", "n_symbols"), "n_symbols * 2 > n_words"),
-    Rule("lines", ("n_lines", "n_dup_lines"), "n_dup_lines * 100 > n_lines * 30"),
+    Rule("lines", ("n_lines", "n_dup_lines"), "n_dup_lines > 3 AND n_dup_lines * 100 > n_lines * 30"),
     Rule("word_length", ("n_words", "word_chars"), "word_chars > n_words * 15 OR word_chars < n_words * 2"),
     Rule("capitals", ("word_chars", "n_capitals"), "n_capitals * 2 > word_chars"),
 )

@@ -182,7 +182,7 @@ s AS (SELECT doc_id, len(ws) AS n_words, length(array_to_string(ws, '')) AS word
 SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
        n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words,
        n_words < 20 OR n_repeat_words * 100 > n_words * 30 AS base_failed,
-       NOT (n_words < 20 OR n_repeat_words * 100 > n_words * 30 OR n_symbols * 2 > n_words OR n_dup_lines * 100 > n_lines * 30
+       NOT (n_words < 20 OR n_repeat_words * 100 > n_words * 30 OR n_symbols * 2 > n_words OR n_dup_lines > 3 AND n_dup_lines * 100 > n_lines * 30
             OR word_chars > n_words * 15 OR word_chars < n_words * 2 OR n_capitals * 2 > word_chars) AS kept
 FROM s""",
 }

@@ -22,7 +22,7 @@ def brute(text):
         n_repeat_words=len(covered), n_lines=len(lines), n_capitals=len(re.findall("[A-Z]", t)),
     )
     n = len(words)
-    bad = n < 20 or 100 * len(covered) > 30 * n or f["n_symbols"] * 2 > n or f["n_dup_lines"] * 100 > len(lines) * 30
+    bad = n < 20 or 100 * len(covered) > 30 * n or f["n_symbols"] * 2 > n or f["n_dup_lines"] * 100 > max(len(lines) * 30, 300)
     bad = bad or f["word_chars"] > 15 * n or f["word_chars"] < 2 * n or f["n_capitals"] * 2 > f["word_chars"]
     return f, not bad
 
