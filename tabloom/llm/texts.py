@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 1 << 20  # texts are handled in slices of about this size, so memory follows the longest text, not the batch
+SLICE_BYTES = 1 << 19  # texts are handled in slices of about this size, so memory follows the longest text, not the batch
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True

@@ -10,7 +10,7 @@ import unicodedata
 import numpy as np
 
 VOCABULARY = "word_bpe_49k.json"
-CACHE_WORDS = 300_000  # per generation; two generations are held
+CACHE_WORDS = 200_000  # per generation; two generations are held
 
 #: The split pattern of the vocabulary file (fixed); the line end separates the words that are learnt together.
 SPLIT = r"\n|'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
