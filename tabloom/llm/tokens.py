@@ -10,7 +10,8 @@ import unicodedata
 import numpy as np
 
 VOCABULARY = "word_bpe_49k.json"
-CACHE_WORDS = 200_000  # per generation; two generations are held
+CACHE_WORDS = 300_000  # blank-separated words per generation; two generations are held
+CACHE_PIECES = 100_000  # their letter, digit and symbol runs
 
 #: The split pattern of the vocabulary file (fixed); the line end separates the words that are learnt together.
 SPLIT = r"\n|'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -71,7 +72,7 @@ class WordEncoder:
         self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.special = [t.content for t in self.whole.get_added_tokens_decoder().values()]
         self.split = regex.compile(SPLIT)
-        self.words, self.pieces = WordCache(CACHE_WORDS), WordCache(CACHE_WORDS)
+        self.words, self.pieces = WordCache(CACHE_WORDS), WordCache(CACHE_PIECES)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids as little-endian integers of `kind`."""
