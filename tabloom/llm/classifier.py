@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .texts import slices, text_bytes, word_hashes, words
+from .tokens import release_encoders
 
 TABLE_BITS = 18
 DIMENSIONS = 16
@@ -57,6 +58,7 @@ def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    release_encoders()
     for part in slices(batches, "text"):
         found, of = features(part.column("text"))
         order = np.argsort(of, kind="stable")
@@ -143,6 +145,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
 
 def _score(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_encoders()
         for part in slices(batches, "__text"):
             yield pa.record_batch([part.column("__keep"), pa.array(model.value.scores(part.column("__text")))], ["__keep", "__score"])
 

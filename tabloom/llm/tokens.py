@@ -6,6 +6,7 @@ import re
 import sys
 import types
 import unicodedata
+from functools import cached_property
 
 import numpy as np
 
@@ -60,20 +61,25 @@ class WordEncoder:
         import regex
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
-        self.whole = Tokenizer.from_file(path)
-        self.bare = Tokenizer.from_file(path)  # for words that are normalised and split already
+        self.load = lambda: Tokenizer.from_file(path)
+        self.bare = self.load()  # for words that are normalised and split already
         self.bare.normalizer = normalizers.Sequence([])
         self.bare.pre_tokenizer = pre_tokenizers.Sequence(
             [pre_tokenizers.Split("\n", "removed"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
         )
-        vocabulary = self.whole.get_vocab()
+        vocabulary = self.bare.get_vocab()
         self.kind = np.dtype("<u2" if max(vocabulary.values()) < 1 << 16 else "<u4")
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
-        self.special = [t.content for t in self.whole.get_added_tokens_decoder().values()]
+        self.special = [t.content for t in self.bare.get_added_tokens_decoder().values()]
         self.split = regex.compile(SPLIT)
         self.words, self.pieces = WordCache(CACHE_WORDS), WordCache(CACHE_PIECES)
 
+    @cached_property
+    def whole(self):
+        """The tokenizer as it is, for the few words that need it."""
+        return self.load()
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids as little-endian integers of `kind`."""
         self.words.make_room()
@@ -133,3 +139,8 @@ def worker_encoder(path: str) -> WordEncoder:
     if path not in encoders:
         encoders[path] = WordEncoder(path)
     return encoders[path]
+
+
+def release_encoders() -> None:
+    """Gives back what an earlier stage's tasks have left in this Python worker."""
+    sys.modules.pop("_tabloom_worker", None)
