@@ -1,6 +1,7 @@
 """From raw documents to packed training sequences, stage by stage.
 
 Each stage takes what the one before kept, with the columns of documents; the last returns the pieces of the sequences.
+Between two stages the documents are written as Parquet and read again, as stages number rows by their place in the input.
 """
 
 from __future__ import annotations
@@ -8,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tabloom.llm import classifier, jaccard, mixing, packing, secrets
+from tabloom.llm.stores import stored
 
 QUALITY_THRESHOLD = 0.3
 
@@ -63,6 +65,6 @@ ORACLE_SQL = None  # the classifier is trained, which SQL cannot state; tests/ll
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+    for n, (_, stage) in enumerate(STAGES):
+        docs = stage(spark, stored(docs) if n else docs, sf_dir)
     return docs

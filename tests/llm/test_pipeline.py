@@ -94,3 +94,33 @@ def test_empty_tables(spark, folder, tmp_path):
     for name in ("documents", "labels"):
         spark.read.parquet(f"{folder}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
     assert cp.run(spark, str(tmp_path)).count() == 0
+
+
+def test_run_stores_every_stage(spark, folder, monkeypatch):
+    plans = []
+
+    def watched(stage):
+        def run(spark, docs, sf_dir):
+            plans.append(docs._jdf.queryExecution().analyzed().toString())
+            return stage(spark, docs, sf_dir)
+
+        return run
+
+    many = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "40"}
+    before = {k: spark.conf.get(k) for k in many}
+    try:
+        for k, v in many.items():
+            spark.conf.set(k, v)
+        docs = spark.read.parquet(f"{folder}/documents.parquet")
+        for n, (_, stage) in enumerate(cp.STAGES):
+            stage(spark, docs, folder).write.parquet(f"{folder}/alone{n}")
+            docs = spark.read.parquet(f"{folder}/alone{n}")
+        monkeypatch.setattr(cp, "STAGES", [(name, watched(stage)) for name, stage in cp.STAGES])
+        pieces = cp.run(spark, folder).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(plans) == 5 and all(p.startswith("Relation ") and p.count("\n") <= 1 for p in plans)
+    whole = lambda rows: {repr(k): sorted((p["start"], bytes(p["ids"])) for p in rows if p["doc_id"] == k) for k in {p["doc_id"] for p in rows}}
+    text = lambda found: {k: b"".join(ids for _, ids in v) for k, v in found.items()}
+    assert text(whole(pieces)) == text(whole(docs.collect())) and pieces
