@@ -2,9 +2,10 @@
 
 A text is its runs of letters, lower-cased. Each run is predicted letter by letter, its end included, from the letters
 before it. One model per language is fitted on all labelled texts: n-grams of the highest order are counted in the tasks and
-summed by Spark; the rest follows from the distinct ones. A model lies in sorted arrays of n-gram hashes with one column per
-language. The answer is the language of the lowest cross-entropy per symbol. A text whose cross-entropy is
-above what the texts of that language have (mean plus so many deviations of a bounded sample) is marked as rejected.
+summed by Spark; the rest follows from the distinct ones. No n-gram is left out. A small model lies in sorted arrays of n-gram
+hashes with one column per language. A larger one stays in tables: the chances of the most frequent n-grams are broadcast,
+texts send their other n-grams to a join. The answer is the language of the lowest cross-entropy per symbol. A text whose
+cross-entropy is above what the labelled texts of that language have (mean plus so many deviations) is marked as rejected.
 
 Defined results: null texts and texts without a letter are ``und`` with score 0 and rejected. Ties go to the first
 language in alphabetical order. Without any labelled text every answer is ``und``. Repeated rows count as often as they
@@ -19,14 +20,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .stores import stored
 from .texts import mix, slices
 
 ORDER = 4
 UND = "und"
-LANGUAGE_NGRAMS = 100_000  # bound of the n-grams of one language's model: rarest first out, by powers of two
+BROADCAST_CELLS = 4_000_000  # n-grams times languages up to which a model, or the head of a larger one, is broadcast
 CALIBRATION_ROWS = 2_000  # labelled texts that the rejection limit is set on
 CALIBRATION_DEVIATIONS = 4.0
 CACHE_WORDS = 300_000
@@ -173,83 +174,166 @@ class Scorer:
                 out[i] = self.scores[np.fromiter(map(place.__getitem__, words), np.int64, len(words))].sum(axis=0)
         return out
 
-    def entropies(self, texts: list[str | None]) -> np.ndarray:
-        """Cross-entropy per symbol and language; infinite for a text without letters."""
-        total = self.totals([letter_runs(t or "") for t in texts])
-        with np.errstate(invalid="ignore", divide="ignore"):
-            return np.where(total[:, -1:] > 0, -total[:, :-1] / total[:, -1:], np.inf)
 
+@dataclass
+class Tables:
+    """A model too large for one task. Per order (1 first): (key, values) of n-grams and of contexts, as in `Model`."""
+
+    languages: list[str]
+    grams: list[DataFrame]
+    contexts: list[DataFrame]
+    head: tuple[np.ndarray, np.ndarray]
+    limits: np.ndarray
+
+    def chances(self, grams: DataFrame) -> DataFrame:
+        """`grams` (gram) with `logs`, the log probability per language."""
+        width = len(self.languages)
+        out = grams.withColumn("chance", F.array_repeat(F.lit(1.0 / (1 << _BITS)), width))
+        for order in range(1, ORDER + 1):
+            short = _lower(F.col("gram"), order)
+            share = self.grams[order - 1].select(F.col("key").alias("__gram"), F.col("values").alias("__share"))
+            left = self.contexts[order - 1].select(F.col("key").alias("__context"), F.col("values").alias("__left"))
+            out = out.withColumn("__gram", short).withColumn("__context", F.shiftrightunsigned(short, _BITS))
+            out = out.join(share, "__gram", "left").join(left, "__context", "left")
+            share, left = (F.coalesce(F.col(c), F.array_repeat(F.lit(x), width)) for c, x in (("__share", 0.0), ("__left", 1.0)))
+            backed = F.zip_with(left, "chance", lambda a, b: a * b)
+            out = out.select("gram", F.zip_with(share, backed, lambda a, b: a + b).alias("chance"))
+        return out.select("gram", F.transform("chance", lambda x: F.log(x)).alias("logs"))
+
+
+def _lower(gram: Column, order: int) -> Column:
+    return gram if order == ORDER else gram.bitwiseAND(F.lit((1 << (_BITS * order)) - 1))
+
+
+def build_tables(languages: list[str], counts: DataFrame, cells: int) -> Tables:
+    """What `build_model` does, by DataFrame functions, from all counts (lang number, gram, n) of the highest order."""
+    width, first = len(languages), counts
+    grams, contexts = [], []
+
+    def table(rows: DataFrame, key: str, value: Column, missing: float) -> DataFrame:
+        held = F.map_from_entries(F.collect_list(F.struct("lang", value)))
+        values = F.transform(F.sequence(F.lit(0), F.lit(width - 1)), lambda i: F.coalesce(F.col("held")[i], F.lit(missing)))
+        return stored(rows.groupBy(F.col(key).alias("key")).agg(held.alias("held")).select("key", values.alias("values")))
 
-def fit(docs: DataFrame, text: str = "text", lang: str = "lang", ngrams: int = LANGUAGE_NGRAMS) -> Model:
+    for order in range(ORDER, 0, -1):
+        discounts = [0.1] * width
+        for k, ones, twos in counts.groupBy("lang").agg(F.count_if(F.col("n") == 1), F.count_if(F.col("n") == 2)).collect():
+            discounts[k] = min(max(ones / max(ones + 2 * twos, 1), 0.1), 0.9)
+        discount = F.array(*map(F.lit, discounts))[F.col("lang")]
+        level = counts.select("lang", "gram", "n", F.shiftrightunsigned("gram", _BITS).alias("context"), discount.alias("discount"))
+        share = F.greatest(F.col("n") - F.col("discount"), F.lit(0.0)) / F.sum("n").over(Window.partitionBy("lang", "context"))
+        grams.append(table(level.withColumn("share", share), "gram", F.col("share"), 0.0))
+        left = F.sum(F.least(F.col("n").cast("double"), "discount")) / F.sum("n")
+        contexts.append(table(level.groupBy("lang", "context").agg(left.alias("left")), "context", F.col("left"), 1.0))
+        # one order lower, each distinct n-gram counts once for every symbol that comes before it
+        if order > 1:
+            counts = stored(counts.groupBy("lang", _lower(F.col("gram"), order - 1).alias("gram")).agg(F.count("*").alias("n")))
+    model = Tables(languages, grams[::-1], contexts[::-1], (np.zeros(0, np.uint64), np.zeros((0, width))), np.full(width, np.inf))
+    # the head only saves sending: what it lacks is joined
+    often = first.groupBy("gram").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "gram").limit(cells // width).select("gram")
+    found = model.chances(often).toArrow()
+    keys = found.column("gram").to_numpy().view(np.uint64)
+    logs = found.column("logs").combine_chunks().flatten().to_numpy().reshape(-1, width) if len(keys) else model.head[1]
+    order = np.argsort(keys)
+    model.head = keys[order], logs[order]
+    return model
+
+
+def fit(docs: DataFrame, text: str = "text", lang: str = "lang", cells: int = BROADCAST_CELLS) -> Model | Tables:
     """Fit on every row with a language."""
     rows = docs.where(F.col(lang).isNotNull()).select(F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text"))
-    counts = rows.mapInArrow(_count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    counts = stored(counts.withColumn("power", F.floor(F.log2("n")).cast("int")))
-    sizes: dict[str, dict[int, int]] = {}
-    for name, power, size in counts.groupBy("lang", "power").count().collect():  # a row per language and power of two
-        sizes.setdefault(name, {})[power] = size
-    languages = sorted(sizes)
-    least = {}
-    for name, by in sizes.items():
-        total, least[name] = 0, max(by)
-        for power in sorted(by, reverse=True):
-            total += by[power]
-            if total > ngrams and power < max(by):
-                break
-            least[name] = power
+    counts = stored(rows.mapInArrow(_count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")))
+    languages = sorted(r[0] for r in counts.select("lang").distinct().collect())  # a row per language
     if not languages:
         return build_model([], np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64))
-    bound = F.create_map(*[F.lit(x) for pair in least.items() for x in pair])
-    found = counts.where(F.col("power") >= bound[F.col("lang")]).select("lang", "gram", "n").toArrow()
-    number = {name: i for i, name in enumerate(languages)}
-    own = np.array([number[x] for x in found.column("lang").to_pylist()], np.int64)
-    model = build_model(languages, own, found.column("gram").to_numpy().view(np.uint64), found.column("n").to_numpy())
-    sent = docs.sparkSession.sparkContext.broadcast(model)  # bounded by languages and `ngrams`
+    number = (F.array_position(F.array(*map(F.lit, languages)), F.col("lang")) - 1).cast("int")
+    counts = counts.select(number.alias("lang"), "gram", "n")
+    if counts.select("gram").distinct().count() * len(languages) <= cells:
+        found = counts.toArrow()
+        own = found.column("lang").to_numpy().astype(np.int64)
+        model = build_model(languages, own, found.column("gram").to_numpy().view(np.uint64), found.column("n").to_numpy())
+    else:
+        model = build_tables(languages, stored(counts), cells)
     sample = rows.where(F.length("text") > 0).orderBy(F.xxhash64("text")).limit(CALIBRATION_ROWS)
-    usual = sample.mapInArrow(_own_entropy(sent), "lang string, entropy double").groupBy("lang")
-    for name, mean, spread in usual.agg(F.avg("entropy"), F.stddev_pop("entropy")).collect():
-        model.limits[number[name]] = mean + CALIBRATION_DEVIATIONS * max(spread, 0.05)
+    known = sample.select(number.alias("__lang"), F.col("text").alias("__text")).where(F.col("__lang") >= 0)
+    own = _entropies(known.select(F.struct("__lang").alias("__keep"), "__text"), model).where(F.col("entropy").isNotNull())
+    own = own.select("__keep.__lang", F.get("entropy", F.col("__keep.__lang")).alias("own")).groupBy("__lang")
+    for k, mean, spread in own.agg(F.avg("own"), F.stddev_pop("own")).collect():  # a row per language
+        model.limits[k] = mean + CALIBRATION_DEVIATIONS * max(spread, 0.05)
     return model
 
 
-def _own_entropy(model):
+def _floats(rows: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1) * rows.shape[1], pa.int32()), pa.array(rows.ravel()))
+
+
+def _sums(model):
+    """(__keep, sum of log probabilities per language, number of symbols) with the whole model."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(model.value)
-        number = {name: i for i, name in enumerate(model.value.languages)}
-        for part in slices(batches, "text"):
-            entropy = scorer.entropies(part.column("text").to_pylist())
-            own = entropy[np.arange(len(entropy)), [number[x] for x in part.column("lang").to_pylist()]]
-            known = np.isfinite(own)
-            yield pa.record_batch([part.column("lang").filter(pa.array(known)), pa.array(own[known])], ["lang", "entropy"])
+        for part in slices(batches, "__text"):
+            total = scorer.totals([letter_runs(t or "") for t in part.column("__text").to_pylist()])
+            yield pa.record_batch([part.column("__keep"), _floats(total[:, :-1]), pa.array(total[:, -1])], ["__keep", "sums", "symbols"])
 
     return run
 
 
-def _predict(model):
+def _head_sums(head):
+    """As `_sums` over the n-grams of the head, and the distinct other ones of each text with their counts."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(model.value)
-        names = np.array([*model.value.languages, UND], object)
+        keys, logs = head.value
         for part in slices(batches, "__text"):
-            entropy = scorer.entropies(part.column("__text").to_pylist())
-            known = np.isfinite(entropy).any(axis=1) if entropy.shape[1] else np.zeros(len(entropy), bool)
-            best = np.where(known, entropy.argmin(axis=1) if entropy.shape[1] else 0, len(names) - 1)
-            low = np.where(known, entropy.min(axis=1) if entropy.shape[1] else 0.0, 0.0)
-            score = np.zeros(len(entropy))
-            score[known] = 1 / np.exp(-SHARPNESS * (entropy[known] - low[known, None])).sum(axis=1)
-            limits = np.append(model.value.limits, -np.inf)
-            yield pa.record_batch(
-                [part.column("__keep"), pa.array(names[best].tolist(), pa.string()), pa.array(score), pa.array(low > limits[best])],
-                ["__keep", "lang_pred", "score", "rejected"],
-            )
+            sums, symbols, sizes, rest, many = np.zeros((part.num_rows, logs.shape[1])), np.zeros(part.num_rows), [0], [], []
+            for i, text in enumerate(part.column("__text").to_pylist()):
+                if words := letter_runs(text or ""):
+                    found, n = np.unique(packed_ngrams(words)[0], return_counts=True)
+                    at = np.minimum(np.searchsorted(keys, found), max(len(keys) - 1, 0))
+                    held = keys[at] == found if len(keys) else np.zeros(len(found), bool)
+                    sums[i], symbols[i] = n[held] @ logs[at[held]], n.sum()
+                    rest.append(found[~held])
+                    many.append(n[~held])
+                    sizes.append(len(rest[-1]))
+                else:
+                    sizes.append(0)
+            bounds = pa.array(np.cumsum(sizes), pa.int32())
+            lists = [pa.ListArray.from_arrays(bounds, pa.array(np.concatenate([np.zeros(0, np.int64), *(y.view(np.int64) for y in x)]))) for x in (rest, many)]
+            yield pa.record_batch([part.column("__keep"), _floats(sums), pa.array(symbols), *lists], ["__keep", "sums", "symbols", "rest", "many"])
 
     return run
 
 
-def identify(docs: DataFrame, model: Model, keep: Sequence[str | Column], text: str = "text") -> DataFrame:
+def _entropies(rows: DataFrame, model: Model | Tables) -> DataFrame:
+    """`rows` (__keep, __text) as (__keep, entropy): cross-entropy per symbol and language; NULL for a text without letters."""
+    context = rows.sparkSession.sparkContext
+    kind = f"__keep {rows.schema['__keep'].dataType.simpleString()}, sums array<double>, symbols double"
+    if isinstance(model, Model):
+        out = rows.mapInArrow(_sums(context.broadcast(model)), kind)  # bounded by `cells`
+    else:
+        held = rows.mapInArrow(_head_sums(context.broadcast(model.head)), f"{kind}, rest array<long>, many array<long>")  # bounded by `cells`
+        held = stored(held.withColumn("__row", F.monotonically_increasing_id()))
+        asked = held.select("__row", F.explode(F.arrays_zip("rest", "many")).alias("x")).select("__row", "x.rest", "x.many")
+        logs = stored(model.chances(asked.select(F.col("rest").alias("gram")).distinct()))
+        each = [F.sum(F.col("logs")[k] * F.col("many")) for k in range(len(model.languages))]
+        more = asked.join(logs, asked["rest"] == logs["gram"]).groupBy("__row").agg(F.array(*each).alias("more"))
+        both = F.when(F.col("more").isNull(), F.col("sums")).otherwise(F.zip_with("sums", "more", lambda a, b: a + b))
+        out = held.join(more, "__row", "left").select("__keep", both.alias("sums"), "symbols")
+    return out.select("__keep", F.when(F.col("symbols") > 0, F.transform("sums", lambda x: -x / F.col("symbols"))).alias("entropy"))
+
+
+def identify(docs: DataFrame, model: Model | Tables, keep: Sequence[str | Column], text: str = "text") -> DataFrame:
     """Columns `keep`, `lang_pred`, `score` (share of the best language, 0 to 1) and `rejected`."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)  # bounded by languages and `ngrams`
     rows = docs.select(F.struct(*keep).alias("__keep"), F.col(text).cast("string").alias("__text"))
-    kind = rows.schema["__keep"].dataType.simpleString()
-    return rows.mapInArrow(_predict(sent), f"__keep {kind}, lang_pred string, score double, rejected boolean").select(
-        "__keep.*", "lang_pred", "score", "rejected"
+    if not model.languages:
+        return rows.select("__keep.*", F.lit(UND).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(True).alias("rejected"))
+    names, limits = (F.array(*map(F.lit, x)) for x in (model.languages, model.limits.tolist()))
+    known, low = F.col("entropy").isNotNull(), F.array_min("entropy")
+    best = F.array_position(F.col("entropy"), low).cast("int")
+    parts = F.aggregate("entropy", F.lit(0.0), lambda seen, x: seen + F.exp((x - low) * -SHARPNESS))
+    return _entropies(rows, model).select(
+        "__keep.*",
+        F.when(known, F.element_at(names, best)).otherwise(UND).alias("lang_pred"),
+        F.when(known, 1 / parts).otherwise(0.0).alias("score"),
+        F.when(known, low > F.element_at(limits, best)).otherwise(True).alias("rejected"),
     )

@@ -58,3 +58,25 @@ def test_counts_of_all_rows_and_no_labels(frame):
     assert np.array_equal(one.grams[3][0], two.grams[3][0])
     none = la.fit(frame([(1, "abc", None)]))
     assert [x.lang_pred for x in la.identify(frame([(1, "abc")]), none, ["doc_id"]).collect()] == [la.UND]
+
+
+def test_a_model_in_tables_equals_one_in_arrays(frame, model):
+    r = random.Random(1)
+    rows = [(i, text(r, lang), lang) for i, lang in enumerate(list(WORDS) * 15)] + [(900, None, "aa"), (901, "", "bb"), (902, "12 34", "aa"), (903, "noise", None)]
+    asked = frame(rows + [(950, "qqq xxx jjj lorem"), (951, "один zwei lorem und mehr"), (952, "b" * 70_000)])
+    want = {x.doc_id: x for x in la.identify(asked, model, ["doc_id", "__keep"]).collect()}
+    for cells in (0, 30):
+        large = la.fit(frame(rows), cells=cells)
+        assert isinstance(large, la.Tables) and len(large.head[0]) == cells // 3 and np.allclose(large.limits, model.limits)
+        got = {x.doc_id: x for x in la.identify(asked, large, ["doc_id", "__keep"]).collect()}
+        assert got.keys() == want.keys()
+        for i, x in want.items():
+            assert got[i].lang_pred == x.lang_pred and got[i].rejected == x.rejected and got[i].score == pytest.approx(x.score, abs=1e-9)
+
+
+def test_no_ngram_is_dropped(frame):
+    r = random.Random(4)
+    words = ["".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(7)) for _ in range(26_000)]
+    rows = [(i, " ".join(words[i::40]), "aa") for i in range(40)]
+    model = la.fit(frame(rows))
+    assert len(model.grams[3][0]) == len(np.unique(la.packed_ngrams(words)[0])) > 100_000
