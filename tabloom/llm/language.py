@@ -28,7 +28,6 @@ from .texts import mix, slices
 ORDER = 4
 UND = "und"
 BROADCAST_CELLS = 4_000_000  # n-grams times languages up to which a model, or the head of a larger one, is broadcast
-CALIBRATION_ROWS = 2_000  # labelled texts that the rejection limit is set on
 CALIBRATION_DEVIATIONS = 4.0
 CACHE_WORDS = 300_000
 SHARPNESS = 8.0  # of the score: how much a nat per symbol counts
@@ -254,8 +253,7 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", cells: int = BR
         model = build_model(languages, own, found.column("gram").to_numpy().view(np.uint64), found.column("n").to_numpy())
     else:
         model = build_tables(languages, stored(counts), cells)
-    sample = rows.where(F.length("text") > 0).orderBy(F.xxhash64("text")).limit(CALIBRATION_ROWS)
-    known = sample.select(number.alias("__lang"), F.col("text").alias("__text")).where(F.col("__lang") >= 0)
+    known = rows.select(number.alias("__lang"), F.col("text").alias("__text")).where(F.col("__lang") >= 0)
     own = _entropies(known.select(F.struct("__lang").alias("__keep"), "__text"), model).where(F.col("entropy").isNotNull())
     own = own.select("__keep.__lang", F.get("entropy", F.col("__keep.__lang")).alias("own")).groupBy("__lang")
     for k, mean, spread in own.agg(F.avg("own"), F.stddev_pop("own")).collect():  # a row per language

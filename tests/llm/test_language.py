@@ -80,3 +80,9 @@ def test_no_ngram_is_dropped(frame):
     rows = [(i, " ".join(words[i::40]), "aa") for i in range(40)]
     model = la.fit(frame(rows))
     assert len(model.grams[3][0]) == len(np.unique(la.packed_ngrams(words)[0])) > 100_000
+
+
+def test_every_language_has_a_limit(frame):
+    r = random.Random(5)
+    rows = [(i, f"{text(r, 'aa')} {i}", "aa") for i in range(2_200)] + [(5000 + i, text(r, "bb"), "bb") for i in range(2)]
+    assert np.isfinite(la.fit(frame(rows)).limits).all()
