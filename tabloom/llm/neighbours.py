@@ -9,7 +9,8 @@ candidate. Shards and blocks of queries have bounded sizes, and each block meets
 of each pair leave a task. All candidates as close as the last one taken are taken too, so a cluster whose vectors share one
 order is ranked exactly.
 
-Defined results: vectors that are null, zero, of another size than the pivots, or hold a null or non-finite component take no
+Defined results: vectors that are null, zero, of another size than most (of equally frequent
+sizes the larger counts), or hold a null or non-finite component take no
 part. Ties go to the smaller id. A query's own id is never among its answers; rows that repeat an id count as often as they
 occur. With fewer candidates than asked for, all are returned; without queries or candidates there are no rows.
 """
@@ -113,14 +114,14 @@ def nearest(
         F.col(key).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("vector"), F.coalesce(queries, F.lit(False)).alias("asks")
     )
     rows = rows.where(usable(F.col("vector")))
+    usual = rows.groupBy(F.size("vector").alias("size")).count().orderBy(F.desc("count"), F.desc("size")).first()
+    rows = rows.where(F.size("vector") == (usual["size"] if usual else 0))
     chosen = rows.groupBy("vector").agg(F.min("id").alias("id")).orderBy(F.xxhash64("vector"), "id").limit(pivots).select("vector").collect()
     out = "query long, vec long, away double"
     if not chosen:
         empty = rows.select(F.col("id").alias("query"), F.col("id").alias("vec"), F.lit(0.0).alias("away")).limit(0)
         return _ranked(empty, k)
-    size = max(map(len, (r[0] for r in chosen)))
-    centers = np.array([r[0] for r in chosen if len(r[0]) == size])
-    rows = rows.where(F.size("vector") == size)
+    centers = np.array([r[0] for r in chosen])
     # the k + 1 smallest ids of each vector are all that an answer can hold; the limit is applied before the shuffle
     first = rows.select("id", "vector").withColumn("n", F.row_number().over(Window.partitionBy("vector").orderBy("id"))).where(F.col("n") <= k + 1)
     entries = stored(first.groupBy("vector").agg(F.sort_array(F.collect_list("id")).alias("ids")))

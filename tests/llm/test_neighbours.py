@@ -41,3 +41,13 @@ def test_recall_with_real_shards(spark):
         away = ((x - x[q]) ** 2).sum(axis=1)
         hits.append(len(set(found) & set(np.argsort(away)[1:11].tolist())) / 10)
     assert len(hits) == 50 and np.mean(hits) >= 0.9
+
+
+def test_a_longer_vector_leaves_the_others(spark):
+    r = np.random.default_rng(3)
+    rows = [(i, r.standard_normal(4).tolist()) for i in range(40)]
+    df = spark.createDataFrame(rows + [(90, [1.0] * 6), (91, [2.0] * 6)], "vec_id long, embedding array<double>")
+    got = sorted(map(tuple, nearest(df, F.col("vec_id") % 10 == 0, 5).collect()))
+    assert [x[:3] for x in got] == [x[:3] for x in brute(rows, lambda i: i % 10 == 0, 5)]
+    tie = spark.createDataFrame([(1, [1.0]), (2, [2.0]), (3, [1.0, 1.0]), (4, [2.0, 1.0])], "vec_id long, embedding array<double>")
+    assert [x[:3] for x in map(tuple, nearest(tie, F.col("vec_id") == 3).collect())] == [(3, 1, 4)]
