@@ -211,7 +211,7 @@ def impute_random(spark, d):
 
 def impute_model(spark, d):
     df = train(spark, d).select(KEY, "price", "bal", "rare_null", "target")
-    return impute.impute_model(df, ["bal", "rare_null"], ["price", "bal", "rare_null", "target"], maxIter=5)
+    return impute.impute_model(df, ["bal", "rare_null"], ["price", "bal", "rare_null", "target"])
 
 
 def impute_model_facts(spark, d):
