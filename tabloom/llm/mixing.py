@@ -3,7 +3,9 @@
 Documents are summed up by cell (one value of every margin). Raking scales the cells' weights to the targets of one
 margin after the other until all hold. A cell's weight over its tokens, divided by the largest such ratio, is the
 probability with which each of its documents is kept, so the tokens kept have the target shares in expectation and no
-document is repeated. The draw depends on seed and key only.
+document is repeated. The smallest, most up-weighted cell thus sets how much is kept. With a `size`, a share of all tokens, the
+ratios are scaled until that share is kept in expectation; cells whose probability would pass 1 are kept whole, and what they
+lack of their target goes to the others. The draw depends on seed and key only.
 
 Defined results: a null margin value is a value of its own, ``(none)``. A null or empty text has no tokens; a cell without
 tokens has probability 0. Rows with the same key share their draw. An empty table gives no rows. Values that targets do
@@ -67,6 +69,18 @@ def rake(cells: DataFrame, margins: Sequence[str], targets: Mapping[str, DataFra
     return cells
 
 
+def scale(ratio: DataFrame, size: float) -> float:
+    """The factor s with sum(tokens * min(1, s * ratio)) = `size` of all tokens; if all that have weight are fewer, one that keeps them."""
+    goal = size * float(ratio.agg(F.sum("tokens")).first()[0] or 0)
+    s = 0.0
+    while True:  # cells only ever become whole, so this ends
+        whole = F.col("__ratio") * F.lit(s) >= 1
+        kept, rest = ratio.agg(F.sum(F.when(whole, F.col("tokens"))), F.sum(F.when(~whole, F.col("tokens") * F.col("__ratio")))).first()
+        if not rest or (goal - (kept or 0)) / rest <= s * (1 + 1e-12):
+            return s
+        s = (goal - (kept or 0)) / rest
+
+
 def mix(
     docs: DataFrame,
     margins: Mapping[str, Column],
@@ -76,18 +90,21 @@ def mix(
     temper: float = TEMPER,
     sweeps: int = SWEEPS,
     seed: int = 17,
+    size: float | None = None,
 ) -> DataFrame:
     """Each row of `docs` as the struct `doc`, its <margin>..., tokens, cell_weight, probability and kept.
 
     `targets` has (value, share) per margin; a margin without one gets its own token shares to the power `temper`.
+    `size` is the share of all tokens to keep; without one the largest ratio is kept whole and all others in proportion.
     """
     named = docs.select(F.struct("*").alias("doc"), *cell_columns(margins), tokens(F.col(text)).alias("tokens"))
     names = [f"__{m}" for m in margins]
     cells = materialize(named.groupBy(*names).agg(F.sum("tokens").alias("tokens")))
     raked = rake(cells, list(margins), targets or {}, temper, sweeps)
-    ratio = raked.select(*names, F.col("weight").alias("cell_weight"), F.coalesce(F.try_divide("weight", "tokens"), F.lit(0.0)).alias("__ratio"))
+    ratio = raked.select(*names, "tokens", F.col("weight").alias("cell_weight"), F.coalesce(F.try_divide("weight", "tokens"), F.lit(0.0)).alias("__ratio"))
     most, count = ratio.agg(F.max("__ratio"), F.count("*")).first()
-    ratio = ratio.withColumn("probability", F.col("__ratio") / F.lit(most or 1.0)).drop("__ratio")
+    kept = F.col("__ratio") / F.lit(most or 1.0) if size is None else F.least(F.lit(1.0), F.col("__ratio") * F.lit(scale(ratio, size)))
+    ratio = ratio.withColumn("probability", kept).drop("__ratio", "tokens")
     out = named.join(F.broadcast(ratio) if count <= BROADCAST_CELLS else ratio, names, "left")
     return out.select(
         "doc",

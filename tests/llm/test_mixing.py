@@ -38,3 +38,14 @@ def test_same_draw_whatever_the_partitions(frame):
 
 def test_empty_table(frame):
     assert mix(frame(rows()).limit(0), columns()).count() == 0
+
+
+def test_a_stray_row_does_not_shrink_a_sized_sample(frame):
+    stray = [(5000, "one two three four five", "zz", "stray")]
+    for given in (rows(), rows() + stray):
+        for size in (0.3, 0.7):
+            out = mix(frame(given), columns(), size=size)
+            kept, whole, most = out.agg(F.sum(F.col("probability") * F.col("tokens")), F.sum("tokens"), F.max("probability")).first()
+            assert kept == pytest.approx(size * whole, rel=1e-9) and most <= 1
+    assert mix(frame(given), columns(), size=1.0).where("tokens > 0 and probability < 0.999999").count() == 0
+    assert mix(frame(given).limit(0), columns(), size=0.5).count() == 0
