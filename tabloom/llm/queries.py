@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import classifier as cl, jaccard as jc, language as la, mixing as mx, neighbours as nb, packing as pk, quality_rules as qr, repeats as rp, secrets as sc, token_counts as tc
+from . import classifier as cl, conversations as cv, exact_dedup as ed, jaccard as jc, language as la, lexical as lx, mixing as mx, neighbours as nb, packing as pk, quality_rules as qr, repeats as rp, secrets as sc, token_counts as tc
 
 
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
@@ -92,9 +92,46 @@ def op10_source_mixing(spark, d):
     )
 
 
+def op11_exact_dedup(spark, d):
+    return ed.copies(table(spark, d, "documents"))
+
+
+def damaged(rows: DataFrame) -> DataFrame:
+    """Conversations with the faults that the contract plants, by a hash of conversation and turn."""
+    named = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    fault = F.crc32(F.concat(named("conv_id"), F.lit(":"), named("turn"))) % 20
+    role, text = (F.coalesce(F.col(c), F.lit(" ")) for c in ("role", "text"))
+    return rows.select("conv_id", "turn", role.alias("role"), text.alias("text"), fault.alias("fault")).where("fault <> 0").select(
+        "conv_id",
+        "turn",
+        F.when(F.col("fault") == 4, "user").otherwise(F.col("role")).alias("role"),
+        F.when(F.col("fault") == 1, "").when(F.col("fault") == 2, F.translate("text", ".!?", "")).otherwise(F.col("text")).alias("text"),
+        F.explode(F.when(F.col("fault") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("copy"),
+    ).drop("copy")
+
+
+def op12_conversation_repair(spark, d):
+    rows = table(spark, d, "conversations")
+    found = cv.repair(damaged(rows))
+    ids = rows.select(F.col("conv_id").alias("id")).distinct()
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    out = ids.join(found.summary(), F.col("id").eqNullSafe(F.col("key")), "left").drop("key")
+    out = out.join(found.digests(), F.col("id").eqNullSafe(F.col("key")), "left")
+    return out.select(
+        F.col("id").alias("conv_id"),
+        *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in counts],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
+def op13_lexical_search(spark, d):
+    return lx.ranked(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_suffix_dedup, op2_token_counts, op3_hilbert_packing, op4_language_id, op5_secret_scan, op6_ngram_jaccard, op7_quality_classifier,
-    op8_permutation_search, op9_quality_rules, op10_source_mixing,
+    op8_permutation_search, op9_quality_rules, op10_source_mixing, op11_exact_dedup, op12_conversation_repair, op13_lexical_search,
 )}
 
 def _secrets_sql() -> str:
@@ -151,7 +188,82 @@ SELECT n.doc_id, n.source, n.lang, n.topic, n_tokens::BIGINT AS n_tokens, round(
 FROM n JOIN p ON n.source = p.source AND n.lang = p.lang AND n.topic = p.topic"""
 
 
+def _repair_sql() -> str:
+    # per row and state of the form the least (cost, audit), with the repaired lines; states as in conversations.py
+    far = "{'c': 1000000, 'a': '', 'r': ''}"
+    made = {2: "user:", 3: "assistant:"}
+    least = lambda *x: f"list_sort([{', '.join(x)}])[1]"
+    grown = lambda s, c, a, r: f"{{'c': {s}.c + {c}, 'a': {s}.a || '{a}', 'r': {s}.r || {r}}}"
+    line = lambda x: f"{x} || chr(10)"
+    ins = lambda s, to: grown(s, 3, "I", line(f"'{made[to]}'"))
+
+    def inserted(a: str) -> str:
+        """Two rounds of insertions after the states a0..a3: 0, 1 and 3 to user, 2 to assistant."""
+        one = f"{a}0 AS i0, {a}1 AS i1, {least(a + '2', ins(a + '0', 2), ins(a + '1', 2), ins(a + '3', 2))} AS i2, {a}3 AS j3, {a}2 AS j2"
+        return f"i0, i1, i2, {least('j3', ins('i2', 3))} AS i3", one
+
+    last, first = inserted("s")
+    stay = lambda c: f"CASE WHEN fault IN ('blank', 'duplicate') THEN {far} ELSE {c} END"
+    keep = lambda s, letter: f"CASE WHEN left(role, 1) = '{letter}' THEN {grown(s, '(CASE WHEN fault = ' + chr(39) + 'truncated' + chr(39) + ' THEN 3 ELSE 0 END)', 'K', line('role || chr(58) || text'))} ELSE {far} END"
+    turn = lambda s, to: grown(s, "(CASE WHEN fault = 'truncated' THEN 6 ELSE 3 END)", "R", line(f"'{made[to]}' || text"))
+    gone = lambda s: grown(s, 4, "D", "''")
+    to_user = [x for s in ("i0", "i1", "i3") for x in (stay(keep(s, "u")), stay(turn(s, 2)))]
+    step = ", ".join([
+        f"{gone('i0')} AS s0",
+        f"{least(gone('i1'), stay(keep('i0', 's')))} AS s1",
+        f"{least(gone('i2'), *to_user)} AS s2",
+        f"{least(gone('i3'), stay(keep('i2', 'a')), stay(turn('i2', 3)))} AS s3",
+    ])
+    return f"""
+WITH RECURSIVE b AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''),
+      lambda x: [ascii(x)::BIGINT, 0, 0, 0, 0, 0, 0, 0]))),
+      lambda c, e: xor(xor(c, e) >> 1, 3988292384::BIGINT * (xor(c, e) & 1))), 4294967295::BIGINT) % 20 AS h
+  FROM conversations),
+d AS (SELECT conv_id, turn, CASE WHEN h = 4 THEN 'user' ELSE role END AS role,
+        CASE h WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, unnest(CASE WHEN h = 3 THEN [0, 1] ELSE [0] END) AS again FROM b WHERE h <> 0),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, left(text, 32), md5(text)) AS n,
+        regexp_replace(text, '[ \t\n\x0B\f\r]+$', '') AS cut FROM d),
+f AS (SELECT *, CASE WHEN cut = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY n) > 1 THEN 'duplicate'
+        WHEN right(cut, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+        coalesce(lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY n) || left(role, 1) NOT IN ('su', 'ua', 'au'), false) AS bad,
+        count(*) OVER (PARTITION BY conv_id) AS total FROM o),
+w AS (SELECT conv_id, 0::BIGINT AS n, max(total) AS total, {{'c': 0, 'a': '', 'r': ''}} AS s0, {far} AS s1, {far} AS s2, {far} AS s3 FROM f GROUP BY conv_id
+  UNION ALL
+  SELECT conv_id, n, total, {step}
+  FROM (SELECT conv_id, n + 1 AS n, total, {last} FROM (SELECT conv_id, n, total, {first} FROM w WHERE n < total) AS x) AS y
+  JOIN (SELECT conv_id AS conv, n AS at, role, text, fault FROM f) AS z ON z.conv IS NOT DISTINCT FROM y.conv_id AND z.at = y.n),
+e AS (SELECT conv_id, {least('i0', 'i3')} AS best FROM (SELECT conv_id, {last} FROM (SELECT conv_id, {first} FROM w WHERE n = total) AS x) AS y),
+c AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+        count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (bad) AS illegal FROM f GROUP BY conv_id)
+SELECT i.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+  coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(best.c, 0)::BIGINT AS cost, coalesce(best.a, '') AS audit,
+  sha256(coalesce(left(best.r, length(best.r) - 1), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) AS i
+LEFT JOIN e ON e.conv_id IS NOT DISTINCT FROM i.conv_id LEFT JOIN c ON c.conv_id IS NOT DISTINCT FROM i.conv_id"""
+
+
 ORACLE: dict[str, str] = {
+    "op11_exact_dedup": """
+SELECT doc_id, max(doc_id) OVER t AS keep_id, count(*) OVER t AS group_size,
+  row_number() OVER (PARTITION BY coalesce(text, '') ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW t AS (PARTITION BY coalesce(text, ''))""",
+    "op12_conversation_repair": _repair_sql(),
+    "op13_lexical_search": r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ws FROM documents),
+s AS (SELECT count(*) AS N, sum(len(ws))::BIGINT AS L FROM d WHERE len(ws) > 0),
+tf AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(ws) AS term FROM d) GROUP BY ALL),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+w AS (SELECT term, floor(1000 * ln(((2 * N + 2)::DOUBLE) / (2 * df + 1)::DOUBLE))::BIGINT AS w FROM df, s),
+q AS (SELECT i, item_id, term, count(*) AS often FROM (SELECT row_number() OVER () AS i, item_id, unnest(regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark) GROUP BY ALL),
+m AS (SELECT r, doc_id, 75 + (25 * len(ws) * N) // L AS m FROM d, s WHERE len(ws) > 0),
+x AS (SELECT i, item_id, r, sum(often * w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score, any_value(doc_id) AS doc_id
+      FROM q JOIN tf USING (term) JOIN w USING (term) JOIN m USING (r) GROUP BY i, item_id, r),
+y AS (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS FIRST) AS rank FROM x WHERE score > 0)
+SELECT item_id, rank::INT AS rank, doc_id, score FROM y WHERE rank <= 20""",
     "op10_source_mixing": _mixing_sql(),
     "op5_secret_scan": _secrets_sql(),
     "op6_ngram_jaccard": r"""

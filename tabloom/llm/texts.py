@@ -59,10 +59,10 @@ def powers(base: int, count: int) -> np.ndarray:
     return out
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(start, stop, first word of each text and the total) for words [^\\x20\\x09-\\x0D]+ ; words end with their text."""
+def words(data: np.ndarray, offsets: np.ndarray, between: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, stop, first word of each text and the total) for words [^\\x20\\x09-\\x0D]+, or of the bytes not in `between`; words end with their text."""
     inside = np.zeros(len(data) + 2, bool)
-    inside[1:-1] = ~_SPACE[data]
+    inside[1:-1] = ~between[data]
     first = inside[1:-1] & ~inside[:-2]
     last = inside[1:-1] & ~inside[2:]
     bounds = offsets[1:-1]
@@ -73,13 +73,13 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return starts, np.flatnonzero(last) + 1, np.searchsorted(starts, offsets)
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, stops: np.ndarray, lower: bool = True) -> np.ndarray:
+def word_hashes(data: np.ndarray, starts: np.ndarray, stops: np.ndarray, lower: bool = True, between: np.ndarray = _SPACE) -> np.ndarray:
     """A 64-bit hash of the bytes of each word, A-Z lower-cased if asked for."""
     if not len(starts):
         return np.zeros(0, np.uint64)
     lengths = stops - starts
     values = (_LOWER if lower else np.arange(256, dtype=np.uint8))[data].astype(np.uint64) + np.uint64(1)
-    values[_SPACE[data]] = 0
+    values[between[data]] = 0
     values = values[starts[0] :]
     place = np.arange(starts[0], len(data)) - np.repeat(starts, np.append(starts[1:], len(data)) - starts)
     with np.errstate(over="ignore"):
