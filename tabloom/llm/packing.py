@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.order import ordered
 from .stores import stored
 from .texts import slices
-from .tokens import vocabulary_path, worker_encoder
+from .tokens import odd_characters, vocabulary_path, worker_encoder
 
 END_ID = 2
 LENGTH = 4096
@@ -64,11 +64,11 @@ def projection(seed: int = 7) -> np.ndarray:
     return np.random.default_rng(seed).standard_normal((BUCKETS, AXES)) / np.sqrt(BUCKETS)
 
 
-def _encoded(path: str):
+def _encoded(path: str, odd: list[tuple[int, int]]):
     axes = [f"x{i}" for i in range(AXES)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, matrix = worker_encoder(path), projection()
+        encoder, matrix = worker_encoder(path, odd), projection()
         bucket = (np.arange(len(encoder.ends), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(56)).astype(np.int64) % BUCKETS
         end = np.array([END_ID], encoder.kind).tobytes()
         for part in slices(batches, "text"):
@@ -127,7 +127,7 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int =
     kind = dict(rows.dtypes)["key"]
     axes = [f"x{i}" for i in range(AXES)]
     schema = f"row long, key {kind}, n long, {', '.join(f'{a} double' for a in axes)}, ids binary"
-    done = stored(rows.mapInArrow(_encoded(path), schema))
+    done = stored(rows.mapInArrow(_encoded(path, odd_characters(path)), schema))
     found = done.agg(*[f(a) for a in axes for f in (F.avg, F.stddev_pop)], F.count("*")).first()
     center = [found[2 * i] or 0.0 for i in range(AXES)]
     spread = [found[2 * i + 1] or 1.0 for i in range(AXES)]

@@ -6,7 +6,7 @@ import re
 import sys
 import types
 import unicodedata
-from functools import cached_property
+from functools import cached_property, lru_cache
 
 import numpy as np
 
@@ -18,6 +18,7 @@ CACHE_PIECES = 100_000  # their letter, digit and symbol runs
 SPLIT = r"\n|'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _OTHER_BLANKS = re.compile("[\x1c-\x1f]")  # blanks to Python, symbols to the vocabulary
 _BLANKS = re.compile("[^\\S\x1c-\x1f]+")
+_CLOSING = frozenset(".,;:!?")  # one of these behind letters is a piece of its own
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -38,18 +39,57 @@ class WordCache:
         if len(self.young) > self.limit:
             self.old, self.young = self.young, {}
 
-    def missing(self, words) -> list[str]:
+    def missing(self, words: set[str]) -> list[str]:
         """Words in neither generation; those of the old one move to the young one."""
-        out = []
-        for w in words:
-            if w not in self.young:
-                if (v := self.old.get(w)) is None:
-                    out.append(w)
-                else:
-                    self.young[w] = v
+        out, get, young = [], self.old.get, self.young
+        for w in words.difference(young):
+            if (v := get(w)) is None:
+                out.append(w)
+            else:
+                young[w] = v
         return out
 
 
+@lru_cache(maxsize=4)
+def odd_characters(path: str) -> list[tuple[int, int]]:
+    """Ranges of code points that may be split or normalised differently here and by the vocabulary's library.
+
+    The installed Unicode tables differ in age. A code point is odd if it is unassigned to Python, or if its normal form,
+    its order among marks or the pieces of a word around it differ. They are found once, on the driver; words with such
+    characters go to the library.
+    """
+    import regex
+    from tokenizers import Tokenizer
+
+    whole, split = Tokenizer.from_file(path), regex.compile(SPLIT)
+    normal, cut = whole.normalizer.normalize_str, whole.pre_tokenizer.pre_tokenize_str
+    marks = {unicodedata.combining(chr(p)): chr(p) for p in range(0x300, 0x20000)}
+    odd = np.zeros(0x110001, bool)
+    assigned = []
+    for p in range(0x110000):
+        if unicodedata.category(chr(p)) == "Cn":
+            odd[p] = True
+        elif not 0xD800 <= p < 0xE000 and not chr(p).isspace():
+            assigned.append(p)
+    differs = lambda text: lower(text) != normal(text)
+    unsplit = lambda text: [text[i:j] for _, (i, j) in cut(text)] != split.findall(text)
+    for at in range(0, len(assigned), 4096):
+        part = assigned[at : at + 4096]
+        for p in part:
+            c = chr(p)
+            odd[p] = differs(c) or differs(f"x{c}\u0301") or (unicodedata.combining(c) and any(differs(f"x{c}{m}") or differs(f"x{m}{c}") for m in marks.values()))
+        if unsplit(" ".join(f"q{lower(chr(p))}q" for p in part)):
+            for p in part:
+                odd[p] |= unsplit(f"q{lower(chr(p))}q")
+    edges = np.flatnonzero(np.diff(odd.astype(np.int8), prepend=0))
+    return list(zip(edges[::2].tolist(), edges[1::2].tolist()))
+
+
+def lower(text: str) -> str:
+    """Composed and lower-cased, each character alone, so a capital sigma never becomes the final form."""
+    return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+
+
 class WordEncoder:
     """Same ids as the tokenizers library without added special tokens, word by word.
 
@@ -57,7 +97,7 @@ class WordEncoder:
     one after the other.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, odd: list[tuple[int, int]]):
         import regex
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
@@ -72,6 +112,9 @@ class WordEncoder:
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.special = [t.content for t in self.bare.get_added_tokens_decoder().values()]
+        self.odd = np.zeros(0x110000, bool)
+        for start, stop in odd:
+            self.odd[start:stop] = True
         self.split = regex.compile(SPLIT)
         self.words, self.pieces = WordCache(CACHE_WORDS), WordCache(CACHE_PIECES)
 
@@ -80,42 +123,40 @@ class WordEncoder:
         """The tokenizer as it is, for the few words that need it."""
         return self.load()
 
+    def strange(self, text: str) -> bool:
+        return any(s in text for s in self.special) or any(self.odd[ord(c)] for c in set(text))
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids as little-endian integers of `kind`."""
         self.words.make_room()
         self.pieces.make_room()
         lists = [x.split() if not _OTHER_BLANKS.search(x) else [w for w in _BLANKS.split(x) if w] for x in texts]
-        get = self.words.young.get
-        found = [list(map(get, words)) for words in lists]
-        new = {w for words, got in zip(lists, found) if None in got for w, v in zip(words, got) if v is None}
-        if new and (new := self.words.missing(new)):
+        new = self.words.missing(set().union(*lists))
+        if new:
             self._learn(new)
-        young = self.words.young
-        return [
-            b"".join(got) if None not in got else b"".join([young[w] if v is None else v for w, v in zip(words, got)])
-            for words, got in zip(lists, found)
-        ]
+        of = self.words.young.__getitem__
+        return [b"".join(map(of, words)) for words in lists]
 
     def _learn(self, new: list[str]) -> None:
-        plain = [w for w in new if not any(s in w for s in self.special)]
-        for w in set(new) - set(plain):
-            self.words.young[w] = np.array(self.whole.encode(w, add_special_tokens=False).ids, self.kind).tobytes()
-        if not plain:
-            return
-        # the vocabulary lower-cases each character alone, so a capital sigma never becomes the final form
-        parts = self.split.findall(unicodedata.normalize("NFC", "\n".join(plain)).replace("Σ", "σ").lower())
-        kinds = set(parts)
-        kinds.discard("\n")
-        self._learn_pieces(self.pieces.missing(kinds))
-        young, words = self.pieces.young, iter(plain)
-        now: list[bytes] = []
-        for p in parts:
-            if p == "\n":
-                self.words.young[next(words)] = b"".join(now)
-                now = []
+        young = self.words.young
+        if self.strange("\n".join(new)):
+            for w in filter(self.strange, new):
+                young[w] = np.array(self.whole.encode(w, add_special_tokens=False).ids, self.kind).tobytes()
+            new = [w for w in new if w not in young]
+        lowered = lower("\n".join(new)).split("\n")
+        findall = self.split.findall
+        parts = []
+        for w in lowered:
+            if w.isalpha():
+                parts.append((w,))
+            elif w[-1:] in _CLOSING and w[:-1].isalpha():
+                parts.append((w[:-1], w[-1]))
             else:
-                now.append(young[p])
-        self.words.young[next(words)] = b"".join(now)
+                parts.append(findall(w))
+        self._learn_pieces(self.pieces.missing(set().union(*parts)))
+        of = self.pieces.young.__getitem__
+        for w, pieces in zip(new, parts):
+            young[w] = of(pieces[0]) if len(pieces) == 1 else b"".join(map(of, pieces))
 
     def _learn_pieces(self, new: list[str]) -> None:
         for at in range(0, len(new), 512):
@@ -132,12 +173,12 @@ class WordEncoder:
                 start = stop
 
 
-def worker_encoder(path: str) -> WordEncoder:
-    """One encoder for the life of a Python worker, which Spark uses for many tasks."""
+def worker_encoder(path: str, odd: list[tuple[int, int]]) -> WordEncoder:
+    """One encoder for the life of a Python worker, which Spark uses for many tasks; `odd` are the vocabulary's odd_characters."""
     held = sys.modules.setdefault("_tabloom_worker", types.ModuleType("_tabloom_worker"))
     encoders = held.__dict__.setdefault("encoders", {})
     if path not in encoders:
-        encoders[path] = WordEncoder(path)
+        encoders[path] = WordEncoder(path, odd)
     return encoders[path]
 
 

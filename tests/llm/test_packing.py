@@ -1,10 +1,11 @@
+import unicodedata
 import zlib
 
 import numpy as np
 from tokenizers import Tokenizer
 
 from tabloom.llm.packing import END_ID, hilbert_keys, pack
-from tabloom.llm.tokens import WordEncoder, vocabulary_path
+from tabloom.llm.tokens import WordEncoder, odd_characters, vocabulary_path
 
 TEXTS = [
     None, "", "   ", "The quick brown Fox's tail, isn't it?\n\nYes!", "ΟΔΟΣ οδος İstanbul ﬁne é é", "a\x1cb\x1d c", "x<|endoftext|>y <|startoftext|>",
@@ -13,7 +14,7 @@ TEXTS = [
 
 
 def test_encoder_gives_the_library_ids():
-    whole, own = Tokenizer.from_file(vocabulary_path()), WordEncoder(vocabulary_path())
+    whole, own = Tokenizer.from_file(vocabulary_path()), WordEncoder(vocabulary_path(), odd_characters(vocabulary_path()))
     for text, raw in zip(TEXTS[1:], own.encode(TEXTS[1:])):
         assert np.frombuffer(raw, own.kind).tolist() == whole.encode(text, add_special_tokens=False).ids, text
     own.words.limit = own.pieces.limit = 3
@@ -21,6 +22,20 @@ def test_encoder_gives_the_library_ids():
         assert own.encode(["some more words here", "and more words"])[1] == own.encode(["and more words"])[0]
 
 
+def test_every_code_point_inside_a_word():
+    whole, own = Tokenizer.from_file(vocabulary_path()), WordEncoder(vocabulary_path(), odd_characters(vocabulary_path()))
+    assert all(own.odd[p] for p in range(0x110000) if unicodedata.category(chr(p)) == "Cn")  # the library's own work
+    points = [p for p in range(0x110000) if unicodedata.category(chr(p)) not in ("Cn", "Cs")]
+    for at in range(0, len(points), 4096):
+        for form in ("a{}b", "{}", "1{}.", "x{}\u0301"):
+            text = " ".join(form.format(chr(p)) for p in points[at : at + 4096])
+            ids = np.frombuffer(own.encode([text])[0], own.kind).tolist()
+            if ids != whole.encode(text, add_special_tokens=False).ids:
+                one = lambda p: np.frombuffer(own.encode([form.format(chr(p))])[0], own.kind).tolist()
+                assert [hex(p) for p in points[at : at + 4096] if one(p) != whole.encode(form.format(chr(p)), add_special_tokens=False).ids] == []
+                raise AssertionError(f"differs in context from {at:x} on")
+
+
 def test_hilbert_walk_moves_one_step_at_a_time():
     for axes, bits in ((2, 4), (3, 3), (4, 2)):
         cells = np.stack(np.meshgrid(*[np.arange(1 << bits)] * axes, indexing="ij"), -1).reshape(-1, axes)
