@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.order import ordered
 from .stores import stored
 from .texts import slices
-from .tokens import odd_characters, vocabulary_path, worker_encoder
+from .tokens import CHUNK_BYTES, odd_characters, vocabulary_path, worker_encoder
 
 END_ID = 2
 LENGTH = 4096
@@ -70,15 +70,20 @@ def _encoded(path: str, odd: list[tuple[int, int]]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, matrix = worker_encoder(path, odd), projection()
         bucket = (np.arange(len(encoder.ends), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(56)).astype(np.int64) % BUCKETS
-        end = np.array([END_ID], encoder.kind).tobytes()
-        for part in slices(batches, "text"):
-            raws = [r + end for r in encoder.encode(part.column("text").fill_null("").to_pylist())]
-            vectors = np.stack([np.bincount(bucket[np.frombuffer(r, encoder.kind)], minlength=BUCKETS) for r in raws])
+        for part in slices(batches, "text", CHUNK_BYTES):
+            ids, bounds = encoder.encode(part.column("text"))
+            rows, counts = part.num_rows, np.diff(bounds)
+            of = np.repeat(np.arange(rows), counts)
+            line = np.full(len(ids) + rows, END_ID, encoder.kind)  # each text's ids, then the end id
+            line[np.arange(len(ids)) + of] = ids
+            vectors = np.bincount(of * BUCKETS + bucket[ids], minlength=rows * BUCKETS).reshape(rows, BUCKETS)
+            vectors[:, bucket[END_ID]] += 1
             vectors = np.sqrt(vectors)
             places = (vectors / np.linalg.norm(vectors, axis=1, keepdims=True)) @ matrix
-            counts = [len(r) // encoder.kind.itemsize for r in raws]
+            stops = (bounds + np.arange(rows + 1)) * encoder.kind.itemsize
+            raw = pa.Array.from_buffers(pa.binary(), rows, [None, pa.py_buffer(stops.astype(np.int32)), pa.py_buffer(line)])
             yield pa.record_batch(
-                [part.column("row"), part.column("key"), pa.array(counts, pa.int64()), *map(pa.array, places.T), pa.array(raws, pa.binary())],
+                [part.column("row"), part.column("key"), pa.array(counts + 1), *map(pa.array, places.T), raw],
                 ["row", "key", "n", *axes, "ids"],
             )
 

@@ -2,23 +2,28 @@
 
 from __future__ import annotations
 
-import re
 import sys
 import types
 import unicodedata
 from functools import cached_property, lru_cache
 
 import numpy as np
+import pyarrow as pa
+
+from .texts import _LOWER, text_bytes
 
 VOCABULARY = "word_bpe_49k.json"
-CACHE_WORDS = 300_000  # blank-separated words per generation; two generations are held
-CACHE_PIECES = 100_000  # their letter, digit and symbol runs
+CACHE_WORDS = 300_000  # per generation; two generations are held
+CHUNK_BYTES = 1 << 20  # of text that is cut into units at once
 
-#: The split pattern of the vocabulary file (fixed); the line end separates the words that are learnt together.
-SPLIT = r"\n|'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-_OTHER_BLANKS = re.compile("[\x1c-\x1f]")  # blanks to Python, symbols to the vocabulary
-_BLANKS = re.compile("[^\\S\x1c-\x1f]+")
-_CLOSING = frozenset(".,;:!?")  # one of these behind letters is a piece of its own
+#: The split pattern of the vocabulary file (fixed).
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_BLANK, _LETTER, _DIGIT, _SYMBOL, _HIGH = range(5)
+_KIND = np.full(256, _SYMBOL, np.uint8)
+_KIND[[0x20, *range(0x09, 0x0E)]] = _BLANK
+_KIND[[*range(ord("A"), ord("Z") + 1), *range(ord("a"), ord("z") + 1)]] = _LETTER
+_KIND[ord("0") : ord("9") + 1] = _DIGIT
+_KIND[0x80:] = _HIGH
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -31,18 +36,18 @@ class WordCache:
     """A dictionary of two generations: when the young one is full it becomes the old one."""
 
     def __init__(self, limit: int):
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
         self.limit = limit
 
     def make_room(self) -> None:
         if len(self.young) > self.limit:
             self.old, self.young = self.young, {}
 
-    def missing(self, words: set[str]) -> list[str]:
-        """Words in neither generation; those of the old one move to the young one."""
+    def missing(self, words) -> list[bytes]:
+        """Those of `words`, none of which is in the young generation, that the old one lacks too; the others move to the young one."""
         out, get, young = [], self.old.get, self.young
-        for w in words.difference(young):
+        for w in words:
             if (v := get(w)) is None:
                 out.append(w)
             else:
@@ -63,7 +68,12 @@ def odd_characters(path: str) -> list[tuple[int, int]]:
 
     whole, split = Tokenizer.from_file(path), regex.compile(SPLIT)
     normal, cut = whole.normalizer.normalize_str, whole.pre_tokenizer.pre_tokenize_str
-    marks = {unicodedata.combining(chr(p)): chr(p) for p in range(0x300, 0x20000)}
+    differs = lambda text: lower(text) != normal(text)
+    misplaced = lambda c, marks: any(differs(f"x{c}{m}") or differs(f"x{m}{c}") for m in marks)
+    first: dict[int, str] = {}  # of each combining class
+    for p in range(0x300, 0x20000):
+        first.setdefault(unicodedata.combining(chr(p)), chr(p))
+    marks = [m for m in first.values() if not misplaced(m, "\u0301\u0323\u0334")]  # others are too new for the library
     odd = np.zeros(0x110001, bool)
     assigned = []
     for p in range(0x110000):
@@ -71,13 +81,12 @@ def odd_characters(path: str) -> list[tuple[int, int]]:
             odd[p] = True
         elif not 0xD800 <= p < 0xE000 and not chr(p).isspace():
             assigned.append(p)
-    differs = lambda text: lower(text) != normal(text)
     unsplit = lambda text: [text[i:j] for _, (i, j) in cut(text)] != split.findall(text)
     for at in range(0, len(assigned), 4096):
         part = assigned[at : at + 4096]
         for p in part:
             c = chr(p)
-            odd[p] = differs(c) or differs(f"x{c}\u0301") or (unicodedata.combining(c) and any(differs(f"x{c}{m}") or differs(f"x{m}{c}") for m in marks.values()))
+            odd[p] = differs(c) or misplaced(c, marks if unicodedata.combining(c) else "\u0301")
         if unsplit(" ".join(f"q{lower(chr(p))}q" for p in part)):
             for p in part:
                 odd[p] |= unsplit(f"q{lower(chr(p))}q")
@@ -90,11 +99,50 @@ def lower(text: str) -> str:
     return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
 
 
+def units(low: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(bytes without blanks, start of each unit there and the total, first unit of each text and the total).
+
+    A unit is a blank-separated word of lower-cased text with a byte beyond ASCII, or a piece of another word: a run of
+    letters, one digit, a run of symbols or a contraction.
+    """
+    kind = _KIND[low]
+    word = np.zeros(len(low), bool)  # first bytes of words
+    solid = kind != _BLANK
+    word[1:] = solid[1:] & ~solid[:-1]
+    word[:1] = solid[:1]
+    edges = offsets[:-1][offsets[:-1] < len(low)]
+    word[edges] |= solid[edges]
+    start = solid & (kind == _DIGIT)
+    start[1:] |= kind[1:] != kind[:-1]
+    start &= solid
+    # contractions: an apostrophe that begins a run of symbols
+    at = np.flatnonzero((low == 39) & (start | word))
+    at = at[at + 1 < len(low)]
+    at = at[~word[at + 1]]
+    after = np.append(low, [0, 0])
+    one = at[np.isin(after[at + 1], list(b"stmd"))]
+    two = at[np.isin(after[at + 1].astype(np.int32) * 256 + after[at + 2], [a * 256 + b for a, b in (b"re", b"ve", b"ll")])]
+    two = two[~word[two + 2]]
+    for places, size in ((one, 2), (two, 3)):
+        start[places + 1] = False
+        behind = places + size
+        behind = behind[behind < len(low)]
+        start[behind] = solid[behind]
+    if (high := kind == _HIGH).any():  # words that stay whole
+        firsts = np.flatnonzero(word)
+        foreign = np.add.reduceat(high.astype(np.int32), firsts) > 0 if len(firsts) else np.zeros(0, bool)
+        of = np.cumsum(word, dtype=np.int32)
+        start &= ~np.append(False, foreign)[of]
+    start |= word
+    return low[solid], np.append(np.flatnonzero(start[solid]), int(solid.sum())), np.searchsorted(np.flatnonzero(start), offsets)
+
+
 class WordEncoder:
-    """Same ids as the tokenizers library without added special tokens, word by word.
+    """Same ids as the tokenizers library without added special tokens, unit by unit.
 
-    The vocabulary drops white space and never joins across it, so a text's ids are those of its blank-separated words
-    one after the other.
+    The vocabulary lower-cases, drops white space and never joins across it or across the pieces of its split pattern, so
+    a text's ids are those of its units one after the other. Units are told apart in bulk; each different one is looked up
+    once per chunk. Words with odd characters go to the library, and so do whole texts with special tokens.
     """
 
     def __init__(self, path: str, odd: list[tuple[int, int]]):
@@ -102,7 +150,7 @@ class WordEncoder:
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.load = lambda: Tokenizer.from_file(path)
-        self.bare = self.load()  # for words that are normalised and split already
+        self.bare = self.load()  # for units that are normalised and split already
         self.bare.normalizer = normalizers.Sequence([])
         self.bare.pre_tokenizer = pre_tokenizers.Sequence(
             [pre_tokenizers.Split("\n", "removed"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
@@ -111,65 +159,107 @@ class WordEncoder:
         self.kind = np.dtype("<u2" if max(vocabulary.values()) < 1 << 16 else "<u4")
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
-        self.special = [t.content for t in self.bare.get_added_tokens_decoder().values()]
         self.odd = np.zeros(0x110000, bool)
         for start, stop in odd:
             self.odd[start:stop] = True
+        self.special = [t.content.encode() for t in self.bare.get_added_tokens_decoder().values()]
         self.split = regex.compile(SPLIT)
-        self.words, self.pieces = WordCache(CACHE_WORDS), WordCache(CACHE_PIECES)
+        self.words = WordCache(CACHE_WORDS)
 
     @cached_property
     def whole(self):
-        """The tokenizer as it is, for the few words that need it."""
+        """The tokenizer as it is, for the few texts and words that need it."""
         return self.load()
 
-    def strange(self, text: str) -> bool:
-        return any(s in text for s in self.special) or any(self.odd[ord(c)] for c in set(text))
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids as little-endian integers of `kind`."""
+    def _by_library(self, text: bytes) -> np.ndarray:
+        return np.array(self.whole.encode(text.decode(errors="replace"), add_special_tokens=False).ids, self.kind)
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, first id of each text and the total); a null text has none."""
+        data, offsets = text_bytes(texts)
+        low = _LOWER[data]
+        ids, counts = [], np.zeros(len(offsets) - 1, np.int64)
+        raw = low.tobytes() if any(s in low.tobytes() for s in self.special) else b""
+        first = 0
+        while first < len(counts):
+            if raw and any(s in raw[offsets[first] : offsets[first + 1]] for s in self.special):
+                ids.append(self._by_library(data[offsets[first] : offsets[first + 1]].tobytes()))
+                counts[first] = len(ids[-1])
+                first += 1
+                continue
+            stop = int(np.searchsorted(offsets, offsets[first] + CHUNK_BYTES, "right")) - 1
+            stop = first + 1 if raw else max(stop, first + 1)
+            for a, b in self._chunks(low, int(offsets[first]), int(offsets[stop])):
+                got, per_text = self._encode(low[a:b], np.clip(offsets[first : stop + 1], a, b) - a)
+                ids.append(got)
+                counts[first:stop] += per_text
+            first = stop
+        return np.concatenate([np.zeros(0, self.kind), *ids]), np.append(0, np.cumsum(counts))
+
+    def _chunks(self, low: np.ndarray, start: int, stop: int):
+        """Parts of about CHUNK_BYTES that end behind a blank; only a single long text has more than one."""
+        while stop - start > CHUNK_BYTES:
+            blanks = np.flatnonzero(_KIND[low[start + CHUNK_BYTES : stop]] == _BLANK)
+            cut = start + CHUNK_BYTES + int(blanks[0]) + 1 if len(blanks) else stop
+            yield start, cut
+            start = cut
+        yield start, stop
+
+    def _encode(self, low: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, number of ids of each text)."""
+        solid, starts, bounds = units(low, offsets)
+        if len(starts) < 2:
+            return np.zeros(0, self.kind), np.zeros(len(offsets) - 1, np.int64)
+        cells = pa.Array.from_buffers(pa.large_binary(), len(starts) - 1, [None, pa.py_buffer(starts.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(solid))])
+        cells = cells.dictionary_encode()
+        different = cells.dictionary.to_pylist()
         self.words.make_room()
-        self.pieces.make_room()
-        lists = [x.split() if not _OTHER_BLANKS.search(x) else [w for w in _BLANKS.split(x) if w] for x in texts]
-        new = self.words.missing(set().union(*lists))
-        if new:
-            self._learn(new)
-        of = self.words.young.__getitem__
-        return [b"".join(map(of, words)) for words in lists]
-
-    def _learn(self, new: list[str]) -> None:
         young = self.words.young
-        if self.strange("\n".join(new)):
-            for w in filter(self.strange, new):
-                young[w] = np.array(self.whole.encode(w, add_special_tokens=False).ids, self.kind).tobytes()
-            new = [w for w in new if w not in young]
-        lowered = lower("\n".join(new)).split("\n")
-        findall = self.split.findall
-        parts = []
-        for w in lowered:
-            if w.isalpha():
-                parts.append((w,))
-            elif w[-1:] in _CLOSING and w[:-1].isalpha():
-                parts.append((w[:-1], w[-1]))
-            else:
-                parts.append(findall(w))
-        self._learn_pieces(self.pieces.missing(set().union(*parts)))
-        of = self.pieces.young.__getitem__
-        for w, pieces in zip(new, parts):
-            young[w] = of(pieces[0]) if len(pieces) == 1 else b"".join(map(of, pieces))
-
-    def _learn_pieces(self, new: list[str]) -> None:
+        values = list(map(young.get, different))
+        lacking = [i for i, v in enumerate(values) if v is None]
+        if lacking:
+            if new := self.words.missing([different[i] for i in lacking]):
+                self._learn(new)
+            for i in lacking:
+                values[i] = young[different[i]]
+        pool = np.frombuffer(b"".join(values), self.kind)
+        sizes = np.fromiter(map(len, values), np.int64, len(values)) // self.kind.itemsize
+        place = np.cumsum(sizes) - sizes
+        which = cells.indices.to_numpy()
+        counts = sizes[which]
+        behind = np.cumsum(counts)
+        ids = pool[np.repeat(place[which] - behind + counts, counts) + np.arange(behind[-1])]
+        return ids, np.diff(np.append(0, behind)[bounds])
+
+    def _learn(self, new: list[bytes]) -> None:
+        young, odd = self.words.young, self.odd
+        pieces = [w for w in new if w.isascii()]
+        foreign = [w for w in new if not w.isascii()]
+        if any(odd[ord(c)] for c in set(b" ".join(foreign).decode(errors="replace"))):
+            strange = [w for w in foreign if any(odd[ord(c)] for c in w.decode(errors="replace"))]
+            for w in strange:
+                young[w] = self._by_library(w).tobytes()
+            foreign = [w for w in foreign if w not in young]
+        texts = lower(b"\n".join(foreign).decode(errors="replace")).split("\n") if foreign else []
+        cut = [[t.encode()] if t.isalpha() else [p.encode() for p in self.split.findall(t)] for t in texts]
+        self._learn_pieces(pieces)
+        self._learn_pieces(self.words.missing({p for parts in cut for p in parts}.difference(young)))
+        for w, parts in zip(foreign, cut):
+            young[w] = young[parts[0]] if len(parts) == 1 else b"".join(map(young.__getitem__, parts))
+
+    def _learn_pieces(self, new: list[bytes]) -> None:
+        young = self.words.young
         for at in range(0, len(new), 512):
             some = new[at : at + 512]
-            ids = np.array(self.bare.encode("\n".join(some), add_special_tokens=False).ids, self.kind)
+            ids = np.array(self.bare.encode(b"\n".join(some).decode(), add_special_tokens=False).ids, self.kind)
             stops = ((np.flatnonzero(self.ends[ids]) + 1) * self.kind.itemsize).tolist()
             if len(stops) != len(some):  # cannot be told apart: one by one
                 for p in some:
-                    self.pieces.young[p] = np.array(self.whole.encode(p, add_special_tokens=False).ids, self.kind).tobytes()
+                    young[p] = self._by_library(p).tobytes()
                 continue
             raw, start = ids.tobytes(), 0
             for p, stop in zip(some, stops):
-                self.pieces.young[p] = raw[start:stop]
+                young[p] = raw[start:stop]
                 start = stop
 
 

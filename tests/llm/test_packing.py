@@ -1,9 +1,12 @@
+import random
 import unicodedata
 import zlib
 
 import numpy as np
+import pyarrow as pa
 from tokenizers import Tokenizer
 
+from tabloom.llm import tokens
 from tabloom.llm.packing import END_ID, hilbert_keys, pack
 from tabloom.llm.tokens import WordEncoder, odd_characters, vocabulary_path
 
@@ -13,26 +16,40 @@ TEXTS = [
 ]
 
 
-def test_encoder_gives_the_library_ids():
-    whole, own = Tokenizer.from_file(vocabulary_path()), WordEncoder(vocabulary_path(), odd_characters(vocabulary_path()))
-    for text, raw in zip(TEXTS[1:], own.encode(TEXTS[1:])):
-        assert np.frombuffer(raw, own.kind).tolist() == whole.encode(text, add_special_tokens=False).ids, text
-    own.words.limit = own.pieces.limit = 3
-    for _ in range(3):
-        assert own.encode(["some more words here", "and more words"])[1] == own.encode(["and more words"])[0]
+def encoder():
+    return WordEncoder(vocabulary_path(), odd_characters(vocabulary_path()))
+
+
+def ids_of(own, texts):
+    ids, bounds = own.encode(pa.array(texts, pa.string()))
+    return [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])]
+
+
+def test_encoder_gives_the_library_ids(monkeypatch):
+    whole, own = Tokenizer.from_file(vocabulary_path()), encoder()
+    parts = ["'", "'s", "'re", "'ll", "'d", "'v", "'ve", "a", "s", "LL", "É", "—", "½", "1", "23", ".", "!?", " ", "\n", "\u3000", "\x1c", "<|endoftext|>", "<|ENDOFTEXT|>", "word"]
+    rng = random.Random(3)
+    texts = [*TEXTS[1:], *["".join(rng.choice(parts) for _ in range(rng.randint(1, 12))) for _ in range(4000)]]
+    want = [whole.encode(t, add_special_tokens=False).ids for t in texts]
+    assert ids_of(own, texts) == want
+    for at in (1, 7, 100):  # long texts in parts, and a cache that hardly holds anything
+        monkeypatch.setattr(tokens, "CHUNK_BYTES", at)
+        own.words.limit = 3
+        assert ids_of(own, texts[:600]) == want[:600]
+    assert ids_of(own, [None, "", "x", None]) == [[], [], whole.encode("x", add_special_tokens=False).ids, []]
+    assert ids_of(own, []) == []
 
 
 def test_every_code_point_inside_a_word():
-    whole, own = Tokenizer.from_file(vocabulary_path()), WordEncoder(vocabulary_path(), odd_characters(vocabulary_path()))
+    whole, own = Tokenizer.from_file(vocabulary_path()), encoder()
     assert all(own.odd[p] for p in range(0x110000) if unicodedata.category(chr(p)) == "Cn")  # the library's own work
     points = [p for p in range(0x110000) if unicodedata.category(chr(p)) not in ("Cn", "Cs")]
     for at in range(0, len(points), 4096):
         for form in ("a{}b", "{}", "1{}.", "x{}\u0301"):
-            text = " ".join(form.format(chr(p)) for p in points[at : at + 4096])
-            ids = np.frombuffer(own.encode([text])[0], own.kind).tolist()
-            if ids != whole.encode(text, add_special_tokens=False).ids:
-                one = lambda p: np.frombuffer(own.encode([form.format(chr(p))])[0], own.kind).tolist()
-                assert [hex(p) for p in points[at : at + 4096] if one(p) != whole.encode(form.format(chr(p)), add_special_tokens=False).ids] == []
+            texts = [form.format(chr(p)) for p in points[at : at + 4096]]
+            text = " ".join(texts)
+            if ids_of(own, [text])[0] != whole.encode(text, add_special_tokens=False).ids:
+                assert [hex(ord(t[1])) for t, ids in zip(texts, ids_of(own, texts)) if ids != whole.encode(t, add_special_tokens=False).ids] == []
                 raise AssertionError(f"differs in context from {at:x} on")
 
 
