@@ -17,6 +17,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +39,11 @@ _BITS = 16  # of a symbol in a packed n-gram
 
 
 def letter_runs(text: str) -> list[str]:
-    return _LETTERS.findall(text.lower())
+    """Runs of letters; other characters that Unicode counts among those of words, such as fractions, are none."""
+    runs = _LETTERS.findall(text.lower())
+    if text.isascii() or "".join(runs).isalpha() or not runs:
+        return runs
+    return [part for run in runs for part in "".join([c if c.isalpha() else " " for c in run]).split()]
 
 
 def packed_ngrams(words: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -148,29 +153,38 @@ def _table(keys: np.ndarray, lang: np.ndarray, values: np.ndarray, width: int, m
 
 
 class Scorer:
-    """Scores of words, kept for the words seen last."""
+    """Scores of words. Two generations of words are kept: when the young one is full it becomes the old one."""
 
     def __init__(self, model: Model):
         self.model = model
-        self.clear()
+        self.place, self.scores = self._empty()
+        self.old = self._empty()
 
-    def clear(self) -> None:
-        self.place: dict[str, int] = {}
-        self.scores = np.zeros((0, len(self.model.languages) + 1))
+    def _empty(self) -> tuple[dict[str, int], np.ndarray]:
+        return {}, np.zeros((1024, len(self.model.languages) + 1))
+
+    def _add(self, words: list[str], scores: np.ndarray) -> None:
+        first, stop = len(self.place), len(self.place) + len(words)
+        if stop > len(self.scores):
+            self.scores = np.concatenate([self.scores[:first], np.zeros((max(stop, 2 * first) - first, self.scores.shape[1]))])
+        self.scores[first:stop] = scores
+        self.place |= zip(words, range(first, stop))
 
     def totals(self, runs: list[list[str]]) -> np.ndarray:
         if len(self.place) > CACHE_WORDS:
-            self.clear()
-        place = self.place
-        new = list({w for words in runs for w in words if w not in place})
+            self.old, (self.place, self.scores) = (self.place, self.scores), self._empty()
+        new = set().union(*runs).difference(self.place)
+        known = [w for w in new if w in self.old[0]]
+        self._add(known, self.old[1][np.fromiter(map(self.old[0].__getitem__, known), np.int64, len(known))])
+        new = list(new.difference(known))
         for at in range(0, len(new), 20_000):
-            some = new[at : at + 20_000]
-            self.scores = np.concatenate([self.scores, self.model.word_scores(some)])
-            place |= zip(some, range(len(place), len(place) + len(some)))
+            self._add(new[at : at + 20_000], self.model.word_scores(new[at : at + 20_000]))
+        sizes = np.fromiter(map(len, runs), np.int64, len(runs))
+        which = np.fromiter(map(self.place.__getitem__, chain.from_iterable(runs)), np.int64, int(sizes.sum()))
         out = np.zeros((len(runs), self.scores.shape[1]))
-        for i, words in enumerate(runs):
-            if words:
-                out[i] = self.scores[np.fromiter(map(place.__getitem__, words), np.int64, len(words))].sum(axis=0)
+        some = np.flatnonzero(sizes)
+        if len(some):
+            out[some] = np.add.reduceat(self.scores[which], (np.cumsum(sizes) - sizes)[some])
         return out
 
 
@@ -238,8 +252,8 @@ def build_tables(languages: list[str], counts: DataFrame, cells: int) -> Tables:
     return model
 
 
-def fit(docs: DataFrame, text: str = "text", lang: str = "lang", cells: int = BROADCAST_CELLS) -> Model | Tables:
-    """Fit on every row with a language."""
+def fit(docs: DataFrame, text: str = "text", lang: str = "lang", cells: int = BROADCAST_CELLS, limits: bool = True) -> Model | Tables:
+    """Fit on every row with a language. `limits` are for rejection; they take a pass of their own, or come with `answer`."""
     rows = docs.where(F.col(lang).isNotNull()).select(F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text"))
     counts = stored(rows.mapInArrow(_count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")))
     languages = sorted(r[0] for r in counts.select("lang").distinct().collect())  # a row per language
@@ -253,14 +267,20 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", cells: int = BR
         model = build_model(languages, own, found.column("gram").to_numpy().view(np.uint64), found.column("n").to_numpy())
     else:
         model = build_tables(languages, stored(counts), cells)
-    known = rows.select(number.alias("__lang"), F.col("text").alias("__text")).where(F.col("__lang") >= 0)
-    own = _entropies(known.select(F.struct("__lang").alias("__keep"), "__text"), model).where(F.col("entropy").isNotNull())
-    own = own.select("__keep.__lang", F.get("entropy", F.col("__keep.__lang")).alias("own")).groupBy("__lang")
-    for k, mean, spread in own.agg(F.avg("own"), F.stddev_pop("own")).collect():  # a row per language
-        model.limits[k] = mean + CALIBRATION_DEVIATIONS * max(spread, 0.05)
+    if limits:
+        known = rows.select(F.struct("lang").alias("__keep"), F.col("text").alias("__text"))
+        _calibrate(model, _entropies(known, model).select("__keep.lang", "entropy"))
     return model
 
 
+def _calibrate(model: Model | Tables, labelled: DataFrame) -> None:
+    """Sets the limits from rows (lang, entropy)."""
+    number = F.array_position(F.array(*map(F.lit, model.languages)), F.col("lang")).cast("int")
+    own = labelled.where(F.col("entropy").isNotNull() & (number > 0)).select((number - 1).alias("k"), F.get("entropy", number - 1).alias("own"))
+    for k, mean, spread in own.groupBy("k").agg(F.avg("own"), F.stddev_pop("own")).collect():  # a row per language
+        model.limits[k] = mean + CALIBRATION_DEVIATIONS * max(spread, 0.05)
+
+
 def _floats(rows: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1) * rows.shape[1], pa.int32()), pa.array(rows.ravel()))
 
@@ -320,18 +340,38 @@ def _entropies(rows: DataFrame, model: Model | Tables) -> DataFrame:
     return out.select("__keep", F.when(F.col("symbols") > 0, F.transform("sums", lambda x: -x / F.col("symbols"))).alias("entropy"))
 
 
-def identify(docs: DataFrame, model: Model | Tables, keep: Sequence[str | Column], text: str = "text") -> DataFrame:
-    """Columns `keep`, `lang_pred`, `score` (share of the best language, 0 to 1) and `rejected`."""
-    rows = docs.select(F.struct(*keep).alias("__keep"), F.col(text).cast("string").alias("__text"))
-    if not model.languages:
-        return rows.select("__keep.*", F.lit(UND).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(True).alias("rejected"))
+def _answers(scored: DataFrame, model: Model | Tables) -> DataFrame:
+    """Rows (__keep, entropy) as answers."""
     names, limits = (F.array(*map(F.lit, x)) for x in (model.languages, model.limits.tolist()))
     known, low = F.col("entropy").isNotNull(), F.array_min("entropy")
     best = F.array_position(F.col("entropy"), low).cast("int")
     parts = F.aggregate("entropy", F.lit(0.0), lambda seen, x: seen + F.exp((x - low) * -SHARPNESS))
-    return _entropies(rows, model).select(
+    return scored.select(
         "__keep.*",
         F.when(known, F.element_at(names, best)).otherwise(UND).alias("lang_pred"),
         F.when(known, 1 / parts).otherwise(0.0).alias("score"),
         F.when(known, low > F.element_at(limits, best)).otherwise(True).alias("rejected"),
     )
+
+
+def identify(docs: DataFrame, model: Model | Tables, keep: Sequence[str | Column], text: str = "text") -> DataFrame:
+    """Columns `keep`, `lang_pred`, `score` (share of the best language, 0 to 1) and `rejected`."""
+    rows = docs.select(F.struct(*keep).alias("__keep"), F.col(text).cast("string").alias("__text"))
+    if not model.languages:
+        return rows.select("__keep.*", F.lit(UND).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(True).alias("rejected"))
+    return _answers(_entropies(rows, model), model)
+
+
+def answer(docs: DataFrame, learnt: Column, keep: Sequence[str | Column], text: str = "text", lang: str = "lang", cells: int = BROADCAST_CELLS) -> DataFrame:
+    """As `fit` on the rows of `docs` where `learnt` is true and `identify` on all, but every text is scored once.
+
+    The entropies are stored; the limits are aggregated from those of the learnt rows.
+    """
+    model = fit(docs.where(learnt), text, lang, cells, limits=False)
+    if not model.languages:
+        return identify(docs, model, keep, text)
+    label = F.when(learnt, F.col(lang).cast("string")).alias("label")
+    rows = docs.select(F.struct(F.struct(*keep).alias("kept"), label).alias("__keep"), F.col(text).cast("string").alias("__text"))
+    scored = stored(_entropies(rows, model))
+    _calibrate(model, scored.select(F.col("__keep.label").alias("lang"), "entropy"))
+    return _answers(scored.select(F.col("__keep.kept").alias("__keep"), "entropy"), model)

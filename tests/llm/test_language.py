@@ -86,3 +86,57 @@ def test_every_language_has_a_limit(frame):
     r = random.Random(5)
     rows = [(i, f"{text(r, 'aa')} {i}", "aa") for i in range(2_200)] + [(5000 + i, text(r, "bb"), "bb") for i in range(2)]
     assert np.isfinite(la.fit(frame(rows)).limits).all()
+
+
+def test_numbers_are_no_letters(frame, model):
+    assert la.letter_runs("a½b ² Ⅷ x① Über") == ["a", "b", "x", "über"]
+    got = {x.doc_id: x for x in la.identify(frame([(1, "½ ² Ⅷ ①"), (2, "½ lorem ipsum")]), model, ["doc_id"]).collect()}
+    assert (got[1].lang_pred, got[1].score, got[1].rejected) == (la.UND, 0.0, True) and got[2].lang_pred == "aa"
+
+
+def test_answer_equals_fit_and_identify(frame):
+    r = random.Random(7)
+    rows = [(i, text(r, lang, 5), lang) for i, lang in enumerate(list(WORDS) * 15)] + [(900, None, "aa"), (901, "½", "bb"), (902, "qqq jjj", None), (None, "zwei", None)]
+    docs = frame(rows)
+    learnt = la.F.col("doc_id") % 2 == 0
+    want = la.identify(docs, la.fit(docs.where(learnt)), ["doc_id", "__keep"]).collect()
+    got = la.answer(docs, learnt, ["doc_id", "__keep"]).collect()
+    assert sorted(map(repr, got)) == sorted(map(repr, want)) and len(got) == len(rows)
+    assert la.answer(docs.limit(0), learnt, ["doc_id"]).collect() == []
+
+
+def kneser_ney(words):
+    """Chance of a symbol after a context (tuples of symbols), straight from the definition, for one language."""
+    from collections import Counter
+
+    counts = {la.ORDER: Counter(tuple((["<"] * 3 + list(w) + [">"])[i - 3 : i + 1]) for w in words for i in range(3, len(w) + 4))}
+    for order in range(la.ORDER - 1, 0, -1):
+        counts[order] = Counter(g[1:] for g in counts[order + 1])
+    discount = {}
+    for order, c in counts.items():
+        ones, twos = (sum(v == k for v in c.values()) for k in (1, 2))
+        discount[order] = min(max(ones / max(ones + 2 * twos, 1), 0.1), 0.9)
+
+    def chance(gram):
+        order = len(gram)
+        if not order:
+            return 1.0 / (1 << 16)
+        after = {g: v for g, v in counts[order].items() if g[:-1] == gram[:-1]}
+        total = sum(after.values())
+        if not total:
+            return chance(gram[1:])
+        d = discount[order]
+        return max(counts[order][gram] - d, 0) / total + sum(min(v, d) for v in after.values()) / total * chance(gram[1:])
+
+    return chance
+
+
+def test_scores_equal_kneser_ney_in_plain_python(frame):
+    words = {lang: [w for i in range(4) for w in ws[: 3 + i]] for lang, ws in WORDS.items()}
+    model = la.fit(frame([(i, " ".join(ws), lang) for i, (lang, ws) in enumerate(words.items())]))
+    for k, lang in enumerate(model.languages):
+        chance = kneser_ney(words[lang])
+        for w in ("lorem", "dolores", "zwei", "шесть", "q", "vierzig"):
+            line = ["<"] * 3 + list(w) + [">"]
+            want = sum(np.log(chance(tuple(line[i - 3 : i + 1]))) for i in range(3, len(line)))
+            assert model.word_scores([w])[0, k] == pytest.approx(want, rel=1e-12), (lang, w)
