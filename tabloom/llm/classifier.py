@@ -69,7 +69,7 @@ def _sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 part.column("place"),
                 part.column("label"),
                 pa.array([f.astype("<i4").tobytes() for f, _ in rows], pa.binary()),
-                pa.array([np.minimum(c, 65535).astype("<u2").tobytes() for _, c in rows], pa.binary()),
+                pa.array([c.astype("<u4").tobytes() for _, c in rows], pa.binary()),
             ],
             ["place", "label", "features", "counts"],
         )
@@ -136,7 +136,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     found = one.select("one.*").toArrow()  # `rows` at most
     columns = [[v.as_buffer() for v in found.column(name)] for name in ("features", "counts")]
     ready = [
-        (target, np.frombuffer(f, "<i4"), np.frombuffer(c, "<u2"))
+        (target, np.frombuffer(f, "<i4"), np.frombuffer(c, "<u4"))
         for target, f, c in zip(found.column("label").to_pylist(), *columns)
         if f.size
     ]

@@ -21,7 +21,7 @@ Defined results: words are [^\\x20\\x09-\\x0D]+ with A-Z lower-cased. A text of
 an empty, blank or null text has an empty set, is linked with nothing and is its own component. Repeated rows are
 linked. The component is the smallest non-null key in it. An empty table gives no rows. Only the key is carried, so
 names cannot clash. The input must give the same rows in the same order each time it is read. Class ids are 64-bit
-hashes of the sets, fingerprints the leading 40 bits or more of token hashes.
+hashes of the sets, fingerprints 64-bit hashes of the tokens.
 """
 
 from __future__ import annotations
@@ -35,15 +35,17 @@ from pyspark.sql import DataFrame, functions as F
 from .components import components
 from .stores import stored
 from .texts import mix, shingle_sets, slices
+from .tokens import release_encoders
 
 BIN_BITS = 18  # token frequencies are sketched in so many bins, whatever the corpus
 SEGMENTS = 64
-BUCKET_TOKENS = 1 << 21  # fingerprints counted in one group of a task, about
+BUCKET_TOKENS = 1 << 19  # fingerprints counted in one group of a task, about
 FAMILY_DOCS = 4096  # a larger family is not joined in one task
 FAMILY_TOKENS = 1 << 22
 TASK_PAIRS = 2_000  # comparisons with one leader in one group
 ORDERS = (0x1B873593CC9E2D51, 0x85EBCA6B27D4EB2F, 0x2545F4914F6CDD1D)
-ROW_BITS = 33  # of monotonically_increasing_id, below the partition
+UNIT_BITS = 12  # so many low bits of a row's number tell documents of one unit apart
+PRINT_BYTES = 8  # of a fingerprint
 
 
 def class_of(tokens: np.ndarray) -> int:
@@ -94,6 +96,7 @@ def _groups(keys: np.ndarray) -> Iterator[tuple[int, int, int]]:
 
 def _signatures(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_encoders()
         bins = np.zeros(1 << BIN_BITS, np.int64)
         for part in slices(batches, "text"):
             sets = shingle_sets(part.column("text"), width)
@@ -186,13 +189,13 @@ def _fingerprints(width: int, levels: np.ndarray, buckets: int, size: int):
                 if not len(s) or (own := class_of(s)) in seen:
                     continue
                 seen.add(own)
-                unit = row >> ROW_BITS
-                docs.append(row & ((1 << ROW_BITS) - 1))
+                if held > 1 << 20 or held and row >> UNIT_BITS != unit:
+                    yield packed(unit, docs, sets)
+                    docs, sets, held = [], [], 0
+                unit = row >> UNIT_BITS
+                docs.append(row & ((1 << UNIT_BITS) - 1))
                 sets.append(s)
                 held += len(s)
-            if held > 1 << 20:
-                yield packed(unit, docs, sets)
-                docs, sets, held = [], [], 0
         if held:
             yield packed(unit, docs, sets)
 
@@ -231,7 +234,7 @@ _NO_ENTRIES = pa.table(
 
 
 def _assembled(size: int, percent: int):
-    """Of one input partition: the documents with enough shared tokens, with those tokens."""
+    """Of one unit of consecutive rows: the documents with enough shared tokens, with those tokens."""
 
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         sizes: dict[int, int] = {}
@@ -248,7 +251,7 @@ def _assembled(size: int, percent: int):
             doc, prints, ranks = map(np.concatenate, (doc, prints, ranks))
             order = np.lexsort((prints, doc))
             doc, prints, ranks = doc[order], prints[order], ranks[order]
-            base = key[0].as_py() << ROW_BITS
+            base = key[0].as_py() << UNIT_BITS
             rows = [
                 (base | d, sizes[d], prints[a:b].tobytes(), ranks[a:b].tobytes())
                 for d, a, b in _groups(doc)
@@ -394,7 +397,7 @@ def jaccard_components(
     signatures = signatures.where("segment IS NULL").select("row", "key", "n", "id")
     classes = signatures.where("id IS NOT NULL").groupBy("id").agg(F.min("row").alias("row"), F.min("key").alias("key"))
 
-    size = 5 if tokens < 1 << 36 else 6
+    size = PRINT_BYTES
     buckets = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), tokens // BUCKET_TOKENS)
     entries = rows.select("row", "text").mapInArrow(_fingerprints(width, levels, buckets, size), ENTRIES)
     # frequent tokens and sizes pass through a group of their own; only the others are counted

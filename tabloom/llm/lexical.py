@@ -35,6 +35,7 @@ BEST = 20
 BLOCK_TERMS = 500_000
 SHARD_DOCS = 4096
 SHARD_POSTINGS = 1 << 19  # a shard ends with the document that reaches either number
+SHARDS_PER_TASK = 4
 LEAF = 32  # documents of an interval that is scored whole
 WIDTH = 256  # intervals taken at once
 
@@ -264,6 +265,7 @@ def _block(docs: DataFrame, items: DataFrame, count: int) -> DataFrame:
     for term, df in held:
         weight[term] = math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df + 1)))
     asked = [(item, np.searchsorted(vocabulary, t), c) for item, t, c in rows]
+    index = index.repartition(max(1, index.count() // SHARDS_PER_TASK))  # the work of a shard is not in its bytes
     return index.mapInArrow(_searched(asked, weight, n_docs, n_terms, count), f"item long, key {kind}, score long")
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import sys
 import types
 import unicodedata
@@ -275,3 +277,9 @@ def worker_encoder(path: str, odd: list[tuple[int, int]]) -> WordEncoder:
 def release_encoders() -> None:
     """Gives back what an earlier stage's tasks have left in this Python worker."""
     sys.modules.pop("_tabloom_worker", None)
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)  # of the GNU C library only
+    except (AttributeError, OSError):
+        pass
