@@ -3,6 +3,9 @@
 A quantile sketch brackets each wanted rank; one pass then counts exactly how many
 values fall below, on and inside the bracket and lists the few inside. Where the
 inside is too large to list, it is sketched again.
+
+Sketches are merged in two levels: those of all input partitions into SKETCH_BUCKETS
+summaries, in as many tasks, and these into one.
 """
 
 from __future__ import annotations
@@ -17,10 +20,13 @@ from .columns import by_name
 from .order import row_index
 
 LIST_LIMIT = 10_000  # values listed for one search in its last pass
-_ACCURACY = 20_000
+SKETCH_BUCKETS = 64
+SKETCH_SIZE = 16_384  # of a KLL sketch; it is off by 0.02 % of all ranks at most
+_ACCURACY = 5_000
 _MARGIN = 3 / _ACCURACY  # more than a sketch can be off
-_COARSE = [i / 50 for i in range(1, 50)]
+_EVEN = [i / 200 for i in range(1, 200)]  # shares that every profile knows
 _AGGREGATES_PER_PASS = 120
+_INTEGRAL = ("tinyint", "smallint", "int", "bigint")
 
 
 @dataclass
@@ -67,8 +73,8 @@ class _Search:
     def shares(self) -> list[float]:
         return [(r - self.less) / self.inside for r in (self.ranks[0], self.ranks[-1])]
 
-    def part(self, ranks, less, inside, low, high, grid=()) -> "_Search":
-        return _Search(self.name, self.value, ranks, less, inside, low, high, list(grid or ()))
+    def part(self, ranks, less, inside, low, high) -> "_Search":
+        return _Search(self.name, self.value, ranks, less, inside, low, high)
 
 
 def _points(probabilities: Sequence[float]) -> list[float]:
@@ -76,18 +82,57 @@ def _points(probabilities: Sequence[float]) -> list[float]:
     return sorted({0.25, 0.5, 0.75, *[min(max(p, 0.0), 1.0) for p in around]})
 
 
-def sketch(value: Column, probabilities: Sequence[float] = (0.5,)) -> Column:
-    """Approximate quantiles just around the given ones, to be fused into a caller's own aggregate."""
-    return F.percentile_approx(value, _points(probabilities), _ACCURACY)
-
-
-def as_grid(values: Sequence | None, probabilities: Sequence[float] = (0.5,)) -> list[tuple]:
-    """The result of `sketch` with its probabilities; empty where there are no values."""
-    return list(zip(_points(probabilities), values)) if values else []
-
-
-def _coarse(value: Column) -> Column:
-    return F.percentile_approx(value, _COARSE, _ACCURACY)
+@dataclass
+class Profile:
+    """Rows of a table and, per column, non-null values, least, largest, mean, deviation (n - 1) and a grid of
+    (share, approximate quantile)."""
+
+    rows: int = 0
+    count: dict[str, int] = field(default_factory=dict)
+    low: dict = field(default_factory=dict)
+    high: dict = field(default_factory=dict)
+    mean: dict[str, float | None] = field(default_factory=dict)
+    std: dict[str, float | None] = field(default_factory=dict)
+    grids: dict[str, list] = field(default_factory=dict)
+
+    def joined(self, other: "Profile") -> "Profile":
+        """Both profiles; a column of `other` takes precedence."""
+        parts = ("count", "low", "high", "mean", "std", "grids")
+        return Profile(self.rows, *[getattr(self, n) | getattr(other, n) for n in parts])
+
+
+def _last(values: Sequence):
+    """The largest as Spark orders them: NaN above all."""
+    return max(values, key=lambda v: (v != v, 0 if v != v else v), default=None)
+
+
+def profile(df: DataFrame, values: Mapping[str, Column], around: Mapping[str, Sequence[float]] | None = None) -> Profile:
+    """One scan for all of `values`. Their grids have even shares and those just beside `around` (the median by default)."""
+    names = list(values)
+    plain = df.select(*[values[n].alias(f"v{i}") for i, n in enumerate(names)])
+    kinds = ["bigint" if t in _INTEGRAL else "double" for _, t in plain.dtypes]
+    points = [sorted({*_EVEN, *_points((around or {}).get(n, (0.5,)))}) for n in names]
+    first, second, out = [F.count("*").alias("rows")], [F.sum("rows").alias("rows")], [F.col("rows")]
+    for i, kind in enumerate(kinds):
+        v, (make, merge, ask) = F.col(f"v{i}"), [getattr(F, f"kll_{f}_{kind}") for f in ("sketch_agg", "merge_agg", "sketch_get_quantile")]
+        moments = F.struct(F.count(v).alias("n"), F.avg(v).alias("mean"), F.var_pop(v).alias("spread"), F.min(v).alias("low"), F.max(v).alias("high"))
+        first += [moments.alias(f"m{i}"), make(v.cast(kind), F.lit(SKETCH_SIZE)).alias(f"s{i}")]
+        seen = F.when(F.col(f"m{i}.n") > 0, F.col(f"s{i}"))  # no summary of a bucket without values
+        second += [F.collect_list(f"m{i}").alias(f"m{i}"), merge(seen, F.lit(SKETCH_SIZE)).alias(f"s{i}"), F.sum(f"m{i}.n").alias(f"n{i}")]
+        out += [F.col(f"m{i}"), F.when(F.col(f"n{i}") > 0, ask(f"s{i}", F.array(*map(F.lit, points[i]))))]
+    bucket = F.pmod(F.spark_partition_id(), F.lit(SKETCH_BUCKETS)).alias("bucket")
+    row = plain.groupBy(bucket).agg(*first).agg(*second).select(*[c.alias(f"o{i}") for i, c in enumerate(out)]).first()
+    done = Profile(row[0] or 0)
+    for i, n in enumerate(names):
+        parts = [m for m in row[1 + 2 * i] if m["n"]]
+        size = done.count[n] = sum(m["n"] for m in parts)
+        done.low[n] = min((m["low"] for m in parts if m["low"] == m["low"]), default=_last([m["low"] for m in parts]))
+        done.high[n] = _last([m["high"] for m in parts])
+        mean = done.mean[n] = sum(m["n"] * m["mean"] for m in parts) / size if size else None
+        squares = sum(m["n"] * (m["spread"] + (m["mean"] - mean) ** 2) for m in parts)
+        done.std[n] = math.sqrt(squares / (size - 1)) if size > 1 else None
+        done.grids[n] = list(zip(points[i], row[2 + 2 * i] or []))
+    return done
 
 
 def _run(df: DataFrame, aggregates: list[Column]) -> list:
@@ -107,7 +152,7 @@ def _take(found: dict, s: _Search, ranks: list[int], less: int, listed: Sequence
         found[(s.name, r)] = Place(v, less + below, values.count(v))
 
 
-def _narrow(found: dict, s: _Search, a, b, counts, listed, grid) -> list[_Search]:
+def _narrow(found: dict, s: _Search, a, b, counts, listed) -> list[_Search]:
     """Settle the ranks that the counts decide; return searches for the others."""
     below, on_a, middle, on_b, above = counts
     less_a = s.less + below
@@ -133,7 +178,7 @@ def _narrow(found: dict, s: _Search, a, b, counts, listed, grid) -> list[_Search
         if listed is not None:
             _take(found, s, parts["middle"], less_m, listed)
         else:
-            out.append(s.part(parts["middle"], less_m, middle, a, b, grid))
+            out.append(s.part(parts["middle"], less_m, middle, a, b))
     if parts["above"]:
         out.append(s.part(parts["above"], less_z, above, b, s.high))
     return out
@@ -149,7 +194,7 @@ def order_statistics(
 ) -> tuple[dict[str, list[Place]], list]:
     """For each name the places of the given 1-based ranks among its non-null values, ascending.
 
-    `counts` (non-null values) and `grids` (their `sketch`) save passes when the caller has
+    `counts` (non-null values) and `grids` (of their `profile`) save passes when the caller has
     them. `extra` aggregates ride along in the first pass; their results come second.
     """
     grids = grids or {}
@@ -174,14 +219,15 @@ def order_statistics(
     while open_ or pending:
         aggregates: list[Column] = list(pending)
         steps: list[tuple] = []
+        bare: list[_Search] = []  # to be sketched first
         for s in open_:
             if s.inside <= LIST_LIMIT:
                 steps.append((s, "list", None))
                 aggregates.append(s.listed(s.low, s.high))
-            elif not s.grid:
-                steps.append((s, "sketch", None))
-                aggregates.append(sketch(F.when(s.within(s.low, s.high), s.value), s.shares()))
             else:
+                if not s.grid:
+                    bare.append(s)
+                    continue
                 a, b, expected = s.bracket()
                 final = expected + 4 * s.inside / _ACCURACY <= LIST_LIMIT
                 steps.append((s, "count", (a, b, final)))
@@ -192,45 +238,36 @@ def order_statistics(
                     F.count_if(middle) if a != b else none,
                     F.count_if(s.value == F.lit(b)) if a != b else none,
                     F.count_if(inside & (s.value > F.lit(b))),
-                    s.listed(a, b) if final else _coarse(F.when(middle, s.value)),
+                    *([s.listed(a, b)] if final else []),
                 ]
-        got = iter(_run(df, aggregates))
+        if bare:
+            inner = profile(df, {str(i): F.when(s.within(s.low, s.high), s.value) for i, s in enumerate(bare)}, {str(i): s.shares() for i, s in enumerate(bare)})
+            for i, s in enumerate(bare):
+                s.grid = inner.grids[str(i)]
+        got = iter(_run(df, aggregates) if aggregates else [])
         extras += [next(got) for _ in pending]
-        pending, open_ = [], []
+        pending, open_ = [], bare
         for s, kind, how in steps:
             if kind == "list":
                 _take(found, s, s.ranks, s.less, next(got))
-            elif kind == "sketch":
-                s.grid = as_grid(next(got), s.shares())
-                open_.append(s)
             else:
                 a, b, final = how
                 counted = [next(got) for _ in range(5)]
-                rest = next(got)
-                open_ += _narrow(found, s, a, b, counted, rest if final else None, None if final else list(zip(_COARSE, rest or [])))
+                open_ += _narrow(found, s, a, b, counted, next(got) if final else None)
     return {name: [found[(name, r)] for r in ranks[name]] for name in values}, extras
 
 
-def _between(places: Mapping[int, object], spot: float) -> float:
-    low, high = float(places[math.floor(spot) + 1]), float(places[math.ceil(spot) + 1])
-    return low + (spot - math.floor(spot)) * (high - low)
-
-
-def exact_quantiles(
+def _ends(
     df: DataFrame,
     values: Mapping[str, Column],
     probabilities: Sequence[float],
     counts: Mapping[str, int],
-    grids: Mapping[str, Sequence] | None = None,
-    extra: Sequence[Column] = (),
-    without: Mapping[str, Place] | None = None,
-) -> tuple[dict[str, list], list]:
-    """Exact linear-interpolation quantiles of the non-null values, None where there are none.
-
-    `without` leaves out all copies of one value per name: the ranks above it just move up.
-    """
+    grids: Mapping[str, Sequence] | None,
+    extra: Sequence[Column],
+    without: Mapping[str, Place] | None,
+) -> tuple[dict[str, list[tuple]], list]:
+    """Per name with values and probability: the two observed values around the quantile, and its place between them."""
     without = without or {}
-    out: dict[str, list] = {n: [None] * len(probabilities) for n in values}
     spots, ranks, moved = {}, {}, {}
     for n in values:
         skip = without.get(n)
@@ -242,12 +279,51 @@ def exact_quantiles(
         moved[n] = {r: r + skip.equal if skip and r > skip.less else r for r in own}
         ranks[n] = sorted(moved[n].values())
     found, extras = order_statistics(df, {n: values[n] for n in ranks}, ranks, counts, grids, extra)
+    out = {}
     for n in ranks:
         by_rank = {r: place.value for r, place in zip(ranks[n], found[n])}
-        out[n] = [_between({r: by_rank[m] for r, m in moved[n].items()}, s) for s in spots[n]]
+        at = lambda r: float(by_rank[moved[n][r]])  # noqa: B023, E731
+        out[n] = [(at(math.floor(s) + 1), at(math.ceil(s) + 1), s - math.floor(s)) for s in spots[n]]
     return out, extras
 
 
+def exact_quantiles(
+    df: DataFrame,
+    values: Mapping[str, Column],
+    probabilities: Sequence[float],
+    counts: Mapping[str, int],
+    grids: Mapping[str, Sequence] | None = None,
+    extra: Sequence[Column] = (),
+    without: Mapping[str, Place] | None = None,
+) -> tuple[dict[str, list], list]:
+    """Exact linear-interpolation quantiles of the non-null values, None where there are none.
+
+    `without` leaves out all copies of one value per name: the ranks above it just move up.
+    """
+    ends, extras = _ends(df, values, probabilities, counts, grids, extra, without)
+    return {n: [a + share * (b - a) for a, b, share in ends[n]] if n in ends else [None] * len(probabilities) for n in values}, extras
+
+
+def middle_pairs(
+    df: DataFrame,
+    values: Mapping[str, Column],
+    counts: Mapping[str, int],
+    grids: Mapping[str, Sequence] | None = None,
+    extra: Sequence[Column] = (),
+    without: Mapping[str, Place] | None = None,
+) -> tuple[dict[str, tuple[float, float]], list]:
+    """The two observed values whose mean is the median, equal ones for an odd count; no entry without values.
+
+    An increasing function of the column has its median midway between the function's values at these.
+    """
+    ends, extras = _ends(df, values, [0.5], counts, grids, extra, without)
+    return {n: e[0][:2] for n, e in ends.items()}, extras
+
+
+def midway(pair: tuple[float, float] | None) -> float | None:
+    return pair and pair[0] + 0.5 * (pair[1] - pair[0])
+
+
 def medians(
     df: DataFrame,
     values: Mapping[str, Column],
@@ -280,7 +356,7 @@ def smallest(
     """For each (value, k) a predicate true on exactly the k rows smallest by (value, key).
 
     The table is only scanned by aggregates; the predicate itself is row-local. A row without a key is not picked among ties.
-    `grids` holds sketches of `rank_value(value)` if the caller has them.
+    `grids` are those of a profile of `rank_value(value)` if the caller has one.
     """
     out = {n: F.lit(k >= rows) for n, (_, k) in picks.items() if k <= 0 or k >= rows}
     names = [n for n in picks if n not in out]

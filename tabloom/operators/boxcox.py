@@ -1,8 +1,8 @@
 """Box-Cox: fitted by maximum likelihood, applied, inverted, and its comparison histograms.
 
 With z = x / geometric mean the likelihood is largest where the variance of
-(z^lambda - 1)/lambda is smallest, so each scan evaluates a few lambdas for all columns
-at once and narrows the search around the best of them.
+(z^lambda - 1)/lambda is smallest. A first guess comes from approximate quantiles; each scan
+then evaluates a few lambdas exactly for all columns at once, around the best so far.
 """
 
 from __future__ import annotations
@@ -10,10 +10,11 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.columns import by_name, clip, not_nan, null_double, quoted, replace_columns
-from ..functions.selection import as_grid, medians, sketch
+from ..functions.selection import Profile, middle_pairs, midway, profile
 from ..sources.stats import ColumnStats
 
 BINS = 30
@@ -23,18 +24,41 @@ _AGGREGATES_PER_PASS = 200
 _FAR = 1e6  # beyond it the likelihood counts as having no finite optimum
 
 
+def _variance_columns(wanted: list[tuple[str, float]]) -> list[Column]:
+    """var_pop of (z^lambda - 1)/lambda for each (log z as SQL text, lambda)."""
+    return [F.expr(f"var_pop({log_z if lam == 0.0 else f'expm1({lam!r}D * ({log_z})) / {lam!r}D'})") for log_z, lam in wanted]
+
+
 def _variances(df: DataFrame, wanted: list[tuple[str, float]]) -> list[float]:
-    """var_pop of (z^lambda - 1)/lambda for each (log z as SQL text, lambda), as many as fit one scan."""
+    """Their values, as many as fit one scan."""
     out: list[float] = []
     for at in range(0, len(wanted), _AGGREGATES_PER_PASS):
-        texts = [
-            f"var_pop({log_z if lam == 0.0 else f'expm1({lam!r}D * ({log_z})) / {lam!r}D'})"
-            for log_z, lam in wanted[at : at + _AGGREGATES_PER_PASS]
-        ]
-        out += list(df.agg(*[F.expr(t).alias(f"v{i}") for i, t in enumerate(texts)]).first())
+        some = _variance_columns(wanted[at : at + _AGGREGATES_PER_PASS])
+        out += list(df.agg(*[c.alias(f"v{i}") for i, c in enumerate(some)]).first())
     return out
 
 
+def _guess(grid: list[tuple], low: float, high: float, shift: float, search: tuple[float, float]) -> float:
+    """About the best lambda, from approximate quantiles alone."""
+    shares, values = zip((0.0, low), *grid, (1.0, high))
+    x = np.interp((np.arange(400) + 0.5) / 400, shares, np.asarray(values, float)) + shift
+    z = np.log(x[x > 0])
+    z = z - z.mean()
+    centre, width = (search[0] + search[1]) / 2.0, max((search[1] - search[0]) / 2.0, 0.1)
+    for _ in range(60):
+        tries = centre + width * np.linspace(-1, 1, 41)
+        with np.errstate(all="ignore"):
+            scores = [np.var(z if lam == 0 else np.expm1(lam * z) / lam) for lam in tries]
+        at = int(np.argmin(np.where(np.isfinite(scores), scores, np.inf)))
+        centre = float(tries[at])
+        if abs(centre) > _FAR:  # no use as a guess
+            return (search[0] + search[1]) / 2.0
+        width *= 10.0 if at in (0, 40) else 0.1
+        if width < 0.005:
+            break
+    return round(centre, 2)
+
+
 def _parabola(grid: list[float], scores: list[float], at: int) -> float:
     """Lowest point of the parabola through the best grid point and its neighbours."""
     a, b, c = scores[at - 1 : at + 2]
@@ -42,29 +66,37 @@ def _parabola(grid: list[float], scores: list[float], at: int) -> float:
     return grid[at] + (0.5 * (grid[at + 1] - grid[at]) * (a - c) / bend if bend > 0 else 0.0)
 
 
-def _best_lambdas(
-    df: DataFrame, logs: dict[str, str], means: dict[str, float], search: tuple[float, float], resolution: float | None
-) -> dict[str, float | None]:
-    """Minimise the variance per column; with a resolution, over its multiples. None where it falls without end.
+def _tries(centre: float, width: float, step: float) -> list[float]:
+    """Lambdas around a centre; the closest lie on multiples of `step`, whatever the centre."""
+    middle = round(centre / step) * step if width <= _TRIES // 2 * step else centre
+    return [round(middle + width * k / (_TRIES // 2), 12) for k in range(-(_TRIES // 2), _TRIES // 2 + 1)]
+
 
-    `logs` are logarithms up to a constant as SQL text, `means` their averages.
+class _Lambdas:
+    """Minimises the variance per column; with a resolution, over its multiples. None where it falls without end.
 
     Each scan tries some lambdas per column around a centre. A lowest point inside becomes the centre of a try a tenth
     as wide, one at the end the centre of a try ten times as wide. So the scans grow with the logarithm of the best lambda.
     """
-    finest = _TRIES // 2 * resolution if resolution else _FINEST
-    centre = dict.fromkeys(logs, (search[0] + search[1]) / 2.0)
-    width = dict.fromkeys(logs, max((search[1] - search[0]) / 2.0, finest))
-    best: dict[str, float | None] = {}
-    while len(best) < len(logs):
-        grids = {}
-        for c in logs:
-            if c not in best:
-                on_grid = resolution and width[c] <= finest
-                middle = round(centre[c] / resolution) * resolution if on_grid else centre[c]
-                grids[c] = [round(middle + width[c] * k / (_TRIES // 2), 12) for k in range(-(_TRIES // 2), _TRIES // 2 + 1)]
-        scores = _variances(df, [(logs[c], lam) for c in grids for lam in grids[c]])
-        for number, (c, grid) in enumerate(grids.items()):
+
+    def __init__(self, logs: dict[str, str], guesses: dict[str, float], resolution: float | None):
+        self.logs, self.resolution = logs, resolution
+        self.finest = _TRIES // 2 * resolution if resolution else _FINEST
+        self.step = resolution or _FINEST / (_TRIES // 2)
+        self.centre = dict(guesses)
+        near = self.finest if resolution else 10.0 * self.finest
+        self.width = {c: max(near, abs(guesses[c]) / 20.0) for c in logs}
+        self.best: dict[str, float | None] = {}
+
+    def wanted(self) -> list[tuple[str, float]]:
+        """(log z, lambda) of the next scan; none when all columns have their lambda."""
+        self.grids = {c: _tries(self.centre[c], self.width[c], self.step) for c in self.logs if c not in self.best}
+        return [(self.logs[c], lam) for c, grid in self.grids.items() for lam in grid]
+
+    def take(self, scores: list[float], means: dict[str, float]) -> None:
+        """The variances of `wanted`; `means` are the averages of the logarithms."""
+        centre, width, best = self.centre, self.width, self.best
+        for number, (c, grid) in enumerate(self.grids.items()):
             # dividing x by its geometric mean divides the variance by its power; powers out of range count as infinite
             got = []
             for v, lam in zip(scores[number * _TRIES :], grid):
@@ -76,11 +108,10 @@ def _best_lambdas(
                 best[c] = None
             elif ends:
                 centre[c], width[c] = grid[at], width[c] * 10.0
-            elif width[c] <= finest:
-                best[c] = grid[at] if resolution else _parabola(grid, got, at)
+            elif width[c] <= self.finest:
+                best[c] = grid[at] if self.resolution else _parabola(grid, got, at)
             else:
-                centre[c], width[c] = _parabola(grid, got, at), max(width[c] / 10.0, finest)
-    return best
+                centre[c], width[c] = _parabola(grid, got, at), max(width[c] / 10.0, self.finest)
 
 
 def boxcox_fit(
@@ -94,29 +125,57 @@ def boxcox_fit(
 
     `search` is the first interval tried; it moves on when the best value lies at its end.
     """
+    return boxcox_fit_known(df, cols, search, resolution)[0]
+
+
+def boxcox_fit_known(
+    df: DataFrame,
+    cols: Sequence[str],
+    search: tuple[float, float] = (-2.0, 2.0),
+    resolution: float | None = None,
+    known: Profile | None = None,
+    pairs: dict[str, tuple[float, float]] | None = None,
+) -> tuple[ColumnStats, dict[str, tuple[float, float]]]:
+    """`boxcox_fit` and the columns' middle pairs. Columns with both a known profile and pair are not searched again.
+
+    One scan profiles the other columns; the next has medians, averages of logarithms and the first variances together.
+    """
     cols = list(cols)
-    row = df.agg(*[f(by_name(c)) for c in cols for f in (F.count, F.min, F.max, F.stddev_samp, sketch)]).first()
+    known, pairs = known or Profile(), dict(pairs or {})
+    new = [c for c in cols if c not in known.count]
+    if new:
+        known = known.joined(profile(df, {c: by_name(c) for c in new}))
     stats = ColumnStats("boxcox")
-    counts, grids = {}, {}
-    for i, c in enumerate(cols):
-        counts[c], low, high, std, near = row[5 * i : 5 * i + 5]
-        grids[c] = as_grid(near)
+    for c in cols:
+        low = known.low[c]
         shift = None if low is None else (1.0 - low if low <= 0 else 0.0)
-        stats.columns[c] = {"median": None, "min": low, "max": high, "std": std, "shift": shift, "lambd": None}
-    varied = [c for c in cols if counts[c] and stats.columns[c]["min"] < stats.columns[c]["max"]]
-    logs = {}
+        stats.columns[c] = {"median": None, "min": low, "max": known.high[c], "std": known.std[c], "shift": shift, "lambd": None}
+    varied = [c for c in cols if known.count[c] and stats.columns[c]["min"] < stats.columns[c]["max"]]
+    logs, guesses = {}, {}
     for c in varied:
         shift = float(stats.columns[c]["shift"])
-        near = math.log(grids[c][len(grids[c]) // 2][1] + shift)  # keeps powers near 1
+        near = math.log(known.grids[c][len(known.grids[c]) // 2][1] + shift)  # keeps powers near 1
         logs[c] = f"(ln({quoted(c)} + {shift!r}D) - {near!r}D)"
-    means = [F.expr(f"avg({text})") for text in logs.values()]
-    middle, extras = medians(df, {c: by_name(c) for c in cols}, counts, grids, extra=means)
+        guesses[c] = _guess(known.grids[c], known.low[c], known.high[c], shift, search)
+    lambdas = _Lambdas(logs, guesses, resolution)
+    first = [F.expr(f"avg({text})") for text in logs.values()] + _variance_columns(lambdas.wanted())
+    open_ = {c: by_name(c) for c in cols if c not in pairs}
+    found, extras = middle_pairs(df, open_, known.count, known.grids, extra=first)
+    pairs |= found
     for c in cols:
-        stats.columns[c]["median"] = middle[c]
-    found = _best_lambdas(df, logs, dict(zip(varied, extras)), search, resolution)
+        stats.columns[c]["median"] = midway(pairs.get(c))
+    means = dict(zip(varied, extras))
+    lambdas.take(extras[len(varied) :], means)
+    while more := lambdas.wanted():
+        lambdas.take(_variances(df, more), means)
     for c in varied:
-        stats.columns[c]["lambd"] = found[c]
-    return stats
+        stats.columns[c]["lambd"] = lambdas.best[c]
+    return stats, pairs
+
+
+def transformed_median(s: dict, pair: tuple[float, float] | None) -> float | None:
+    """Median of the transformed column; the transform is increasing, so the middle pair is enough."""
+    return midway(pair and (_forward_value(pair[0], s), _forward_value(pair[1], s)))
 
 
 def _forward(value: Column, s: dict) -> Column:
@@ -151,7 +210,7 @@ def boxcox_back(df: DataFrame, stats: ColumnStats, cols: Sequence[str] = ()) ->
         if s is None or c not in df.columns or s["lambd"] is None:
             continue
         if s["lambd"] == 0.0:
-            value = F.exp(c) - F.lit(s["shift"])
+            value = F.exp(by_name(c)) - F.lit(s["shift"])
         else:
             base = by_name(c) * F.lit(float(s["lambd"])) + F.lit(1.0)
             value = not_nan(F.pow(base, F.lit(1.0 / s["lambd"]))) - F.lit(s["shift"])

@@ -13,7 +13,7 @@ from ..functions.columns import by_name, null_double, replace_columns
 from ..functions.materialize import ensure_checkpoint_dir, materialize
 from ..functions.order import ordered
 from ..functions.rng import uniform
-from ..functions.selection import as_grid, medians, sketch
+from ..functions.selection import medians, profile
 
 # fixed parameters of the boosted trees and the marker they see for a missing feature
 SENTINEL = -9999.0
@@ -21,9 +21,8 @@ BOOSTING = {"maxIter": 200, "maxDepth": 5, "stepSize": 0.01, "minInstancesPerNod
 
 
 def impute_median(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    row = df.agg(*[f(by_name(c)) for c in cols for f in (F.count, sketch)]).first()
-    counts, grids = dict(zip(cols, row[0::2])), dict(zip(cols, map(as_grid, row[1::2])))
-    middle, _ = medians(df, {c: by_name(c) for c in cols}, counts, grids)
+    known = profile(df, {c: by_name(c) for c in cols})
+    middle, _ = medians(df, {c: by_name(c) for c in cols}, known.count, known.grids)
     return impute_values(df, {c: m for c, m in middle.items() if m is not None})
 
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.columns import by_name, null_double, replace_columns
-from ..functions.selection import Place, as_grid, medians, rank_value, sketch, smallest
+from ..functions.selection import Place, Profile, medians, middle_pairs, midway, profile, rank_value, smallest
 from ..sources.stats import ColumnStats
 
 MISSING_SHARE = 0.002  # a flag column from this share of missing rows on
@@ -19,15 +19,10 @@ def _flag(marked: Column) -> Column:
     return F.when(marked, F.lit(-0.5)).otherwise(F.lit(0.5))
 
 
-def _counts(df: DataFrame, cols: Sequence[str]) -> tuple[int, dict[str, int], dict[str, list]]:
-    """Rows, non-missing rows per column and quantile sketches, in one pass."""
-    row = df.agg(F.count("*"), *[f(by_name(c)) for c in cols for f in (F.count, sketch)]).first()
-    return row[0], dict(zip(cols, row[1::2])), dict(zip(cols, map(as_grid, row[2::2])))
-
-
 def missing_fit(df: DataFrame, cols: Sequence[str]) -> ColumnStats:
-    rows, filled, grids = _counts(df, cols)
-    middle, _ = medians(df, {c: by_name(c) for c in cols}, filled, grids)
+    known = profile(df, {c: by_name(c) for c in cols})
+    rows, filled = known.rows, known.count
+    middle, _ = medians(df, {c: by_name(c) for c in cols}, filled, known.grids)
     stats = ColumnStats("missing")
     for c in cols:
         share = (rows - filled[c]) / rows if rows else 0.0
@@ -58,16 +53,16 @@ def missing_back(df: DataFrame, stats: ColumnStats, key: str, cols: Sequence[str
     """The round(share*rows) rows with the smallest flag become NULL, ties by key."""
     flagged = [c for c in cols or stats.columns if stats.columns[c].get("missing_column") in df.columns]
     flags = {c: (by_name(stats.columns[c]["missing_column"]), stats.columns[c]["nmissing"]) for c in flagged}
-    rows, grids = _rows_and_sketches(df, flags)
+    rows, grids = _rows_and_grids(df, flags)
     picks = {c: (flags[c][0], _nearest(stats.columns[c]["nmissing"] * rows)) for c in flagged}
     marked = smallest(df, picks, key, rows, grids)
     return replace_columns(df, {c: F.when(~marked[c], by_name(c)) for c in picks})
 
 
-def _rows_and_sketches(df: DataFrame, flags: dict[str, tuple[Column, float]]) -> tuple[int, dict[str, list]]:
-    """Row count and a sketch of each flag around the share of rows to pick."""
-    row = df.agg(F.count("*"), *[sketch(rank_value(f), [share]) for f, share in flags.values()]).first()
-    return row[0], {n: as_grid(got, [share]) for (n, (_, share)), got in zip(flags.items(), row[1:])}
+def _rows_and_grids(df: DataFrame, flags: dict[str, tuple[Column, float]]) -> tuple[int, dict[str, list]]:
+    """Row count, and approximate quantiles of each flag around the share of rows to pick."""
+    known = profile(df, {n: rank_value(f) for n, (f, _) in flags.items()}, {n: [share] for n, (_, share) in flags.items()})
+    return known.rows, known.grids
 
 
 def _nearest(value: float) -> int:
@@ -82,8 +77,16 @@ def special_fit(df: DataFrame, cols: Sequence[str], frequencies: str = "all") ->
     covers the first, second or third quartile, so it is counted without a shuffle, and
     columns without one get no `highfreq` entry. Both give the same transform.
     """
+    return special_fit_known(df, cols, frequencies)[0]
+
+
+def special_fit_known(
+    df: DataFrame, cols: Sequence[str], frequencies: str = "all"
+) -> tuple[ColumnStats, Profile, dict[str, tuple[float, float]]]:
+    """`special_fit`, with the profile of the columns and their middle pairs after nulling."""
     cols = list(cols)
-    rows, filled, grids = _counts(df, cols)
+    known = profile(df, {c: by_name(c) for c in cols})
+    rows, filled, grids = known.rows, known.count, known.grids
     top = _most_frequent(df, cols) if frequencies == "all" else _majorities(df, filled, grids)
     stats = ColumnStats("special")
     removed = {}
@@ -99,10 +102,10 @@ def special_fit(df: DataFrame, cols: Sequence[str], frequencies: str = "all") ->
             if s["nhighfreq"] > FREQUENT_SHARE and distinct > FREQUENT_DISTINCT:
                 s["highfreq_column"] = f"{c}_highfreq"
                 removed[c] = place
-    middle, _ = medians(df, {c: by_name(c) for c in cols}, filled, grids, without=removed)
+    pairs, _ = middle_pairs(df, {c: by_name(c) for c in cols}, filled, grids, without=removed)
     for c in cols:
-        stats.columns[c]["median"] = middle[c]
-    return stats
+        stats.columns[c]["median"] = midway(pairs.get(c))
+    return stats, known, pairs
 
 
 def _most_frequent(df: DataFrame, cols: list[str]) -> dict[str, tuple[Place, int]]:
@@ -119,14 +122,18 @@ def _most_frequent(df: DataFrame, cols: list[str]) -> dict[str, tuple[Place, int
 
 
 def _majorities(df: DataFrame, filled: dict[str, int], grids: dict[str, list]) -> dict[str, tuple[Place, int]]:
-    candidates = {
-        c: list(dict.fromkeys(v for p, v in grid if p in (0.25, 0.5, 0.75))) for c, grid in grids.items() if grid
-    }
+    # a value of more than half of the rows covers a quartile, and about half of the grid
+    candidates = {}
+    for c, grid in grids.items():
+        for v in dict.fromkeys(v for p, v in grid if p in (0.25, 0.5, 0.75)):
+            shares = [p for p, x in grid if x == v]
+            if shares[-1] - shares[0] > FREQUENT_SHARE - 0.05:
+                candidates.setdefault(c, []).append(v)
     checks = [(c, v) for c, values in candidates.items() for v in values]
     if not checks:
         return {}
     row = df.agg(
-        *[F.approx_count_distinct(c) for c in candidates],
+        *[F.approx_count_distinct(by_name(c)) for c in candidates],
         *[f for c, v in checks for f in (F.count_if(by_name(c) < F.lit(v)), F.count_if(by_name(c) == F.lit(v)))],
     ).first()
     distinct, counted = dict(zip(candidates, row)), row[len(candidates) :]
@@ -138,7 +145,7 @@ def _majorities(df: DataFrame, filled: dict[str, int], grids: dict[str, list]) -
     # near the limit, few values are counted exactly
     near = [c for c in out if distinct[c] <= 4 * FREQUENT_DISTINCT]
     if near:
-        distinct.update(zip(near, df.agg(*[F.count_distinct(c) for c in near]).first()))
+        distinct.update(zip(near, df.agg(*[F.count_distinct(by_name(c)) for c in near]).first()))
     return {c: (place, distinct[c]) for c, place in out.items()}
 
 
@@ -186,7 +193,7 @@ def special_back(
         for kind, share in (("highfreq_column", "nhighfreq"), ("missing_column", "nmissing"))
         if (name := stats.columns[c].get(kind)) in df.columns
     }
-    rows, grids = _rows_and_sketches(df, flags)
+    rows, grids = _rows_and_grids(df, flags)
     picks: dict[str, tuple] = {}
     for c in cols or stats.columns:
         s = stats.columns[c]

@@ -60,7 +60,7 @@ def svd_standardize(df: DataFrame, cols: Sequence[str], nsvd: int = 30, prefix:
         names = [f"{prefix}{k}" for k in range(basis.shape[1])]
         net = Network([Layer("svd", "dense", weight=basis, bias=np.zeros(basis.shape[1]))])
         work = dense_forward(df, net, list(cols), names)
-    row = work.agg(*[f(c) for c in names for f in (F.avg, F.stddev_pop)]).first()
+    row = work.agg(*[f(by_name(c)) for c in names for f in (F.avg, F.stddev_pop)]).first()
     scaled = {c: (by_name(c) - F.lit(row[2 * i])) / F.lit(row[2 * i + 1] or 1.0) for i, c in enumerate(names)}
     out = replace_columns(work, scaled)
     return out.drop(*cols) if nsvd > 0 else out

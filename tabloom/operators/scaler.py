@@ -7,22 +7,25 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.columns import by_name, replace_columns
-from ..functions.selection import as_grid, medians, sketch
+from ..functions.selection import medians, profile
 from ..sources.stats import ColumnStats
 
 EXTREME_Z = 5.0
 
 
-def scaler_fit(df: DataFrame, cols: Sequence[str]) -> ColumnStats:
+def scaler_fit(df: DataFrame, cols: Sequence[str], middle: dict[str, float | None] | None = None) -> ColumnStats:
     """Type, median, mean, std (n-1), max, min per column, by one wide aggregate and one pass for the exact medians.
 
-    `minmax` if any |z| > 5, `constant` for a single value, else `normal`.
+    `minmax` if any |z| > 5, `constant` for a single value, else `normal`. Known medians may be given as `middle`.
     """
     cols = list(cols)
-    row = df.agg(*[f(by_name(c)) for c in cols for f in (F.count, F.avg, F.stddev_samp, F.max, F.min, sketch)]).first()
-    per = {c: row[6 * i : 6 * i + 5] for i, c in enumerate(cols)}
-    grids = {c: as_grid(row[6 * i + 5]) for i, c in enumerate(cols)}
-    middle, _ = medians(df, {c: by_name(c) for c in cols}, {c: per[c][0] for c in cols}, grids)
+    if middle is None:
+        known = profile(df, {c: by_name(c) for c in cols})
+        per = {c: (known.count[c], known.mean[c], known.std[c], known.high[c], known.low[c]) for c in cols}
+        middle, _ = medians(df, {c: by_name(c) for c in cols}, known.count, known.grids)
+    else:
+        row = df.agg(*[f(by_name(c)) for c in cols for f in (F.count, F.avg, F.stddev_samp, F.max, F.min)]).first()
+        per = {c: row[5 * i : 5 * i + 5] for i, c in enumerate(cols)}
     stats = ColumnStats("scaler")
     for c in cols:
         count, mean, std, high, low = per[c]
@@ -35,7 +38,7 @@ def scaler_fit(df: DataFrame, cols: Sequence[str]) -> ColumnStats:
             kind = "minmax"
         stats.columns[c] = {
             "scaling_type": kind,
-            "median": middle[c],
+            "median": middle.get(c),
             "mean": mean,
             "std": std,
             "max": high,

@@ -53,4 +53,4 @@ def loss_trace(losses: DataFrame, every: int, iteration: str = "iter") -> DataFr
     """Mean of each loss column over consecutive blocks of `every` iterations."""
     block = F.floor((by_name(iteration) - 1) / every).cast("bigint")
     values = [c for c in losses.columns if c != iteration]
-    return losses.groupBy(block.alias("block")).agg(*[F.avg(c).alias(c) for c in values])
+    return losses.groupBy(block.alias("block")).agg(*[F.avg(by_name(c)).alias(c) for c in values])

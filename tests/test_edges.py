@@ -115,3 +115,19 @@ def test_histogram_keeps_every_value(spark):
     df = spark.createDataFrame([(v,) for v in (-5.0, 0.0, 0.4, 1.0, 9.0, None, float("nan"))], "v double")
     got = {r.bin: r.n for r in ranking.histogram(df, F.col("v"), 0.0, 1.0, 2).collect()}
     assert got == {0: 3, 1: 2}
+
+
+def test_any_column_name_survives_the_whole_job(spark):
+    rows = [(i, "ab"[i % 2], float(i) ** 1.5 + 1, 5.0 if i % 4 else float(i), None if i % 7 == 0 else float(i % 50), float(i % 3)) for i in range(400)]
+    names = ["i.d", "g.h", "x.1", "y`2", "z.`3.", "t.0"]
+    df = spark.createDataFrame(rows, "a long, b string, c double, d double, e double, f double").toDF(*names)
+    header = Roles(dict(zip(names, "KCNNNL")))
+    done = preprocess(df, header)
+    assert {f"{n}_{k}" for n, k in (("y`2", "highfreq"), ("z.`3.", "missing"))} <= set(done.table.columns)
+    back = postprocess(done.table, header, done.stats, "i.d").toPandas()
+    assert list(back["x.1"]) == pytest.approx([r[2] for r in rows], rel=1e-6, abs=1e-6)
+    assert back["z.`3."].isna().sum() == sum(r[4] is None for r in rows)
+    logs = boxcox.ColumnStats("boxcox", {"x.1": {"median": 1.0, "min": 1.0, "max": 9000.0, "std": 1.0, "shift": 0.0, "lambd": 0.0}})
+    there = boxcox.boxcox_back(boxcox.boxcox_transform(df, logs), logs).select("`x.1`").toPandas()["x.1"]
+    assert list(there) == pytest.approx([r[2] for r in rows])
+    assert moments.svd_standardize(df, ["x.1", "y`2"], 0).count() == 400

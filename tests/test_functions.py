@@ -9,6 +9,9 @@ from tabloom.functions import lookup as lk
 from tabloom.functions import selection as sel
 from tabloom.functions.order import ordered, row_index
 from tabloom.functions.rng import normals, uniform
+from tabloom.operators.missing import special_fit
+from tabloom.plans.preprocess import preprocess
+from tabloom.sources.roles import Roles
 
 
 @pytest.fixture(scope="module")
@@ -113,3 +116,42 @@ def test_task_functions_need_no_package_on_the_executors(tmp_path):
     (tmp_path / "f").write_bytes(cloudpickle.dumps([quadrants._in_x_strip, quadrants._cells_below, energy._block_sums(True)]))
     code = "from pyspark import cloudpickle; fs = cloudpickle.load(open('f', 'rb')); import sys; assert len(fs) == 3 and 'tabloom' not in sys.modules"
     subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True, timeout=60)
+
+
+def test_profile_merges_sketches_of_many_partitions_in_two_levels(spark):
+    df = spark.range(0, 100_000, 1, 2000).select(
+        F.when(F.col("id") % 10 != 0, (F.col("id") * 7919 % 100_003).cast("double")).alias("x"), (F.col("id") + (1 << 60)).alias("big")
+    )
+    known = sel.profile(df, {"x": F.col("x"), "big": F.col("big"), "none": F.lit(None).cast("double")})
+    x = np.array([i * 7919 % 100_003 for i in range(100_000) if i % 10])
+    assert (known.rows, known.count) == (100_000, {"x": 90_000, "big": 100_000, "none": 0})
+    assert (known.low["x"], known.high["x"], known.low["none"], known.std["none"], known.grids["none"]) == (x.min(), x.max(), None, None, [])
+    assert known.mean["x"] == pytest.approx(x.mean(), rel=1e-12) and known.std["x"] == pytest.approx(x.std(ddof=1), rel=1e-12)
+    ranks = {n: [(v <= q).mean() - p for p, q in known.grids[n]] for n, v in (("x", x), ("big", np.arange(100_000) + (1 << 60)))}
+    assert all(abs(r) < sel._MARGIN for some in ranks.values() for r in some)
+    assert known.low["big"] == 1 << 60 and all(isinstance(q, int) for _, q in known.grids["big"])
+    middle, _ = sel.medians(df, {"x": F.col("x"), "big": F.col("big")}, known.count, known.grids)
+    assert middle == {"x": float(np.median(x)), "big": float((1 << 60) + 49_999)}
+
+
+def test_no_sketch_of_a_fit_goes_straight_to_one_task(spark, monkeypatch):
+    plans = []
+    frame = type(spark.range(1))
+    first = frame.first
+    monkeypatch.setattr(frame, "first", lambda df: (plans.append(df._jdf.queryExecution().optimizedPlan().toString()), first(df))[1])
+    df = spark.range(50_000).select("id", (F.col("id") % 977 + 1).cast("double").alias("v"))
+    special_fit(df, ["v"])
+    assert any("kll_merge" in p and "kll_sketch_agg" in p for p in plans)
+    assert not any("percentile_approx" in p or "approx_percentile" in p for p in plans)
+
+
+def test_the_fits_of_the_main_job_share_their_scans(spark, monkeypatch):
+    rows = [(i, "ab"[i % 2], float(i % 997) ** 1.5 + 1, float(i % 50), i % 3) for i in range(6_000)]
+    df = spark.createDataFrame(rows, "id long, g string, x double, y double, t int").cache()
+    df.count()
+    scans = []
+    frame = type(df)
+    collect = frame.collect
+    monkeypatch.setattr(frame, "collect", lambda df: (scans.append(1), collect(df))[1])  # `first` collects too
+    preprocess(df, Roles({"id": "K", "g": "C", "x": "N", "y": "N", "t": "L"}), resolution=0.01)
+    assert len(scans) <= 5  # categories, profile, medians, logarithms with variances, scaling
