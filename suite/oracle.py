@@ -612,6 +612,9 @@ ORACLE["impute_model_facts"] = " UNION ALL ".join(
     f"SELECT '{c}' AS col, count(*) AS rows, count(*) - count({c}) AS filled, 0::BIGINT AS empty, 0::BIGINT AS changed FROM ({TRAIN})"
     for c in ("bal", "rare_null")
 )
+_STEP = "CASE WHEN few >= 10 THEN 7.0::DOUBLE ELSE 3.0::DOUBLE END"
+ORACLE["impute_model_step"] = f"""
+SELECT {K}, round(CASE WHEN {K} % 10 <> 3 THEN {_STEP} ELSE {_STEP} - ({_STEP} - 0.5::DOUBLE) * pow(0.99::DOUBLE, 200) END, 6) AS step FROM ({TRAIN})"""
 ORACLE["svd_facts"] = """
 SELECT 'svd_' || k AS component, (SELECT count(*) FROM embeddings) AS rows, 0.0::DOUBLE AS mean, 1.0::DOUBLE AS deviation
 FROM (SELECT unnest(range(8)) AS k)"""

@@ -214,6 +214,13 @@ def impute_model(spark, d):
     return impute.impute_model(df, ["bal", "rare_null"], ["price", "bal", "rare_null", "target"])
 
 
+def impute_model_step(spark, d):
+    """A column that is a step of one feature: without a penalty, each round closes a hundredth of the rest."""
+    step = F.when(F.col(KEY) % 10 != 3, F.when(F.col("few") >= 10, 7.0).otherwise(3.0)).alias("step")
+    df = train(spark, d).select(KEY, "price", "few", "bal", step)
+    return impute.impute_model(df, ["step"], ["price", "few", "bal", "step"], penalty=0.0).select(KEY, F.round("step", 6).alias("step"))
+
+
 def impute_model_facts(spark, d):
     """What must hold of the filled table: every observed cell as it was, no cell left empty."""
     before = train(spark, d).select(KEY, F.col("bal").alias("bal0"), F.col("rare_null").alias("rare_null0"))
@@ -542,7 +549,7 @@ best_checkpoint loss_trace
 onehot_fit onehot_fit_transform onehot_transform onehot_back laplace_fit laplace_fit_transform laplace_transform
 center_target uncenter_target
 missing_fit_transform missing_transform missing_back special_fit_transform special_transform special_back
-impute_median impute_zero impute_random impute_model impute_model_facts
+impute_median impute_zero impute_random impute_model impute_model_step impute_model_facts
 boxcox_fit boxcox_fit_search boxcox_fit_transform boxcox_transform boxcox_back boxcox_hist scaler_fit scaler_fit_transform scaler_transform
 scaler_back splitcap_fit splitcap_fit_transform splitcap_transform splitcap_back svd_standardize svd_facts
 sample_noise dense_forward generate_unconditional generate_conditional generate_pinned generate_uniform translate_a_to_b

@@ -3,21 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.columns import by_name, null_double, replace_columns
-from ..functions.materialize import ensure_checkpoint_dir, materialize
+from ..functions.columns import by_name, replace_columns
 from ..functions.order import ordered
 from ..functions.rng import uniform
 from ..functions.selection import medians, profile
+from .boosting import fit_boosted
 
 # fixed parameters of the boosted trees and the marker they see for a missing feature
 SENTINEL = -9999.0
-BOOSTING = {"maxIter": 200, "maxDepth": 5, "stepSize": 0.01, "minInstancesPerNode": 30, "seed": 23023}
+BOOSTING = {"maxIter": 200, "maxDepth": 5, "stepSize": 0.01, "minInstancesPerNode": 30}
 
 
 def impute_median(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -75,24 +72,16 @@ def impute_model(df: DataFrame, cols: Sequence[str], features: Sequence[str], **
     """Boosted trees per column on the other features; only NULL rows are predicted.
 
     All models are trained on the table as given, with missing features at the sentinel.
-    Predictions run column by column, so later columns see earlier fills.
+    Predictions run column by column, so later columns see earlier fills. `boosting` changes the
+    parameters of `fit_boosted`.
     """
-    ensure_checkpoint_dir(df.sparkSession)  # trees cut their own lineage there
     features = list(features)
     wanted = [c for c, n in zip(cols, df.agg(*[F.count_if(by_name(c).isNull()) for c in cols]).first()) if n]
-    marks = {f"__null_{c}": by_name(c).isNull() for c in wanted}
-    work = df.select("*", *[m.alias(n) for n, m in marks.items()])
-    work = work.fillna(SENTINEL, subset=[c for c in {*features, *cols} if c in df.columns])
-    params = {**BOOSTING, **boosting}
-    models = {}
-    for c in wanted:
-        inputs = [f for f in features if f != c]
-        assembler = VectorAssembler(inputCols=inputs, outputCol="__features")
-        train = assembler.transform(work.where(~by_name(f"__null_{c}")).select(*inputs, by_name(c).alias("__label")))
-        models[c] = (assembler, GBTRegressor(featuresCol="__features", labelCol="__label", **params).fit(train))
+    if not wanted:
+        return df
+    known = profile(df, {f: by_name(f) for f in features})
+    models = {c: fit_boosted(df, c, [f for f in features if f != c], missing=SENTINEL, known=known, **{**BOOSTING, **boosting}) for c in wanted}
+    work = df
     for c in wanted:
-        assembler, model = models[c]
-        scored = model.setPredictionCol("__prediction").transform(assembler.transform(work))
-        work = scored.withColumn(c, F.when(by_name(f"__null_{c}"), F.col("__prediction")).otherwise(by_name(c)))
-        work = work.drop("__features", "__prediction")
-    return work.select(*map(by_name, df.columns))
+        work = replace_columns(work, {c: F.coalesce(by_name(c), models[c].predict(by_name(c).isNull(), SENTINEL))})
+    return work
