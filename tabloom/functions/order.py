@@ -2,7 +2,8 @@
 
 `orderBy` range-partitions and sorts; `monotonically_increasing_id` then holds
 (partition, position) for every row. The placed rows are checkpointed, because
-range bounds are sampled and would differ if the plan were computed twice. Only
+range bounds are sampled and would differ if the plan were computed twice. Running sums
+are taken while the sorted partitions pass, so they cost no further shuffle. Only
 one row per partition (counts and sums) reaches the driver.
 
 Order keys must be unique, otherwise the rank of tied rows is arbitrary.
@@ -10,10 +11,13 @@ Order keys must be unique, otherwise the rank of tied rows is arbitrary.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from .columns import by_name
 from .materialize import materialize
@@ -32,9 +36,33 @@ class Ordered:
     totals: dict[str, float]
 
 
-def _place(df: DataFrame, order: Sequence[Column | str]) -> DataFrame:
-    placed = df.orderBy(*map(by_name, order)).withColumn(_PLACE, F.monotonically_increasing_id())
-    return materialize(placed).withColumn(_PART, F.shiftright(_PLACE, _POSITION_BITS))
+def _summed(width: int):
+    """Appends the running sums of the last `width` columns of a partition; NULL adds nothing."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before = np.zeros(width)
+        for b in batches:
+            added = []
+            for i in range(width):
+                column = b.column(b.num_columns - width + i).fill_null(0.0).to_numpy(zero_copy_only=False)
+                # in the order of the rows, as one sum would go
+                sums = np.cumsum(np.append(before[i], column))[1:]
+                before[i] = sums[-1] if len(sums) else before[i]
+                added.append(pa.array(sums))
+            yield pa.RecordBatch.from_arrays([*b.columns, *added], names=[*b.schema.names, *[f"__run{i}" for i in range(width)]])
+
+    return run
+
+
+def _place(df: DataFrame, order: Sequence[Column | str], sums: Sequence[Column]) -> DataFrame:
+    placed = df.orderBy(*map(by_name, order))
+    if sums:
+        placed = placed.select("*", *[v.cast("double").alias(f"__sum_of{i}") for i, v in enumerate(sums)])
+        names = [*placed.columns, *[f"__run{i}" for i in range(len(sums))]]
+        plain = placed.toDF(*[f"c{i}" for i in range(len(placed.columns))])  # Python functions refuse some characters in names
+        fields = [*plain.schema.fields, *[StructField(f"__run{i}", DoubleType()) for i in range(len(sums))]]
+        placed = plain.mapInArrow(_summed(len(sums)), StructType(fields)).toDF(*names)
+    return materialize(placed.withColumn(_PLACE, F.monotonically_increasing_id())).withColumn(_PART, F.shiftright(_PLACE, _POSITION_BITS))
 
 
 def ordered(
@@ -46,10 +74,10 @@ def ordered(
     """Add `index` (1-based global rank by `order`) and one running sum per entry of `sums`."""
     sums = {k: (by_name(v) if isinstance(v, str) else v) for k, v in (sums or {}).items()}
     names = list(sums)
-    placed = _place(df, order)
+    placed = _place(df, order, list(sums.values()))
     per_part = (
         placed.groupBy(_PART)
-        .agg(F.count("*").alias("n"), *[F.sum(sums[s]).alias(f"s{i}") for i, s in enumerate(names)])
+        .agg(F.count("*").alias("n"), *[F.sum(f"__sum_of{i}").alias(f"s{i}") for i in range(len(names))])
         .collect()
     )
     rows, running = 0, [0] * len(names)
@@ -61,12 +89,8 @@ def ordered(
     schema = f"{_PART} bigint, __rows bigint" + "".join(f", __sum{i} double" for i in range(len(names)))
     starts = df.sparkSession.createDataFrame(offsets, schema)
 
-    out = placed
-    if names:
-        upto = Window.partitionBy(_PART).orderBy(_PLACE).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        out = out.select("*", *[F.coalesce(F.sum(sums[s]).over(upto), F.lit(0)).alias(f"__run{i}") for i, s in enumerate(names)])
     # `starts` has one row per partition
-    out = out.join(F.broadcast(starts), _PART)
+    out = placed.join(F.broadcast(starts), _PART)
     position = by_name(_PLACE).bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
     out = out.select(
         *map(by_name, df.columns),

@@ -18,7 +18,7 @@ from ..functions.selection import Profile, middle_pairs, midway, profile
 from ..sources.stats import ColumnStats
 
 BINS = 30
-_TRIES = 7  # lambdas per column and scan
+_TRIES = 9  # lambdas per column and scan
 _FINEST = 0.006  # half width of the last try
 _AGGREGATES_PER_PASS = 200
 _FAR = 1e6  # beyond it the likelihood counts as having no finite optimum

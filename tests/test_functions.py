@@ -155,3 +155,16 @@ def test_the_fits_of_the_main_job_share_their_scans(spark, monkeypatch):
     monkeypatch.setattr(frame, "collect", lambda df: (scans.append(1), collect(df))[1])  # `first` collects too
     preprocess(df, Roles({"id": "K", "g": "C", "x": "N", "y": "N", "t": "L"}), resolution=0.01)
     assert len(scans) <= 5  # categories, profile, medians, logarithms with variances, scaling
+
+
+def test_running_sums_take_no_shuffle_beyond_the_sort(spark):
+    df = spark.createDataFrame([(i, float(i % 7) if i % 5 else None, "x") for i in range(5_000)], "k int, v double, `a.b` string").repartition(9)
+    done = ordered(df, [F.desc("k")], {"total": "v", "n": F.lit(1)})
+    plan = done.df._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "hashpartitioning" not in plan and "SinglePartition" not in plan
+    got = done.df.orderBy("row_no").toPandas()
+    v = np.array([i % 7 if i % 5 else 0 for i in range(4_999, -1, -1)])
+    assert list(got.columns) == ["k", "v", "a.b", "row_no", "total", "n"] and list(got.k) == list(range(4_999, -1, -1))
+    assert (got.total == v.cumsum()).all() and (got.n == got.row_no).all() and done.totals == {"total": v.sum(), "n": 5_000}
+    empty = ordered(df.limit(0), ["k"], {"total": "v"})
+    assert (empty.rows, empty.totals, empty.df.count()) == (0, {"total": 0}, 0)
