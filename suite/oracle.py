@@ -612,6 +612,11 @@ ORACLE["impute_model_facts"] = " UNION ALL ".join(
     f"SELECT '{c}' AS col, count(*) AS rows, count(*) - count({c}) AS filled, 0::BIGINT AS empty, 0::BIGINT AS changed FROM ({TRAIN})"
     for c in ("bal", "rare_null")
 )
+ORACLE["preprocess_files"] = ORACLE["preprocess_pipeline"]
+ORACLE["postprocess_files"] = ORACLE["postprocess_pipeline"]
+ORACLE["whole_chain_facts"] = f"""
+SELECT count(*) AS rows, count(*) AS ids, 200000000::BIGINT AS first_id, true AS missing,
+  0::BIGINT AS outside, count(*) AS constant, count(DISTINCT coalesce(segment, '')) AS segments, count(DISTINCT status) AS statuses FROM ({TRAIN})"""
 _STEP = "CASE WHEN few >= 10 THEN 7.0::DOUBLE ELSE 3.0::DOUBLE END"
 ORACLE["impute_model_step"] = f"""
 SELECT {K}, round(CASE WHEN {K} % 10 <> 3 THEN {_STEP} ELSE {_STEP} - ({_STEP} - 0.5::DOUBLE) * pow(0.99::DOUBLE, 200) END, 6) AS step FROM ({TRAIN})"""

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tabloom.functions.materialize import new_folder
 from tabloom.functions.order import row_index
 from tabloom.functions.rng import uniform
 from tabloom.operators import boxcox as bc
@@ -13,7 +14,7 @@ from tabloom.operators import impute, likelihood, lines, losses, missing, moment
 from tabloom.operators import quadrants as qd
 from tabloom.plans.generate import generate
 from tabloom.plans.postprocess import postprocess
-from tabloom.plans.preprocess import preprocess
+from tabloom.plans.preprocess import preprocess, read_stats, write_preprocessed
 from tabloom.sources import roles, tables, training_log
 from tabloom.sources.roles import Roles
 from tabloom.sources.stats import ColumnStats
@@ -543,6 +544,49 @@ def postprocess_pipeline(spark, d):
     return rounded(postprocess(done.table, original, done.stats, KEY), 4, price=2, bal=2, spike=2, rare_null=6)
 
 
+def _files(spark, d) -> tuple:
+    """The preprocess job's files, written and read back: the shuffled table with its types, its header and the statistics."""
+    done = preprocess(train(spark, d), HEADER, resolution=LAMBDA_STEP, checkpoint_input=True)
+    folder = new_folder(spark)
+    write_preprocessed(spark, done, folder, KEY, seed=41)
+    header = roles.read_role_header(spark, f"{folder}/scaled_header")
+    if header.roles != done.roles.roles:
+        raise ValueError(f"the header came back as {header.roles}")
+    table = roles.read_typed_table(spark, f"{folder}/scaled", header)
+    return table.select(*[F.col(f"`{c}`").cast(t).alias(c) for c, t in done.table.dtypes]), read_stats(spark, folder)
+
+
+def preprocess_files(spark, d):
+    return rounded(_files(spark, d)[0])
+
+
+def postprocess_files(spark, d):
+    table, stats = _files(spark, d)
+    original = Roles({"unq1": "K", **{c: r for c, r in HEADER.roles.items() if r != "K"}})
+    return rounded(postprocess(table, original, stats, KEY), 4, price=2, bal=2, spike=2, rare_null=6)
+
+
+def whole_chain_facts(spark, d):
+    """Preprocess, fit a generator, make as many rows, bring them back: what must hold of any rows made so."""
+    done = preprocess(train(spark, d), HEADER, resolution=LAMBDA_STEP, checkpoint_input=True)
+    net = moments.fit_generator(done.table, done.roles.numerical, done.roles.conditions)
+    made = generate(done.table, done.roles, lambda it: net, len(done.roles.numerical), [KEY], using_iter=1, seed=43)
+    original = Roles({"unq1": "K", **{c: r for c, r in HEADER.roles.items() if r != "K"}})
+    out = postprocess(made, original, done.stats, "id", numbered=True)
+    low, high = (done.stats["boxcox"].columns["price"][k] for k in ("min", "max"))
+    return out.agg(
+        F.count("*").alias("rows"),
+        F.count_distinct("unq1").alias("ids"),
+        F.min("unq1").alias("first_id"),
+        # a value whose inverse transform is not real is NULL too
+        (F.count_if(F.col("bal").isNull()) >= F.round(F.lit(done.stats["special"].columns["bal"]["nmissing"]) * F.count("*"))).alias("missing"),
+        F.count_if(~F.col("price").between(low, high)).alias("outside"),
+        F.count_if(F.col("const") == 1).alias("constant"),
+        F.count_distinct("segment").alias("segments"),
+        F.count_distinct("status").alias("statuses"),
+    )
+
+
 NAMES = """
 read_typed_table read_columns draw_minibatches sample_rows perturb_rows write_shuffled restore_layout parse_training_log
 best_checkpoint loss_trace
@@ -557,7 +601,7 @@ reconstruction_error score_realness realness_auc bce_loss lsgan_loss critic_gap
 fit_generator
 jsd gini_binary gini capture_rate tree_importance accuracy_index diagonal_cmv quadrant_counts maxdist avgmaxdist ks2d
 ks2d_bootstrap energy estat estat2d
-preprocess_pipeline generate_pipeline postprocess_pipeline
+preprocess_pipeline generate_pipeline postprocess_pipeline preprocess_files postprocess_files whole_chain_facts
 """.split()
 
 QUERIES = {name: globals()[name] for name in NAMES}

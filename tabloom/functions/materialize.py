@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,3 +24,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 def materialize(df: DataFrame) -> DataFrame:
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def new_folder(spark: SparkSession) -> str:
+    """A folder of its own, not made yet, where all executors can write."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.conf.get('spark.checkpoint.dir', None) or spark.sparkContext.getCheckpointDir()}/files-{uuid.uuid4().hex}"
