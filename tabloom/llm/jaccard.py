@@ -21,7 +21,7 @@ Defined results: words are [^\\x20\\x09-\\x0D]+ with A-Z lower-cased. A text of
 an empty, blank or null text has an empty set, is linked with nothing and is its own component. Repeated rows are
 linked. The component is the smallest non-null key in it. An empty table gives no rows. Only the key is carried, so
 names cannot clash. The input must give the same rows in the same order each time it is read. Class ids are 64-bit
-hashes of the sets, fingerprints 64-bit hashes of the tokens.
+hashes of the sets, fingerprints the leading 56 bits of token hashes.
 """
 
 from __future__ import annotations
@@ -45,7 +45,7 @@ FAMILY_TOKENS = 1 << 22
 TASK_PAIRS = 2_000  # comparisons with one leader in one group
 ORDERS = (0x1B873593CC9E2D51, 0x85EBCA6B27D4EB2F, 0x2545F4914F6CDD1D)
 UNIT_BITS = 12  # so many low bits of a row's number tell documents of one unit apart
-PRINT_BYTES = 8  # of a fingerprint
+PRINT_BYTES = 7  # of a fingerprint, the leading ones of its 64-bit hash
 
 
 def class_of(tokens: np.ndarray) -> int:
