@@ -140,7 +140,10 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
         for target, f, c in zip(found.column("label").to_pylist(), *columns)
         if f.size
     ]
-    return train(ready)
+    model = train(ready)
+    del found, ready, columns
+    release_encoders()  # the driver's share of memory, too
+    return model
 
 
 def _score(model):

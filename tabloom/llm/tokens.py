@@ -93,6 +93,8 @@ def odd_characters(path: str) -> list[tuple[int, int]]:
             for p in part:
                 odd[p] |= unsplit(f"q{lower(chr(p))}q")
     edges = np.flatnonzero(np.diff(odd.astype(np.int8), prepend=0))
+    del whole, normal, cut, assigned
+    release_encoders()
     return list(zip(edges[::2].tolist(), edges[1::2].tolist()))
 
 
