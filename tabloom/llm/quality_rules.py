@@ -22,7 +22,7 @@ SPACES = r"[ \t\n\x0B\f\r]+"
 NOT_SPACE = r"[^ \t\n\x0B\f\r]"
 SYMBOLS = "[#*$%&|<>]"
 WINDOW = 8
-SAMPLE_ROWS = 1000  # rows that costs and rejections are measured on
+SAMPLE_ROWS = 1000  # about so many rows that costs and rejections are measured on
 
 
 @dataclass(frozen=True)
@@ -110,7 +110,8 @@ def _seconds(df: DataFrame) -> float:
 def order_rules(docs: DataFrame, text: str = "text", rules: Sequence[Rule] | None = None, sample_rows: int = SAMPLE_ROWS) -> list[Rule]:
     """The rules by rejection per cost, highest first."""
     rules = DEFAULT_RULES if rules is None else rules
-    sample = docs.select(F.coalesce(F.col(text), F.lit("")).alias("__text")).sample(0.1, seed=1).limit(sample_rows).cache()
+    share = min(1.0, sample_rows / max(docs.count(), 1))  # rows stay where they are: no task gathers the sample
+    sample = docs.select(F.coalesce(F.col(text), F.lit("")).alias("__text")).sample(share, seed=1).cache()
     try:
         found = measure(sample, rules)
     finally:
