@@ -4,16 +4,21 @@ The statistic needs the distance of every pair of rows. Rows are spread over equ
 blocks by key hash and sent to the tasks of all block pairs they belong to; a task
 computes its distance tiles with array arithmetic and returns only weighted sums, so
 no pair ever becomes a row. Every replicate is one more weight per row and sample,
-hence each distance is computed once for all replicates.
+hence each distance is computed once for all replicates. Work grows with the square of
+the rows; rows are bounded by what MAX_TASKS tasks of two blocks each can pair.
+
+One-dimensional `linear` energy needs no pairs: it is the integral of (F - G)^2 over the
+two distribution functions, summed while range-sorted partitions pass.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.columns import by_name
@@ -98,10 +103,125 @@ def _resampled_pairs(weighted: DataFrame) -> DataFrame:
     )
 
 
+_SPANS = (
+    "part int, rep int, low double, high double, w1 bigint, w2 bigint, gap1 double, gap2 double, "
+    "dup double, head bigint, tail bigint, whole boolean, bad boolean"
+)
+
+
+def _choose2(c):
+    return c * (c - 1) / 2.0
+
+
+def _span_sums(n: int, m: int):
+    """Task function over one sorted partition: per replicate, what joins it to its neighbours.
+
+    With d the difference of both distribution functions, counted from the partition's start, and g the gap to
+    the next value: gap1 sums g*d, gap2 sums g*d*d. `head` and `tail` are the weights of the partition's first
+    and last value (`whole`: these are one); `dup` counts pairs of equal rows of the values between them.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = low = high = head = w1 = None
+        bad = False
+        for b in batches:
+            if b.num_rows == 0:
+                continue
+            reps = len(b.column(1)[0])
+            if w1 is None:
+                part = b.column(3)[0].as_py()
+                w1, w2, tail = (np.zeros(reps, np.int64) for _ in range(3))
+                gap1, gap2, dup = (np.zeros(reps) for _ in range(3))
+            step = max(1, TILE_CELLS // reps)
+            for at in range(0, b.num_rows, step):
+                piece = b.slice(at, step)
+                x = piece.column(0).to_numpy(zero_copy_only=False).astype(np.float64)
+                a1, a2 = (piece.column(k).flatten().to_numpy().reshape(len(x), reps).astype(np.int64) for k in (1, 2))
+                fine = np.isfinite(x)
+                if not fine.all():  # no distance to such a row is a number; it equals none but its own copies
+                    bad = True
+                    dup += _choose2(a1[~fine] + a2[~fine]).sum(axis=0)
+                    x, a1, a2 = x[fine], a1[fine], a2[fine]
+                    if len(x) == 0:
+                        continue
+                if low is None:
+                    low = high = x[0]
+                gaps = np.diff(x, prepend=high)
+                up1, up2 = w1 + np.cumsum(a1, axis=0), w2 + np.cumsum(a2, axis=0)
+                d = np.vstack([w1, up1[:-1]]) / n - np.vstack([w2, up2[:-1]]) / m
+                gap1 += gaps @ d
+                gap2 += gaps @ (d * d)
+                w1, w2, high = up1[-1], up2[-1], x[-1]
+                begins = np.flatnonzero(gaps)  # rows with a new value
+                if gaps[0] == 0:
+                    runs = np.add.reduceat(a1 + a2, np.append(0, begins), axis=0)
+                    runs[0] += tail
+                else:
+                    runs = np.vstack([tail, np.add.reduceat(a1 + a2, begins, axis=0)])
+                closed, tail = runs[:-1], runs[-1]
+                if head is None and len(closed):
+                    head, closed = closed[0], closed[1:]
+                dup += _choose2(closed).sum(axis=0)
+        if w1 is None:
+            return
+        whole = head is None
+        same = [part, low, high, whole, bad]
+        names = ["part", "low", "high", "whole", "bad"]
+        types = [pa.int32(), pa.float64(), pa.float64(), pa.bool_(), pa.bool_()]
+        own = {name: pa.array([value] * reps, kind) for name, value, kind in zip(names, same, types)}
+        own |= {"rep": pa.array(np.arange(reps), pa.int32()), "head": pa.array(tail if whole else head)}
+        own |= {name: pa.array(value) for name, value in (("w1", w1), ("w2", w2), ("gap1", gap1), ("gap2", gap2), ("dup", dup), ("tail", tail))}
+        order = [c.split()[0] for c in _SPANS.split(", ")]
+        yield pa.RecordBatch.from_arrays([own[c] for c in order], names=order)
+
+    return run
+
+
+def _spans_joined(n: int, m: int):
+    """Task function: one replicate's partitions, one row each, in order -> its energy and pairs of equal rows."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("part")
+        energy, pairs = 0.0, float(pdf["dup"].sum())
+        w1 = w2 = open_run = 0
+        high = None
+        for r in pdf[pdf["low"].notna()].itertuples():
+            d = w1 / n - w2 / m
+            if high is not None:
+                energy += (r.low - high) * d * d
+            energy += (r.high - r.low) * d * d + 2 * d * r.gap1 + r.gap2
+            if high != r.low:
+                pairs += _choose2(open_run)
+                open_run = 0
+            open_run += r.head
+            if not r.whole:
+                pairs += _choose2(open_run)
+                open_run = r.tail
+            w1, w2, high = w1 + r.w1, w2 + r.w2, r.high
+        pairs += _choose2(open_run)
+        energy = None if pdf["bad"].any() else energy
+        return pd.DataFrame({"rep": [pdf["rep"].iloc[0]], "energy": [energy], "duplicates": [int(pairs)]})
+
+    return run
+
+
+def _ordered_energies(weighted: DataFrame, n: int, m: int) -> DataFrame:
+    """(rep, energy, duplicates) of one-dimensional rows under `linear`, by order instead of by pairs.
+
+    Equal values may span partitions, so a value with many rows is spread by key. A NULL, NaN or infinite value
+    makes the energy NULL.
+    """
+    flat = weighted.select(F.get("v", F.lit(0)).alias("x"), "w1", "w2", "key").orderBy("x", "key")
+    spans = flat.select("x", "w1", "w2", F.spark_partition_id().alias("part")).mapInArrow(_span_sums(n, m), _SPANS)
+    return spans.groupBy("rep").applyInPandas(_spans_joined(n, m), "rep int, energy double, duplicates bigint")
+
+
 def _energies(weighted: DataFrame, rows: int, reps: int, width: int, n: int, m: int, method: str) -> DataFrame:
     """(rep, energy, duplicates) from rows (key, v, w1, w2) with one weight per replicate."""
     if method not in ("log", "linear"):
         raise ValueError(f"method must be 'log' or 'linear', not {method!r}")
+    if method == "linear" and width == 1 and n and m:
+        return _ordered_energies(weighted, n, m)
     spark = weighted.sparkSession
     b = _blocks(rows, width, reps, spark.sparkContext.defaultParallelism)
     own = F.pmod(F.xxhash64("key"), F.lit(b)).cast("int")
@@ -115,7 +235,7 @@ def _energies(weighted: DataFrame, rows: int, reps: int, width: int, n: int, m:
     # a block pair is few bytes but much work, so the number of tasks is fixed rather than sized by bytes
     sent = sent.repartition(min(b * (b + 1), MAX_TASKS), "bi", "bj")
     parts = sent.groupBy("bi", "bj").applyInPandas(_block_sums(method == "log"), _SUMS)
-    total = parts.groupBy("rep").agg(*[F.sum(c).alias(c) for c in ("s11", "s22", "s12", "z11", "z22", "z12")])
+    total = parts.groupBy("rep").agg(*[F.when(F.count(c) == F.count("*"), F.sum(c)).alias(c) for c in ("s11", "s22", "s12", "z11", "z22", "z12")])
     total = total.join(_resampled_pairs(weighted), "rep")
     duplicates = sum((by_name(a) + by_name(p) for a, p in (("z11", "p11"), ("z22", "p22"), ("z12", "p12"))), F.lit(0.0))
     energy = F.col("s12") / F.lit(float(n * m)) - F.col("s11") / F.lit(float(n * n)) - F.col("s22") / F.lit(float(m * m))
@@ -139,7 +259,8 @@ def energy(df: DataFrame, sample: str, features, key: str, first, method: str =
     """(energy, duplicates): sum d(x,y)/nm - sum d(x,x')/n^2 - sum d(y,y')/m^2 over unordered pairs within a sample.
 
     `log` takes the logarithm of the Euclidean distance; where equal rows make it infinite
-    the energy is NULL and `duplicates` counts the pairs.
+    the energy is NULL and `duplicates` counts the pairs. A row with a NULL, NaN or infinite component has no
+    distances: the energy is NULL.
     """
     vectors = _vectors(df, sample, features, key, first)
     n, m, width = _sizes(vectors)
