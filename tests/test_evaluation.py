@@ -90,6 +90,36 @@ def test_diagonal_margin(spark, monkeypatch, few):
     assert lines.diagonal_cmv(lone, "final", "opt", "cmv", "k").first()["diagonal_cmv"] == 0.0
 
 
+def plain_limits(pdf):
+    g = pdf.groupby(["f", "o"]).cmv
+    d = pdf[(pdf.cmv > g.transform(lambda x: np.percentile(x, 1))) & (pdf.cmv < g.transform(lambda x: np.percentile(x, 99)))]
+    return d.groupby(["f", "o"]).cmv.agg(["size", "sum"])
+
+
+@pytest.mark.parametrize("margins", [(0.003, 0.05, 1.0), (1e-7, 0.05, 1.0), (1.0,)])
+def test_cells_are_cut_at_exact_percentiles(spark, monkeypatch, margins):
+    monkeypatch.setattr(lines, "MARGINS", margins)
+    rng = np.random.default_rng(16)
+    sizes = {(0, 0): 30_000, (0, 1): 9_000, (1, 0): 400, (1, 1): 3, (2, 0): 1, (2, 1): 5_000}
+    pdf = pd.concat([pd.DataFrame({"f": f, "o": o, "cmv": rng.normal(size=n)}) for (f, o), n in sizes.items()], ignore_index=True)
+    pdf.loc[(pdf.f == 0) & (pdf.o == 1), "cmv"] = pdf.cmv.round(1)  # ties at both percentiles
+    pdf.loc[(pdf.f == 2) & (pdf.o == 1), "cmv"] = 7.0  # one value
+    df = spark.createDataFrame(pdf)
+    got = lines._kept(df, ["f", "o"]).toPandas().set_index(["f", "o"]).sort_index()
+    want = plain_limits(pdf).sort_index()
+    assert list(got.index) == list(want.index)
+    assert (got.c == want["size"]).all() and np.allclose(got.s, want["sum"])
+    if margins[0] == 0.003:
+        zones = lines._zones(df, ["f", "o"], 0.003)
+        assert zones.count() < 2_500 and "Sort [cmv" not in zones._jdf.queryExecution().toString()
+
+
+def test_cells_with_nan(spark):
+    pdf = pd.DataFrame({"f": 0, "o": [0] * 2_000 + [1] * 50, "cmv": [float(i) for i in range(1_000)] + [math.nan] * 1_050})
+    got = {r["o"]: r["c"] for r in lines._kept(spark.createDataFrame(pdf).select("f", "o", F.coalesce("cmv", F.lit(math.nan)).alias("cmv")), ["f", "o"]).collect()}
+    assert got == {0: 980}  # NaN is largest: the 99th percentile is NaN, the first is 19.99
+
+
 def quadrants(x, y, xx, yy):
     a = np.mean((xx <= x) & (yy <= y))
     b = np.mean((xx <= x) & ~(yy <= y))
@@ -215,3 +245,40 @@ def test_equal_rows_have_no_log_energy(spark):
     assert np.isclose(en.energy(df, "s", "v", "k", 1, "linear").first()["energy"], numpy_energy(np.zeros((2, 1)), np.array([[1.0], [2.0]]), False))
     with pytest.raises(ValueError):
         en.energy(df, "s", "v", "k", 1, "gaussian")
+
+
+@pytest.mark.parametrize("parts", [1, 7])
+def test_one_dimensional_linear_energy_by_order(spark, monkeypatch, parts):
+    monkeypatch.setattr(en, "TILE_CELLS", 64)
+    rng = np.random.default_rng(15)
+    v = rng.normal(size=(300, 1)).round(1)
+    v[::3] = 0.5  # one value that spans partitions
+    df = spark.createDataFrame([(i, i % 5 < 2, row.tolist()) for i, row in enumerate(v)], "k int, s boolean, v array<double>").repartition(parts)
+    s = np.arange(300) % 5 < 2
+    kept = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = en.energy(df, "s", "v", "k", True, "linear").first()
+        both = []
+        for replace in (False, True):
+            weighted = (en._resampled if replace else en._permuted)(en._vectors(df, "s", "v", "k", True), 300, 120, 9, 3)
+            by_order = en._energies(weighted, 300, 10, 1, 120, 180, "linear").orderBy("rep").toPandas()
+            twice = weighted.withColumn("v", F.array(F.col("v")[0], F.lit(0.0)))  # a second, constant axis: by pairs
+            both.append((by_order, en._energies(twice, 300, 10, 2, 120, 180, "linear").orderBy("rep").toPandas()))
+        plan = en._energies(weighted, 300, 10, 1, 120, 180, "linear")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", kept)
+    equal = np.unique(v, return_counts=True)[1]
+    assert np.isclose(got["energy"], numpy_energy(v[s], v[~s], False)) and got["duplicates"] == (equal * (equal - 1) // 2).sum()
+    for by_order, by_pairs in both:
+        assert len(by_order) == 10 and np.allclose(by_order.energy, by_pairs.energy)
+        assert (by_order.duplicates == by_pairs.duplicates).all()
+    assert "Generate explode" not in plan  # no row is copied
+
+
+def test_one_dimensional_linear_energy_of_odd_values(spark):
+    rows = [(1, 1, [0.0]), (2, 1, [None]), (3, 2, [1.0]), (4, 2, [float("nan")]), (5, 2, [float("inf")]), (6, 1, [0.0])]
+    df = spark.createDataFrame(rows, "k int, s int, v array<double>")
+    for v in (F.col("v"), F.array(F.col("v")[0], F.lit(0.0))):  # by order, by pairs
+        row = en.energy(df.withColumn("v", v), "s", "v", "k", 1, "linear").first()
+        assert row["energy"] is None and row["duplicates"] == 1
