@@ -119,6 +119,17 @@ kinds AS (SELECT col, bool_and(value IN ('0', '1')) AS flag FROM seen GROUP BY c
 SELECT col, (row_number() OVER (PARTITION BY col ORDER BY first) - 1)::INT AS pos, value,
   CASE WHEN flag THEN 'indicator' ELSE 'categorical' END AS type
 FROM seen JOIN kinds USING (col)"""
+_VOCABULARY = """
+WITH long AS (SELECT l_orderkey, 'l_partkey' AS col, l_partkey::VARCHAR AS value FROM lineitem
+  UNION ALL SELECT l_orderkey, 'l_suppkey', l_suppkey::VARCHAR FROM lineitem),
+seen AS (SELECT col, value, min(l_orderkey) AS first, count(*) AS n FROM long GROUP BY col, value),
+v AS (SELECT col, value, row_number() OVER (PARTITION BY col ORDER BY first, value) - 1 AS position, n FROM seen)"""
+ORACLE["onehot_vocabulary"] = f"{_VOCABULARY} SELECT * FROM v"
+ORACLE["onehot_index"] = f"""{_VOCABULARY}
+SELECT l_orderkey, l_linenumber, p.position AS l_partkey_index, s.position AS l_suppkey_index FROM lineitem
+JOIN v p ON p.col = 'l_partkey' AND p.value = l_partkey::VARCHAR JOIN v s ON s.col = 'l_suppkey' AND s.value = l_suppkey::VARCHAR"""
+ORACLE["onehot_index_back"] = """
+SELECT l_orderkey, l_linenumber, l_partkey::VARCHAR AS l_partkey, l_suppkey::VARCHAR AS l_suppkey FROM lineitem"""
 _STATUS = ["F", "O", "P"]
 _SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY", "null"]
 
@@ -620,6 +631,14 @@ SELECT count(*) AS rows, count(*) AS ids, 200000000::BIGINT AS first_id, true AS
 _STEP = "CASE WHEN few >= 10 THEN 7.0::DOUBLE ELSE 3.0::DOUBLE END"
 ORACLE["impute_model_step"] = f"""
 SELECT {K}, round(CASE WHEN {K} % 10 <> 3 THEN {_STEP} ELSE {_STEP} - ({_STEP} - 0.5::DOUBLE) * pow(0.99::DOUBLE, 200) END, 6) AS step FROM ({TRAIN})"""
+ORACLE["svd_spectrum"] = f"""
+WITH e AS (SELECT vec_id, unnest(embedding)::DOUBLE AS x, unnest(range(64)) AS i FROM embeddings),
+g AS (SELECT a.i AS i, b.i AS j, sum(a.x * b.x) AS v FROM e a JOIN e b USING (vec_id) GROUP BY a.i, b.i),
+t AS (SELECT sum(v) AS t FROM g WHERE i = j),
+h AS (SELECT a.i, b.j, sum(a.v * b.v) AS v FROM g a JOIN g b ON a.j = b.i GROUP BY a.i, b.j)
+SELECT 1::INT AS power, {r('t', 'value')} FROM t
+UNION ALL SELECT 2, {r('sum(v * v) / any_value(t * t)', 'value')} FROM g, t
+UNION ALL SELECT 3, {r('sum(g.v * h.v) / any_value(t * t * t)', 'value')} FROM g JOIN h USING (i, j), t"""
 ORACLE["svd_facts"] = """
 SELECT 'svd_' || k AS component, (SELECT count(*) FROM embeddings) AS rows, 0.0::DOUBLE AS mean, 1.0::DOUBLE AS deviation
 FROM (SELECT unnest(range(8)) AS k)"""

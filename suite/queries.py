@@ -112,6 +112,24 @@ def onehot_fit(spark, d):
     return spark.createDataFrame(rows, "col string, pos int, value string, type string")
 
 
+MANY = ["l_partkey", "l_suppkey"]
+
+
+def onehot_vocabulary(spark, d):
+    return onehot.onehot_vocabulary(read(spark, d, "lineitem"), MANY, "l_orderkey")
+
+
+def onehot_index(spark, d):
+    df = read(spark, d, "lineitem").select("l_orderkey", "l_linenumber", *MANY)
+    return onehot.onehot_index(df, onehot.onehot_vocabulary(df, MANY, "l_orderkey"), MANY)
+
+
+def onehot_index_back(spark, d):
+    df = read(spark, d, "lineitem").select("l_orderkey", "l_linenumber", *MANY)
+    vocabulary = onehot.onehot_vocabulary(df, MANY, "l_orderkey")
+    return onehot.onehot_index_back(onehot.onehot_index(df, vocabulary, MANY), vocabulary, MANY)
+
+
 def onehot_fit_transform(spark, d):
     return onehot.onehot_fit_transform(train(spark, d).select(KEY, *CATEGORIES), CATEGORIES, KEY)[0]
 
@@ -327,6 +345,16 @@ def svd_standardize(spark, d):
     return rounded(moments.svd_standardize(df, [f"e{i}" for i in range(64)], 8))
 
 
+def svd_spectrum(spark, d):
+    """Power sums of all squared singular values: their sum, and those of squares and cubes as shares of it."""
+    names = [f"e{i}" for i in range(64)]
+    df = read(spark, d, "embeddings").select(*[F.col("embedding")[i].cast("double").alias(c) for i, c in enumerate(names)])
+    squares = moments.svd_basis(df, names, 64)[0] ** 2
+    total = squares.sum()
+    rows = [(k, float(total if k == 1 else ((squares / total) ** k).sum())) for k in (1, 2, 3)]
+    return rounded(spark.createDataFrame(rows, "power int, value double"))
+
+
 def svd_facts(spark, d):
     """Mean and deviation of each component over all rows."""
     scores = svd_standardize(spark, d)
@@ -590,12 +618,12 @@ def whole_chain_facts(spark, d):
 NAMES = """
 read_typed_table read_columns draw_minibatches sample_rows perturb_rows write_shuffled restore_layout parse_training_log
 best_checkpoint loss_trace
-onehot_fit onehot_fit_transform onehot_transform onehot_back laplace_fit laplace_fit_transform laplace_transform
+onehot_fit onehot_vocabulary onehot_index onehot_index_back onehot_fit_transform onehot_transform onehot_back laplace_fit laplace_fit_transform laplace_transform
 center_target uncenter_target
 missing_fit_transform missing_transform missing_back special_fit_transform special_transform special_back
 impute_median impute_zero impute_random impute_model impute_model_step impute_model_facts
 boxcox_fit boxcox_fit_search boxcox_fit_transform boxcox_transform boxcox_back boxcox_hist scaler_fit scaler_fit_transform scaler_transform
-scaler_back splitcap_fit splitcap_fit_transform splitcap_transform splitcap_back svd_standardize svd_facts
+scaler_back splitcap_fit splitcap_fit_transform splitcap_transform splitcap_back svd_standardize svd_spectrum svd_facts
 sample_noise dense_forward generate_unconditional generate_conditional generate_pinned generate_uniform translate_a_to_b
 reconstruction_error score_realness realness_auc bce_loss lsgan_loss critic_gap cycle_error identity_error cycle_total
 fit_generator

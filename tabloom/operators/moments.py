@@ -44,19 +44,24 @@ def cross_moments(df: DataFrame, columns: Sequence[Column]) -> np.ndarray:
     return out
 
 
-def svd_standardize(df: DataFrame, cols: Sequence[str], nsvd: int = 30, prefix: str = "svd_") -> DataFrame:
-    """Uncentred truncated SVD scores standardised with the population deviation; nsvd 0 skips the SVD.
+def svd_basis(df: DataFrame, cols: Sequence[str], nsvd: int) -> tuple[np.ndarray, np.ndarray]:
+    """The largest `nsvd` singular values of the uncentred columns, descending, and their loadings, one per column.
 
     Signs are fixed so that the largest loading of each component is positive.
     """
+    values, vectors = np.linalg.eigh(cross_moments(df, [by_name(c) for c in cols]))
+    first = np.argsort(values)[::-1][:nsvd]
+    basis = vectors[:, first]
+    largest = np.abs(basis).argmax(axis=0)
+    return np.sqrt(np.maximum(values[first], 0.0)), basis * np.sign(basis[largest, np.arange(basis.shape[1])])
+
+
+def svd_standardize(df: DataFrame, cols: Sequence[str], nsvd: int = 30, prefix: str = "svd_") -> DataFrame:
+    """Uncentred truncated SVD scores standardised with the population deviation; nsvd 0 skips the SVD."""
     names = list(cols)
     work = df
     if nsvd > 0:
-        gram = cross_moments(df, [by_name(c) for c in cols])
-        values, vectors = np.linalg.eigh(gram)
-        basis = vectors[:, np.argsort(values)[::-1][:nsvd]]
-        largest = np.abs(basis).argmax(axis=0)
-        basis = basis * np.sign(basis[largest, np.arange(basis.shape[1])])
+        _, basis = svd_basis(df, cols, nsvd)
         names = [f"{prefix}{k}" for k in range(basis.shape[1])]
         net = Network([Layer("svd", "dense", weight=basis, bias=np.zeros(basis.shape[1]))])
         work = dense_forward(df, net, list(cols), names)

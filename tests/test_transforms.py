@@ -252,3 +252,40 @@ def test_row_local_transforms_run_on_a_stream(spark, tmp_path):
     q.awaitTermination(60)
     got = sorted(map(str, spark.table("scaled_stream").collect()))
     assert got == sorted(map(str, run(df).collect())) and len(got) == 40
+
+
+@pytest.mark.parametrize("limit", [100_000, 1])
+def test_vocabulary_as_a_table(spark, monkeypatch, limit):
+    from tabloom.functions import lookup
+
+    monkeypatch.setattr(lookup, "BROADCAST_ROWS", limit)
+    rows = [(3, "b", "7"), (1, "a", None), (2, None, "7"), (5, "b", "0"), (4, "b", "x"), (6, "", "null")]
+    df = spark.createDataFrame(rows, "k int, `c.1` string, f string")
+    cols = ["c.1", "f"]
+    v = onehot.onehot_vocabulary(df, cols, "k")
+    fitted = onehot.onehot_fit(df, cols, "k").columns
+    for c in cols:
+        own = v.where(F.col("col") == c).orderBy("position").collect()
+        assert [r["value"] for r in own] == fitted[c]["values"] and [r["position"] for r in own] == list(range(len(own)))
+    done = onehot.onehot_index(df, v, cols)
+    assert done.columns == ["k", "c.1_index", "f_index"]
+    for r in done.collect():
+        c, f = next(("null" if x is None else x, "null" if y is None else y) for k, x, y in rows if k == r["k"])
+        assert (fitted["c.1"]["values"][r["c.1_index"]], fitted["f"]["values"][r["f_index"]]) == (c, f)
+    back = {r["k"]: (r["c.1"], r["f"]) for r in onehot.onehot_index_back(done, v, cols).collect()}
+    assert back[1] == ("a", "") and back[2] == ("", "7") and back[6] == ("", "")
+    unseen = spark.createDataFrame([(1, "q", "7")], "k int, `c.1` string, f string")
+    row = onehot.onehot_index(unseen, v, cols).first()
+    assert row["c.1_index"] is None and row["f_index"] is not None
+    assert onehot.onehot_index_back(onehot.onehot_index(unseen, v, cols), v, cols).first()["c.1"] is None
+    with pytest.raises(ValueError):
+        onehot.onehot_index(df.withColumn("f_index", F.lit(0)), v, ["f"])
+
+
+def test_a_million_categories_stay_in_tasks(spark):
+    df = spark.range(1_000_000).select("id", F.concat(F.lit("v"), F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).cast("string")).alias("c"))
+    v = onehot.onehot_vocabulary(df, ["c"], "id")
+    assert v.agg(F.count("*"), F.max("position"), F.max("n")).first() == (666_667, 666_666, 333_334)
+    assert onehot.onehot_index(df, v, ["c"]).agg(F.count("c_index"), F.count_distinct("c_index")).first() == (1_000_000, 666_667)
+    with pytest.raises(ValueError, match="onehot_vocabulary"):
+        onehot.onehot_fit(df, ["c"], "id")
