@@ -4,8 +4,8 @@ The statistic needs the distance of every pair of rows. Rows are spread over equ
 blocks by key hash and sent to the tasks of all block pairs they belong to; a task
 computes its distance tiles with array arithmetic and returns only weighted sums, so
 no pair ever becomes a row. Every replicate is one more weight per row and sample,
-hence each distance is computed once for all replicates. Work grows with the square of
-the rows; rows are bounded by what MAX_TASKS tasks of two blocks each can pair.
+hence each distance is computed once for all replicates. Memory of a
+task is bounded, but work grows with the square of the rows.
 
 One-dimensional `linear` energy needs no pairs: it is the integral of (F - G)^2 over the
 two distribution functions, summed while range-sorted partitions pass.
