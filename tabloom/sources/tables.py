@@ -79,7 +79,8 @@ def draw_minibatches(
         .where(F.col("slot") <= batch_size)
         .drop("j")
     )
-    return kept.join(chunked, ["chunk", "__pos"]).select("pass", "chunk", "draw", "slot", *df.columns)
+    # sizes are guessed from before the proposals, so without the hint all batches would be broadcast through the driver
+    return kept.hint("merge").join(chunked.hint("merge"), ["chunk", "__pos"]).select("pass", "chunk", "draw", "slot", *df.columns)
 
 
 def perturb_rows(df: DataFrame, cols: Sequence[str], key: str, batch: str | None = None, seed=0) -> DataFrame:

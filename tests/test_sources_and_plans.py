@@ -68,6 +68,14 @@ def test_minibatches(spark, parts, rows, batch, chunk, coverage):
         tables.draw_minibatches(df, "k", 3, 10)
 
 
+def test_minibatches_are_never_broadcast(spark):
+    df = spark.range(20_000).select(F.col("id").alias("k"))
+    total = tables.draw_minibatches(df, "k", 500, 5_000, 2, seed=1).agg(F.count("k"), F.max("slot"))
+    assert total.collect()[0][0] == 40_000
+    plan = total._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]  # as it was run
+    assert "isFinalPlan=true" in plan and "SortMergeJoin [chunk" in plan and "BroadcastHashJoin [chunk" not in plan
+
+
 def test_samples_of_any_size_agree(spark, monkeypatch):
     df = spark.range(3_000).select(F.col("id").alias("k")).repartition(9)
     small = {r["k"] for r in tables.sample_rows(df, 700, "k", 4).collect()}
