@@ -27,7 +27,10 @@ from ..functions.order import row_index
 from ..functions.rng import uniform
 
 BLOCK_BYTES = 64 << 20  # coordinates and weights of one block
-TILE_CELLS = 1 << 21
+TILE_CELLS = 1 << 18  # a square tile that stays in the cache
+PRODUCT_WIDTH = 8  # from here on distances are a matrix product
+CLOSE = 1e-5  # share of the squared lengths below which the product has too few digits left
+CLOSE_PAIRS = 1 << 14
 MIN_BLOCK_ROWS = 256
 MAX_TASKS = 20_000
 
@@ -37,17 +40,68 @@ _SUMS = "rep int, s11 double, s22 double, s12 double, z11 double, z22 double, z1
 def _blocks(rows: int, width: int, reps: int, parallelism: int) -> int:
     """Enough blocks to bound a task's memory and, for small tables, to keep all cores busy."""
     by_memory = math.ceil(rows * 8 * (width + 2 * reps) / BLOCK_BYTES)
-    by_cores = min(math.ceil(math.sqrt(2 * parallelism)), math.ceil(rows / MIN_BLOCK_ROWS))
+    by_cores = min(math.ceil(math.sqrt(16 * parallelism)), math.ceil(rows / MIN_BLOCK_ROWS))
     return max(1, by_memory, by_cores)
 
 
-def _tile_distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    total = np.zeros((len(a), len(b)))
-    for k in range(a.shape[1]):
-        gap = a[:, k][:, None] - b[:, k][None, :]
-        gap *= gap
-        total += gap
-    return np.sqrt(total, out=total)
+def _tile_squares(a: np.ndarray, b: np.ndarray, center: np.ndarray) -> np.ndarray:
+    """Squared distances; wide rows by one matrix product, whose close pairs are then taken from the gaps."""
+    if a.shape[1] < PRODUCT_WIDTH:
+        total = np.zeros((len(a), len(b)))
+        for k in range(a.shape[1]):
+            gap = a[:, k][:, None] - b[:, k][None, :]
+            gap *= gap
+            total += gap
+        return total
+    p, q = a - center, b - center
+    pp, qq = (p * p).sum(axis=1), (q * q).sum(axis=1)
+    total = np.column_stack([p, pp, np.ones(len(p))]) @ np.column_stack([-2.0 * q, np.ones(len(q)), qq]).T
+    if not total.min() > CLOSE * (pp.max() + qq.max()):  # also for NaN
+        i, j = np.nonzero(total <= CLOSE * (pp[:, None] + qq))
+        for at in range(0, len(i), CLOSE_PAIRS):
+            part = slice(at, at + CLOSE_PAIRS)
+            gap = a[i[part]] - b[j[part]]
+            total[i[part], j[part]] = np.einsum("ij,ij->i", gap, gap)
+    return total
+
+
+def _pair_sums(x, y, left, right, same: bool, log: bool) -> np.ndarray:
+    """s11, s22, s12 and the counts z11, z22, z12 of equal rows, per replicate; `left` and `right` hold (w1, w2)."""
+    sums = np.zeros((6, left[0].shape[1]))
+    center = np.nan_to_num(x.mean(axis=0), posinf=0.0, neginf=0.0)
+    split = all((w1 + w2 == 1).all() for w1, w2 in (left, right))  # each row in one part
+    columns = np.column_stack([right[0], np.ones(len(y)) if split else right[1]])
+    reps, side = sums.shape[1], max(1, math.isqrt(TILE_CELLS))
+    for at in range(0, len(x), side):
+        a1, a2 = (w[at : at + side] for w in left)
+        for to in range(at if same else 0, len(y), side):
+            d = _tile_squares(x[at : at + side], y[to : to + side], center)
+            both = same and at == to
+            if both:
+                np.fill_diagonal(d, 1.0)  # a row has no distance to itself
+            zero = np.argwhere(d == 0.0) if not d.min() > 0.0 else ()
+            if log:
+                if len(zero):
+                    d[zero[:, 0], zero[:, 1]] = 1.0
+                np.log(d, out=d)
+                d *= 0.5
+            else:
+                np.sqrt(d, out=d)
+                if both:
+                    np.fill_diagonal(d, 0.0)
+            tile = np.zeros_like(sums)
+            m = d @ columns[to : to + side]
+            m1, m2 = m[:, :reps], m[:, reps:] - m[:, :reps] if split else m[:, reps:]
+            tile[0], tile[1] = (a1 * m1).sum(axis=0), (a2 * m2).sum(axis=0)
+            tile[2] = (a1 * m2).sum(axis=0) + (a2 * m1).sum(axis=0)
+            for cut in range(0, len(zero), CLOSE_PAIRS):
+                i, j = zero[cut : cut + CLOSE_PAIRS].T
+                z1, z2 = (w[to : to + side][j] for w in right)
+                tile[3] += (a1[i] * z1).sum(axis=0)
+                tile[4] += (a2[i] * z2).sum(axis=0)
+                tile[5] += (a1[i] * z2 + a2[i] * z1).sum(axis=0)
+            sums += tile / 2.0 if both else tile  # there each unordered pair was met twice
+    return sums
 
 
 def _block_sums(log: bool):
@@ -59,40 +113,20 @@ def _block_sums(log: bool):
         right = left if same else pdf[pdf["side"] == 1]
         if len(left) == 0 or len(right) == 0:
             return pd.DataFrame({c.split()[0]: [] for c in _SUMS.split(", ")})
-        x, y = (np.stack(part["v"].to_numpy()) for part in (left, right))
+        x, y = (np.stack(part["v"].to_numpy()).astype(np.float64) for part in (left, right))
         l1, l2, r1, r2 = (
             np.stack(part[w].to_numpy()).astype(np.float64) for part in (left, right) for w in ("w1", "w2")
         )
-        sums = np.zeros((6, l1.shape[1]))
-        step = max(1, TILE_CELLS // len(y))
-        for at in range(0, len(x), step):
-            d = _tile_distances(x[at : at + step], y)
-            zero = d == 0.0
-            if same:
-                own = np.arange(len(d))
-                zero[own, at + own] = False
-                d[own, at + own] = 1.0 if log else 0.0  # a row has no distance to itself
-            if log:
-                d[zero] = 1.0
-                np.log(d, out=d)
-            a1, a2 = l1[at : at + step], l2[at : at + step]
-            for base, m in ((0, d), (3, zero.astype(np.float64) if zero.any() else None)):
-                if m is None:
-                    continue
-                m1, m2 = m @ r1, m @ r2
-                sums[base] += (a1 * m1).sum(axis=0)
-                sums[base + 1] += (a2 * m2).sum(axis=0)
-                sums[base + 2] += (a1 * m2).sum(axis=0)
-                if not same:
-                    sums[base + 2] += (a2 * m1).sum(axis=0)
-        if same:  # each unordered pair was met twice
-            sums[[0, 1, 3, 4]] /= 2.0
-        names = [c.split()[0] for c in _SUMS.split(", ")]
-        return pd.DataFrame(dict(zip(names, [np.arange(sums.shape[1]), *sums])))
+        return _sums_frame(_pair_sums(x, y, (l1, l2), (r1, r2), same, log))
 
     return run
 
 
+def _sums_frame(sums: np.ndarray) -> pd.DataFrame:
+    names = [c.split()[0] for c in _SUMS.split(", ")]
+    return pd.DataFrame(dict(zip(names, [np.arange(sums.shape[1]), *sums])))
+
+
 def _resampled_pairs(weighted: DataFrame) -> DataFrame:
     """(rep, p11, p22, p12): pairs of copies of the same row; their distance is zero."""
     per = weighted.select(F.posexplode(F.arrays_zip("w1", "w2")).alias("rep", "w")).select("rep", "w.*")

@@ -282,3 +282,23 @@ def test_one_dimensional_linear_energy_of_odd_values(spark):
     for v in (F.col("v"), F.array(F.col("v")[0], F.lit(0.0))):  # by order, by pairs
         row = en.energy(df.withColumn("v", v), "s", "v", "k", 1, "linear").first()
         assert row["energy"] is None and row["duplicates"] == 1
+
+
+def test_wide_rows_by_product(spark, monkeypatch):
+    monkeypatch.setattr(en, "TILE_CELLS", 256)
+    rng = np.random.default_rng(16)
+    v = rng.normal(size=(90, 12)) + 1e6  # far from the origin
+    v[1::7] = v[0] + 1e-5 * rng.normal(size=v[1::7].shape)  # close pairs
+    v[50] = v[51]
+    assert en.PRODUCT_WIDTH <= 12
+    with monkeypatch.context() as m:
+        w = np.ones((90, 1))
+        got = en._pair_sums(v, v, (w, 0 * w), (w, 0 * w), True, True)
+        m.setattr(en, "PRODUCT_WIDTH", 99)
+        assert np.allclose(got, en._pair_sums(v, v, (w, 0 * w), (w, 0 * w), True, True), rtol=1e-9) and got[3, 0] == 1
+        assert np.isnan(en._pair_sums(np.vstack([v, v[:1] * np.nan]), v, (np.ones((91, 1)),) * 2, (w, w), False, False)[0, 0])
+    df = spark.createDataFrame([(i, i % 3 == 0, row.tolist()) for i, row in enumerate(v) if i != 50], "k int, s boolean, v array<double>")
+    s, kept = np.arange(90) % 3 == 0, np.arange(90) != 50
+    for method in ("log", "linear"):
+        row = en.energy(df, "s", "v", "k", True, method).first()
+        assert np.isclose(row["energy"], numpy_energy(v[s & kept], v[~s & kept], method == "log")) and row["duplicates"] == 0
