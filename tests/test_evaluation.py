@@ -302,3 +302,24 @@ def test_wide_rows_by_product(spark, monkeypatch):
     for method in ("log", "linear"):
         row = en.energy(df, "s", "v", "k", True, method).first()
         assert np.isclose(row["energy"], numpy_energy(v[s & kept], v[~s & kept], method == "log")) and row["duplicates"] == 0
+
+
+@pytest.mark.parametrize("method", ["log", "linear"])
+def test_energy_in_the_plane_by_cells(spark, monkeypatch, method):
+    rng = np.random.default_rng(17)
+    v = np.vstack([rng.normal(size=(1500, 2)), 0.01 * rng.normal(size=(1000, 2)) + 5.0, 50.0 * rng.normal(size=(60, 2))])
+    v[2000:2040] = v[2000] if method == "linear" else v[2000:2040]  # equal rows
+    df = spark.createDataFrame([(i, i % 3 == 0, row.tolist()) for i, row in enumerate(v)], "k int, s boolean, v array<double>")
+    pairs = {}
+    for replace in (False, True):
+        weighted = (en._resampled if replace else en._permuted)(en._vectors(df, "s", "v", "k", True), 2560, 854, 5, 3).localCheckpoint()
+        pairs[replace] = weighted, en._energies(weighted, 2560, 6, 2, 854, 1706, method).orderBy("rep").toPandas()
+    monkeypatch.setattr(en, "PAIR_ROWS", 1)
+    monkeypatch.setattr(en, "CELL_ROWS", 5)  # 68 points a cell, so that most pairs are distant
+    monkeypatch.setattr(en, "FAR", [(16.0, 4), (7.0, 7)])
+    for weighted, by_pairs in pairs.values():
+        by_cells = en._energies(weighted, 2560, 6, 2, 854, 1706, method).orderBy("rep").toPandas()
+        assert np.allclose(by_cells.energy.astype(float), by_pairs.energy.astype(float), rtol=0, atol=1e-6, equal_nan=True)
+        assert (by_cells.duplicates == by_pairs.duplicates).all()
+    bad = weighted.withColumn("v", F.when(F.col("key") == 7, F.array(F.lit(None).cast("double"), F.lit(1.0))).otherwise(F.col("v")))
+    assert en._energies(bad, 2560, 6, 2, 854, 1706, method).first()["energy"] is None
